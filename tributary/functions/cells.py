@@ -164,7 +164,8 @@ class Records:
         }
         kinds = {f"_k{i}": variant_kind(F.col(f"_v{i}")) for i in range(len(paths))}
         texts = {f"_t{i}": variant_text(F.col(f"_v{i}"), F.col(f"_k{i}")) for i in range(len(paths))}
-        df = self.df.withColumns(picked).withColumns(kinds).withColumns(texts)
+        flags = {"_not_object": ~is_object(root)}
+        df = self.df.withColumns({**flags, **picked}).withColumns(kinds).withColumns(texts)
         return df, {
             path: variant_cell(F.col(f"_v{i}"), F.col(f"_k{i}"), F.col(f"_t{i}"))
             for i, path in enumerate(paths)
@@ -196,9 +197,8 @@ class Records:
         return typed_cell(column, dtype)
 
     def not_an_object(self) -> Column:
-        if self.column is None:
-            return F.lit(False)
-        return ~is_object(F.col(self.column))
+        """Use after `cells`, which works the flag out next to the picks."""
+        return F.lit(False) if self.column is None else F.col("_not_object")
 
     def payload(self) -> Column:
         """The raw record as JSON text."""

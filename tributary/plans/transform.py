@@ -15,7 +15,7 @@ from tributary.functions.cells import Records
 from tributary.operators.dedupe import deduplicate
 from tributary.operators.mapping import ResourceMapping, accepted, get_mapping, map_records, rejected
 from tributary.operators.summaries import transform_summary
-from tributary.session import require_utc, scratch_path
+from tributary.session import prepare, scratch_path
 from tributary.sources.processed_zone import write_unified
 from tributary.sources.quarantine import write_quarantine
 from tributary.sources.raw_zone import POSITION, find_raw_parts, read_raw_zone
@@ -95,7 +95,7 @@ def run_transform(
     `only_this_run` reads what `run_id` has landed instead of the whole zone. JSON is parsed once: the tagged rows go to a Parquet table by resource, and the zone, the
     quarantine and the counts are made from it.
     """
-    require_utc(spark)
+    prepare(spark)
     for part in find_raw_parts(spark, raw_root).where("NOT is_mapped").select("source", "resource").distinct().collect():
         log.warning("%s/%s has no mapping, skipped", part["source"], part["resource"])
     zone = read_raw_zone(

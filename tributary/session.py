@@ -7,6 +7,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# One projection holds all rules of a mapping. Its generated method can pass the size up to which the
+# JVM compiles methods by default; without this option it would run interpreted.
+_COMPILE_LARGE_METHODS = "-XX:-DontCompileHugeMethods"
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -14,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A JSON object that repeats a key keeps the last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.driver.extraJavaOptions": _COMPILE_LARGE_METHODS,
+    "spark.executor.extraJavaOptions": _COMPILE_LARGE_METHODS,
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -28,11 +34,23 @@ def build_session(app_name: str = "tributary", master: str | None = None, **extr
     return builder.getOrCreate()
 
 
-def require_utc(spark: SparkSession) -> None:
-    """Text without an offset means UTC, so the session time zone has to be UTC."""
+def prepare(spark: SparkSession) -> None:
+    """Check the session before a run.
+
+    Text without an offset means UTC, so the session time zone has to be UTC. A JVM that was started
+    without the option for large methods gets projections whose generated code is split up instead.
+    """
     zone = spark.conf.get("spark.sql.session.timeZone")
     if zone not in ("UTC", "Etc/UTC", "Z", "GMT"):
         raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
+    conf = spark.sparkContext.getConf()
+    key = "spark.driver.extraJavaOptions" if _is_local(spark) else "spark.executor.extraJavaOptions"
+    if _COMPILE_LARGE_METHODS not in conf.get(key, ""):
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
+def _is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,7 +58,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not _is_local(spark):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="tributary-")
     spark.conf.set("spark.checkpoint.dir", path)

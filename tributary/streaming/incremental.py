@@ -18,7 +18,7 @@ from tributary.operators.envelope import unwrap
 from tributary.operators.mapping import ResourceMapping, accepted, get_mapping, map_records, rejected
 from tributary.operators.summaries import event_time_marks
 from tributary.plans.transform import newest_per_key
-from tributary.session import require_utc, scratch_path
+from tributary.session import prepare, scratch_path
 from tributary.sources.raw_zone import POSITION, explode_records
 from tributary.sources.warehouse import Warehouse
 from tributary.sources.watermarks import Watermarks
@@ -67,7 +67,7 @@ def stream_upsert(
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Merge every part that has landed since the checkpoint, then stop."""
-    require_utc(spark)
+    prepare(spark)
     reader = spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json*")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
