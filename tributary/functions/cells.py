@@ -3,30 +3,28 @@
 A raw record is either a VARIANT (parsed JSON) or a row of typed columns. Rules look at a value
 through a `Cell`, which answers what kind of value it is. For a typed column the answer is known
 when the plan is built, so the rule shrinks to the one branch that applies and Catalyst prunes the
-scan to the picked columns; for a VARIANT the answer is a Column.
+scan to the picked columns; for a VARIANT the answer is an expression.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+
 @dataclass(frozen=True)
 class Cell:
-    """`value` holds the value, `text` its text; the flags are Column predicates or Python bools."""
-
-    value: Column
-    text: Column
-    present: Column | bool
-    is_string: Column | bool
-    is_number: Column | bool
-    is_bool: Column | bool
-    is_nested: Column | bool
-    is_integer: Column | bool = False
+    """`value` holds the value, `text` its text; the flags are predicates, or bools when known."""
+
+    value: str
+    text: str
+    present: str | bool
+    is_string: str | bool
+    is_number: str | bool
+    is_bool: str | bool
+    is_integer: str | bool = False
     dtype: T.DataType | None = None
     is_trimmed: bool = False
 
@@ -35,111 +33,113 @@ class Cell:
         return isinstance(self.dtype, (T.TimestampType, T.TimestampNTZType, T.DateType))
 
     @property
-    def is_null(self) -> Column:
+    def is_null(self) -> str:
         """Absent, or present with a null."""
-        return self.text.isNull()
+        return f"{self.text} IS NULL"
+
+
+def quote(text: str) -> str:
+    """A string literal, taken as it is."""
+    return "r'" + text + "'" if "'" not in text else "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def name(*steps: str) -> str:
+    return ".".join(f"`{step.replace('`', '``')}`" for step in steps)
 
 
-def choose(*branches: tuple[Column | bool, Column], otherwise: Column) -> Column:
+def one_of(x: str, values) -> str:
+    return f"{x} IN ({', '.join(quote(v) for v in values)})"
+
+
+def choose(*branches: tuple[str | bool, str], otherwise: str) -> str:
     """CASE over branches whose conditions may already be decided while planning."""
     open_branches = []
     for condition, result in branches:
         if condition is True:
             otherwise = result
             break
-        if condition is False:
-            continue
-        open_branches.append((condition, result))
+        if condition is not False:
+            open_branches.append(f"WHEN {condition} THEN {result}")
     if not open_branches:
         return otherwise
-    case = F.when(*open_branches[0])
-    for condition, result in open_branches[1:]:
-        case = case.when(condition, result)
-    return case.otherwise(otherwise)
+    return f"CASE {' '.join(open_branches)} ELSE {otherwise} END"
 
 
-def flag(condition: Column | bool) -> Column:
-    return F.lit(condition) if isinstance(condition, bool) else condition
+def flag(condition: str | bool) -> str:
+    return str(condition).lower() if isinstance(condition, bool) else f"({condition})"
 
 
 def absent_cell() -> Cell:
-    return Cell(F.lit(None), F.lit(None).cast("string"), False, False, False, False, False)
+    return Cell("NULL", "CAST(NULL AS STRING)", False, False, False, False)
 
 
-def typed_cell(value: Column, dtype: T.DataType) -> Cell:
+def typed_cell(value: str, dtype: T.DataType) -> Cell:
     """A cell over a column whose type is known; a null counts as a present null."""
     is_string = isinstance(dtype, (T.StringType, T.CharType, T.VarcharType))
     is_bool = isinstance(dtype, T.BooleanType)
-    is_number = isinstance(dtype, T.NumericType)
-    is_nested = isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
-    if is_bool:
-        text = F.when(value, "True").when(~value, "False")
-    elif is_nested:
-        text = F.to_json(value)
-    elif is_string:
+    if is_string:
         text = value
+    elif is_bool:
+        text = f"CASE WHEN {value} THEN 'True' WHEN NOT {value} THEN 'False' END"
+    elif isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
+        text = f"to_json({value})"
     else:
-        text = value.cast("string")
-    return Cell(value, text, True, is_string, is_number, is_bool, is_nested,
-                isinstance(dtype, T.IntegralType), dtype)
-
-
-def variant_kind(value: Column) -> Column:
-    """STRING, BIGINT, DECIMAL(p,s), DOUBLE, BOOLEAN, VOID, OBJECT<..>, ARRAY<..>; null when absent."""
-    return F.schema_of_variant(value)
+        text = f"CAST({value} AS STRING)"
+    return Cell(
+        value, text, True, is_string, isinstance(dtype, T.NumericType), is_bool,
+        isinstance(dtype, T.IntegralType), dtype,
+    )
 
 
-def is_object(value: Column) -> Column:
+def is_object(value: str) -> str:
     """True for a JSON object, without walking its fields."""
-    return F.try_variant_get(value, "$", "struct<_probe: variant>").isNotNull()
+    return f"(try_variant_get({value}, '$', 'struct<_probe: variant>') IS NOT NULL)"
 
 
-def in_brackets(text: Column) -> Column:
+def in_brackets(text: str) -> str:
     """JSON text as the only element of an array. The parser stops after the first value and would
     overlook text behind it; inside an array it has to read on."""
-    return F.concat(F.lit("["), text, F.lit("]"))
+    return f"concat('[', {text}, ']')"
 
 
-def strict_json(bracketed: Column) -> Column:
+def strict_json(bracketed: str) -> str:
     """The value of parsed `in_brackets` text; null unless there was exactly one."""
-    return F.when(
-        F.try_variant_get(bracketed, "$[1]", "variant").isNull(), F.try_variant_get(bracketed, "$[0]", "variant")
+    return (
+        f"CASE WHEN try_variant_get({bracketed}, '$[1]', 'variant') IS NULL "
+        f"THEN try_variant_get({bracketed}, '$[0]', 'variant') END"
     )
 
 
-def variant_text(value: Column, kind: Column) -> Column:
+def variant_text(value: str, kind: str) -> str:
     """Text of a JSON scalar; a JSON null has none, and an integral float keeps its `.0`."""
-    text = value.cast("string")
+    text = f"CAST({value} AS STRING)"
     return (
-        F.when(kind == "STRING", text)
-        .when(kind == "BOOLEAN", F.initcap(text))
-        .when(kind.rlike(r"^DECIMAL\((\d|1[0-8]),0\)$"), F.concat(text, F.lit(".0")))
-        .when(kind != "VOID", text)
+        f"CASE WHEN {kind} = 'STRING' THEN {text} WHEN {kind} = 'BOOLEAN' THEN initcap({text}) "
+        f"WHEN {kind} RLIKE r'^DECIMAL\\((\\d|1[0-8]),0\\)$' THEN concat({text}, '.0') "
+        f"WHEN {kind} <> 'VOID' THEN {text} END"
     )
 
 
-def variant_cell(value: Column, kind: Column, text: Column) -> Cell:
-    number = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+def variant_cell(value: str, kind: str, text: str) -> Cell:
+    """`kind` is STRING, BIGINT, DECIMAL(p,s), DOUBLE, BOOLEAN, VOID, OBJECT<..> or ARRAY<..>."""
+    number = f"({kind} = 'BIGINT' OR {kind} = 'DOUBLE' OR startswith({kind}, 'DECIMAL') OR {kind} = 'FLOAT')"
     return Cell(
-        value, text, kind.isNotNull(),
-        is_string=kind == "STRING",
-        is_number=number,
-        is_bool=kind == "BOOLEAN",
-        is_nested=kind.rlike("^(OBJECT|ARRAY)"),
-        is_integer=kind == "BIGINT",
-        dtype=T.VariantType(),
+        value, text, f"{kind} IS NOT NULL", f"{kind} = 'STRING'", number, f"{kind} = 'BOOLEAN'",
+        f"{kind} = 'BIGINT'", T.VariantType(),
     )
 
 
-def _variant_path(steps: list[str]) -> str:
-    if any("'" in step for step in steps):
-        raise ValueError(f"a path step may not contain a quote: {steps}")
-    return "$" + "".join(f"['{step}']" for step in steps)
+def _inline_variant_cell(value: str) -> Cell:
+    kind = f"schema_of_variant({value})"
+    return variant_cell(value, kind, variant_text(value, kind))
 
 
-def pick_variant(root: Column, path: str) -> Column:
+def pick_variant(root: str, path: str) -> str:
     """The value at a dotted path; null when a step is missing or is not an object."""
-    return F.try_variant_get(root, _variant_path(path.split(".")), "variant")
+    if "'" in path:
+        raise ValueError(f"a path may not contain a quote: {path}")
+    steps = "".join(f"['{step}']" for step in path.split("."))
+    return f'try_variant_get({root}, "${steps}", \'variant\')'
 
 
 class Records:
@@ -156,60 +156,53 @@ class Records:
         times do not pick it several times.
         """
         if self.column is None:
-            return self.df, {path: self._typed(spellings) for path, spellings in paths.items()}
-        root = F.col(self.column)
-        picked = {
-            f"_v{i}": F.coalesce(*[pick_variant(root, s) for s in spellings])
-            for i, spellings in enumerate(paths.values())
-        }
-        kinds = {f"_k{i}": variant_kind(F.col(f"_v{i}")) for i in range(len(paths))}
-        texts = {f"_t{i}": variant_text(F.col(f"_v{i}"), F.col(f"_k{i}")) for i in range(len(paths))}
-        flags = {"_not_object": ~is_object(root)}
-        df = self.df.withColumns({**flags, **picked}).withColumns(kinds).withColumns(texts)
-        return df, {
-            path: variant_cell(F.col(f"_v{i}"), F.col(f"_k{i}"), F.col(f"_t{i}"))
-            for i, path in enumerate(paths)
-        }
-
-    def _typed(self, spellings: tuple[str, ...]) -> Cell:
-        for path in spellings:
-            cell = self._typed_path(path)
-            if cell is not None:
-                return cell
-        return absent_cell()
-
-    def _typed_path(self, path: str) -> Cell | None:
-        steps = path.split(".")
-        dtype: T.DataType = self.df.schema
-        for depth, step in enumerate(steps):
-            if isinstance(dtype, T.VariantType):
-                holder = _quoted(steps[:depth])
-                value = pick_variant(F.col(holder), ".".join(steps[depth:]))
-                kind = variant_kind(value)
-                return variant_cell(value, kind, variant_text(value, kind))
-            if not isinstance(dtype, T.StructType) or step not in dtype.fieldNames():
-                return None
-            dtype = dtype[step].dataType
-        column = F.col(_quoted(steps))
-        if isinstance(dtype, T.VariantType):
-            kind = variant_kind(column)
-            return variant_cell(column, kind, variant_text(column, kind))
-        return typed_cell(column, dtype)
-
-    def not_an_object(self) -> Column:
+            schema = self.df.schema
+            return self.df, {path: _typed(schema, spellings) for path, spellings in paths.items()}
+        root = name(self.column)
+        picks = [f"NOT {is_object(root)} AS _not_object"]
+        for i, spellings in enumerate(paths.values()):
+            found = [pick_variant(root, s) for s in spellings]
+            picks.append(f"{found[0] if len(found) == 1 else 'coalesce(' + ', '.join(found) + ')'} AS _v{i}")
+        kinds = [f"schema_of_variant(_v{i}) AS _k{i}" for i in range(len(paths))]
+        texts = [f"{variant_text(f'_v{i}', f'_k{i}')} AS _t{i}" for i in range(len(paths))]
+        df = self.df.selectExpr("*", *picks).selectExpr("*", *kinds).selectExpr("*", *texts)
+        return df, {path: variant_cell(f"_v{i}", f"_k{i}", f"_t{i}") for i, path in enumerate(paths)}
+
+    def not_an_object(self) -> str:
         """Use after `cells`, which works the flag out next to the picks."""
-        return F.lit(False) if self.column is None else F.col("_not_object")
+        return "false" if self.column is None else "_not_object"
 
-    def payload(self) -> Column:
+    def payload(self) -> str:
         """The raw record as JSON text."""
         if self.column is None:
-            return F.to_json(F.struct(*[F.col(_quoted([c])) for c in self.df.columns]))
-        return F.col(self.column).cast("string")
+            return f"to_json(struct({', '.join(name(c) for c in self.df.columns)}))"
+        return f"CAST({name(self.column)} AS STRING)"
+
+
+def _typed(schema: T.StructType, spellings: tuple[str, ...]) -> Cell:
+    for path in spellings:
+        cell = _typed_path(schema, path)
+        if cell is not None:
+            return cell
+    return absent_cell()
+
+
+def _typed_path(schema: T.StructType, path: str) -> Cell | None:
+    steps = path.split(".")
+    dtype: T.DataType = schema
+    for depth, step in enumerate(steps):
+        if isinstance(dtype, T.VariantType):
+            return _inline_variant_cell(pick_variant(name(*steps[:depth]), ".".join(steps[depth:])))
+        if not isinstance(dtype, T.StructType) or step not in dtype.fieldNames():
+            return None
+        dtype = dtype[step].dataType
+    if isinstance(dtype, T.VariantType):
+        return _inline_variant_cell(name(*steps))
+    return typed_cell(name(*steps), dtype)
 
 
-def _quoted(steps: list[str]) -> str:
-    return ".".join(f"`{step}`" for step in steps)
+def selected(df: DataFrame, keep: tuple[str, ...], columns: dict[str, str]) -> DataFrame:
+    """A projection of the kept columns and of the named expressions."""
+    return df.selectExpr(*[name(k) for k in keep], *[f"{sql} AS {name(alias)}" for alias, sql in columns.items()])
 
 
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))

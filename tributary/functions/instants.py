@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from tributary.functions.cells import Cell, choose
+from tributary.functions.cells import Cell, choose, quote
 from tributary.functions.text import strip, trimmed
 
 _EPOCH_TEXT = r"^(?:\d{10}|\d{13})(?:\.\d+)?$"
@@ -34,56 +30,61 @@ _IN_FULL = "#$1-$2$4-$3$5T$6:$7$10:$8$11.$9$12$13:$14$16:$15$17"
 _NO_OFFSET = r"(?<![+-]\d\d)::$"
 _GAP = r"(?<=[T:])(?=[:.+-]|$)"
 _NO_FRACTION = r"\.(?=[+-]|$)"
+_STARTS_LIKE_A_DATE = r"^\d{4}-?\d\d"
 
 
-def _epoch_micros(epoch: Column) -> Column:
-    scale = F.when(F.abs(epoch) > _MILLISECOND_MAGNITUDE, F.lit(1e3)).otherwise(F.lit(1e6))
-    return F.rint(epoch * scale).cast("bigint")
+def _epoch_micros(epoch: str) -> str:
+    scale = f"CASE WHEN abs({epoch}) > {_MILLISECOND_MAGNITUDE:.0f}D THEN 1000D ELSE 1000000D END"
+    return f"CAST(rint({epoch} * {scale}) AS BIGINT)"
 
 
-def epoch_to_timestamp(epoch: Column) -> Column:
-    """Epoch seconds, or milliseconds for large magnitudes; null outside the years 1 to 9999."""
-    seconds = (epoch >= _FIRST_SECOND) | (epoch < -_MILLISECOND_MAGNITUDE)
-    milliseconds = (epoch >= _FIRST_SECOND * 1000) & (epoch < _END_SECOND * 1000)
-    return F.when(seconds & milliseconds, F.timestamp_micros(_epoch_micros(epoch)))
+def epoch_to_timestamp(epoch: str) -> str:
+    """Epoch seconds (a double), or milliseconds for large magnitudes; null outside the years 1 to 9999."""
+    in_range = (
+        f"({epoch} >= {_FIRST_SECOND:.0f}D OR {epoch} < -{_MILLISECOND_MAGNITUDE:.0f}D) "
+        f"AND {epoch} >= {_FIRST_SECOND:.0f}000D AND {epoch} < {_END_SECOND:.0f}000D"
+    )
+    return f"CASE WHEN {in_range} THEN timestamp_micros({_epoch_micros(epoch)}) END"
 
 
-def _spelled_out(text: Column) -> Column:
+def _spelled_out(text: str) -> str:
     """Timestamp of the less common ISO-8601 spellings."""
-    full = F.regexp_replace(text, _ANY_ISO, _IN_FULL)
+    full = f"regexp_replace({text}, {quote(_ANY_ISO)}, {quote(_IN_FULL)})"
     for pattern, filler in ((_NO_OFFSET, ""), (_GAP, "00"), (_NO_FRACTION, "")):
-        full = F.regexp_replace(full, pattern, filler)
-    return F.regexp_extract(full, "^#(.*)$", 1).try_cast("timestamp")
+        full = f"regexp_replace({full}, {quote(pattern)}, '{filler}')"
+    return f"TRY_CAST(regexp_extract({full}, '^#(.*)$', 1) AS TIMESTAMP)"
 
 
-def parse_instant(text: Column) -> Column:
+def parse_instant(x: str) -> str:
     """UTC timestamp of epoch or ISO-8601 text; text without an offset is UTC; anything else is null."""
-    return parse_stripped(strip(text))
+    return parse_stripped(f"({strip(x)})")
 
 
-def parse_stripped(stripped: Column) -> Column:
+def parse_stripped(text: str) -> str:
+    """The rest of `parse_instant`, for trimmed text."""
+    seconds = f"TRY_CAST({text} AS DOUBLE)"
     return (
-        F.when(stripped.rlike(_PLAIN_ISO), stripped.try_cast("timestamp"))
-        .when(stripped.rlike(_EPOCH_TEXT), F.timestamp_micros(_epoch_micros(stripped.try_cast("double"))))
-        .when(stripped.rlike(r"^\d{4}-?\d\d"), _spelled_out(stripped))
+        f"CASE WHEN {text} RLIKE {quote(_PLAIN_ISO)} THEN TRY_CAST({text} AS TIMESTAMP) "
+        f"WHEN {text} RLIKE {quote(_EPOCH_TEXT)} THEN timestamp_micros({_epoch_micros(seconds)}) "
+        f"WHEN {text} RLIKE {quote(_STARTS_LIKE_A_DATE)} "
+        f"THEN {_spelled_out(text)} END"
     )
 
 
-def standardize_datetime(cell: Cell) -> Column:
+def standardize_datetime(cell: Cell) -> str:
     """UTC timestamp of a raw value of any kind; booleans and nested values become null."""
     if cell.is_instant:
-        return cell.value.cast("timestamp")
+        return f"CAST({cell.value} AS TIMESTAMP)"
     return choose(
         (cell.is_string, parse_stripped(trimmed(cell))),
-        (cell.is_number, epoch_to_timestamp(cell.text.try_cast("double"))),
-        otherwise=F.lit(None).cast(T.TimestampType()),
+        (cell.is_number, epoch_to_timestamp(f"TRY_CAST({cell.text} AS DOUBLE)")),
+        otherwise="CAST(NULL AS TIMESTAMP)",
     )
 
 
-def iso_utc(instant: Column) -> Column:
+def iso_utc(instant: str) -> str:
     """ISO-8601 text in UTC, with a fraction only where there is one."""
-    whole = F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.unix_micros(instant) % 1000000
-    return F.when(micros == 0, F.concat(whole, F.lit("Z"))).otherwise(
-        F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return (
+        f"CASE WHEN unix_micros({instant}) % 1000000 = 0 THEN date_format({instant}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") "
+        f"ELSE date_format({instant}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\") END"
     )

@@ -4,23 +4,26 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+_RUN_DATE = r"r'^(\d{4})-?(\d{2})-?(\d{2})'"
 
-_RUN_DATE = r"^(\d{4})-?(\d{2})-?(\d{2})"
 
-
-def surrogate_key(source: Column, entity_type: Column, source_id: Column) -> Column:
+def surrogate_key(source: str, entity_type: str, source_id: str) -> str:
     """`source:entity_type:source_id`; null when a piece is null."""
-    return F.concat(source, F.lit(":"), entity_type, F.lit(":"), source_id)
+    return f"concat({source}, ':', {entity_type}, ':', {source_id})"
 
 
-def run_date(run_id: Column, today: Column) -> Column:
+def run_date(run_id: str, today: str) -> str:
     """YYYYMMDD of a run id that starts with a date, otherwise of `today`."""
-    digits = F.regexp_replace(F.regexp_extract(run_id, _RUN_DATE, 0), "-", "")
-    return F.when(digits != "", digits).otherwise(F.date_format(today, "yyyyMMdd"))
+    found = f"regexp_extract({run_id}, {_RUN_DATE}, 0)"
+    return f"CASE WHEN {found} <> '' THEN replace({found}, '-', '') ELSE date_format({today}, 'yyyyMMdd') END"
 
 
 def new_run_id(now: datetime | None = None) -> str:
     """`YYYY-MM-DDTHH-MM-SSZ`, made once per run on the driver."""
     return (now or datetime.now(timezone.utc)).strftime("%Y-%m-%dT%H-%M-%SZ")
+
+
+def timestamp_literal(moment: datetime) -> str:
+    """A moment as a UTC timestamp; without an offset it means UTC."""
+    utc = moment.astimezone(timezone.utc) if moment.tzinfo else moment
+    return f"TIMESTAMP '{utc.strftime('%Y-%m-%d %H:%M:%S.%f')}'"

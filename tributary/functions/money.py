@@ -2,91 +2,101 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from tributary.functions.cells import Cell, choose
+from tributary.functions.cells import Cell, choose, one_of, quote
 from tributary.functions.text import strip, trimmed
-from tributary.model import AMOUNT_TYPE, ZERO_DECIMAL_CURRENCIES
+from tributary.model import ZERO_DECIMAL_CURRENCIES
 
 _DIGITS = r"\d+(?:_\d+)*"
 _WHOLE_NUMBER = rf"^[+-]?{_DIGITS}$"
 _POINT_NUMBER = rf"^[+-]?(?:{_DIGITS}\.(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
 _ANY_NUMBER = rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?\d+)?$"
-_EXACT = "decimal(38,18)"
 
 
-def currency_exponent(currency: Column) -> Column:
-    """Digits after the decimal point: 0 for currencies without a minor unit, otherwise 2."""
-    return F.when(F.upper(currency).isin(*ZERO_DECIMAL_CURRENCIES), F.lit(0)).otherwise(F.lit(2))
+def _has_no_minor_unit(currency: str) -> str:
+    return f"coalesce({one_of(f'upper({currency})', ZERO_DECIMAL_CURRENCIES)}, false)"
 
 
-def _has_no_minor_unit(currency: Column) -> Column:
-    return F.coalesce(F.upper(currency).isin(*ZERO_DECIMAL_CURRENCIES), F.lit(False))
+def currency_exponent(currency: str) -> str:
+    """Digits after the decimal point: 0 for currencies without a minor unit, otherwise 2."""
+    return f"CASE WHEN {_has_no_minor_unit(currency)} THEN 0 ELSE 2 END"
 
 
-def _number(stripped: Column) -> Column:
+def _number(stripped: str) -> str:
     """Exact decimal of numeric text; null for anything else, non-finite values included."""
-    return F.when(
-        stripped.rlike(_ANY_NUMBER), F.replace(stripped, F.lit("_"), F.lit("")).try_cast(_EXACT)
+    return (
+        f"CASE WHEN {stripped} RLIKE {quote(_ANY_NUMBER)} "
+        f"THEN TRY_CAST(replace({stripped}, '_', '') AS DECIMAL(38,18)) END"
     )
 
 
-def minor_to_major(minor: Column, currency: Column, *, is_text: bool = False) -> Column:
-    """Minor units to an amount, rounded half to even; null when missing, negative or not a number."""
-    value = _number(strip(minor)) if is_text else minor.try_cast("decimal(20,0)")
-    whole = F.bround(value, 0).try_cast(AMOUNT_TYPE)
-    if is_text:
-        cents = F.bround(value / F.lit(100), 2).try_cast(AMOUNT_TYPE)
-    else:
-        cents = (value * F.lit("0.01").cast("decimal(2,2)")).try_cast(AMOUNT_TYPE)
-    return F.when(value >= 0, F.when(_has_no_minor_unit(currency), whole).otherwise(cents))
+def exact_amount(cell: Cell) -> str:
+    """The exact decimal of a raw amount."""
+    return _number(trimmed(cell))
 
 
-def major_to_minor(amount_text: Column, currency: Column) -> Column:
-    """An amount to minor units, rounded half to even; null when missing, negative or not finite."""
-    return amount_to_minor(_number(strip(amount_text)), currency)
+def _by_unit(value: str, currency: str, whole: str, cents: str) -> str:
+    return (
+        f"CASE WHEN {value} >= 0 THEN CASE WHEN {_has_no_minor_unit(currency)} THEN {whole} ELSE {cents} END END"
+    )
 
 
-def exact_amount(cell: Cell) -> Column:
-    """The exact decimal of a raw amount."""
-    return _number(trimmed(cell))
+def minor_to_major(minor: str, currency: str) -> str:
+    """Whole minor units to an amount; null when missing or negative."""
+    return _by_unit(
+        minor, currency,
+        f"TRY_CAST({minor} AS DECIMAL(18,2))",
+        f"TRY_CAST(CAST({minor} AS DECIMAL(20,0)) * 0.01BD AS DECIMAL(18,2))",
+    )
 
 
-def amount_to_minor(value: Column, currency: Column) -> Column:
-    whole = F.bround(value, 0).try_cast("bigint")
-    cents = (F.bround(value, 2) * F.lit(100)).try_cast("bigint")
-    return F.when(value >= 0, F.when(_has_no_minor_unit(currency), whole).otherwise(cents))
+def minor_text_to_major(x: str, currency: str) -> str:
+    """Text of minor units to an amount, rounded half to even; null when it is not a number or negative."""
+    value = _number(f"({strip(x)})")
+    return _by_unit(
+        value, currency,
+        f"TRY_CAST(bround({value}, 0) AS DECIMAL(18,2))",
+        f"TRY_CAST(bround({value} / 100, 2) AS DECIMAL(18,2))",
+    )
+
+
+def amount_to_minor(value: str, currency: str) -> str:
+    """An exact decimal to minor units, rounded half to even; null when missing or negative."""
+    return _by_unit(
+        value, currency,
+        f"TRY_CAST(bround({value}, 0) AS BIGINT)",
+        f"TRY_CAST(bround({value}, 2) * 100 AS BIGINT)",
+    )
 
 
-def coerce_minor_text(text: Column) -> Column:
-    """Text to minor units: a whole number, or a number with a point and no fraction."""
-    return _coerce_stripped(strip(text))
+def major_to_minor(x: str, currency: str) -> str:
+    """Text of an amount to minor units; null when missing, negative or not finite."""
+    return amount_to_minor(_number(f"({strip(x)})"), currency)
 
 
-def _coerce_stripped(stripped: Column) -> Column:
-    plain = F.replace(stripped, F.lit("_"), F.lit(""))
+def coerce_minor_text(stripped: str) -> str:
+    """Trimmed text to minor units: a whole number, or a number with a point and no fraction."""
+    plain = f"replace({stripped}, '_', '')"
     return (
-        F.when(stripped.rlike(_WHOLE_NUMBER), _non_negative(plain.try_cast("bigint")))
-        .when(stripped.rlike(_POINT_NUMBER), coerce_minor_float(plain.try_cast("double")))
+        f"CASE WHEN {stripped} RLIKE {quote(_WHOLE_NUMBER)} THEN {_non_negative(f'TRY_CAST({plain} AS BIGINT)')} "
+        f"WHEN {stripped} RLIKE {quote(_POINT_NUMBER)} THEN {_whole_float(f'TRY_CAST({plain} AS DOUBLE)')} END"
     )
 
 
-def coerce_minor_float(value: Column) -> Column:
-    return F.when((value >= 0) & (value == F.floor(value)), value.try_cast("bigint"))
+def _whole_float(value: str) -> str:
+    return f"CASE WHEN {value} >= 0 AND {value} = floor({value}) THEN TRY_CAST({value} AS BIGINT) END"
 
 
-def _non_negative(value: Column) -> Column:
-    return F.when(value >= 0, value)
+def _non_negative(value: str) -> str:
+    return f"CASE WHEN {value} >= 0 THEN {value} END"
 
 
-def coerce_minor_amount(cell: Cell) -> Column:
+def coerce_minor_amount(cell: Cell) -> str:
     """Minor units of a raw value; booleans, fractions, negatives and garbage become null."""
     if cell.is_integer is True:
-        return _non_negative(cell.value.cast("bigint"))
+        return _non_negative(f"CAST({cell.value} AS BIGINT)")
     return choose(
-        (cell.is_integer, _non_negative(cell.text.try_cast("bigint"))),
-        (cell.is_number, coerce_minor_float(cell.text.try_cast("double"))),
-        (cell.is_string, _coerce_stripped(trimmed(cell))),
-        otherwise=F.lit(None).cast("bigint"),
+        (cell.is_integer, _non_negative(f"TRY_CAST({cell.text} AS BIGINT)")),
+        (cell.is_number, _whole_float(f"TRY_CAST({cell.text} AS DOUBLE)")),
+        (cell.is_string, coerce_minor_text(trimmed(cell))),
+        otherwise="CAST(NULL AS BIGINT)",
     )

@@ -4,21 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+from tributary.functions.cells import quote
 from tributary.model import UNKNOWN_STATUS
 
 
-def resolve_status(cleaned: Column, status_map: Mapping[str, str], default: str) -> Column:
+def resolve_status(cleaned: str, status_map: Mapping[str, str], default: str) -> str:
     """The mapped status of cleaned text: the exact key, then its lower-case form, else unknown."""
     if not status_map:
-        return F.when(cleaned.isNull(), F.lit(default)).otherwise(F.lit(UNKNOWN_STATUS))
-    table = F.create_map(*[F.lit(x) for pair in status_map.items() for x in pair])
-    return F.when(cleaned.isNull(), F.lit(default)).otherwise(
-        F.coalesce(
-            F.try_element_at(table, cleaned),
-            F.try_element_at(table, F.lower(cleaned)),
-            F.lit(UNKNOWN_STATUS),
-        )
+        return f"CASE WHEN {cleaned} IS NULL THEN {quote(default)} ELSE {quote(UNKNOWN_STATUS)} END"
+    table = f"map({', '.join(quote(x) for pair in status_map.items() for x in pair)})"
+    return (
+        f"CASE WHEN {cleaned} IS NULL THEN {quote(default)} ELSE coalesce("
+        f"try_element_at({table}, {cleaned}), try_element_at({table}, lower({cleaned})), {quote(UNKNOWN_STATUS)}) END"
     )

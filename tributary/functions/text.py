@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from tributary.functions.cells import Cell
+from tributary.functions.cells import Cell, one_of, quote
 from tributary.model import NULL_TOKENS
 
 # The characters Unicode and ASCII count as whitespace. Java's `\s` knows fewer.
@@ -25,64 +22,62 @@ _CASED = r"\p{IsUppercase}\p{IsLowercase}\p{Lt}"
 _WORD_START = f"(?<![{_CASED}])(?=[{_CASED}])"
 
 
-def strip(text: Column) -> Column:
+def _trim(x: str) -> str:
+    return f"trim(BOTH {quote(WHITESPACE)} FROM {x})"
+
+
+def strip(x: str) -> str:
     """Trim whitespace of every kind from both ends."""
-    return F.when(text.rlike(_MAY_START_OR_END_WITH_SPACE), F.trim(text, F.lit(WHITESPACE))).otherwise(text)
+    return f"CASE WHEN {x} RLIKE {quote(_MAY_START_OR_END_WITH_SPACE)} THEN {_trim(x)} ELSE {x} END"
 
 
-def trimmed(cell: Cell) -> Column:
+def trimmed(cell: Cell) -> str:
     """The text of a cell without outer whitespace; only strings can have any."""
-    return cell.text if cell.is_trimmed or cell.is_string is False else strip(cell.text)
+    return cell.text if cell.is_trimmed or cell.is_string is False else f"({strip(cell.text)})"
 
 
-def collapse(text: Column) -> Column:
+def collapse(x: str) -> str:
     """Trim, and turn every inner run of whitespace into one space."""
-    return F.when(
-        text.rlike(_MAY_HOLD_SPACE), F.regexp_replace(F.trim(text, F.lit(WHITESPACE)), _SPACE_RUN, " ")
-    ).otherwise(text)
+    return (
+        f"CASE WHEN {x} RLIKE {quote(_MAY_HOLD_SPACE)} "
+        f"THEN regexp_replace({_trim(x)}, {quote(_SPACE_RUN)}, ' ') ELSE {x} END"
+    )
 
 
-def is_missing(text: Column) -> Column:
+def is_missing(x: str) -> str:
     """Null, or text that stands for a missing value."""
-    return text.isNull() | F.lower(strip(text)).isin(*NULL_TOKENS)
-
-
-def is_missing_cell(cell: Cell) -> Column:
-    if cell.is_string is True or cell.is_number is True:
-        return cell.is_null | F.lower(trimmed(cell)).isin(*NULL_TOKENS)
-    if cell.is_string is False:
-        return cell.is_null
-    return cell.is_null | (cell.is_string & F.lower(trimmed(cell)).isin(*NULL_TOKENS))
+    return f"({x} IS NULL OR {one_of(f'lower({strip(x)})', NULL_TOKENS)})"
 
 
-def null_if_missing(text: Column) -> Column:
-    return F.when(~F.lower(text).isin(*NULL_TOKENS), text)
+def null_if_missing(collapsed: str) -> str:
+    """The rest of `clean_string`, for text that is already collapsed."""
+    return f"CASE WHEN NOT {one_of(f'lower({collapsed})', NULL_TOKENS)} THEN {collapsed} END"
 
 
-def clean_string(text: Column) -> Column:
+def clean_string(x: str) -> str:
     """Collapsed text, or null when it stands for a missing value."""
-    return null_if_missing(collapse(text))
+    return null_if_missing(f"({collapse(x)})")
 
 
-def title_case(cleaned: Column) -> Column:
+def title_case(cleaned: str) -> str:
     """Upper-case the first letter of every run of letters and lower-case the rest.
 
     `initcap` starts words at spaces only. Cleaned text never holds two spaces in a row, so a double
     space can mark every other word start for it and be taken out again.
     """
-    marked = F.regexp_replace(cleaned, _WORD_START, "  ")
-    return F.replace(F.initcap(marked), F.lit("  "), F.lit(""))
+    return f"replace(initcap(regexp_replace({cleaned}, {quote(_WORD_START)}, '  ')), '  ', '')"
 
 
-def clean_email(text: Column) -> Column:
-    return F.lower(clean_string(text))
+def clean_email(x: str) -> str:
+    return f"lower({clean_string(x)})"
 
 
-def currency_code(stripped: Column) -> Column:
-    code = F.upper(stripped)
-    return F.when(code.rlike("^[A-Z]{3}$") & (code != "NAN"), code)
+def currency_code(stripped: str) -> str:
+    """The rest of `standardize_currency`, for trimmed text."""
+    code = f"upper({stripped})"
+    return f"CASE WHEN {code} RLIKE '^[A-Z]{{3}}$' AND {code} <> 'NAN' THEN {code} END"
 
 
-def standardize_currency(text: Column) -> Column:
+def standardize_currency(x: str) -> str:
     """Three ASCII letters in upper case, or null."""
-    return currency_code(strip(text))
+    return currency_code(strip(x))

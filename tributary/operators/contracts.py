@@ -8,10 +8,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions.cells import Cell, Records, choose, flag
+from tributary.functions.cells import Cell, Records, choose, flag, name, one_of, quote, selected
 from tributary.functions.instants import iso_utc, standardize_datetime
 from tributary.functions.text import strip, trimmed
 from tributary.model import SALESFORCE, STRIPE
@@ -51,83 +51,84 @@ class Contract:
     id_field: str = "id"
 
 
-def _stripped(cell: Cell) -> Column:
-    return trimmed(cell)
+Checked = tuple[str, list[tuple[str, str]]]
 
 
-def _plain(cell: Cell) -> Column:
-    return F.replace(_stripped(cell), F.lit("_"), F.lit(""))
+def _plain(cell: Cell) -> str:
+    return f"replace({trimmed(cell)}, '_', '')"
 
 
-def _check_string(cell: Cell, spec: Field) -> tuple[Column, list[tuple[Column, Column]]]:
-    value = _stripped(cell)
-    value = F.lower(value) if spec.lower else value
-    wrong = ~flag(cell.is_string)
-    return F.when(flag(cell.is_string), value), [(wrong, error(spec.name, "string_type"))]
+def _check_string(cell: Cell, spec: Field) -> Checked:
+    value = f"lower({trimmed(cell)})" if spec.lower else trimmed(cell)
+    is_string = flag(cell.is_string)
+    return f"CASE WHEN {is_string} THEN {value} END", [(f"NOT {is_string}", error(spec.name, "string_type"))]
 
 
-def _check_int(cell: Cell, spec: Field) -> tuple[Column, list[tuple[Column, Column]]]:
-    number = cell.text.try_cast("double")
-    from_text = F.regexp_replace(_plain(cell), r"\.0+$", "").try_cast("bigint")
+def _check_int(cell: Cell, spec: Field) -> Checked:
+    number = f"TRY_CAST({cell.text} AS DOUBLE)"
+    from_text = f"TRY_CAST(regexp_replace({_plain(cell)}, r'\\.0+$', '') AS BIGINT)"
     value = choose(
-        (cell.is_integer, cell.text.try_cast("bigint")),
-        (cell.is_string, F.when(_stripped(cell).rlike(_INT_TEXT), from_text)),
-        (cell.is_number, F.when(number == F.floor(number), number.try_cast("bigint"))),
-        (cell.is_bool, F.when(cell.text == "True", F.lit(1)).otherwise(F.lit(0)).cast("bigint")),
-        otherwise=F.lit(None).cast("bigint"),
+        (cell.is_integer, f"TRY_CAST({cell.text} AS BIGINT)"),
+        (cell.is_string, f"CASE WHEN {trimmed(cell)} RLIKE {quote(_INT_TEXT)} THEN {from_text} END"),
+        (cell.is_number, f"CASE WHEN {number} = floor({number}) THEN TRY_CAST({number} AS BIGINT) END"),
+        (cell.is_bool, f"CASE WHEN {cell.text} = 'True' THEN 1L ELSE 0L END"),
+        otherwise="CAST(NULL AS BIGINT)",
     )
     unread = choose(
         (cell.is_string, error(spec.name, "int_parsing")),
         (cell.is_number, error(spec.name, "int_from_float")),
         otherwise=error(spec.name, "int_type"),
     )
-    rules = [(value.isNull(), unread)]
+    coerced = name(f"_c_{spec.name}")
+    rules = [(f"{coerced} IS NULL", unread)]
     if spec.minimum is not None:
-        rules.append((value < spec.minimum, error(spec.name, "greater_than_equal")))
+        rules.append((f"{coerced} < {spec.minimum}", error(spec.name, "greater_than_equal")))
     return value, rules
 
 
-def _check_float(cell: Cell, spec: Field) -> tuple[Column, list[tuple[Column, Column]]]:
+def _check_float(cell: Cell, spec: Field) -> Checked:
     value = choose(
-        (cell.is_string, F.when(_stripped(cell).rlike(_FLOAT_TEXT), _plain(cell).try_cast("double"))),
-        (cell.is_number, cell.text.try_cast("double")),
-        (cell.is_bool, F.when(cell.text == "True", F.lit(1.0)).otherwise(F.lit(0.0))),
-        otherwise=F.lit(None).cast("double"),
+        (cell.is_string,
+         f"CASE WHEN {trimmed(cell)} RLIKE {quote(_FLOAT_TEXT)} THEN TRY_CAST({_plain(cell)} AS DOUBLE) END"),
+        (cell.is_number, f"TRY_CAST({cell.text} AS DOUBLE)"),
+        (cell.is_bool, f"CASE WHEN {cell.text} = 'True' THEN 1D ELSE 0D END"),
+        otherwise="CAST(NULL AS DOUBLE)",
     )
     unread = choose(
         (cell.is_string, error(spec.name, "float_parsing")), otherwise=error(spec.name, "float_type")
     )
-    return value, [(value.isNull(), unread)]
+    return value, [(f"{name('_c_' + spec.name)} IS NULL", unread)]
 
 
-def _check_bool(cell: Cell, spec: Field) -> tuple[Column, list[tuple[Column, Column]]]:
-    text = F.lower(_stripped(cell))
-    number = cell.text.try_cast("double")
+def _check_bool(cell: Cell, spec: Field) -> Checked:
+    text = f"lower({trimmed(cell)})"
+    number = f"TRY_CAST({cell.text} AS DOUBLE)"
     value = choose(
-        (cell.is_bool, cell.text == "True"),
-        (cell.is_string, F.when(text.isin(*_TRUE_TEXTS), True).when(text.isin(*_FALSE_TEXTS), False)),
-        (cell.is_number, F.when(number == 1, True).when(number == 0, False)),
-        otherwise=F.lit(None).cast("boolean"),
+        (cell.is_bool, f"{cell.text} = 'True'"),
+        (cell.is_string,
+         f"CASE WHEN {one_of(text, _TRUE_TEXTS)} THEN true WHEN {one_of(text, _FALSE_TEXTS)} THEN false END"),
+        (cell.is_number, f"CASE {number} WHEN 1 THEN true WHEN 0 THEN false END"),
+        otherwise="CAST(NULL AS BOOLEAN)",
     )
     unread = choose(
         (cell.is_string, error(spec.name, "bool_parsing")),
         (cell.is_number, error(spec.name, "bool_parsing")),
         otherwise=error(spec.name, "bool_type"),
     )
-    return value, [(value.isNull(), unread)]
+    return value, [(f"{name('_c_' + spec.name)} IS NULL", unread)]
 
 
-def _check_datetime(cell: Cell, spec: Field) -> tuple[Column, list[tuple[Column, Column]]]:
+def _check_datetime(cell: Cell, spec: Field) -> Checked:
     value = standardize_datetime(cell)
     unread = choose(
         (cell.is_string, error(spec.name, "datetime_parsing")),
         (cell.is_number, error(spec.name, "datetime_parsing")),
         otherwise=error(spec.name, "datetime_type"),
     )
-    return value, [(value.isNull(), unread)]
+    return value, [(f"{name('_c_' + spec.name)} IS NULL", unread)]
 
 
-_CHECKS: dict[str, Callable[[Cell, Field], tuple[Column, list[tuple[Column, Column]]]]] = {
+_CHECKS: dict[str, Callable[[Cell, Field], Checked]] = {
     "string": _check_string,
     "int": _check_int,
     "float": _check_float,
@@ -140,20 +141,18 @@ _NULL_ERROR = {
 }
 
 
-def check_field(cell: Cell, spec: Field) -> tuple[Column, Column]:
-    """The coerced value and the rule of one field."""
+def check_field(cell: Cell, spec: Field) -> tuple[str, str]:
+    """The coerced value, and the rule of one field, which may look at the value as `_c_<field>`."""
     value, problems = _CHECKS[spec.type](cell, spec)
-    absent = ~flag(cell.present)
-    null = cell.is_null
-    if spec.default is not None:
-        value = F.when(absent, F.lit(spec.default)).otherwise(value)
-    passes = F.lit(None)
+    absent = f"NOT {flag(cell.present)}"
+    null_error = error(spec.name, _NULL_ERROR[spec.type])
     if spec.required:
-        head = [(absent, error(spec.name, "missing")), (null, error(spec.name, _NULL_ERROR[spec.type]))]
+        head = [(absent, error(spec.name, "missing")), (cell.is_null, null_error)]
     elif spec.default is not None:
-        head = [(absent, passes), (null, error(spec.name, _NULL_ERROR[spec.type]))]
+        value = f"CASE WHEN {absent} THEN {flag(spec.default)} ELSE {value} END"
+        head = [(absent, "NULL"), (cell.is_null, null_error)]
     else:
-        head = [(null, passes)]
+        head = [(cell.is_null, "NULL")]
     return value, first_error(*head, *problems)
 
 
@@ -161,30 +160,29 @@ def validate(records: Records, contract: Contract, keep: tuple[str, ...] = ()) -
     """Coerced fields, `errors` (null for a good row) and the raw `payload`; `keep` passes through."""
     df, cells = records.cells({spec.name: spec.paths for spec in contract.fields})
     # Values are trimmed in a projection of their own: every check looks at them several times.
-    trim = {f"_s{i}": strip(c.text) for i, c in enumerate(cells.values()) if c.is_string is not False}
-    df = df.withColumns(trim) if trim else df
-    cells = {
-        name: replace(c, text=F.col(f"_s{i}"), is_trimmed=True) if f"_s{i}" in trim else c
-        for i, (name, c) in enumerate(cells.items())
-    }
-    checked = {spec.name: check_field(cells[spec.name], spec) for spec in contract.fields}
-    not_object = records.not_an_object()
-    df = df.select(
-        *keep,
-        *[value.alias(f"_c_{name}") for name, (value, _) in checked.items()],
-        *[rule.alias(f"_e_{name}") for name, (_, rule) in checked.items()],
-        F.when(not_object, error("", "dict_type")).alias("_e_"),
-        records.payload().alias("payload"),
-    )
-    rules = [F.col(f"_e_{name}") for name in checked]
-    errors = F.when(F.col("_e_").isNotNull(), F.array("_e_")).otherwise(collect_errors(rules))
-    return df.select(
-        *keep,
-        *[F.col(f"_c_{name}").alias(name) for name in checked],
-        pinned(all_pass([F.col("_e_"), *rules])).alias("is_valid"),
-        errors.alias("errors"),
-        "payload",
-    )
+    trims = {}
+    for i, (field_name, cell) in enumerate(cells.items()):
+        if cell.is_string is not False:
+            trims[f"_s{i}"] = strip(cell.text)
+            cells[field_name] = replace(cell, text=f"_s{i}", is_trimmed=True)
+    df = df.selectExpr("*", *[f"{sql} AS {alias}" for alias, sql in trims.items()])
+    specs = {spec.name: spec for spec in contract.fields}
+    checked = {field_name: check_field(cells[field_name], spec) for field_name, spec in specs.items()}
+    # Then the values, which most rules look at again, then the rules, then the verdict.
+    df = df.selectExpr("*", *[f"{value} AS {name('_c_' + n)}" for n, (value, _) in checked.items()])
+    df = selected(df, keep, {
+        **{f"_c_{n}": name(f"_c_{n}") for n in checked},
+        **{f"_e_{n}": rule for n, (_, rule) in checked.items()},
+        "_e_": f"CASE WHEN {records.not_an_object()} THEN {error('', 'dict_type')} END",
+        "payload": records.payload(),
+    })
+    rules = [name(f"_e_{n}") for n in checked]
+    return selected(df, keep, {
+        **{n: name(f"_c_{n}") for n in checked},
+        "is_valid": pinned(all_pass(["_e_", *rules])),
+        "errors": f"CASE WHEN _e_ IS NOT NULL THEN array(_e_) ELSE {collect_errors(rules)} END",
+        "payload": "payload",
+    })
 
 
 def valid_records(validated: DataFrame, contract: Contract) -> DataFrame:
@@ -198,17 +196,18 @@ def quarantined(validated: DataFrame, contract: Contract, keep: tuple[str, ...]
     )
 
 
-def first_message(errors: Column) -> Column:
+def first_message(errors: str) -> str:
     """The first error message of a row."""
-    return F.coalesce(F.get(errors, F.lit(0))["msg"], F.lit("unknown validation error"))
+    return f"coalesce(get({errors}, 0).msg, 'unknown validation error')"
 
 
-def data_json(contract: Contract) -> Column:
+def data_json(contract: Contract) -> str:
     """The coerced fields as a JSON object; instants are ISO-8601 in UTC."""
-    return F.to_json(F.struct(*[
-        (iso_utc(F.col(spec.name)) if spec.type == "datetime" else F.col(spec.name)).alias(spec.name)
+    values = {
+        spec.name: iso_utc(name(spec.name)) if spec.type == "datetime" else name(spec.name)
         for spec in contract.fields
-    ]))
+    }
+    return f"to_json(struct({', '.join(f'{sql} AS {name(key)}' for key, sql in values.items())}))"
 
 
 def _text(name: str, required: bool = True, **options) -> Field:

@@ -4,32 +4,31 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from tributary.functions.cells import any_of, is_object, pick_variant
+from tributary.functions.cells import is_object, name, pick_variant, selected
 from tributary.functions.instants import iso_utc
+from tributary.functions.keys import timestamp_literal
 from tributary.model import ENVELOPE_MARKERS
 from tributary.operators.contracts import Contract, data_json
 
 
-def unwrap(record: Column) -> Column:
+def unwrap(record: str) -> str:
     """The payload of an envelope; a record without an envelope key stays as it is.
 
     Keys count by presence: a marker that holds a null still marks an envelope.
     """
     data = pick_variant(record, "data")
-    marked = any_of([pick_variant(record, marker).isNotNull() for marker in ENVELOPE_MARKERS])
-    return F.when(is_object(data) & marked, data).otherwise(record)
+    marked = " OR ".join(f"{pick_variant(record, marker)} IS NOT NULL" for marker in ENVELOPE_MARKERS)
+    return f"CASE WHEN {is_object(data)} AND ({marked}) THEN {data} ELSE {record} END"
 
 
-def wrap(valid: DataFrame, contract: Contract, extracted_at: datetime | Column) -> DataFrame:
+def wrap(valid: DataFrame, contract: Contract, extracted_at: datetime) -> DataFrame:
     """One envelope per valid row, with one extraction time per batch; `data` is a VARIANT."""
-    at = extracted_at if isinstance(extracted_at, Column) else F.lit(extracted_at)
-    return valid.select(
-        F.lit(contract.source).alias("source"),
-        F.lit(contract.resource).alias("resource"),
-        F.col(contract.id_field).alias("external_id"),
-        iso_utc(at.cast("timestamp")).alias("extracted_at"),
-        F.parse_json(data_json(contract)).alias("data"),
-    )
+    return selected(valid, (), {
+        "source": f"'{contract.source}'",
+        "resource": f"'{contract.resource}'",
+        "external_id": name(contract.id_field),
+        "extracted_at": iso_utc(timestamp_literal(extracted_at)),
+        "data": f"parse_json({data_json(contract)})",
+    })

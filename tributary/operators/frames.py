@@ -4,21 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tributary.functions.cells import name, typed_cell
 from tributary.functions.instants import standardize_datetime
-from tributary.functions.cells import typed_cell
 from tributary.functions.text import clean_string, standardize_currency
 
 
-def _integer(column: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.BooleanType):
-        return column.cast("bigint")
-    return column.try_cast("bigint")
-
-
 def clean_frame(
     df: DataFrame,
     *,
@@ -28,18 +21,21 @@ def clean_frame(
     numeric_columns: Sequence[str] = (),
 ) -> DataFrame:
     """Apply the standard rule of each role in place; names the frame lacks are skipped."""
-    cleaned: dict[str, Column] = {}
-    for name, dtype in ((f.name, f.dataType) for f in df.schema.fields):
-        column = F.col(f"`{name}`")
-        if name in string_columns:
-            cleaned[name] = clean_string(typed_cell(column, dtype).text)
-        if name in datetime_columns:
-            cleaned[name] = standardize_datetime(typed_cell(column, dtype))
-        if name in currency_columns:
-            cleaned[name] = standardize_currency(typed_cell(column, dtype).text)
-        if name in numeric_columns:
-            cleaned[name] = _integer(column, dtype)
-    return df.withColumns(cleaned) if cleaned else df
+    columns = []
+    for field in df.schema.fields:
+        cell = typed_cell(name(field.name), field.dataType)
+        rule = cell.value
+        if field.name in string_columns:
+            rule = clean_string(cell.text)
+        elif field.name in datetime_columns:
+            rule = standardize_datetime(cell)
+        elif field.name in currency_columns:
+            rule = standardize_currency(cell.text)
+        elif field.name in numeric_columns:
+            how = "CAST" if isinstance(field.dataType, T.BooleanType) else "TRY_CAST"
+            rule = f"{how}({cell.value} AS BIGINT)"
+        columns.append(f"{rule} AS {name(field.name)}")
+    return df.selectExpr(*columns)
 
 
 # The roles of the unified columns.

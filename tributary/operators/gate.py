@@ -2,88 +2,77 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tributary.functions.attributes import decode_attributes
-from tributary.functions.cells import typed_cell
+from tributary.functions.cells import selected, typed_cell
 from tributary.functions.instants import parse_instant
+from tributary.model import REQUIRED_COLUMNS, REQUIRED_KEYS, UNIFIED_COLUMNS, UNIFIED_SCHEMA, UNKNOWN_STATUS
 from tributary.operators.rules import pinned
-from tributary.model import AMOUNT_TYPE, REQUIRED_COLUMNS, REQUIRED_KEYS, UNIFIED_COLUMNS, UNKNOWN_STATUS
 
 _INSTANTS = ("created_at", "updated_at", "ingested_at")
+_AMOUNTS = ("amount_minor", "amount")
 
 
-def _instant(df: DataFrame, name: str) -> Column:
-    """Instants and text are read; numbers and other values are not."""
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, T.StringType):
-        return parse_instant(F.col(name))
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.col(name).cast("timestamp")
-    return F.lit(None).cast("timestamp")
-
-
-def _attributes(df: DataFrame, decode: bool) -> Column:
-    dtype = df.schema["attributes"].dataType
+def _attributes(dtype: T.DataType, decode: bool) -> str:
     if isinstance(dtype, T.StringType):
-        return decode_attributes(F.col("attributes")) if decode else F.col("attributes")
+        return decode_attributes("attributes") if decode else "attributes"
     if isinstance(dtype, T.VariantType):
-        return decode_attributes(F.col("attributes").cast("string"))
-    if isinstance(dtype, (T.StructType, T.MapType)):
-        return F.to_json("attributes")
-    return F.lit(None).cast("string")
-
-
-def _value(df: DataFrame, name: str, decode: bool) -> Column:
-    if name not in df.columns:
-        return F.lit(UNKNOWN_STATUS if name == "status" else None)
-    if name in _INSTANTS:
-        return _instant(df, name)
-    if name == "attributes":
-        return _attributes(df, decode)
-    if name == "amount_minor":
-        return F.col(name).try_cast("bigint")
-    if name == "amount":
-        return F.col(name).try_cast(AMOUNT_TYPE)
-    text = typed_cell(F.col(name), df.schema[name].dataType).text
-    return F.coalesce(text, F.lit(UNKNOWN_STATUS)) if name == "status" else text
-
-
-_TYPES = {name: "timestamp" for name in _INSTANTS} | {"amount_minor": "bigint", "amount": AMOUNT_TYPE}
-
-
-def coerce_records(df: DataFrame, keep: tuple[str, ...] = (), *, decode: bool = True) -> DataFrame:
+        return decode_attributes("CAST(attributes AS STRING)")
+    return "to_json(attributes)" if isinstance(dtype, (T.StructType, T.MapType)) else "NULL"
+
+
+def _value(schema: T.StructType, column: str, decode: bool) -> str:
+    """The warehouse value of one column. Instants are read from instants and text, not from numbers."""
+    if column not in schema.fieldNames():
+        return f"'{UNKNOWN_STATUS}'" if column == "status" else "NULL"
+    dtype = schema[column].dataType
+    if column in _INSTANTS:
+        if isinstance(dtype, T.StringType):
+            return parse_instant(column)
+        return column if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)) else "NULL"
+    if column == "attributes":
+        return _attributes(dtype, decode)
+    if column in _AMOUNTS:
+        return f"TRY_CAST({column} AS {UNIFIED_SCHEMA[column].dataType.simpleString()})"
+    text = typed_cell(column, dtype).text
+    return f"coalesce({text}, '{UNKNOWN_STATUS}')" if column == "status" else text
+
+
+def coerce_records(df: DataFrame, *, decode: bool = True) -> DataFrame:
     """Warehouse types for every unified column, `is_loadable`, and the `reason` of a refusal.
 
     A row is refused when a required column is empty or when an amount is there but is not a number.
     `decode=False` takes attribute text as the JSON it already is, as in rows this library wrote.
     """
-    values = {name: _value(df, name, decode).cast(_TYPES.get(name, "string")) for name in UNIFIED_COLUMNS}
-    unread = {
-        name: F.col(name).isNotNull() & values[name].isNull()
-        for name in ("amount_minor", "amount") if name in df.columns
-    }
-    coerced = df.select(
-        *keep,
-        *[value.alias(name) for name, value in values.items()],
-        F.concat_ws(",", *[F.when(bad, F.lit(name)) for name, bad in unread.items()]).alias("_unread"),
-    )
+    schema = df.schema
+    values = {column: _value(schema, column, decode) for column in UNIFIED_COLUMNS}
+    unread = [
+        f"CASE WHEN {column} IS NOT NULL AND {values[column]} IS NULL THEN '{column}' END"
+        for column in _AMOUNTS if column in schema.fieldNames()
+    ]
+    coerced = selected(df, (), {
+        **{
+            column: f"CAST({sql} AS {UNIFIED_SCHEMA[column].dataType.simpleString()})"
+            for column, sql in values.items()
+        },
+        "_unread": f"concat_ws(',', {', '.join(unread)})" if unread else "''",
+    })
     gaps = {
-        name: F.col(name).isNull() | (F.col(name) == "") if name in REQUIRED_KEYS else F.col(name).isNull()
-        for name in REQUIRED_COLUMNS
+        column: f"({column} IS NULL OR {column} = '')" if column in REQUIRED_KEYS else f"{column} IS NULL"
+        for column in REQUIRED_COLUMNS
     }
-    missing = F.concat_ws(",", *[F.when(gap, F.lit(name)) for name, gap in gaps.items()])
-    complete = reduce(lambda a, b: a & b, [~gap for gap in gaps.values()])
-    return coerced.select(
-        *keep, *UNIFIED_COLUMNS,
-        pinned(complete & (F.col("_unread") == "")).alias("is_loadable"),
-        F.when(~complete, F.concat(F.lit("record missing required columns: "), missing))
-        .when(F.col("_unread") != "", F.concat(F.lit("not a number: "), F.col("_unread"))).alias("reason"),
-    )
+    missing = ", ".join(f"CASE WHEN {gap} THEN '{column}' END" for column, gap in gaps.items())
+    complete = " AND ".join(f"NOT {gap}" for gap in gaps.values())
+    return selected(coerced, (), {
+        **{column: column for column in UNIFIED_COLUMNS},
+        "is_loadable": pinned(f"({complete} AND _unread = '')"),
+        "reason": (
+            f"CASE WHEN NOT ({complete}) THEN concat('record missing required columns: ', concat_ws(',', {missing})) "
+            f"WHEN _unread <> '' THEN concat('not a number: ', _unread) END"
+        ),
+    })
 
 
 def loadable(coerced: DataFrame) -> DataFrame:

@@ -6,13 +6,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tributary.functions.attributes import attribute_value, attributes_json
-from tributary.functions.cells import Cell, Records
+from tributary.functions.cells import Cell, Records, name, quote, selected
 from tributary.functions.instants import standardize_datetime
-from tributary.functions.keys import surrogate_key
+from tributary.functions.keys import surrogate_key, timestamp_literal
 from tributary.functions.money import amount_to_minor, coerce_minor_amount, exact_amount, minor_to_major
 from tributary.functions.status import resolve_status
 from tributary.functions.text import collapse, currency_code, null_if_missing, strip, title_case, trimmed
@@ -20,7 +19,7 @@ from tributary.model import (
     CUSTOMER, ENTITY_TYPES, OPPORTUNITY, SALESFORCE, STATUSES, STRIPE, TRANSACTION,
     UNIFIED_COLUMNS, UNKNOWN_STATUS,
 )
-from tributary.operators.rules import ERRORS_TYPE, all_pass, collect_errors, error, pinned
+from tributary.operators.rules import all_pass, collect_errors, error, first_error, pinned
 
 REJECT_COLUMNS = ("reject_stage", "reject_reason", "reject_errors", "payload")
 
@@ -68,7 +67,7 @@ class ResourceMapping:
 def map_records(
     records: Records,
     mapping: ResourceMapping,
-    ingested_at: datetime | Column,
+    ingested_at: datetime,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Unified columns plus the reject columns, which are null for a good row.
@@ -81,128 +80,128 @@ def map_records(
     # so Catalyst keeps the layers apart instead of repeating the work.
     df, cells, texts = _tidy(df, cells, mapping)
 
-    def cleaned(path: str | None) -> Column:
-        return null_if_missing(texts[path]) if path else F.lit(None).cast("string")
+    def cleaned(path: str | None) -> str:
+        return null_if_missing(texts[path]) if path else _NO_TEXT
 
-    def instant(path: str | None) -> Column:
-        return standardize_datetime(cells[path]) if path else F.lit(None).cast("timestamp")
+    def instant(path: str | None) -> str:
+        return standardize_datetime(cells[path]) if path else "CAST(NULL AS TIMESTAMP)"
 
-    def named(target: str) -> Column:
+    def named(target: str) -> str:
         if target not in mapping.field_map:
-            return F.lit(None).cast("string")
+            return _NO_TEXT
         value = cleaned(mapping.field_map[target])
         value = title_case(value) if target in mapping.title_case_fields else value
-        return F.lower(value) if target == "email" else value
+        return f"lower({value})" if target == "email" else value
 
-    default_currency = F.lit(mapping.default_currency and mapping.default_currency.strip().upper()).cast("string")
-    currency = default_currency
+    currency = quote(mapping.default_currency.strip().upper()) if mapping.default_currency else _NO_TEXT
     if mapping.currency_field:
-        currency = F.coalesce(currency_code(trimmed(cells[mapping.currency_field])), default_currency)
+        currency = f"coalesce({currency_code(trimmed(cells[mapping.currency_field]))}, {currency})"
 
-    at = ingested_at if isinstance(ingested_at, Column) else F.lit(ingested_at)
     # Second layer: every value is cleaned and named.
-    df = df.select(
-        *keep,
-        records.not_an_object().alias("_not_object"),
-        records.payload().alias("payload"),
-        cleaned(mapping.id_field).alias("source_id"),
-        named("name").alias("name"),
-        named("email").alias("email"),
-        currency.alias("currency"),
-        cleaned(mapping.status_field).alias("_raw_status"),
-        instant(mapping.created_field).alias("created_at"),
-        instant(mapping.updated_field).alias("updated_at"),
-        at.cast("timestamp").alias("ingested_at"),
-        _raw_amount(cells, mapping).alias("_amount"),
-        *[
-            attribute_value(cells[path], texts[path]).alias(f"_a_{target}")
+    df = selected(df, keep, {
+        "_not_object": records.not_an_object(),
+        "payload": records.payload(),
+        "source_id": cleaned(mapping.id_field),
+        "name": named("name"),
+        "email": named("email"),
+        "currency": currency,
+        "_raw_status": cleaned(mapping.status_field),
+        "created_at": instant(mapping.created_field),
+        "updated_at": instant(mapping.updated_field),
+        "_amount": _raw_amount(cells, mapping),
+        **{
+            f"_a_{target}": attribute_value(cells[path], texts[path])
             for target, path in mapping.attribute_map.items()
-        ],
-    )
+        },
+    })
     # Third layer: values that depend on cleaned ones.
-    minor = F.col("_amount")
-    if mapping.amount_field and mapping.amount_is_major:
-        minor = amount_to_minor(F.col("_amount"), F.col("currency"))
-    bag = {target: F.col(f"_a_{target}") for target in mapping.attribute_map}
+    bag = {target: name(f"_a_{target}") for target in mapping.attribute_map}
     if mapping.status_field:
-        bag["raw_status"] = F.col("_raw_status")
-    df = df.select(
-        *keep, "_not_object", "payload",
-        surrogate_key(F.lit(mapping.source), F.lit(mapping.entity_type), F.col("source_id")).alias("unified_id"),
-        F.lit(mapping.source).alias("source"),
-        F.lit(mapping.resource).alias("source_resource"),
-        "source_id",
-        F.lit(mapping.entity_type).alias("entity_type"),
-        "name", "email", "currency",
-        minor.alias("amount_minor"),
-        resolve_status(F.col("_raw_status"), mapping.status_map, mapping.default_status).alias("status"),
-        "created_at", "updated_at", "ingested_at",
-        attributes_json(bag).alias("attributes"),
-    )
-    df = df.withColumn("amount", minor_to_major(F.col("amount_minor"), F.col("currency")))
+        bag["raw_status"] = "_raw_status"
+    is_major = mapping.amount_field and mapping.amount_is_major
+    df = selected(df, keep, {
+        "_not_object": "_not_object",
+        "payload": "payload",
+        "unified_id": surrogate_key(quote(mapping.source), quote(mapping.entity_type), "source_id"),
+        "source": quote(mapping.source),
+        "source_resource": quote(mapping.resource),
+        "source_id": "source_id",
+        "entity_type": quote(mapping.entity_type),
+        "name": "name",
+        "email": "email",
+        "currency": "currency",
+        "amount_minor": amount_to_minor("_amount", "currency") if is_major else "_amount",
+        "status": resolve_status("_raw_status", mapping.status_map, mapping.default_status),
+        "created_at": "created_at",
+        "updated_at": "updated_at",
+        "ingested_at": timestamp_literal(ingested_at),
+        "attributes": attributes_json(bag),
+    })
     return _tag_rejects(df, mapping, keep)
 
 
-def _raw_amount(cells: dict[str, Cell], mapping: ResourceMapping) -> Column:
+_NO_TEXT = "CAST(NULL AS STRING)"
+
+
+def _raw_amount(cells: dict[str, Cell], mapping: ResourceMapping) -> str:
     if not mapping.amount_field:
-        return F.lit(None).cast("bigint")
+        return "CAST(NULL AS BIGINT)"
     cell = cells[mapping.amount_field]
     return exact_amount(cell) if mapping.amount_is_major else coerce_minor_amount(cell)
 
 
 def _tidy(
     df: DataFrame, cells: dict[str, Cell], mapping: ResourceMapping
-) -> tuple[DataFrame, dict[str, Cell], dict[str, Column]]:
+) -> tuple[DataFrame, dict[str, Cell], dict[str, str]]:
     """Name the collapsed text of each text field and the trimmed text of each other field."""
     worded = {mapping.id_field, mapping.status_field, *mapping.field_map.values(), *mapping.attribute_map.values()}
     parsed = {mapping.created_field, mapping.updated_field, mapping.currency_field, mapping.amount_field}
-    tidy: dict[str, Column] = {}
-    texts: dict[str, Column] = {}
-    trimmed_cells = dict(cells)
+    tidy: list[str] = []
+    texts: dict[str, str] = {}
+    tidied = dict(cells)
     for i, (path, cell) in enumerate(cells.items()):
         if path in worded:
-            tidy[f"_c{i}"] = cell.text if cell.is_string is False else collapse(cell.text)
-            texts[path] = F.col(f"_c{i}")
+            tidy.append(f"{cell.text if cell.is_string is False else collapse(cell.text)} AS _c{i}")
+            texts[path] = f"_c{i}"
         if path in parsed and cell.is_string is not False:
-            tidy[f"_s{i}"] = strip(cell.text)
-            trimmed_cells[path] = replace(cell, text=F.col(f"_s{i}"), is_trimmed=True)
-    return (df.withColumns(tidy) if tidy else df), trimmed_cells, texts
+            tidy.append(f"{strip(cell.text)} AS _s{i}")
+            tidied[path] = replace(cell, text=f"_s{i}", is_trimmed=True)
+    return df.selectExpr("*", *tidy), tidied, texts
 
 
-def unified_rules(entity_type: str) -> list[Column]:
-    """Rules of the unified schema that a mapped row can still break; first in field order first."""
-    money_needed = entity_type == TRANSACTION
-    bad_code = ~F.col("currency").rlike("^[A-Z]{3}$")
-    currency = F.when(bad_code, error("currency", "string_pattern_mismatch"))
-    minor = F.when(F.col("amount_minor") < 0, error("amount_minor", "greater_than_equal"))
-    if money_needed:
-        currency = F.when(F.col("currency").isNull(), error("currency", "string_type")).otherwise(currency)
-        minor = F.when(F.col("amount_minor").isNull(), error("amount_minor", "int_type")).otherwise(minor)
-    return [currency, minor]
+def unified_rules(entity_type: str) -> dict[str, str]:
+    """Rules of the unified schema that a mapped row can still break, in field order."""
+    currency = [("NOT currency RLIKE '^[A-Z]{3}$'", error("currency", "string_pattern_mismatch"))]
+    minor = [("amount_minor < 0", error("amount_minor", "greater_than_equal"))]
+    if entity_type == TRANSACTION:
+        currency.insert(0, ("currency IS NULL", error("currency", "string_type")))
+        minor.insert(0, ("amount_minor IS NULL", error("amount_minor", "int_type")))
+    return {"_rule_currency": first_error(*currency), "_rule_amount": first_error(*minor)}
 
 
 def _tag_rejects(df: DataFrame, mapping: ResourceMapping, keep: tuple[str, ...]) -> DataFrame:
-    reason = (
-        F.when(F.col("_not_object"), F.lit("record is not a JSON object"))
-        .when(F.col("source_id").isNull(), F.lit(f"missing id field '{mapping.id_field}'"))
-        .when(F.col("created_at").isNull(), F.lit(f"missing or unparseable '{mapping.created_field}'"))
-    )
-    names = ("_rule_currency", "_rule_amount")
-    df = df.select(
-        *keep, *UNIFIED_COLUMNS, "payload", reason.alias("_reason"),
-        *[rule.alias(name) for name, rule in zip(names, unified_rules(mapping.entity_type))],
-    )
-    rules = [F.col(name) for name in names]
-    passes = all_pass(rules)
-    mapped = F.col("_reason").isNull()
-    return df.select(
-        *keep,
-        *UNIFIED_COLUMNS,
-        pinned(F.when(~mapped, F.lit("mapping")).when(~passes, F.lit("validation"))).alias("reject_stage"),
-        F.coalesce(F.col("_reason"), F.coalesce(*rules)["msg"]).alias("reject_reason"),
-        F.when(mapped, collect_errors(rules)).otherwise(F.lit(None).cast(ERRORS_TYPE)).alias("reject_errors"),
-        F.when(~(mapped & passes), F.col("payload")).alias("payload"),
-    )
+    same = {column: column for column in UNIFIED_COLUMNS}
+    rules = unified_rules(mapping.entity_type)
+    df = selected(df, keep, {
+        **same,
+        "amount": minor_to_major("amount_minor", "currency"),
+        "payload": "payload",
+        "_reason": (
+            f"CASE WHEN _not_object THEN 'record is not a JSON object' "
+            f"WHEN source_id IS NULL THEN {quote(f"missing id field '{mapping.id_field}'")} "
+            f"WHEN created_at IS NULL THEN {quote(f"missing or unparseable '{mapping.created_field}'")} END"
+        ),
+        **rules,
+    })
+    passes = all_pass(list(rules))
+    stage = f"CASE WHEN _reason IS NOT NULL THEN 'mapping' WHEN NOT ({passes}) THEN 'validation' END"
+    return selected(df, keep, {
+        **same,
+        "reject_stage": pinned(stage),
+        "reject_reason": f"coalesce(_reason, coalesce({', '.join(rules)}).msg)",
+        "reject_errors": f"CASE WHEN _reason IS NULL THEN {collect_errors(list(rules))} END",
+        "payload": f"CASE WHEN _reason IS NOT NULL OR NOT ({passes}) THEN payload END",
+    })
 
 
 def accepted(tagged: DataFrame) -> DataFrame:

@@ -1,11 +1,8 @@
-"""Rule results. A rule is a nullable struct column: null when the row passes."""
+"""Rule results. A rule is a nullable struct expression: null when the row passes."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from tributary.functions.cells import quote
 
 ERROR_TYPE = "struct<field: string, type: string, msg: string>"
 ERRORS_TYPE = f"array<{ERROR_TYPE}>"
@@ -31,38 +28,29 @@ MESSAGES = {
 }
 
 
-def error(field: str, kind: str) -> Column:
-    return F.struct(
-        F.lit(field).alias("field"), F.lit(kind).alias("type"), F.lit(MESSAGES[kind]).alias("msg")
-    )
-
-
-def no_error() -> Column:
-    return F.lit(None).cast(ERROR_TYPE)
+def error(field: str, kind: str) -> str:
+    return f"named_struct('field', {quote(field)}, 'type', {quote(kind)}, 'msg', {quote(MESSAGES[kind])})"
 
 
-def first_error(*candidates: tuple[Column, Column]) -> Column:
+def first_error(*candidates: tuple[str, str]) -> str:
     """The error of the first condition that holds, or null."""
-    case = F.when(*candidates[0])
-    for condition, result in candidates[1:]:
-        case = case.when(condition, result)
-    return case
+    return f"CASE {' '.join(f'WHEN {condition} THEN {result}' for condition, result in candidates)} END"
 
 
-def all_pass(rules: list[Column]) -> Column:
+def all_pass(rules: list[str]) -> str:
     """True when no rule reports an error; plain null tests, so it stays in generated code."""
-    return reduce(lambda a, b: a & b, [rule.isNull() for rule in rules], F.lit(True))
+    return " AND ".join(f"{rule} IS NULL" for rule in rules)
 
 
-def collect_errors(rules: list[Column]) -> Column:
+def collect_errors(rules: list[str]) -> str:
     """All reported errors in rule order; null for a row that passes."""
-    return F.when(~all_pass(rules), F.array_compact(F.array(*rules)))
+    return f"CASE WHEN NOT ({all_pass(rules)}) THEN array_compact(array({', '.join(rules)})) END"
 
 
-def pinned(verdict: Column) -> Column:
+def pinned(verdict: str) -> str:
     """The same verdict, tied to the projection that computes it.
 
     A filter on a verdict would otherwise be pushed below that projection with a copy of every rule
     inside, and each rule would run twice. Row ids are never negative, so nothing else changes.
     """
-    return F.when(F.monotonically_increasing_id() >= 0, verdict)
+    return f"CASE WHEN monotonically_increasing_id() >= 0 THEN {verdict} END"

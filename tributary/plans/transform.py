@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions.cells import Records
@@ -25,12 +25,22 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class Transformed:
-    """The outcome for one resource or several, all lazy frames."""
+    """The outcome for one resource or several. Frames are built when they are asked for."""
 
     tagged: DataFrame
-    unified: DataFrame
-    rejected: DataFrame
-    stats: DataFrame
+    position: tuple[str, ...] = ()
+
+    @property
+    def unified(self) -> DataFrame:
+        return newest_per_key(accepted(self.tagged), self.position).drop(*self.position)
+
+    @property
+    def rejected(self) -> DataFrame:
+        return rejected(self.tagged, keep=self.position)
+
+    @property
+    def stats(self) -> DataFrame:
+        return transform_summary(self.tagged)
 
 
 def newest_per_key(rows: DataFrame, position: Iterable[str] = ()) -> DataFrame:
@@ -42,19 +52,14 @@ def transform_records(
     records: Records,
     source: str,
     resource: str,
-    ingested_at: datetime | Column,
+    ingested_at: datetime,
     *,
     mapping: ResourceMapping | None = None,
     position: tuple[str, ...] = (),
 ) -> Transformed:
     """Map, validate and deduplicate the records of one resource."""
     tagged = map_records(records, mapping or get_mapping(source, resource), ingested_at, keep=position)
-    return outcome(tagged, position)
-
-
-def outcome(tagged: DataFrame, position: tuple[str, ...] = ()) -> Transformed:
-    unified = newest_per_key(accepted(tagged), position).drop(*position)
-    return Transformed(tagged, unified, rejected(tagged, keep=position), transform_summary(tagged))
+    return Transformed(tagged, position)
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
@@ -63,7 +68,7 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 
 def tag_zone(
     zone: Mapping[tuple[str, str], DataFrame],
-    ingested_at: datetime | Column,
+    ingested_at: datetime,
     mappings: Mapping[tuple[str, str], ResourceMapping] | None = None,
 ) -> DataFrame:
     """The mapped rows of every landed resource; each resource is a branch with its own projection."""

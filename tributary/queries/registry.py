@@ -10,15 +10,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions.attributes import decode_attributes
-from tributary.functions.cells import Records, is_object, pick_variant, typed_cell
+from tributary.functions.cells import Records, is_object, pick_variant
 from tributary.functions.instants import epoch_to_timestamp, parse_instant
-from tributary.functions.keys import run_date, surrogate_key
+from tributary.functions.keys import run_date, surrogate_key, timestamp_literal
 from tributary.functions.money import (
     coerce_minor_text, currency_exponent, major_to_minor, minor_to_major,
 )
 from tributary.functions.status import resolve_status
 from tributary.functions.text import (
-    clean_email, clean_string, is_missing, standardize_currency, title_case,
+    clean_email, clean_string, is_missing, standardize_currency, strip, title_case,
 )
 from tributary.model import OPPORTUNITY, STRIPE, TRANSACTION, UNIFIED_COLUMNS
 from tributary.operators.contracts import CONTRACTS, first_message, valid_records, validate
@@ -113,59 +113,59 @@ def warehouse(spark: SparkSession) -> Warehouse:
 def null_tokens(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_customers")
     return raw.select("id", "name", "email", "created", *[
-        is_missing(F.col(c)).alias(f"{c}_missing") for c in ("id", "name", "email", "created")
+        F.expr(is_missing(c)).alias(f"{c}_missing") for c in ("id", "name", "email", "created")
     ])
 
 
 @query
 def clean_strings(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_customers")
-    return raw.select("email", *[clean_string(F.col(c)).alias(f"{c}_clean") for c in ("id", "name", "description")])
+    return raw.select("email", *[F.expr(clean_string(c)).alias(f"{c}_clean") for c in ("id", "name", "description")])
 
 
 @query
 def clean_string_documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", clean_string(F.col("text")).alias("text_clean"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.expr(clean_string("text")).alias("text_clean"))
 
 
 @query
 def title_cased(spark, sf_dir):
-    raw = raw_view(spark, sf_dir, "raw_customers").select("id", "email", clean_string(F.col("name")).alias("name"))
-    return raw.select("id", "email", "name", title_case(F.col("name")).alias("titled"))
+    raw = raw_view(spark, sf_dir, "raw_customers").select("id", "email", F.expr(clean_string("name")).alias("name"))
+    return raw.select("id", "email", "name", F.expr(title_case("name")).alias("titled"))
 
 
 @query
 def email_normalize(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_customers")
-    return raw.select("id", "name", "email", clean_email(F.col("email")).alias("email_clean"))
+    return raw.select("id", "name", "email", F.expr(clean_email("email")).alias("email_clean"))
 
 
 @query
 def currency_standardize(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_charges")
-    code = standardize_currency(F.col("currency"))
+    code = F.expr(standardize_currency("currency"))
     return raw.select("id", "currency", code.alias("code"), F.coalesce(code, F.lit("USD")).alias("code_or_default"))
 
 
 @query
 def currency_exponents(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_charges")
-    return raw.select("id", "currency", currency_exponent(standardize_currency(F.col("currency"))).alias("exponent"))
+    return raw.select("id", "currency", F.expr(currency_exponent(standardize_currency("currency"))).alias("exponent"))
 
 
 @query
 def coerce_minor(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_charges")
-    return raw.select("id", "amount", coerce_minor_text(F.col("amount")).alias("amount_minor"))
+    return raw.select("id", "amount", F.expr(coerce_minor_text(f"({strip('amount')})")).alias("amount_minor"))
 
 
 @query
 def minor_to_major_amount(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_charges").select(
-        "id", standardize_currency(F.col("currency")).alias("code"),
-        coerce_minor_text(F.col("amount")).alias("amount_minor"),
+        "id", F.expr(standardize_currency("currency")).alias("code"),
+        F.expr(coerce_minor_text(f"({strip('amount')})")).alias("amount_minor"),
     )
-    return raw.withColumn("amount", minor_to_major(F.col("amount_minor"), F.col("code")))
+    return raw.withColumn("amount", F.expr(minor_to_major("amount_minor", "code")))
 
 
 @query
@@ -173,15 +173,15 @@ def major_to_minor_amount(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_opportunities")
     return raw.select(
         "Id", "part_no", "Amount",
-        major_to_minor(F.col("Amount"), F.lit("USD")).alias("minor_usd"),
-        major_to_minor(F.col("Amount"), F.lit("KRW")).alias("minor_krw"),
+        F.expr(major_to_minor("Amount", "'USD'")).alias("minor_usd"),
+        F.expr(major_to_minor("Amount", "'KRW'")).alias("minor_krw"),
     )
 
 
 @query
 def standardized_datetime(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_customers")
-    return raw.select("id", "email", "created", moment(parse_instant(F.col("created"))).alias("created_at"))
+    return raw.select("id", "email", "created", moment(F.expr(parse_instant("created"))).alias("created_at"))
 
 
 @query
@@ -189,13 +189,13 @@ def epoch_timestamps(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_customers")
     return raw.select(
         "id", "email", "created",
-        moment(epoch_to_timestamp(F.col("created").try_cast("double"))).alias("created_at"),
+        moment(F.expr(epoch_to_timestamp("TRY_CAST(created AS DOUBLE)"))).alias("created_at"),
     )
 
 
 def _status_query(spark, sf_dir, view, column, key):
     mapping = MAPPINGS[RESOURCES[view]]
-    status = resolve_status(clean_string(F.col(column)), mapping.status_map, mapping.default_status)
+    status = F.expr(resolve_status(f"({clean_string(column)})", mapping.status_map, mapping.default_status))
     return raw_view(spark, sf_dir, view).select(*key, column, status.alias("resolved"))
 
 
@@ -217,7 +217,7 @@ def default_status(spark, sf_dir):
 @query
 def surrogate_keys(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_customers")
-    key = surrogate_key(F.lit(STRIPE), F.lit("customer"), clean_string(F.col("id")))
+    key = F.expr(surrogate_key("'stripe'", "'customer'", clean_string("id")))
     return raw.select("id", "email", key.alias("unified_id"))
 
 
@@ -237,7 +237,7 @@ def attributes_bag(spark, sf_dir):
 def attributes_decode(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(F.col("event_id").alias("key"), F.col("props").alias("text"))
     documents = table(spark, sf_dir, "documents").select((-F.col("doc_id") - 1).alias("key"), "text")
-    decoded = events.unionByName(documents).select("key", decode_attributes(F.col("text")).alias("attributes"))
+    decoded = events.unionByName(documents).select("key", F.expr(decode_attributes("text")).alias("attributes"))
     return decoded.select(
         "key",
         F.get_json_object("attributes", "$.k").alias("k"),
@@ -251,7 +251,7 @@ def nested_pick(spark, sf_dir):
     record = F.to_variant_object(F.struct("event_id", "props"))
     picked = events.select("event_id", record.alias("record"))
     return picked.select("event_id", *[
-        pick_variant(F.col("record"), path).cast("string").alias(name)
+        F.expr(pick_variant("record", path)).cast("string").alias(name)
         for name, path in (("k", "props.k"), ("below_scalar", "props.k.x"), ("absent", "props.nope"), ("top", "event_id"))
     ])
 
@@ -265,7 +265,7 @@ def envelope_wrap(spark, sf_dir):
     wrapped = wrap(valid_records(checked(spark, sf_dir, "raw_charges"), contract), contract, INGESTED_AT)
     return wrapped.select(
         "source", "resource", "external_id", "extracted_at",
-        *[pick_variant(F.col("data"), f).cast("string").alias(f"data_{f}") for f in ("id", "amount", "currency", "created", "livemode")],
+        *[F.expr(pick_variant("data", f)).cast("string").alias(f"data_{f}") for f in ("id", "amount", "currency", "created", "livemode")],
     )
 
 
@@ -280,9 +280,11 @@ def envelope_unwrap(spark, sf_dir):
         .when(F.col("currency") == "Krw", F.concat(F.lit('{"source":"stripe","id":"outer","data":['), body, F.lit("]}")))
         .otherwise(body)
     )
-    record = raw.select(F.col("id").alias("key"), unwrap(F.parse_json(text)).alias("record"))
+    record = raw.select(F.col("id").alias("key"), F.parse_json(text).alias("raw")).selectExpr(
+        "key", f"{unwrap('raw')} AS record"
+    )
     return record.select("key", *[
-        pick_variant(F.col("record"), f).cast("string").alias(f) for f in ("id", "amount", "status")
+        F.expr(pick_variant("record", f)).cast("string").alias(f) for f in ("id", "amount", "status")
     ])
 
 
@@ -352,7 +354,7 @@ def quarantine_charges(spark, sf_dir):
 def first_error(spark, sf_dir):
     bad = [
         checked(spark, sf_dir, view).where("NOT is_valid")
-        .select(F.lit(RESOURCES[view][1]).alias("resource"), first_message(F.col("errors")).alias("message"))
+        .select(F.lit(RESOURCES[view][1]).alias("resource"), F.expr(first_message("errors")).alias("message"))
         for view in ("raw_customers", "raw_charges")
     ]
     return union_all(bad).groupBy("resource", "message").agg(F.count(F.lit(1)).alias("n"))
@@ -606,8 +608,8 @@ def raw_parts_scan(spark, sf_dir):
     scans = [
         read_raw(spark, root, row["source"], row["resource"]).select(
             F.lit(row["source"]).alias("source"), F.lit(row["resource"]).alias("resource"),
-            F.coalesce(pick_variant(F.col("record"), "id"), pick_variant(F.col("record"), "Id")).cast("string").alias("id"),
-            is_object(F.col("record")).alias("is_object"),
+            F.coalesce(F.expr(pick_variant("record", "id")), F.expr(pick_variant("record", "Id"))).cast("string").alias("id"),
+            F.expr(is_object("record")).alias("is_object"),
         )
         for row in found
     ]
@@ -634,7 +636,7 @@ def run_date_partition(spark, sf_dir):
         .otherwise(F.concat(F.lit("adhoc-"), F.col("o_orderkey").cast("string")))
     )
     rows = orders.select("o_orderkey", run_id.alias("run_id"))
-    return rows.withColumn("run_date", run_date(F.col("run_id"), F.lit(INGESTED_AT)))
+    return rows.withColumn("run_date", F.expr(run_date("run_id", timestamp_literal(INGESTED_AT))))
 
 
 @query

@@ -20,6 +20,9 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.driver.extraJavaOptions": _COMPILE_LARGE_METHODS,
     "spark.executor.extraJavaOptions": _COMPILE_LARGE_METHODS,
+    # Plans are built from many small column expressions; looking up the call site of each one takes
+    # longer than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

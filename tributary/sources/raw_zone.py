@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.functions.cells import in_brackets, strict_json
+from tributary.functions.cells import in_brackets, quote, strict_json
 from tributary.functions.keys import run_date
 from tributary.model import SOURCES
 from tributary.operators.envelope import unwrap
@@ -84,8 +84,8 @@ def explode_records(lines: DataFrame) -> DataFrame:
     return (
         lines.withColumn("line", F.monotonically_increasing_id())
         .where(F.trim("value") != "")
-        .withColumn("_bracketed", F.try_parse_json(in_brackets(F.col("value"))))
-        .withColumn("_parsed", strict_json(F.col("_bracketed")))
+        .selectExpr("part", "block", "line", f"try_parse_json({in_brackets('value')}) AS _bracketed")
+        .selectExpr("part", "block", "line", f"{strict_json('_bracketed')} AS _parsed")
         .select(
             "part", "block", "line",
             F.posexplode(
@@ -95,6 +95,11 @@ def explode_records(lines: DataFrame) -> DataFrame:
     )
 
 
+def unwrapped(records: DataFrame) -> DataFrame:
+    """The same records with `record`, the payload without its envelope."""
+    return records.selectExpr("*", f"{unwrap('raw')} AS record")
+
+
 def read_raw(
     spark: SparkSession,
     root: str,
@@ -113,7 +118,7 @@ def read_raw(
     lines = _lines(spark, f"{base}/run_date=*/{run_id}" if run_id else base, whole_files)
     if lines is None:
         return None
-    return explode_records(lines).withColumn("record", unwrap(F.col("raw")))
+    return unwrapped(explode_records(lines))
 
 
 def read_raw_zone(
@@ -140,8 +145,7 @@ def landing_dir(root: str, source: str, resource: str, run_id: str, date: str) -
 
 def run_date_of(spark: SparkSession, run_id: str) -> str:
     """The YYYYMMDD partition of a run id."""
-    row = spark.range(1).select(run_date(F.lit(run_id), F.current_timestamp()).alias("d")).first()
-    return row["d"]
+    return spark.range(1).selectExpr(f"{run_date(quote(run_id), 'current_timestamp()')} AS d").first()["d"]
 
 
 def land_raw(
@@ -165,7 +169,3 @@ def land_raw(
         writer = writer.option("maxRecordsPerFile", part_records)
     writer.json(path)
     return path
-
-
-def with_run_date(df: DataFrame, run_id: str | Column, today: Column) -> DataFrame:
-    return df.withColumn("run_date", run_date(F.col(run_id) if isinstance(run_id, str) else run_id, today))

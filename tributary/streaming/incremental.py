@@ -14,12 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tributary.functions.cells import Records
-from tributary.operators.envelope import unwrap
 from tributary.operators.mapping import ResourceMapping, accepted, get_mapping, map_records, rejected
 from tributary.operators.summaries import event_time_marks
 from tributary.plans.transform import newest_per_key
 from tributary.session import prepare, scratch_path
-from tributary.sources.raw_zone import POSITION, explode_records
+from tributary.sources.raw_zone import POSITION, explode_records, unwrapped
 from tributary.sources.warehouse import Warehouse
 from tributary.sources.watermarks import Watermarks
 
@@ -35,7 +34,7 @@ def merge_batch(
 
     def merge(lines: DataFrame, batch: int) -> None:
         spark = lines.sparkSession
-        records = explode_records(lines).withColumn("record", unwrap(F.col("raw")))
+        records = unwrapped(explode_records(lines))
         path = scratch_path(spark, "microbatch")
         map_records(Records(records, "record"), mapping, ingested_at, keep=POSITION).write.parquet(path)
         tagged = spark.read.parquet(path)
