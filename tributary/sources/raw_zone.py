@@ -69,7 +69,7 @@ def _lines(spark: SparkSession, path: str, whole_files: bool) -> DataFrame | Non
     try:
         return (
             spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", _GLOB)
-            .option("wholetext", whole_files).text(path)
+            .text(path, wholetext=whole_files)
             .select("value", F.col("_metadata.file_path").alias("part"), F.col("_metadata.file_block_start").alias("block"))
         )
     except AnalysisException:
