@@ -211,6 +211,7 @@ def test_uncommitted_generation_is_not_read(spark, tmp_path):
     house._commit = commit
     house.upsert(unified_rows(spark, [("1", "b", None), ("2", "c", None)]))
     assert {r["name"] for r in house.read().collect()} == {"b", "c"}
+    assert {r["generation"] for r in house.superseded().collect()} == {1}
 
 
 def test_gate(spark, tmp_path):

@@ -80,6 +80,14 @@ class Warehouse:
         newest = log.groupBy(*PARTITION).agg(F.max("generation").alias("generation"))
         return [(r["generation"], r["source"], r["entity_type"], r["bucket"]) for r in newest.collect()]
 
+    def superseded(self) -> DataFrame:
+        """Partitions of older generations that no reader will ask for again; their directories can go."""
+        log = self._log()
+        if log is None:
+            return self.spark.createDataFrame([], _LOG_SCHEMA)
+        newest = log.groupBy(*PARTITION).agg(F.max("generation").alias("newest"))
+        return log.join(newest, [*PARTITION]).where("generation < newest").select("generation", *PARTITION)
+
     def _next_generation(self) -> int:
         log = self._log()
         last = log.agg(F.max("generation").alias("g")).first()["g"] if log is not None else None
@@ -230,10 +238,8 @@ class Warehouse:
         action = F.when(
             (F.col("merge_action") == "inserted") & F.col("_next").isNotNull(), F.lit("updated")
         ).otherwise(F.col("merge_action"))
-        return (
-            ranked.withColumn("merge_action", action).drop("_rank", "_next", "_slice")
-            .sortWithinPartitions(*PARTITION, "unified_id")
-        )
+        # The window has sorted by partition, slice and key already, which is the order the write needs.
+        return ranked.withColumn("merge_action", action).drop("_rank", "_next", "_slice")
 
     def _sliced(self, rows: DataFrame) -> DataFrame:
         return rows.withColumn("_slice", self._slice()).repartition(*PARTITION, "_slice")
