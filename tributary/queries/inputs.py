@@ -82,12 +82,24 @@ _TABLES = ("customer", "orders", "lineitem", "supplier", "nation", "part")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _dealt_out(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def _dealt_out(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a small input out to all cores; any other input is read as it is.
+
+    Spark cuts files into at least one split per core as long as a split keeps 4 MB. Fewer splits than
+    cores therefore mean an input of a few MB per core at most, which would keep one core busy and the
+    rest idle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def raw_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    paths = {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in _TABLES}
-    return spark.sql(RAW_VIEWS[name].format(**paths).replace('"', "`"))
+    sql = RAW_VIEWS[name]
+    tables = {t: table(spark, sf_dir, t) for t in _TABLES if f"{{{t}}}" in sql}
+    return spark.sql(sql.replace('"', "`"), **tables)
 
 
 def raw_records(spark: SparkSession, sf_dir: str, name: str) -> Records:
