@@ -22,7 +22,7 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 HEADLINE = (
     "map_charges", "map_invoices", "validate_charges", "dedupe_newest", "transform_invoices", "transform_all",
-    "transform_stats", "raw_landing_roundtrip", "processed_zone_roundtrip", "upsert_merge", "max_event_time",
+    "transform_summary", "raw_landing_roundtrip", "processed_zone_roundtrip", "upsert_merge", "max_event_time",
     "end_to_end",
 )
 

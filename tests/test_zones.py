@@ -319,5 +319,5 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
 def test_every_row_is_accounted_for(spark, sf_dir):
     from tributary.queries.registry import QUERIES
 
-    for row in QUERIES["transform_stats"](spark, sf_dir).collect():
+    for row in QUERIES["transform_summary"](spark, sf_dir).collect():
         assert row["input"] == row["output"] + row["rejected"] + row["duplicates_removed"]

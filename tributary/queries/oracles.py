@@ -231,26 +231,26 @@ def _reject_counts(reason: str, condition: str) -> str:
 ORACLES: dict[str, str] = {
     "null_tokens": with_views("raw_customers") + "SELECT id, name, email, created, "
     + ", ".join(f"{missing(c)} AS {c}_missing" for c in ("id", "name", "email", "created")) + " FROM raw_customers",
-    "clean_strings": with_views("raw_customers") + "SELECT email, "
+    "clean_string": with_views("raw_customers") + "SELECT email, "
     + ", ".join(f"{clean(c)} AS {c}_clean" for c in ("id", "name", "description")) + " FROM raw_customers",
     "clean_string_documents": f"SELECT doc_id, {clean('text')} AS text_clean FROM documents",
-    "title_cased": with_views("raw_customers")
+    "title_case": with_views("raw_customers")
     + f"SELECT id, email, {clean('name')} AS name, {title('(' + clean('name') + ')')} AS titled FROM raw_customers",
     "email_normalize": with_views("raw_customers")
     + f"SELECT id, name, email, lower({clean('email')}) AS email_clean FROM raw_customers",
     "currency_standardize": with_views("raw_charges")
     + f"SELECT id, currency, {currency('currency')} AS code, coalesce({currency('currency')}, 'USD') AS code_or_default FROM raw_charges",
-    "currency_exponents": with_views("raw_charges")
+    "currency_exponent": with_views("raw_charges")
     + f"SELECT id, currency, CASE WHEN {currency('currency')} IN ({_ZERO_DECIMAL}) THEN 0 ELSE 2 END AS exponent FROM raw_charges",
-    "coerce_minor": with_views("raw_charges") + f"SELECT id, amount, {coerce_minor('amount')} AS amount_minor FROM raw_charges",
-    "minor_to_major_amount": with_views("raw_charges")
+    "coerce_minor_amount": with_views("raw_charges") + f"SELECT id, amount, {coerce_minor('amount')} AS amount_minor FROM raw_charges",
+    "minor_to_major": with_views("raw_charges")
     + f""", v AS (SELECT id, {currency('currency')} AS code, {coerce_minor('amount')} AS amount_minor FROM raw_charges)
 SELECT *, {major('amount_minor', "coalesce(code, '')")} AS amount FROM v""",
-    "major_to_minor_amount": with_views("raw_opportunities")
+    "major_to_minor": with_views("raw_opportunities")
     + f"""SELECT "Id", part_no, "Amount", {minor('"Amount"', 2)} AS minor_usd, {minor('"Amount"', 0)} AS minor_krw FROM raw_opportunities""",
-    "standardized_datetime": with_views("raw_customers")
+    "standardize_datetime": with_views("raw_customers")
     + f"SELECT id, email, created, {instant('created')} AS created_at FROM raw_customers",
-    "epoch_timestamps": with_views("raw_customers") + """SELECT id, email, created,
+    "epoch_to_timestamp": with_views("raw_customers") + """SELECT id, email, created,
   CASE WHEN regexp_full_match(created, '\\d+') THEN CASE WHEN CAST(created AS BIGINT) > 100000000000
     THEN make_timestamp(CAST(created AS BIGINT) * 1000) ELSE make_timestamp(CAST(created AS BIGINT) * 1000000) END END AS created_at
 FROM raw_customers""",
@@ -260,7 +260,7 @@ FROM raw_customers""",
     + f"""SELECT "Id", part_no, "StageName", {status('(' + clean('"StageName"') + ')', 'raw_opportunities')} AS resolved FROM raw_opportunities""",
     "default_status": with_views("raw_accounts")
     + """SELECT 'salesforce:customer:' || "Id" AS unified_id, 'active' AS status FROM raw_accounts""",
-    "surrogate_keys": with_views("raw_customers")
+    "surrogate_key": with_views("raw_customers")
     + f"SELECT id, email, 'stripe:customer:' || {clean('id')} AS unified_id FROM raw_customers",
     "attributes_bag": with_mapped("raw_charges", "raw_accounts", "raw_customers")
     + "\nUNION ALL ".join(
@@ -326,7 +326,7 @@ u AS (SELECT *, concat_ws(',', CASE WHEN amount IS NOT NULL AND minor IS NULL TH
 SELECT 'stripe:transaction:' || id AS unified_id, currency, coalesce(status, 'unknown') AS status, minor AS amount_minor,
   major AS amount, unread = '' AS is_loadable, CASE WHEN unread <> '' THEN 'not a number: ' || unread END AS reason,
   {instant('created')} AS created_at, {_INGESTED} AS ingested_at, customer AS attr_customer FROM u""",
-    "clean_frame_documents": f"""SELECT doc_id, {clean('text')} AS text, {currency('lang')} AS lang,
+    "clean_frame": f"""SELECT doc_id, {clean('text')} AS text, {currency('lang')} AS lang,
   {clean('source')} AS source, n_chars FROM documents""",
     "clean_frame_charges": with_views("raw_charges") + f"""SELECT {clean('id')} AS id,
   CASE WHEN regexp_full_match(amount, '-?\\d+') THEN CAST(amount AS BIGINT) END AS amount, {currency('currency')} AS currency,
@@ -347,14 +347,14 @@ FROM good_raw_invoices GROUP BY ALL""",
     "transform_opportunities": map_sql("raw_opportunities", True),
     "transform_all": all_sql(),
     "union_parts": map_sql("raw_opportunities", True),
-    "transform_stats": with_mapped(*ALL) + "\nUNION ALL ".join(
+    "transform_summary": with_mapped(*ALL) + "\nUNION ALL ".join(
         f"""SELECT '{s}' AS source, '{r}' AS source_resource, (SELECT count(*) FROM mapped_{v}) AS input,
   (SELECT count(*) FROM good_{v}) AS mapped, (SELECT count(*) FROM mapped_{v}) - (SELECT count(*) FROM good_{v}) AS rejected,
   (SELECT count(*) FROM good_{v}) - (SELECT count(*) FROM unified_{v}) AS duplicates_removed,
   (SELECT count(*) FROM unified_{v}) AS output"""
         for v, (s, r) in RESOURCES.items()
     ),
-    "extraction_stats": with_views(*ALL) + _CHECKED_CHARGES + f""", flags AS (
+    "extraction_summary": with_views(*ALL) + _CHECKED_CHARGES + f""", flags AS (
   SELECT 'stripe' AS source, 'charges' AS resource, amount_error IS NULL AND status_error IS NULL AS ok FROM checked
   UNION ALL SELECT 'stripe', 'customers', {instant('created')} IS NOT NULL FROM raw_customers
   UNION ALL SELECT 'stripe', 'invoices', true FROM raw_invoices

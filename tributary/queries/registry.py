@@ -58,12 +58,15 @@ ATTRIBUTES = (
 
 
 def query(function: Query) -> Query:
+    """Register a query under its function's name; a trailing underscore sets it apart from its rule."""
+
     @wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         prepare(spark)
         return function(spark, sf_dir)
 
-    QUERIES[function.__name__] = run
+    QUERIES[function.__name__.rstrip("_")] = run
     return run
 
 
@@ -118,7 +121,7 @@ def null_tokens(spark, sf_dir):
 
 
 @query
-def clean_strings(spark, sf_dir):
+def clean_string_(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_customers")
     return raw.select("email", *[F.expr(clean_string(c)).alias(f"{c}_clean") for c in ("id", "name", "description")])
 
@@ -129,7 +132,7 @@ def clean_string_documents(spark, sf_dir):
 
 
 @query
-def title_cased(spark, sf_dir):
+def title_case_(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_customers").select("id", "email", F.expr(clean_string("name")).alias("name"))
     return raw.select("id", "email", "name", F.expr(title_case("name")).alias("titled"))
 
@@ -148,19 +151,19 @@ def currency_standardize(spark, sf_dir):
 
 
 @query
-def currency_exponents(spark, sf_dir):
+def currency_exponent_(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_charges")
     return raw.select("id", "currency", F.expr(currency_exponent(standardize_currency("currency"))).alias("exponent"))
 
 
 @query
-def coerce_minor(spark, sf_dir):
+def coerce_minor_amount_(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_charges")
     return raw.select("id", "amount", F.expr(coerce_minor_text(f"({strip('amount')})")).alias("amount_minor"))
 
 
 @query
-def minor_to_major_amount(spark, sf_dir):
+def minor_to_major_(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_charges").select(
         "id", F.expr(standardize_currency("currency")).alias("code"),
         F.expr(coerce_minor_text(f"({strip('amount')})")).alias("amount_minor"),
@@ -169,7 +172,7 @@ def minor_to_major_amount(spark, sf_dir):
 
 
 @query
-def major_to_minor_amount(spark, sf_dir):
+def major_to_minor_(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_opportunities")
     return raw.select(
         "Id", "part_no", "Amount",
@@ -179,13 +182,13 @@ def major_to_minor_amount(spark, sf_dir):
 
 
 @query
-def standardized_datetime(spark, sf_dir):
+def standardize_datetime_(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_customers")
     return raw.select("id", "email", "created", moment(F.expr(parse_instant("created"))).alias("created_at"))
 
 
 @query
-def epoch_timestamps(spark, sf_dir):
+def epoch_to_timestamp_(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_customers")
     return raw.select(
         "id", "email", "created",
@@ -215,7 +218,7 @@ def default_status(spark, sf_dir):
 
 
 @query
-def surrogate_keys(spark, sf_dir):
+def surrogate_key_(spark, sf_dir):
     raw = raw_view(spark, sf_dir, "raw_customers")
     key = F.expr(surrogate_key("'stripe'", "'customer'", clean_string("id")))
     return raw.select("id", "email", key.alias("unified_id"))
@@ -473,7 +476,7 @@ def coerce_records(spark, sf_dir):
 
 
 @query
-def clean_frame_documents(spark, sf_dir):
+def clean_frame_(spark, sf_dir):
     return clean_frame(
         table(spark, sf_dir, "documents"),
         string_columns=("text", "source", "not_there"), currency_columns=("lang",), numeric_columns=("n_chars",),
@@ -577,13 +580,13 @@ def union_parts(spark, sf_dir):
 
 
 @query
-def transform_stats(spark, sf_dir):
+def transform_summary_(spark, sf_dir):
     columns = ("source", "source_resource", "unified_id", "reject_stage")
     return transform_summary(union_all(tagged(spark, sf_dir, view).select(*columns) for view in RESOURCES))
 
 
 @query
-def extraction_stats(spark, sf_dir):
+def extraction_summary_(spark, sf_dir):
     rows = [
         checked(spark, sf_dir, view).select(
             F.lit(RESOURCES[view][0]).alias("source"), F.lit(RESOURCES[view][1]).alias("resource"), "is_valid"
