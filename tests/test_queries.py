@@ -6,9 +6,8 @@ import pytest
 from compare import compare, connect
 
 import __spark_entry__ as entry_module
-
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+from tributary.queries.oracles import ORACLES
+from tributary.queries.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +19,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, sf_dir, name):
     assert compare(spark, con, name, QUERIES[name], ORACLES[name], sf_dir) is None
