@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import byte_bpe, packing, token_files
+from tributary.llm import byte_bpe, packing, quality, secrets, token_files, toxicity
 from tributary.llm.common import table
 from tributary.session import scratch_path
 
@@ -16,6 +16,16 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END_ID = 1
 
 
+def op1_secret_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.learn_from(docs))
+
+
+def op3_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
 
@@ -26,13 +36,21 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path, with_ids=False)
 
 
+def op6_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE, END_ID, with_ids=False)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_formats": op1_secret_formats,
+    "op3_ordinal_toxicity": op3_ordinal_toxicity,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_token_files": op5_token_files,
+    "op6_boosted_quality": op6_boosted_quality,
     "op7_packing": op7_packing,
 }
 
