@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import batched
@@ -17,12 +18,14 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Words a worker remembers: this many lately met ones, and as many from before. Longer words than
-#: LONGEST bytes are not remembered. Both together bound the memory to some 120 MB.
-REMEMBERED = 300_000
+#: LONGEST bytes are not remembered. Both together bound the memory to some 250 MB.
+REMEMBERED = 600_000
 LONGEST = 64
 #: New words in one call, and the character between them.
 JOINED = 500
 BREAK = "\x01"
+#: A mark that ends a word, where it stands between a letter or digit and white space.
+_END_MARK = re.compile(rb"[.,](?=[ \n])(?<=[A-Za-z0-9][.,])")
 
 
 def _lowers(spec: dict | None) -> bool:
@@ -45,6 +48,10 @@ class WordEncoder:
         self._added = [t["content"].lower().encode() for t in spec["added_tokens"]]
         ids = self._ids(BREAK)
         self._break = int(ids[0]) if len(ids) == 1 else None
+        # Such a mark is a word of its own, if it never merges with what stands before it.
+        self._cuts = all(
+            np.array_equal(self._ids(a + m), np.append(self._ids(a), self._ids(m))) for a in ("a", "the", "Z", "7") for m in ".,"
+        )
         self._known: dict[bytes, bytes] = {}
         self._before: dict[bytes, bytes] = {}
 
@@ -58,8 +65,8 @@ class WordEncoder:
         if self._lowers:
             low = raw.lower()
             if not any(t in low for t in self._added):
-                return low.split()
-        return raw.split()
+                raw = low
+        return (_END_MARK.sub(rb" \g<0>", raw) if self._cuts else raw).split()
 
     def _encode_new(self, words: list[bytes]) -> Iterator[bytes]:
         for some in batched(words, JOINED):
