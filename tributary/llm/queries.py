@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tributary.llm import byte_bpe, packing, quality, secrets, token_files, toxicity
+from tributary.llm import byte_bpe, html_text, jaccard_join, packing, permutation_index, quality, secrets, sharding, token_files, toxicity
 from tributary.llm.common import table
 from tributary.session import scratch_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END_ID = 1
+SHARDS = [f"shard-{i:03}" for i in range(64)]
 
 
 def op1_secret_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +23,15 @@ def op1_secret_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs, secrets.learn_from(docs))
 
 
+def op2_permutation_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document, and its shard once the last one is gone."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    placed = sharding.place(docs, ["doc_id"], SHARDS)
+    return sharding.place(placed, ["doc_id"], SHARDS[:-1], shard_col="shard_without_last").select(
+        "doc_id", sharding.slot_of(F.col("doc_id")).alias("slot"), "shard", "shard_without_last"
+    )
+
+
 def op3_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
@@ -45,13 +56,29 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE, END_ID, with_ids=False)
 
 
+def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+def op9_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(table(spark, sf_dir, "documents"), jaccard_join.Similar(words=3, percent=90))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_formats": op1_secret_formats,
+    "op2_permutation_table": op2_permutation_table,
     "op3_ordinal_toxicity": op3_ordinal_toxicity,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_token_files": op5_token_files,
     "op6_boosted_quality": op6_boosted_quality,
     "op7_packing": op7_packing,
+    "op8_permutation_index": op8_permutation_index,
+    "op9_html_layout": op9_html_layout,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {}
