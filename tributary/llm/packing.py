@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tributary.llm.common import over_rows, texts
-from tributary.llm.word_bpe import in_parts, word_encoder
+from tributary.llm.word_bpe import word_encoder
 
 
 @dataclass(frozen=True)
@@ -128,12 +128,12 @@ def pack_documents(
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
         for batch in batches:
-            for some in in_parts(list(zip(batch.column(0).to_pylist(), texts(batch, text_col))), lambda r: len(r[1])):
-                for (key, _), ids in zip(some, encoder.encode([t for _, t in some])):
-                    group.append((key, ids + end))
-                    held += len(ids) // 4 + 1
-                    if held >= how.group_tokens:
-                        yield closed()
+            for key, text in zip(batch.column(0).to_pylist(), texts(batch, text_col)):
+                ids = encoder.encode(text) + end
+                group.append((key, ids))
+                held += len(ids) // 4
+                if held >= how.group_tokens:
+                    yield closed()
         if group:
             yield closed()
 

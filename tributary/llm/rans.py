@@ -14,8 +14,8 @@ import zlib
 
 import numpy as np
 
-LANES = 256
-CHECKPOINT = 1 << 16
+LANES = 1024
+CHECKPOINT = 1 << 18
 #: Frequencies add up to 2**PRECISION.
 PRECISION = 20
 _LOW = np.uint64(1 << 31)
@@ -68,9 +68,9 @@ def encode(symbols: np.ndarray, table: Table) -> bytes:
     """One block: head, checkpoints, words, checksum. Symbols must have a frequency over 0."""
     symbols = np.asarray(symbols, np.int64)
     n = len(symbols)
-    freq, start, most = table.freq[symbols], table.start[symbols], table.most[symbols]
-    if n and not freq.all():
+    if n and (symbols.min() < 0 or symbols.max() >= len(table.freq) or not table.freq[symbols].all()):
         raise ValueError("a symbol has no frequency")
+    freq, start, most = table.freq[symbols], table.start[symbols], table.most[symbols]
     state = np.full(LANES, _LOW, np.uint64)
     words: list[np.ndarray] = []
     written, marks = 0, []

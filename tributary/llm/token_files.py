@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from tributary.llm import rans
 from tributary.llm.common import Stage, named, over_rows, texts
-from tributary.llm.word_bpe import in_parts, word_encoder
+from tributary.llm.word_bpe import word_encoder
 
 #: A block is closed once it holds so many tokens; a longer document has a block of its own.
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 19
 #: Documents in a shard, about.
 SHARD_DOCS = 4_000
 _ENCODED = "doc_id long, ids binary, symbol int, n long"
@@ -40,14 +40,16 @@ def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         encoder = word_encoder(tokenizer)
         counts = np.zeros(1, np.int64)
         for batch in batches:
-            for some in in_parts(list(zip(batch.column(0).to_pylist(), texts(batch))), lambda r: len(r[1])):
-                ids = [i + end for i in encoder.encode([t for _, t in some])]
-                seen = np.bincount(np.frombuffer(b"".join(ids), "<u4"))
-                if len(seen) > len(counts):
-                    counts, seen = seen, counts
-                counts[: len(seen)] += seen
-                packed = [_narrow(i) for i in ids]
-                yield _batch([k for k, _ in some], packed, [None] * len(some), [None] * len(some))
+            packed = []
+            for text in texts(batch):
+                ids = np.frombuffer(encoder.encode(text) + end, "<u4")
+                top = int(ids.max())
+                if top >= len(counts):
+                    counts = np.concatenate([counts, np.zeros(max(top + 1, 2 * len(counts)) - len(counts), np.int64)])
+                np.add.at(counts, ids, 1)
+                packed.append(_narrow(ids, top))
+            none = [None] * len(packed)
+            yield _batch(batch.column(0), packed, none, none)
         symbols = np.flatnonzero(counts)
         if len(symbols):
             none = [None] * len(symbols)
@@ -58,15 +60,14 @@ def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
 def _batch(keys, ids, symbols, n) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(keys, pa.int64()), pa.array(ids, pa.binary()), pa.array(symbols, pa.int32()), pa.array(n, pa.int64())],
+        [keys if isinstance(keys, pa.Array) else pa.array(keys, pa.int64()), pa.array(ids, pa.binary()), pa.array(symbols, pa.int32()), pa.array(n, pa.int64())],
         names=["doc_id", "ids", "symbol", "n"],
     )
 
 
-def _narrow(ids: bytes) -> bytes:
+def _narrow(ids: np.ndarray, top: int) -> bytes:
     """Two bytes an id where all fit, marked by an odd length; else four."""
-    wide = np.frombuffer(ids, "<u4")
-    return wide.astype("<u2").tobytes() + b"\0" if wide.max(initial=0) < 1 << 16 else ids
+    return ids.astype("<u2").tobytes() + b"\0" if top < 1 << 16 else ids.tobytes()
 
 
 def _wide(ids: bytes) -> np.ndarray:

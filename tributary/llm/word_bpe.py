@@ -1,8 +1,9 @@
 """Token ids by the tokenizers library, word by word.
 
 Where a tokenizer drops white space and merges within words only, the ids of a text are the ids of its
-words in turn. Each worker encodes a new word once and remembers it. New words go to the library many at
-a time, joined by a separator whose id shows where each word ends.
+words in turn. Each worker encodes a new word once and remembers it. Words of plain lower-case letters, which
+normalizer and pre-tokenizer leave whole, go straight to the library's merging model; other new words go
+through all its steps.
 """
 
 from __future__ import annotations
@@ -10,20 +11,18 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator
 from functools import lru_cache
-from itertools import batched
+from struct import pack
 
-import numpy as np
 from tokenizers import Tokenizer
 
 #: Words a worker remembers: this many lately met ones, and as many from before. Longer words than
 #: LONGEST bytes are not remembered. Both together bound the memory to some 250 MB.
 REMEMBERED = 600_000
 LONGEST = 64
-#: New words in one call, and the character between them.
-JOINED = 500
-BREAK = "\x01"
+#: Lower-case letters that are their own normal form.
+_LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+_PLAIN = re.compile(f"[{_LETTERS}]+")
 #: A mark that ends a word, where it stands between a letter or digit and white space.
 _END_MARK = re.compile(rb"[.,](?=[ \n])(?<=[A-Za-z0-9][.,])")
 
@@ -32,6 +31,46 @@ def _lowers(spec: dict | None) -> bool:
     return bool(spec) and (spec.get("type") == "Lowercase" or any(map(_lowers, spec.get("normalizers", ()))))
 
 
+class _Words(dict):
+    """Ids by word. Looking up a word that is not there encodes it."""
+
+    def __init__(self, tokenizer: Tokenizer, before: dict[bytes, bytes]) -> None:
+        super().__init__()
+        self._tokenizer = tokenizer
+        self._model = tokenizer.model
+        self._letters = _own_letters(tokenizer)
+        self.before = before
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self._encode(word.decode())
+        if len(word) <= LONGEST:
+            self[word] = ids
+        return ids
+
+    def _encode(self, text: str) -> bytes:
+        if self._letters and _PLAIN.fullmatch(text):
+            ids = [t.id for t in self._model.tokenize(text if text.isascii() else text.translate(self._letters))]
+        else:
+            [found] = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            ids = found.ids
+        return pack(f"<{len(ids)}I", *ids)
+
+
+def _own_letters(tokenizer: Tokenizer) -> dict[int, str] | None:
+    """What the model sees for each plain letter, if a word of them reaches it whole and a-z as they are."""
+    normalizer, splitter = tokenizer.normalizer, tokenizer.pre_tokenizer
+
+    def seen(text: str) -> list[str]:
+        text = normalizer.normalize_str(text) if normalizer else text
+        return [part for part, _ in splitter.pre_tokenize_str(text)] if splitter else [text]
+
+    table = {ord(c): "".join(seen(c)) for c in _LETTERS}
+    whole = all(seen(w) == [w.translate(table)] for w in (_LETTERS, _LETTERS[::-1], *(c + "re" for c in _LETTERS)))
+    return table if whole and all(table[ord(c)] == c for c in _LETTERS if c.isascii()) else None
+
+
 class WordEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers, equal to `Tokenizer.encode(text).ids`.
 
@@ -46,18 +85,13 @@ class WordEncoder:
             spec = json.load(file)
         self._lowers = _lowers(spec["normalizer"])
         self._added = [t["content"].lower().encode() for t in spec["added_tokens"]]
-        ids = self._ids(BREAK)
-        self._break = int(ids[0]) if len(ids) == 1 else None
-        # Such a mark is a word of its own, if it never merges with what stands before it.
-        self._cuts = all(
-            np.array_equal(self._ids(a + m), np.append(self._ids(a), self._ids(m))) for a in ("a", "the", "Z", "7") for m in ".,"
-        )
-        self._known: dict[bytes, bytes] = {}
-        self._before: dict[bytes, bytes] = {}
-
-    def _ids(self, text: str) -> np.ndarray:
-        [found] = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        return np.array(found.ids, "<u4")
+
+        def ids(text: str) -> list[int]:
+            return self._tokenizer.encode(text, add_special_tokens=False).ids
+
+        # An end mark is a word of its own, if it never merges with what stands before it.
+        self._cuts = all(ids(a + m) == ids(a) + ids(m) for a in ("a", "the", "Z", "7") for m in ".,")
+        self._known = _Words(self._tokenizer, {})
 
     def _words(self, text: str) -> list[bytes]:
         """Its words; in lower case if that changes nothing, as special tokens are found before lowering."""
@@ -68,49 +102,14 @@ class WordEncoder:
                 raw = low
         return (_END_MARK.sub(rb" \g<0>", raw) if self._cuts else raw).split()
 
-    def _encode_new(self, words: list[bytes]) -> Iterator[bytes]:
-        for some in batched(words, JOINED):
-            strings = [w.decode() for w in some]
-            if self._break is not None and len(some) > 1:
-                ids = self._ids(f"\n{BREAK}\n".join(strings))
-                ends = np.flatnonzero(ids == self._break)
-                if len(ends) == len(some) - 1 and not any(BREAK in s for s in strings):
-                    raw, ends = ids.tobytes(), (ends * 4).tolist()
-                    yield from (raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], [*ends, len(raw)]))
-                    continue
-            yield from (self._ids(s).tobytes() for s in strings)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [self._words(t) for t in texts]
-        known, before = self._known, self._before
-        new = set().union(*words).difference(known)
-        old = [w for w in new if w in before]
-        known.update((w, before[w]) for w in old)
-        new = list(new.difference(old))
-        known.update(zip(new, self._encode_new(new)))
-        out = [b"".join(map(known.__getitem__, ws)) for ws in words]
-        for w in new:
-            if len(w) > LONGEST:
-                del known[w]
-        if len(known) > REMEMBERED:
-            self._before, self._known = known, {}
-        return out
+    def encode(self, text: str) -> bytes:
+        ids = b"".join(map(self._known.__getitem__, self._words(text)))
+        if len(self._known) > REMEMBERED:
+            self._known.before = {}
+            self._known = _Words(self._tokenizer, dict(self._known))
+        return ids
 
 
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
-
-
-def in_parts(rows: list, size, most: int = 1 << 22) -> Iterator[list]:
-    """Rows in runs of at most `most` in total size, or of one row."""
-    run, total = [], 0
-    for row in rows:
-        n = size(row)
-        if run and total + n > most:
-            yield run
-            run, total = [], 0
-        run.append(row)
-        total += n
-    if run:
-        yield run
