@@ -151,9 +151,9 @@ def test_epoch_range(spark):
 def test_status(spark):
     charges = MAPPINGS["stripe", "charges"]
     deals = MAPPINGS["salesforce", "opportunities"]
-    rule = resolve_status(f"({text.clean_string('x')})", charges.status_map, charges.default_status)
+    rule = resolve_status(f"({text.clean_string('x')})", charges.status.values, charges.status.otherwise)
     assert apply(spark, rule, [" PENDING ", None, "disputed", "n/a"]) == ["pending", "unknown", "unknown", "unknown"]
-    rule = resolve_status("x", deals.status_map, deals.default_status)
+    rule = resolve_status("x", deals.status.values, deals.status.otherwise)
     assert apply(spark, rule, ["closed won", "Closed Won", "Mystery"]) == ["unknown", "closed_won", "unknown"]
     assert apply(spark, resolve_status("x", {}, "active"), [None, "odd"]) == ["active", "unknown"]
 

@@ -24,6 +24,7 @@ def new_run_id(now: datetime | None = None) -> str:
 
 
 def timestamp_literal(moment: datetime) -> str:
-    """A moment as a UTC timestamp; without an offset it means UTC."""
-    utc = moment.astimezone(timezone.utc) if moment.tzinfo else moment
-    return f"TIMESTAMP '{utc.strftime('%Y-%m-%d %H:%M:%S.%f')}'"
+    """A moment as a UTC timestamp. It must have an offset: a naive one could mean any zone."""
+    if moment.tzinfo is None:
+        raise ValueError(f"{moment} has no offset")
+    return f"TIMESTAMP '{moment.astimezone(timezone.utc).strftime('%Y-%m-%d %H:%M:%S.%f')}+00:00'"

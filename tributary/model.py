@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Sources and entity types.
 STRIPE = "stripe"
 SALESFORCE = "salesforce"
 SOURCES = (STRIPE, SALESFORCE)
@@ -34,6 +35,7 @@ ENVELOPE_MARKERS = ("source", "resource", "external_id", "extracted_at")
 
 AMOUNT_TYPE = T.DecimalType(18, 2)
 
+# The unified schema.
 UNIFIED_SCHEMA = T.StructType([
     T.StructField("unified_id", T.StringType(), False),
     T.StructField("source", T.StringType(), False),
@@ -53,6 +55,6 @@ UNIFIED_SCHEMA = T.StructType([
 ])
 UNIFIED_COLUMNS = UNIFIED_SCHEMA.fieldNames()
 
-# Columns the warehouse refuses to leave empty. Text columns must also be non-blank.
+# Columns the warehouse refuses to leave empty. Text columns must also be non-blank.
 REQUIRED_KEYS = ("unified_id", "source", "source_resource", "source_id")
 REQUIRED_COLUMNS = (*REQUIRED_KEYS, "entity_type", "status", "created_at", "ingested_at")

@@ -59,6 +59,7 @@ def coerce_records(df: DataFrame, *, decode: bool = True) -> DataFrame:
         },
         "_unread": f"concat_ws(',', {', '.join(unread)})" if unread else "''",
     })
+    # The reasons below.
     gaps = {
         column: f"({column} IS NULL OR {column} = '')" if column in REQUIRED_KEYS else f"{column} IS NULL"
         for column in REQUIRED_COLUMNS

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.functions.keys import timestamp_literal
+
 _RESOURCE = ("source", "source_resource")
 
 
@@ -30,7 +32,10 @@ def transform_summary(tagged: DataFrame) -> DataFrame:
 
 
 def extraction_summary(validated: DataFrame) -> DataFrame:
-    """Fetched, valid and quarantined rows of each resource; needs `source`, `resource`, `is_valid`."""
+    """Fetched, valid and quarantined rows of each resource; needs `source`, `resource`, `is_valid`.
+
+    Rows that were fetched tell nothing of resources that failed; `run_summary` has those.
+    """
     return validated.groupBy("source", "resource").agg(
         F.count(F.lit(1)).alias("fetched"),
         F.count(F.when(F.col("is_valid"), 1)).alias("valid"),
@@ -39,6 +44,12 @@ def extraction_summary(validated: DataFrame) -> DataFrame:
     )
 
 
+def run_summary(spark: SparkSession, results: dict[str, dict[str, int]]) -> DataFrame:
+    """What `run_extract` reports, as a frame: one row for each resource, failed ones included."""
+    rows = [(*key.split("/"), *(counts[c] for c in ("fetched", "valid", "errors", "failed"))) for key, counts in results.items()]
+    return spark.createDataFrame(rows, "source string, resource string, fetched long, valid long, errors long, failed long")
+
+
 def event_time_marks(unified: DataFrame) -> DataFrame:
     """The latest creation or update of each resource: its high-water mark."""
     return unified.groupBy("source", F.col("source_resource").alias("resource")).agg(
@@ -48,5 +59,5 @@ def event_time_marks(unified: DataFrame) -> DataFrame:
 
 def since(df: DataFrame, column: str, cutoff) -> DataFrame:
     """Rows strictly after the cutoff; a plain comparison, so it reaches the Parquet scan."""
-    mark = cutoff if isinstance(cutoff, F.Column) else F.lit(cutoff)
+    mark = cutoff if isinstance(cutoff, Column) else F.expr(timestamp_literal(cutoff))
     return df.where(F.col(column) > mark)

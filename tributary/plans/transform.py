@@ -15,8 +15,8 @@ from tributary.functions.cells import Records
 from tributary.operators.dedupe import deduplicate
 from tributary.operators.mapping import ResourceMapping, accepted, get_mapping, map_records, rejected
 from tributary.operators.summaries import transform_summary
-from tributary.session import prepare, scratch_path
-from tributary.sources.processed_zone import write_unified
+from tributary.session import discard, prepare, scratch_path
+from tributary.sources.processed_zone import read_unified, write_unified
 from tributary.sources.quarantine import write_quarantine
 from tributary.sources.raw_zone import POSITION, find_raw_parts, read_raw_zone
 
@@ -90,6 +90,7 @@ def run_transform(
     *,
     sources: Iterable[str] | None = None,
     resources: Iterable[str] | None = None,
+    mappings: Mapping[tuple[str, str], ResourceMapping] | None = None,
     quarantine_root: str | None = None,
     only_this_run: bool = False,
     whole_files: bool = False,
@@ -97,8 +98,9 @@ def run_transform(
 ) -> dict[str, dict[str, int]]:
     """Transform the raw zone into the processed zone; returns counts per `source/resource`.
 
-    `only_this_run` reads what `run_id` has landed instead of the whole zone. JSON is parsed once: the tagged rows go to a Parquet table by resource, and the zone, the
-    quarantine and the counts are made from it.
+    `only_this_run` reads what `run_id` has landed instead of the whole zone. `mappings` replaces the mapping
+    of some resources. JSON is parsed once: the tagged rows go to a Parquet table by resource, and the zone,
+    the quarantine and the counts are made from it.
     """
     prepare(spark)
     for part in find_raw_parts(spark, raw_root).where("NOT is_mapped").select("source", "resource").distinct().collect():
@@ -110,8 +112,9 @@ def run_transform(
         log.warning("nothing has landed under %s", raw_root)
         return {}
     staged_path = scratch_path(spark, "tagged")
-    tag_zone(zone, ingested_at).write.partitionBy("source", "source_resource").parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
+    tagged = tag_zone(zone, ingested_at, mappings)
+    tagged.write.partitionBy("source", "source_resource").parquet(staged_path)
+    staged = spark.read.schema(tagged.schema).parquet(staged_path)
     # One dedupe per resource, so a shuffle is sized for its own resource and writes only its files.
     unified = union_all(
         newest_per_key(
@@ -122,10 +125,24 @@ def run_transform(
     write_unified(unified, out_root, also_json=also_json)
     if quarantine_root:
         write_quarantine(rejected(staged, keep=POSITION), quarantine_root, run_id, "transform")
-    stats = transform_summary(staged).collect()
-    return {
-        f"{row['source']}/{row['source_resource']}": {
-            name: row[name] for name in ("input", "mapped", "rejected", "duplicates_removed", "output")
+    stats = _run_stats(staged, read_unified(spark, out_root))
+    discard(spark, staged_path)
+    return stats
+
+
+def _run_stats(staged: DataFrame, written: DataFrame | None) -> dict[str, dict[str, int]]:
+    """Counts per `source/resource`. Keys are not grouped again: the zone holds what the dedupe has left."""
+    key = ("source", "source_resource")
+    tagged = staged.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("input"), F.count(F.when(F.col("reject_stage").isNull(), 1)).alias("mapped")
+    ).collect()
+    output = {} if written is None else {tuple(r[:2]): r["count"] for r in written.groupBy(*key).count().collect()}
+    stats = {}
+    for row in tagged:
+        # A resource without a good row has written nothing; its partition is an earlier run's.
+        left = output.get(tuple(row[:2]), 0) if row["mapped"] else 0
+        stats["/".join(row[:2])] = {
+            "input": row["input"], "mapped": row["mapped"], "rejected": row["input"] - row["mapped"],
+            "duplicates_removed": row["mapped"] - left, "output": left,
         }
-        for row in stats
-    }
+    return stats

@@ -38,18 +38,10 @@ def build_session(app_name: str = "tributary", master: str | None = None, **extr
 
 
 def prepare(spark: SparkSession) -> None:
-    """Check the session before a run.
-
-    Text without an offset means UTC, so the session time zone has to be UTC. A JVM that was started
-    without the option for large methods gets projections whose generated code is split up instead.
-    """
+    """Check the session before a run: text without an offset means UTC, so its time zone has to be UTC."""
     zone = spark.conf.get("spark.sql.session.timeZone")
     if zone not in ("UTC", "Etc/UTC", "Z", "GMT"):
         raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
-    conf = spark.sparkContext.getConf()
-    key = "spark.driver.extraJavaOptions" if _is_local(spark) else "spark.executor.extraJavaOptions"
-    if _COMPILE_LARGE_METHODS not in conf.get(key, ""):
-        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
 def _is_local(spark: SparkSession) -> bool:
@@ -71,3 +63,15 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the shared folder."""
     return f"{shared_dir(spark)}/tributary/{label}-{uuid.uuid4().hex}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder this library has written and nothing refers to any more."""
+    fs, found = file_system(spark, path)
+    fs.delete(found, True)

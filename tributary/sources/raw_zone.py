@@ -65,10 +65,10 @@ def find_raw_parts(spark: SparkSession, root: str, source: str | None = None) ->
     return found.withColumn("is_mapped", mapped)
 
 
-def _lines(spark: SparkSession, path: str, whole_files: bool) -> DataFrame | None:
+def _lines(spark: SparkSession, path: str, whole_files: bool, glob: str = _GLOB) -> DataFrame | None:
     try:
         return (
-            spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", _GLOB)
+            spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
             .text(path, wholetext=whole_files)
             .select("value", F.col("_metadata.file_path").alias("part"), F.col("_metadata.file_block_start").alias("block"))
         )
@@ -108,14 +108,15 @@ def read_raw(
     *,
     run_id: str | None = None,
     whole_files: bool = False,
+    glob: str = _GLOB,
 ) -> DataFrame | None:
     """Records of one resource with envelopes taken off, or None when nothing has landed.
 
-    `run_id` reads the parts of that run only. Columns: part, block, line, item (the input order),
+    `run_id` reads the parts of that run only, `glob` names the files that are parts. Columns: part, block, line, item (the input order),
     raw, record.
     """
     base = f"{root.rstrip('/')}/{source}/{resource}"
-    lines = _lines(spark, f"{base}/run_date=*/{run_id}" if run_id else base, whole_files)
+    lines = _lines(spark, f"{base}/run_date=*/{run_id}" if run_id else base, whole_files, glob)
     if lines is None:
         return None
     return unwrapped(explode_records(lines))

@@ -1,17 +1,23 @@
 """The warehouse table `unified_records`: Parquet, one row per `unified_id`, kept by keyed upsert.
 
-Rows are laid out by source, entity type and a hash bucket of the key. A merge rewrites only the
-partitions its keys fall into, into a new generation of directories, and then appends the list of
-rewritten partitions to a small commit log. Readers take the newest committed generation of each
-partition: they see a merge whole or not at all, and a run that died before its commit leaves the
-table as it was. Running a batch again gives the same table.
+Rows are laid out by a hash bucket of the key alone, so a key has one place whatever its source or entity
+type. A merge rewrites only the buckets its keys fall into, into a folder of its own, and commits by writing
+a manifest: the whole list of buckets and the folder each is read from. Manifests are numbered, written once
+and never changed; the newest complete one is the table. Readers see a merge whole or not at all, a run that
+died before its commit leaves the table as it was, and running a batch again gives the same table.
+
+A writer claims the next number by creating its manifest, which fails if another writer has created it since:
+the second of two writers gets an error and may simply try again. This needs a file system that creates a
+file only if it does not exist, such as HDFS.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import json
+import uuid
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,40 +25,42 @@ from pyspark.sql import types as T
 from tributary.model import UNIFIED_COLUMNS, UNIFIED_SCHEMA
 from tributary.operators.dedupe import deduplicate, row_hash
 from tributary.operators.gate import coerce_records, loadable, unloadable
-from tributary.session import scratch_path
+from tributary.session import discard, file_system, scratch_path
 
-PARTITION = ("source", "entity_type", "bucket")
-_LOG_SCHEMA = "generation long, source string, entity_type string, bucket int"
 _FILE_SCHEMA = T.StructType(
-    [T.StructField(f.name, f.dataType) for f in UNIFIED_SCHEMA if f.name not in PARTITION]
-    + [T.StructField("merge_action", T.StringType())]
-    + [T.StructField("source", T.StringType()), T.StructField("entity_type", T.StringType()),
-       T.StructField("bucket", T.IntegerType())]
+    [T.StructField(f.name, f.dataType) for f in UNIFIED_SCHEMA]
+    + [T.StructField("merge_action", T.StringType()), T.StructField("bucket", T.IntegerType())]
 )
-# Bytes a broadcast key takes beyond its text.
-_ROW_OVERHEAD = 64
-
-
-_SEPARATOR = "\x1f"
 _STAGED_SCHEMA = T.StructType(
     [T.StructField(f.name, f.dataType) for f in UNIFIED_SCHEMA]
     + [T.StructField("is_loadable", T.BooleanType()), T.StructField("reason", T.StringType()),
        T.StructField("bucket", T.IntegerType())]
 )
+#: Commits whose folders are kept for readers that began before a later one.
+KEPT_COMMITS = 10
+
+
+class ConcurrentMerge(RuntimeError):
+    """Another writer has committed since this merge began."""
 
 
 class Warehouse:
-    """`buckets` spreads each (source, entity type); `slices` lets several tasks write one bucket.
+    """`buckets` spreads the keys; `slices` lets several tasks write one bucket.
 
-    Choose them so that a bucket holds a few GB and a slice fits a task: their product bounds how far
-    one hot source is spread. Both are fixed when the table is created.
+    Choose them so that a bucket holds a few GB and a slice fits a task. Both are fixed by the first commit;
+    a table that exists refuses others, and takes its own if they are not given.
     """
 
-    def __init__(self, spark: SparkSession, root: str, *, buckets: int = 16, slices: int = 4):
+    def __init__(self, spark: SparkSession, root: str, *, buckets: int | None = None, slices: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets
-        self.slices = slices
+        _, stored, _ = self._newest()
+        for name, asked in (("buckets", buckets), ("slices", slices)):
+            if asked is not None and stored and stored[name] != asked:
+                raise ValueError(f"the table has {stored[name]} {name}, not {asked}")
+        stored = stored or {"buckets": buckets or 16, "slices": slices or 4}
+        self.buckets: int = stored["buckets"]
+        self.slices: int = stored["slices"]
 
     # --- layout -------------------------------------------------------------------------------
 
@@ -63,66 +71,102 @@ class Warehouse:
         """Independent of the bucket: a second hash of the key."""
         return F.pmod(F.xxhash64("unified_id", F.lit("slice")), F.lit(self.slices)).cast("int")
 
-    def _generation_dir(self, generation: int) -> str:
-        return f"{self.root}/data/generation={generation}"
-
-    def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_LOG_SCHEMA).json(f"{self.root}/commits")
-        except AnalysisException:
-            return None
+    def _manifest(self, version: int) -> str:
+        return f"{self.root}/manifests/{version:012}.json"
 
-    def _live(self) -> list[tuple[int, str, str, int]]:
-        """The newest generation of each partition. Grows with the partitions, not with the data."""
-        log = self._log()
-        if log is None:
+    def _versions(self) -> list[int]:
+        """Numbers of all manifests, complete or not, newest first."""
+        fs, path = file_system(self.spark, f"{self.root}/manifests")
+        if not fs.exists(path):
             return []
-        newest = log.groupBy(*PARTITION).agg(F.max("generation").alias("generation"))
-        return [(r["generation"], r["source"], r["entity_type"], r["bucket"]) for r in newest.collect()]
-
-    def superseded(self) -> DataFrame:
-        """Partitions of older generations that no reader will ask for again; their directories can go."""
-        log = self._log()
-        if log is None:
-            return self.spark.createDataFrame([], _LOG_SCHEMA)
-        newest = log.groupBy(*PARTITION).agg(F.max("generation").alias("newest"))
-        return log.join(newest, [*PARTITION]).where("generation < newest").select("generation", *PARTITION)
-
-    def _next_generation(self) -> int:
-        log = self._log()
-        last = log.agg(F.max("generation").alias("g")).first()["g"] if log is not None else None
-        return (last or 0) + 1
-
-    def _read_partitions(self, live: list[tuple[int, str, str, int]]) -> DataFrame:
-        """Scan exactly the given partitions: a filter on partition columns prunes each generation."""
-        wanted: dict[int, list[str]] = {}
-        for generation, *partition in live:
-            wanted.setdefault(generation, []).append(_SEPARATOR.join(map(str, partition)))
-        if not wanted:
+        names = [status.getPath().getName() for status in fs.listStatus(path)]
+        return sorted((int(n[:12]) for n in names if n.endswith(".json") and n[:12].isdigit()), reverse=True)
+
+    def _read_manifest(self, version: int) -> tuple[dict, dict[int, str]] | None:
+        """Settings and the folder of each bucket; None if its writer died half way."""
+        lines = [r["value"] for r in self.spark.read.text(self._manifest(version)).collect()]
+        if not lines or lines[-1] != '"end"':
+            return None
+        head, *entries = map(json.loads, lines[:-1])
+        return head, {bucket: merge for bucket, merge in entries}
+
+    def _newest(self) -> tuple[int, dict | None, dict[int, str]]:
+        """The number of the newest manifest of any kind, and what the newest complete one holds."""
+        versions = self._versions()
+        for version in versions:
+            found = self._read_manifest(version)
+            if found:
+                return versions[0], *found
+        return versions[0] if versions else 0, None, {}
+
+    def _commit(self, version: int, live: dict[int, str]) -> None:
+        """One entry for each bucket, so the manifest grows with the buckets, not with the merges."""
+        head = {"buckets": self.buckets, "slices": self.slices}
+        lines = [json.dumps(x) for x in (head, *sorted(live.items()), "end")]
+        fs, path = file_system(self.spark, self._manifest(version))
+        try:
+            out = fs.create(path, False)
+        except Py4JJavaError as error:
+            if fs.exists(path):
+                raise ConcurrentMerge(f"{self.root} has changed since the merge began; run it again") from error
+            raise
+        out.write(bytearray("\n".join(lines).encode()))
+        out.close()
+
+    def _folder(self, merge: str) -> str:
+        return f"{self.root}/data/merge={merge}"
+
+    def _rows(self, live: dict[int, str]) -> DataFrame:
+        """One scan over exactly the given folders."""
+        paths = [f"{self._folder(merge)}/bucket={bucket}" for bucket, merge in sorted(live.items())]
+        if not paths:
             return self.spark.createDataFrame([], _FILE_SCHEMA)
-        name = F.concat_ws(_SEPARATOR, *PARTITION)
-        frames = [
-            self.spark.read.schema(_FILE_SCHEMA).parquet(self._generation_dir(generation))
-            .where(name.isin(partitions))
-            for generation, partitions in sorted(wanted.items())
-        ]
-        return reduce(DataFrame.unionByName, frames)
+        return self.spark.read.schema(_FILE_SCHEMA).option("basePath", f"{self.root}/data").parquet(*paths).drop("merge")
+
+    def clean(self, keep: int = KEPT_COMMITS) -> list[str]:
+        """Delete the folders that none of the `keep` newest commits reads, and older manifests.
+
+        Folders of merges under way are in no manifest yet; they are told by their number, which is that
+        of the commit they aim at.
+        """
+        versions = self._versions()
+        kept, live = versions[:keep], set()
+        for version in kept:
+            found = self._read_manifest(version)
+            live |= set(found[1].values()) if found else set()
+        fs, data = file_system(self.spark, f"{self.root}/data")
+        deleted = []
+        for status in fs.listStatus(data) if fs.exists(data) else []:
+            merge = status.getPath().getName().partition("=")[2]
+            if merge not in live and versions and int(merge.partition("-")[0]) <= versions[0] - keep:
+                deleted.append(merge)
+        for version in versions[keep:]:
+            discard(self.spark, self._manifest(version))
+        for merge in deleted:
+            discard(self.spark, self._folder(merge))
+        return deleted
 
     # --- reading ------------------------------------------------------------------------------
 
     def read(self) -> DataFrame:
         """The committed rows."""
-        return self._read_partitions(self._live()).select(*UNIFIED_COLUMNS)
+        return self._rows(self._newest()[2]).select(*UNIFIED_COLUMNS)
 
     def count(self) -> DataFrame:
         """The number of rows, from the file footers."""
-        return self._read_partitions(self._live()).agg(F.count(F.lit(1)).alias("row_count"))
+        return self._rows(self._newest()[2]).agg(F.count(F.lit(1)).alias("row_count"))
 
     def existing_keys(self, incoming: DataFrame) -> DataFrame:
-        """Which incoming keys the table already holds."""
-        return incoming.select("unified_id").distinct().join(
-            self.read().select("unified_id"), "unified_id", "left_semi"
-        )
+        """Which incoming keys the table already holds; only the buckets they fall into are read."""
+        keys = incoming.select("unified_id").distinct()
+        touched = self._touched(keys.withColumn("bucket", self._bucket()))
+        live = {b: m for b, m in self._newest()[2].items() if b in touched}
+        return keys.join(self._rows(live).select("unified_id"), "unified_id", "left_semi")
+
+    @staticmethod
+    def _touched(rows: DataFrame) -> set[int]:
+        """At most one row for each bucket."""
+        return {r["bucket"] for r in rows.select("bucket").distinct().collect()}
 
     # --- writing ------------------------------------------------------------------------------
 
@@ -134,103 +178,65 @@ class Warehouse:
         newest_wins: bool = False,
         quarantine: str | None = None,
         decode: bool = True,
+        stage: bool = True,
+        before_commit: Callable[[], None] | None = None,
     ) -> DataFrame:
         """Merge records by key and return the counts per source and resource.
 
         Rows that fail the gate are counted as rejected and, with `quarantine`, written there. A key
         that comes several times keeps its newest row; `order_by` lists what decides, most significant
         first. A matched row is replaced whole, nulls included. With `newest_wins` an incoming row that
-        is older than the stored one does not replace it. `decode=False` skips reading attribute text.
+        is older than the stored one does not replace it. `decode=False` skips reading attribute text;
+        `stage=False` reads the records again for each step, for records that lie in Parquet already.
         """
+        version, _, live = self._newest()
+        staged = coerce_records(records, decode=decode).withColumn("bucket", self._bucket())
         staged_path = scratch_path(self.spark, "incoming")
-        coerced = coerce_records(records, decode=decode)
-        coerced.withColumn("bucket", self._bucket()).write.parquet(staged_path)
-        staged = self.spark.read.schema(_STAGED_SCHEMA).parquet(staged_path)
+        if stage:
+            staged.write.parquet(staged_path)
+            staged = self.spark.read.schema(_STAGED_SCHEMA).parquet(staged_path)
         if quarantine:
             unloadable(staged.drop("bucket")).write.mode("overwrite").parquet(quarantine)
         position = [*order_by, "updated_at", "ingested_at"]
         good = loadable(staged)
-        incoming = deduplicate(good, ["unified_id"], None, [*position, row_hash(good)])
-        touched = {
-            (r["source"], r["entity_type"], r["bucket"])
-            for r in good.select(*PARTITION).distinct().collect()
-        }
-        input_counts = staged.groupBy("source", "source_resource").agg(
+        counts = staged.groupBy("source", "source_resource").agg(
             F.count(F.lit(1)).alias("input"),
             F.count(F.when(~F.col("is_loadable"), 1)).alias("rejected"),
+        ).collect()
+        touched = self._touched(good)
+        actions: dict[tuple, dict[str, int]] = {}
+        if touched:
+            merge = f"{version + 1}-{uuid.uuid4().hex}"
+            target = self._rows({b: m for b, m in live.items() if b in touched})
+            incoming = deduplicate(good, ["unified_id"], None, [*position, row_hash(good)])
+            self._merged(target, incoming, newest_wins).write.partitionBy("bucket").parquet(self._folder(merge))
+            if before_commit:
+                before_commit()
+            self._commit(version + 1, {**live, **{b: merge for b in touched}})
+            written = self.spark.read.schema(_FILE_SCHEMA).parquet(self._folder(merge))
+            for row in written.groupBy("source", "source_resource", "merge_action").count().collect():
+                actions.setdefault(tuple(row[:2]), {})[row["merge_action"]] = row["count"]
+            self.clean()
+        discard(self.spark, staged_path)
+        rows = [
+            (*key, r["input"], actions.get(key, {}).get("inserted", 0), actions.get(key, {}).get("updated", 0), r["rejected"])
+            for r in counts for key in [(r["source"], r["source_resource"])]
+        ]
+        return self.spark.createDataFrame(
+            rows, "source string, source_resource string, input long, inserted long, updated long, rejected long"
         )
-        if not touched:
-            return input_counts.select(
-                "source", "source_resource", "input", F.lit(0).cast("bigint").alias("inserted"),
-                F.lit(0).cast("bigint").alias("updated"), "rejected",
-            )
-        generation = self._next_generation()
-        live = [row for row in self._live() if row[1:] in touched]
-        target = self._read_partitions(live)
-        merged = self._merge(target, incoming, good, bool(live), newest_wins)
-        (
-            merged.write.mode("overwrite").partitionBy(*PARTITION)
-            .parquet(self._generation_dir(generation))
-        )
-        self._commit(generation, touched)
-        written = self.spark.read.schema(_FILE_SCHEMA).parquet(self._generation_dir(generation))
-        actions = written.groupBy("source", "source_resource").agg(
-            F.count(F.when(F.col("merge_action") == "inserted", 1)).alias("inserted"),
-            F.count(F.when(F.col("merge_action") == "updated", 1)).alias("updated"),
-        )
-        keys = ["source", "source_resource"]
-        # Both sides hold one row per resource.
-        return input_counts.join(actions, keys, "left").select(
-            *keys, "input",
-            F.coalesce("inserted", F.lit(0)).alias("inserted"),
-            F.coalesce("updated", F.lit(0)).alias("updated"), "rejected",
-        )
-
-    def _commit(self, generation: int, touched: set[tuple[str, str, int]]) -> None:
-        rows = [(generation, *partition) for partition in sorted(touched)]
-        self.spark.createDataFrame(rows, _LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{self.root}/commits")
 
-    def _merge(
-        self, target: DataFrame, incoming: DataFrame, good: DataFrame, has_target: bool, newest_wins: bool
-    ) -> DataFrame:
-        incoming = incoming.withColumn("merge_action", F.lit("inserted"))
-        target = target.withColumn("merge_action", F.lit("kept"))
-        if not has_target:
-            return self._laid_out(incoming)
-        if not newest_wins and self._fits_broadcast(good):
-            return self._merge_small(target, incoming)
-        return self._merge_large(target, incoming, newest_wins)
-
-    def _fits_broadcast(self, good: DataFrame) -> bool:
-        """Whether the incoming keys, measured from the staged batch, are small enough to broadcast."""
-        limit = int(self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").rstrip("b"))
-        if limit <= 0:
-            return False
-        size = good.agg(
-            F.coalesce(F.sum(F.octet_length("unified_id") + F.lit(_ROW_OVERHEAD)), F.lit(0)).alias("bytes")
-        ).first()["bytes"]
-        return size <= limit
-
-    def _merge_small(self, target: DataFrame, incoming: DataFrame) -> DataFrame:
-        """Broadcast the checked keys: the target is scanned and rewritten in place, never shuffled."""
-        keys = F.broadcast(incoming.select("unified_id"))
-        kept = target.join(keys, "unified_id", "left_anti")
-        # At most one row per incoming key, so no larger than the checked side.
-        matched = target.select("unified_id").join(keys, "unified_id", "left_semi").withColumn("_known", F.lit(True))
-        flagged = incoming.join(F.broadcast(matched), "unified_id", "left").withColumn(
-            "merge_action", F.when(F.col("_known"), F.lit("updated")).otherwise(F.lit("inserted"))
-        ).drop("_known")
-        return kept.unionByName(flagged)
-
-    def _merge_large(self, target: DataFrame, incoming: DataFrame, newest_wins: bool) -> DataFrame:
+    def _merged(self, target: DataFrame, incoming: DataFrame, newest_wins: bool) -> DataFrame:
         """One shuffle of both sides by bucket and slice; it serves the merge and the write."""
-        both = self._sliced(target.unionByName(incoming))
+        both = (
+            target.withColumn("merge_action", F.lit("kept"))
+            .unionByName(incoming.withColumn("merge_action", F.lit("inserted")))
+            .withColumn("_slice", self._slice()).repartition("bucket", "_slice")
+        )
         is_incoming = (F.col("merge_action") == "inserted").cast("int")
-        key = Window.partitionBy(*PARTITION, "_slice", "unified_id")
-        if newest_wins:
-            order = [F.coalesce("updated_at", "created_at").desc(), is_incoming.desc()]
-        else:
-            order = [is_incoming.desc()]
+        key = Window.partitionBy("bucket", "_slice", "unified_id")
+        newest = [F.coalesce("updated_at", "created_at").desc()] if newest_wins else []
+        order = [*newest, is_incoming.desc()]
         ranked = both.withColumns({
             "_rank": F.row_number().over(key.orderBy(*order)),
             "_next": F.lead("merge_action").over(key.orderBy(*order)),
@@ -238,11 +244,5 @@ class Warehouse:
         action = F.when(
             (F.col("merge_action") == "inserted") & F.col("_next").isNotNull(), F.lit("updated")
         ).otherwise(F.col("merge_action"))
-        # The window has sorted by partition, slice and key already, which is the order the write needs.
+        # The window has sorted by bucket, slice and key already, which is the order the write needs.
         return ranked.withColumn("merge_action", action).drop("_rank", "_next", "_slice")
-
-    def _sliced(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn("_slice", self._slice()).repartition(*PARTITION, "_slice")
-
-    def _laid_out(self, rows: DataFrame) -> DataFrame:
-        return self._sliced(rows).drop("_slice").sortWithinPartitions(*PARTITION, "unified_id")

@@ -17,7 +17,7 @@ from tributary.functions.cells import Records
 from tributary.operators.mapping import ResourceMapping, accepted, get_mapping, map_records, rejected
 from tributary.operators.summaries import event_time_marks
 from tributary.plans.transform import newest_per_key
-from tributary.session import prepare, scratch_path
+from tributary.session import discard, prepare, scratch_path
 from tributary.sources.raw_zone import POSITION, explode_records, unwrapped
 from tributary.sources.warehouse import Warehouse
 from tributary.sources.watermarks import Watermarks
@@ -39,14 +39,15 @@ def merge_batch(
         map_records(Records(records, "record"), mapping, ingested_at, keep=POSITION).write.parquet(path)
         tagged = spark.read.parquet(path)
         unified = newest_per_key(accepted(tagged), POSITION).drop(*POSITION)
-        warehouse.upsert(unified, decode=False)
+        warehouse.upsert(unified, decode=False, stage=False)
         if watermarks is not None:
             watermarks.set(event_time_marks(accepted(tagged)), f"batch-{batch}", ingested_at)
         if quarantine_root:
             (
                 rejected(tagged, keep=POSITION).write.mode("overwrite")
-                .parquet(f"{quarantine_root.rstrip('/')}/stream/{mapping.source}/{mapping.resource}/batch={batch}")
+                .parquet(f"{quarantine_root.rstrip('/')}/stream/{'/'.join(mapping.origin)}/batch={batch}")
             )
+        discard(spark, path)
 
     return merge
 
@@ -64,13 +65,14 @@ def stream_upsert(
     watermarks: Watermarks | None = None,
     quarantine_root: str | None = None,
     files_per_batch: int | None = None,
+    whole_files: bool = False,
 ) -> StreamingQuery:
     """Merge every part that has landed since the checkpoint, then stop."""
     prepare(spark)
     reader = spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json*")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    lines = reader.text(f"{raw_root.rstrip('/')}/{source}/{resource}").select(
+    lines = reader.text(f"{raw_root.rstrip('/')}/{source}/{resource}", wholetext=whole_files).select(
         "value", F.col("_metadata.file_path").alias("part"), F.col("_metadata.file_block_start").alias("block")
     )
     merge = merge_batch(
