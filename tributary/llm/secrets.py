@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -191,16 +192,15 @@ def _quantile(values: list[float], q: float) -> float:
 
 
 def learn(labelled: dict[str, list[str]], least: float = 0.5) -> Formats:
-    """Formats from tokens by kind. The margin is halfway from the 99th percentile of ordinary tokens to the
-    5th percentile of the hardest credential kind; at least `least` nats a symbol, and never below the
-    former. Without credentials nothing is a secret."""
+    """Formats from tokens by kind. The margin is halfway from the 97th percentile of ordinary tokens, of which
+    a few may be credentials nobody has labelled, to the 5th percentile of the hardest credential kind; at
+    least `least` nats a symbol, and never below the former. Without credentials nothing is a secret."""
     plain = labelled.get(ORDINARY, [])
     given = {kind: words for kind, words in sorted(labelled.items()) if kind != ORDINARY and words}
     formats = Formats([infer(words) for words in given.values()], infer(plain), least)
     if given:
         high = min(_quantile([formats.score(w) for w in words], 0.05) for words in given.values())
-        known = [s for s in map(formats.score, plain) if s > -math.inf]
-        low = _quantile(known, 0.99) if known else least
+        low = _quantile([formats.score(w) for w in plain], 0.97) if plain else least
         formats.margin = max(least, low, (low + high) / 2)
     return formats
 
@@ -301,7 +301,7 @@ def redacted(docs: DataFrame, formats: Formats, text_col: str = "text", mask: st
     shared = docs.sparkSession.sparkContext.broadcast(formats)
 
     @F.pandas_udf("string")
-    def masked(column: "pd.Series") -> "pd.Series":  # noqa: F821
+    def masked(column: pd.Series) -> pd.Series:
         return column.map(lambda t: redact(t, shared.value, mask))
 
     return docs.withColumn(text_col, masked(named(text_col)))
