@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary.session import scratch_path
 
@@ -24,6 +25,34 @@ def over_rows(df: DataFrame, columns: Iterable[str | Column], fn: Callable[[Batc
     return df.select(*[named(c) if isinstance(c, str) else c for c in columns]).mapInArrow(fn, schema)
 
 
+def with_rows(df: DataFrame, fn: Callable[[Batches], Batches], *, add: str = "") -> DataFrame:
+    """`fn` over Arrow batches of whole rows, which it may drop or change; `add` names columns it appends.
+
+    Batches stream through the worker, so rows wait in no queue while their text is worked on.
+    """
+    schema = T.StructType([*df.schema.fields, *(T.StructType.fromDDL(add).fields if add else [])])
+    return df.mapInArrow(fn, schema)
+
+
+def kept_rows(df: DataFrame, text_col: str, judge: Callable[[], Callable[[list[str]], Iterable[bool]]]) -> DataFrame:
+    """The rows for which `judge()` says so, given some texts at a time; it is made once for each task."""
+    at = df.columns.index(text_col)
+
+    def run(batches):
+        keeps = judge()
+        for batch in batches:
+            for start in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(start, _ROWS)
+                found = ["" if t is None else t for t in part.column(at).to_pylist()]
+                yield part.filter(pa.array(list(keeps(found)), pa.bool_()))
+
+    return with_rows(df, run)
+
+
+#: Rows whose texts are Python strings at a time.
+_ROWS = 1_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

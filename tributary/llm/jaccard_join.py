@@ -7,43 +7,50 @@ similar pair, before they are verified, once per pair, on the whole sets:
 
 * length: the smaller set holds at least the asked share of the larger;
 * position: where the shared shingle stands in both bounds what the sets can have in common;
-* suffix: shingles fall into 256 parts by hash; each part whose counts differ in parity holds a shingle of one
-  set only, and the asked overlap bounds how many of those there may be.
+* suffix: shingles fall into parts by hash, about as many as there are shingles; each part whose counts differ
+  in parity holds a shingle of one set only, and the asked overlap bounds how many of those there may be.
 
 What classes are linked to which is found in two rounds, so that a large group of near copies does not cost
-all its pairs. First each class is compared with two leaders of every prefix shingle it posts, picked by
-hash. Then, for each shingle whose classes are not yet all connected, the classes outside its largest
-component are compared with every class of another component. A pair that is never compared is thus connected
-already, or fails a filter.
+all its pairs. First each class is compared with the leader of every prefix shingle it posts. Leaders are
+picked by one of a few hashes, so that the many shingles a group shares have few leaders. Then, for each
+shingle whose classes are not yet all connected, the classes outside its largest component are compared with
+every class of another component. A pair that is never compared is thus connected already, or fails a filter.
 
 Frequencies are counted over all documents into a table of fixed size, so the order is by the count of a
 shingle's bucket. Texts are read several times rather than stored as hashes, which would take more room than
-the texts. What reaches the driver or is broadcast has a fixed size: the table and two bit maps.
+the texts. What reaches the driver or is broadcast has a fixed size: the table (16 MB) and bit maps (2 MB).
 """
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import Stage, free_name, mix, over_rows, texts
+from tributary.llm.common import Stage, free_name, mix, over_rows, texts, with_rows
 from tributary.llm.common import named as column
 
 #: Buckets of the frequency table, and bits of a bit map, as powers of two.
-BUCKET_BITS, MAP_BITS = 18, 24
+BUCKET_BITS, MAP_BITS = 24, 24
+#: Buckets in a piece of the table, and counts of how many tasks are added up at a time.
+PIECE, ADDED = 1 << 14, 128
 #: Keys of sets a task remembers, to post copies once; more copies are dropped when shingles meet.
 REMEMBERED = 500_000
-LEADERS = 2
-_LOW = np.uint64((1 << 64 - BUCKET_BITS) - 1)
+#: Hashes that leaders are picked by.
+LEADERS = 4
+#: The least number of parts of a signature; the parts that a join compares by itself.
+LEAST_PARTS, JOIN_PARTS = 512, 256
 _SHIFT = np.uint64(64 - BUCKET_BITS)
+_LOW = np.uint64((1 << 56) - 1)
 _KEYS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-_PARITY = [f"s{i}" for i in range(4)]
+_PARITY = [f"s{i}" for i in range(JOIN_PARTS // 64)]
 
 
 @dataclass(frozen=True)
@@ -91,8 +98,27 @@ def _half(key: bytes) -> int:
 
 
 def _ordered(found: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """The shingles, renamed one to one so that their order is that of frequency, in this order."""
-    return np.sort((ranks[(found >> _SHIFT).astype(np.int64)] << _SHIFT) | (found & _LOW))
+    """The shingles renamed, the rank of their frequency first, in order. Names keep 56 bits of the hash."""
+    return np.sort((ranks[(found >> _SHIFT).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (found & _LOW))
+
+
+def _signature(found: np.ndarray) -> np.ndarray:
+    """For each part the parity of its shingles, as bytes. There are as many parts as shingles or more, a
+    power of two."""
+    parts = max(LEAST_PARTS, 1 << (len(found) - 1).bit_length())
+    odd = np.bincount((mix(found) & np.uint64(parts - 1)).astype(np.int64), minlength=parts) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little")
+
+
+def _folded(signature: np.ndarray, size: int) -> np.ndarray:
+    """The signature over fewer parts, `size` bytes of them."""
+    return np.bitwise_xor.reduce(signature.reshape(-1, size), axis=0)
+
+
+def _apart(x: np.ndarray, y: np.ndarray) -> int:
+    """At least so many shingles are in one of two sets only."""
+    size = min(len(x), len(y))
+    return int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum())
 
 
 class _Seen:
@@ -109,40 +135,62 @@ class _Seen:
 
 
 def _sets_and_counts(docs: DataFrame, how: Similar) -> DataFrame:
-    """doc_id, n, key of every document (key null if it has no shingles), and each task's counts by bucket."""
+    """doc_id, n, key of every document (key null if it has no shingles), and each task's counts by bucket, in
+    compressed pieces."""
+    names = ["doc_id", "n", "key", "part", "piece", "counts"]
 
     def run(batches):
-        counts = np.zeros(1 << BUCKET_BITS, np.int64)
+        total = np.zeros(1 << BUCKET_BITS, np.uint32)
         for batch in batches:
             n, keys = [], []
             for text in texts(batch):
                 found = shingles(text, how.words)
                 n.append(len(found))
                 keys.append(_key(found) if len(found) else None)
-                np.add.at(counts, (found >> _SHIFT).astype(np.int64), 1)
-            none = pa.nulls(len(n), pa.int64())
+                np.add.at(total, (found >> _SHIFT).astype(np.int64), 1)
+            none = pa.nulls(len(n), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.nulls(len(n), pa.int32()), none],
-                names=["doc_id", "n", "key", "bucket", "count"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), none, none, pa.nulls(len(n), pa.binary())], names=names
             )
-        at = np.flatnonzero(counts)
-        if len(at):
-            none = pa.nulls(len(at), pa.int64())
+        pieces = np.flatnonzero(total.reshape(-1, PIECE).any(axis=1))
+        if len(pieces):
+            none = pa.nulls(len(pieces), pa.int64())
+            packed = [zlib.compress(total[p * PIECE : (p + 1) * PIECE].astype("<u8").tobytes(), 1) for p in pieces.tolist()]
+            part = np.full(len(pieces), TaskContext.get().partitionId(), np.int32)
             yield pa.RecordBatch.from_arrays(
-                [none, none, pa.nulls(len(at), pa.binary()), pa.array(at, pa.int32()), pa.array(counts[at])],
-                names=["doc_id", "n", "key", "bucket", "count"],
+                [none, none, pa.nulls(len(pieces), pa.binary()), pa.array(part), pa.array(pieces, pa.int32()), pa.array(packed, pa.binary())], names=names
             )
 
-    return over_rows(docs, ["doc_id", "text"], run, "doc_id long, n long, key binary, bucket int, count long")
+    return over_rows(docs, ["doc_id", "text"], run, "doc_id long, n long, key binary, part int, piece int, counts binary")
 
 
 def _ranks(counts: DataFrame) -> np.ndarray:
-    """Place of every bucket by its count, rare first. The table has a fixed number of rows."""
-    total = np.zeros(1 << BUCKET_BITS, np.int64)
-    found = counts.groupBy("bucket").agg(F.sum("count").alias("count")).toArrow()
-    total[found["bucket"].to_numpy()] = found["count"].to_numpy()
-    ranks = np.empty(1 << BUCKET_BITS, np.uint64)
-    ranks[np.argsort(total, kind="stable")] = np.arange(1 << BUCKET_BITS, dtype=np.uint64)
+    """A rank for every bucket by its count, rare first, in eighths of powers of two. Pieces are added up in
+    steps of bounded groups."""
+
+    def add(last: bool):
+        def run(group: pa.Table) -> pa.Table:
+            total = np.zeros(PIECE, np.uint64)
+            for packed in group.column("counts"):
+                total += np.frombuffer(zlib.decompress(packed.as_py()), "<u8")
+            out = np.minimum(255, 8 * np.log2(total + 1.0)).astype(np.uint8) if last else total
+            return pa.table({
+                "part": group.column("part")[:1], "piece": group.column("piece")[:1],
+                "counts": pa.array([zlib.compress(out.tobytes(), 1)], pa.binary()),
+            })
+
+        return run
+
+    pieces = counts.select("part", "piece", "counts")
+    for step in range(3):  # enough for two million tasks
+        pieces = (
+            pieces.withColumn("part", F.floor(F.col("part") / ADDED).cast("int"))
+            .groupBy("part", "piece").applyInArrow(add(step == 2), "part int, piece int, counts binary")
+        )
+    ranks = np.zeros(1 << BUCKET_BITS, np.uint8)
+    found = pieces.toArrow()
+    for piece, packed in zip(found["piece"].to_pylist(), found["counts"].to_pylist()):
+        ranks[piece * PIECE : (piece + 1) * PIECE] = np.frombuffer(zlib.decompress(packed), np.uint8)
     return ranks
 
 
@@ -185,56 +233,77 @@ def _prefixes(docs: DataFrame, how: Similar, ranks) -> DataFrame:
     return over_rows(docs, ["text"], run, "token long, half long")
 
 
-def _postings(docs: DataFrame, how: Similar, ranks, shared) -> DataFrame:
-    """(token, key, n, place, parities) for the prefix shingles that the bit map names."""
+def _sharing(docs: DataFrame, how: Similar, ranks, shared) -> DataFrame:
+    """A row for each set with prefix shingles that the bit map names: key, n, these shingles and their places,
+    its signature, and the parities that a join compares by itself."""
+    names = ["key", "n", "tokens", "places", "signature", *_PARITY]
 
     def run(batches):
         seen = _Seen()
         for batch in batches:
-            columns = [[] for _ in range(5)]
+            rows, parities = [], []
             for text in texts(batch):
                 found = shingles(text, how.words)
                 if not len(found):
                     continue
-                tokens = _ordered(found, ranks.value)
-                place = np.flatnonzero(_on(shared.value, tokens[: how.prefix(len(found))]))
-                if not len(place) or seen(key := _key(found)):
+                tokens = _ordered(found, ranks.value)[: how.prefix(len(found))]
+                places = np.flatnonzero(_on(shared.value, tokens))
+                if not len(places) or seen(key := _key(found)):
                     continue
-                odd = np.bincount((mix(tokens) >> np.uint64(56)).astype(np.int64), minlength=256) & 1
-                parity = np.packbits(odd.astype(np.uint8)).view(np.int64)
-                for column, value in zip(columns, (tokens[place].view(np.int64), [key] * len(place), np.full(len(place), len(found)), place, np.tile(parity, (len(place), 1)))):
-                    column.append(value)
-            if columns[0]:
-                parity = np.concatenate(columns[4])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(columns[0])), pa.array([k for ks in columns[1] for k in ks], pa.binary()),
-                        pa.array(np.concatenate(columns[2])), pa.array(np.concatenate(columns[3])),
-                        *(pa.array(np.ascontiguousarray(parity[:, i])) for i in range(4)),
-                    ],
-                    names=["token", "key", "n", "place", *_PARITY],
-                )
-
-    schema = "token long, key binary, n long, place long, " + ", ".join(f"{s} long" for s in _PARITY)
+                signature = _signature(found)
+                rows.append((key, len(found), tokens[places].view(np.int64), places, signature.tobytes()))
+                parities.append(_folded(signature, JOIN_PARTS // 8).view(np.int64))
+            if rows:
+                kinds = (pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+                yield pa.RecordBatch.from_arrays([*columns, *(pa.array(c) for c in np.array(parities).T.copy())], names=names)
+
+    schema = "key binary, n long, tokens array<long>, places array<long>, signature binary, " + ", ".join(f"{s} long" for s in _PARITY)
     return over_rows(docs, ["text"], run, schema)
 
 
-def _may_link(how: Similar, a: str, b: str) -> Column:
-    """The length, position and suffix filters on two postings of one shingle."""
-    def of(side: str, name: str) -> Column:
-        return F.col(f"{side}.{name}")
+def _least_overlap(how: Similar, both: Column) -> Column:
+    """Rounded up without leaving whole numbers."""
+    return F.floor((both * how.percent + (100 + how.percent - 1)) / F.lit(100 + how.percent))
+
 
-    n, m, i, j = of(a, "n"), of(b, "n"), of(a, "place"), of(b, "place")
-    both = n + m
-    # The least overlap, rounded up without leaving whole numbers.
-    least = F.floor((both * how.percent + (100 + how.percent - 1)) / F.lit(100 + how.percent))
+def _may_link(how: Similar, a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+    """The length and position filters on two postings of one shingle."""
+    n, m, i, j = a("n"), b("n"), a("place"), b("place")
     reach = F.least(i, j) + 1 + F.least(n - i, m - j) - 1
-    apart = sum((F.bit_count(of(a, s).bitwiseXOR(of(b, s))) for s in _PARITY), F.lit(0))
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * how.percent) & (reach >= least) & (apart <= both - 2 * least)
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * how.percent) & (reach >= _least_overlap(how, n + m))
+
+
+def _parities_allow(how: Similar, a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+    """The suffix filter as far as a join can apply it by itself."""
+    both = a("n") + b("n")
+    apart = sum((F.bit_count(a(s).bitwiseXOR(b(s))) for s in _PARITY), F.lit(0))
+    return apart <= both - 2 * _least_overlap(how, both)
+
 
+def _plausible(pairs: DataFrame, sharing: DataFrame, how: Similar) -> DataFrame:
+    """The pairs that pass the suffix filter on whole signatures."""
+    def side(name: str) -> DataFrame:
+        return sharing.select(F.col("key").alias(name), F.col("n").alias(f"n_{name}"), F.col("signature").alias(f"signature_{name}"))
 
-def _pairs(joined: DataFrame) -> DataFrame:
-    return joined.select(F.least("a.key", "b.key").alias("a"), F.greatest("a.key", "b.key").alias("b")).distinct()
+    def run(batches):
+        for batch in batches:
+            both = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            allowed = both - 2 * how.overlap(both)
+            x, y = ([np.frombuffer(v.as_buffer(), np.uint8) for v in batch.column(i)] for i in (4, 5))
+            near = [_apart(u, v) <= most for u, v, most in zip(x, y, allowed)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    return over_rows(joined, ["a", "b", "n_a", "n_b", "signature_a", "signature_b"], run, "a binary, b binary")
+
+
+def _side(name: str) -> Callable[[str], Column]:
+    return lambda column: F.col(f"{name}.{column}")
+
+
+def _pairs(rows: DataFrame, a: Column, b: Column) -> DataFrame:
+    return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, how: Similar, stage: Stage, name: str) -> DataFrame:
@@ -259,8 +328,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, how: Similar, stage: Stage, nam
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], names=["key", "found"])
 
     needed = over_rows(docs, ["text"], run, "key binary, found binary")
-    # The bit map also lets others through; only those a pair names go on.
-    sets = stage.keep(needed.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("found").alias("found")), f"{name}-sets")
+    # Both joins use the one shuffle of the sets; what the bit map lets through besides drops out in them.
+    sets = needed.groupBy("key").agg(F.first("found").alias("found"))
     joined = (
         pairs.join(sets.select(F.col("key").alias("a"), F.col("found").alias("x")), "a")
         .join(sets.select(F.col("key").alias("b"), F.col("found").alias("y")), "b")
@@ -323,36 +392,49 @@ def _classes(docs: DataFrame, how: Similar) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     stage = Stage(spark, "jaccard")
     sets = stage.keep(_sets_and_counts(docs, how), "sets")
-    ranks = spark.sparkContext.broadcast(_ranks(sets.where("bucket IS NOT NULL")))
-    named = sets.where("bucket IS NULL").select("doc_id", "n", "key")
-
-    met = _prefixes(docs, how, ranks).groupBy("token").agg(F.min("half").alias("x"), F.max("half").alias("y")).where("x < y")
-    shared = spark.sparkContext.broadcast(_bit_map(met, "token"))
-    lists = stage.keep(_postings(docs, how, ranks, shared).dropDuplicates(["token", "key"]), "lists")
+    ranks = spark.sparkContext.broadcast(_ranks(sets.where("piece IS NOT NULL")))
+    named = sets.where("piece IS NULL").select("doc_id", "n", "key")
+
+    known = _prefixes(docs, how, ranks).groupBy("token").agg(F.min("half").alias("x"), F.max("half").alias("y")).where("x < y")
+    shared = spark.sparkContext.broadcast(_bit_map(known, "token"))
+    sharing = stage.keep(_sharing(docs, how, ranks, shared).dropDuplicates(["key"]), "sharing")
+
+    # All postings of a shingle come together once; its size and leader are then known to each of them.
+    of_token = Window.partitionBy("token")
+    posting = F.struct("key", "n", "place")
+    lists = stage.keep(
+        sharing.select("key", "n", F.explode(F.arrays_zip("tokens", "places")).alias("at"))
+        .select(F.col("at.tokens").alias("token"), "key", "n", F.col("at.places").alias("place"))
+        .repartition("token").withColumn("size", F.count("*").over(of_token)).where("size > 1")
+        .withColumn("leader", F.min_by(posting, F.xxhash64("key", F.pmod("token", F.lit(LEADERS)))).over(of_token)),
+        "lists",
+    )
 
     # First round: every class against the leaders of its shingles.
-    posting = F.struct("key", "n", "place", *_PARITY)
-    leaders = lists.groupBy("token").agg(
-        *(F.min_by(posting, F.xxhash64("token", "key", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)), F.count("*").alias("size")
-    ).where("size > 1").select("token", F.explode(F.array_distinct(F.array(*(f"l{i}" for i in range(LEADERS))))).alias("l")).select("token", "l.*")
-    stars = lists.alias("a").join(leaders.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.key") != F.col("b.key")) & _may_link(how, "a", "b"))
-    tried = stage.keep(_pairs(stars), "tried")
-    first = _verified(docs, tried, how, stage, "first")
+    leader = _side("leader")
+    stars = lists.where((F.col("key") != leader("key")) & _may_link(how, F.col, leader))
+    met = stage.keep(_pairs(stars, F.col("key"), leader("key")), "met")
+    first = _verified(docs, stage.keep(_plausible(met, sharing, how), "tried"), how, stage, "first")
     found = components(first, stage, "first-components")
 
-    # Second round: what is not connected yet, within each shingle.
-    own = lists.join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    main = (
-        own.groupBy("token", "component").agg(F.count("*").alias("size"))
-        .groupBy("token").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts"))
-        .where("parts > 1").select("token", "main")
+    # Second round: what is not connected yet, within each shingle. Two classes have been compared already.
+    split = stage.keep(
+        lists.where("size > 2").drop("leader", "size").join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
+        .repartition("token")
+        .withColumn("least", F.min("component").over(of_token)).withColumn("most", F.max("component").over(of_token)).where("least != most")
+        .withColumn("weight", F.count("*").over(Window.partitionBy("token", "component")))
+        .withColumn("main", F.max_by("component", F.struct("weight", "component")).over(of_token))
+        .drop("least", "most", "weight"),
+        "split",
     )
-    split = stage.keep(own.join(main, "token"), "split")
-    crossing = split.where("component != main").alias("a").join(
-        split.alias("b"),
-        (F.col("a.token") == F.col("b.token")) & (F.col("a.component") != F.col("b.component")) & _may_link(how, "a", "b"),
+    marked = split.join(sharing.select("key", *_PARITY), "key")
+    a, b = _side("a"), _side("b")
+    crossing = marked.where("component != main").alias("a").join(
+        marked.alias("b"),
+        (a("token") == b("token")) & (a("component") != b("component")) & _may_link(how, a, b) & _parities_allow(how, a, b),
     )
-    rest = stage.keep(_pairs(crossing).join(tried, ["a", "b"], "left_anti"), "rest")
+    new = _pairs(crossing, a("key"), b("key")).join(met, ["a", "b"], "left_anti")
+    rest = stage.keep(_plausible(new, sharing, how), "rest")
     second = _verified(docs, rest, how, stage, "second")
     links = components(first.select("a", "b").union(second.select("a", "b")), stage, "components")
 
@@ -397,18 +479,17 @@ def representatives(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
     )
     words = how.words
 
-    @F.pandas_udf("binary")
-    def key_of(column: pd.Series) -> pd.Series:
-        sets = (shingles(t or "", words) for t in column)
-        return pd.Series([_key(s) if len(s) else None for s in sets], dtype=object)
+    key, id_, place, kept = (free_name(docs, n) for n in ("set_key", "set_id", "set_place", "set_kept"))
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            sets = (shingles(t or "", words) for t in batch.column(at).to_pylist())
+            yield batch.append_column(key, pa.array([_key(s) if len(s) else None for s in sets], pa.binary()))
 
-    key, id_, place = (free_name(docs, n) for n in ("set_key", "set_id", "set_place"))
-    marked = docs.withColumn(key, key_of(column("text"))).withColumn(id_, F.coalesce(column("doc_id"), none))
-    columns = [column(c) for c in docs.columns]
+    marked = with_rows(docs, run, add=f"`{key}` binary").withColumn(id_, F.coalesce(column("doc_id"), none))
     # Rows are dealt by id and set, so a large group of copies is spread.
     first = Window.partitionBy(id_, key).orderBy(column("text"))
-    one = (
-        marked.join(chosen.toDF(id_, key), [id_, key], "left_semi")
-        .withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).select(*columns)
-    )
-    return one.unionByName(marked.where(F.col(key).isNull()).select(*columns))
+    flagged = marked.join(chosen.toDF(id_, key).withColumn(kept, F.lit(True)), [id_, key], "left")
+    one = flagged.where(F.col(kept) | F.col(key).isNull()).withColumn(place, F.row_number().over(first))
+    return one.where((F.col(place) == 1) | F.col(key).isNull()).select(*(column(c) for c in docs.columns))
