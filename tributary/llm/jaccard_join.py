@@ -46,7 +46,7 @@ REMEMBERED = 500_000
 #: Hashes that leaders are picked by.
 LEADERS = 4
 #: The least number of parts of a signature; the parts that a join compares by itself.
-LEAST_PARTS, JOIN_PARTS = 512, 256
+LEAST_PARTS, JOIN_PARTS = 1024, 1024
 _SHIFT = np.uint64(64 - BUCKET_BITS)
 _LOW = np.uint64((1 << 56) - 1)
 _KEYS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -155,7 +155,7 @@ def _sets_and_counts(docs: DataFrame, how: Similar) -> DataFrame:
         pieces = np.flatnonzero(total.reshape(-1, PIECE).any(axis=1))
         if len(pieces):
             none = pa.nulls(len(pieces), pa.int64())
-            packed = [zlib.compress(total[p * PIECE : (p + 1) * PIECE].astype("<u8").tobytes(), 1) for p in pieces.tolist()]
+            packed = [zlib.compress(total[p * PIECE : (p + 1) * PIECE].astype("<u4").tobytes(), 1) for p in pieces.tolist()]
             part = np.full(len(pieces), TaskContext.get().partitionId(), np.int32)
             yield pa.RecordBatch.from_arrays(
                 [none, none, pa.nulls(len(pieces), pa.binary()), pa.array(part), pa.array(pieces, pa.int32()), pa.array(packed, pa.binary())], names=names
@@ -168,11 +168,11 @@ def _ranks(counts: DataFrame) -> np.ndarray:
     """A rank for every bucket by its count, rare first, in eighths of powers of two. Pieces are added up in
     steps of bounded groups."""
 
-    def add(last: bool):
+    def add(kind: str, last: bool):
         def run(group: pa.Table) -> pa.Table:
             total = np.zeros(PIECE, np.uint64)
             for packed in group.column("counts"):
-                total += np.frombuffer(zlib.decompress(packed.as_py()), "<u8")
+                total += np.frombuffer(zlib.decompress(packed.as_py()), kind)
             out = np.minimum(255, 8 * np.log2(total + 1.0)).astype(np.uint8) if last else total
             return pa.table({
                 "part": group.column("part")[:1], "piece": group.column("piece")[:1],
@@ -185,7 +185,7 @@ def _ranks(counts: DataFrame) -> np.ndarray:
     for step in range(3):  # enough for two million tasks
         pieces = (
             pieces.withColumn("part", F.floor(F.col("part") / ADDED).cast("int"))
-            .groupBy("part", "piece").applyInArrow(add(step == 2), "part int, piece int, counts binary")
+            .groupBy("part", "piece").applyInArrow(add("<u8" if step else "<u4", step == 2), "part int, piece int, counts binary")
         )
     ranks = np.zeros(1 << BUCKET_BITS, np.uint8)
     found = pieces.toArrow()
