@@ -10,11 +10,12 @@ similar pair, before they are verified, once per pair, on the whole sets:
 * suffix: shingles fall into parts by hash, about as many as there are shingles; each part whose counts differ
   in parity holds a shingle of one set only, and the asked overlap bounds how many of those there may be.
 
-What classes are linked to which is found in two rounds, so that a large group of near copies does not cost
+What classes are linked to which is found in rounds, so that a large group of near copies does not cost
 all its pairs. First each class is compared with the leader of every prefix shingle it posts. Leaders are
 picked by one of a few hashes, so that the many shingles a group shares have few leaders. Then, for each
 shingle whose classes are not yet all connected, the classes outside its largest component are compared with
-every class of another component. A pair that is never compared is thus connected already, or fails a filter.
+every class of another component: first for one shingle in sixteen, which connects most of what is left,
+then for all. A pair that is never compared is thus connected already, or fails a filter.
 
 Frequencies are counted over all documents into a table of fixed size, so the order is by the count of a
 shingle's bucket. Texts are read several times rather than stored as hashes, which would take more room than
@@ -44,7 +45,9 @@ PIECE, ADDED = 1 << 14, 128
 #: Keys of sets a task remembers, to post copies once; more copies are dropped when shingles meet.
 REMEMBERED = 500_000
 #: Hashes that leaders are picked by.
-LEADERS = 4
+LEADERS = 8
+#: Shares of the shingles that the later rounds look at: one in so many, all of them in the last.
+SHARES = (16, 1)
 #: The least number of parts of a signature; the parts that a join compares by itself.
 LEAST_PARTS, JOIN_PARTS = 1024, 1024
 _SHIFT = np.uint64(64 - BUCKET_BITS)
@@ -415,28 +418,31 @@ def _classes(docs: DataFrame, how: Similar) -> tuple[DataFrame, DataFrame]:
     stars = lists.where((F.col("key") != leader("key")) & _may_link(how, F.col, leader))
     met = stage.keep(_pairs(stars, F.col("key"), leader("key")), "met")
     first = _verified(docs, stage.keep(_plausible(met, sharing, how), "tried"), how, stage, "first")
-    found = components(first, stage, "first-components")
-
-    # Second round: what is not connected yet, within each shingle. Two classes have been compared already.
-    split = stage.keep(
-        lists.where("size > 2").drop("leader", "size").join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
-        .repartition("token")
-        .withColumn("least", F.min("component").over(of_token)).withColumn("most", F.max("component").over(of_token)).where("least != most")
-        .withColumn("weight", F.count("*").over(Window.partitionBy("token", "component")))
-        .withColumn("main", F.max_by("component", F.struct("weight", "component")).over(of_token))
-        .drop("least", "most", "weight"),
-        "split",
-    )
-    marked = split.join(sharing.select("key", *_PARITY), "key")
-    a, b = _side("a"), _side("b")
-    crossing = marked.where("component != main").alias("a").join(
-        marked.alias("b"),
-        (a("token") == b("token")) & (a("component") != b("component")) & _may_link(how, a, b) & _parities_allow(how, a, b),
-    )
-    new = _pairs(crossing, a("key"), b("key")).join(met, ["a", "b"], "left_anti")
-    rest = stage.keep(_plausible(new, sharing, how), "rest")
-    second = _verified(docs, rest, how, stage, "second")
-    links = components(first.select("a", "b").union(second.select("a", "b")), stage, "components")
+
+    # Later rounds: what is not connected yet, within each shingle; first within a sixteenth of the shingles,
+    # which connects most of it, then within all. Two classes have been compared already.
+    edges, tested = first.select("a", "b"), met
+    for round_, share in enumerate(SHARES):
+        found = components(edges, stage, f"components-{round_}")
+        split = stage.keep(
+            lists.where("size > 2").drop("leader", "size").join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
+            .repartition("token")
+            .withColumn("least", F.min("component").over(of_token)).withColumn("most", F.max("component").over(of_token)).where("least != most")
+            .withColumn("weight", F.count("*").over(Window.partitionBy("token", "component")))
+            .withColumn("main", F.max_by("component", F.struct("weight", "component")).over(of_token))
+            .drop("least", "most", "weight").where(F.pmod(F.xxhash64("token"), F.lit(share)) == 0),
+            f"split-{round_}",
+        )
+        marked = split.join(sharing.select("key", *_PARITY), "key")
+        a, b = _side("a"), _side("b")
+        crossing = marked.where("component != main").alias("a").join(
+            marked.alias("b"),
+            (a("token") == b("token")) & (a("component") != b("component")) & _may_link(how, a, b) & _parities_allow(how, a, b),
+        )
+        new = stage.keep(_pairs(crossing, a("key"), b("key")).join(tested, ["a", "b"], "left_anti"), f"new-{round_}")
+        linked = _verified(docs, stage.keep(_plausible(new, sharing, how), f"rest-{round_}"), how, stage, f"linked-{round_}")
+        edges, tested = edges.union(linked.select("a", "b")), tested.union(new)
+    links = components(edges, stage, "components")
 
     classes = named.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_copies"))
     linked = classes.join(links, "key")
