@@ -17,6 +17,8 @@ from tributary.llm.common import Stage, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
+#: Words a worker remembers while it encodes: few, as it has worked for other stages and keeps its memory.
+REMEMBERED = 100_000
 NEAR = jaccard_join.Similar(words=5, percent=80)
 
 
@@ -43,7 +45,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in sequences of 2048."""
-    return packing.pack_documents(docs, WORD_BPE, END_ID)
+    return packing.pack_documents(docs, WORD_BPE, END_ID, remembered=REMEMBERED)
 
 
 Step = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -20,9 +20,22 @@ def named(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+#: Rows a worker turns into Python objects at a time.
+_ROWS = 1_000
+
+
+def _small(batches: Batches) -> Batches:
+    """The same rows in smaller batches, so that few texts are Python strings at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(start, _ROWS)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def over_rows(df: DataFrame, columns: Iterable[str | Column], fn: Callable[[Batches], Batches], schema: str) -> DataFrame:
     """`fn` over Arrow batches of the chosen columns only, so that no other column is read."""
-    return df.select(*[named(c) if isinstance(c, str) else c for c in columns]).mapInArrow(fn, schema)
+    return df.select(*[named(c) if isinstance(c, str) else c for c in columns]).mapInArrow(lambda batches: fn(_small(batches)), schema)
 
 
 def with_rows(df: DataFrame, fn: Callable[[Batches], Batches], *, add: str = "") -> DataFrame:
@@ -31,7 +44,7 @@ def with_rows(df: DataFrame, fn: Callable[[Batches], Batches], *, add: str = "")
     Batches stream through the worker, so rows wait in no queue while their text is worked on.
     """
     schema = T.StructType([*df.schema.fields, *(T.StructType.fromDDL(add).fields if add else [])])
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(lambda batches: fn(_small(batches)), schema)
 
 
 def kept_rows(df: DataFrame, text_col: str, judge: Callable[[], Callable[[list[str]], Iterable[bool]]]) -> DataFrame:
@@ -41,18 +54,12 @@ def kept_rows(df: DataFrame, text_col: str, judge: Callable[[], Callable[[list[s
     def run(batches):
         keeps = judge()
         for batch in batches:
-            for start in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(start, _ROWS)
-                found = ["" if t is None else t for t in part.column(at).to_pylist()]
-                yield part.filter(pa.array(list(keeps(found)), pa.bool_()))
+            found = ["" if t is None else t for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(list(keeps(found)), pa.bool_()))
 
     return with_rows(df, run)
 
 
-#: Rows whose texts are Python strings at a time.
-_ROWS = 1_000
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -90,7 +97,7 @@ class Stage:
 class Memo(dict):
     """Values by key, worked out once. It is emptied when full, so its memory has a bound."""
 
-    def __init__(self, make: Callable, limit: int = 300_000) -> None:
+    def __init__(self, make: Callable, limit: int = 100_000) -> None:
         super().__init__()
         self._make = make
         self._limit = limit

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tributary.llm.common import over_rows, texts
-from tributary.llm.word_bpe import word_encoder
+from tributary.llm.word_bpe import REMEMBERED, word_encoder
 
 
 @dataclass(frozen=True)
@@ -90,7 +90,7 @@ def pack(lengths: list[int], how: Packing) -> list[tuple[int, int, int, int, int
 
 def pack_documents(
     docs: DataFrame, tokenizer: str, end_id: int = 1, how: Packing = Packing(),
-    id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True,
+    id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Encode every whole text, add the end id, and pack all documents. One row per piece:
 
@@ -98,7 +98,8 @@ def pack_documents(
     32-bit integers), doc_tokens (with the end id), sequence_id, offset (place in the sequence), and with
     `with_ids` the ids themselves (binary). A null or empty text is a document of the end id alone. Repeated rows are documents
     of their own; a null doc_id stays null. An empty table gives no rows. sequence_id is unique and the same
-    whenever the same input splits are read: the split's number times 2**33, plus a count.
+    whenever the same input splits are read: the split's number times 2**33, plus a count. `remembered` bounds
+    the words a worker remembers.
     """
     schema = (
         f"`{id_col}` long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long,"
@@ -109,7 +110,7 @@ def pack_documents(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encoder = word_encoder(tokenizer)
+        encoder = word_encoder(tokenizer, remembered)
         first = TaskContext.get().partitionId() << 33
         group: list[tuple[int | None, bytes]] = []
         held = 0

@@ -5,14 +5,13 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.boosting import Trees, fit
-from tributary.llm.common import named, over_rows, texts
+from tributary.llm.common import kept_rows, named, over_rows, texts
 
 _SPACES = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
@@ -139,10 +138,12 @@ def kept(docs: DataFrame, model: Trees, least: float = LEAST_QUALITY) -> DataFra
     """The rows that `judge` keeps, all their columns unchanged."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def good(column: pd.Series) -> pd.Series:
-        found = [statistics(t or "") for t in column]
-        quality = shared.value.probability(np.array([f for _, f in found]).reshape(len(found), len(FEATURES)))
-        return pd.Series([not base_failed(c[0], c[4]) and q >= least for (c, _), q in zip(found, quality)], dtype=bool)
+    def judge():
+        def good(some: list[str]) -> list[bool]:
+            found = [statistics(t) for t in some]
+            quality = shared.value.probability(np.array([f for _, f in found]).reshape(len(found), len(FEATURES)))
+            return [not base_failed(c[0], c[4]) and bool(q >= least) for (c, _), q in zip(found, quality)]
+
+        return good
 
-    return docs.where(good(named("text")))
+    return kept_rows(docs, "text", judge)

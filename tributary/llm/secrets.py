@@ -14,12 +14,11 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import named, over_rows, texts
+from tributary.llm.common import over_rows, texts, with_rows
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -299,9 +298,11 @@ def redact(text: str | None, formats: Formats, mask: str = "[secret]") -> str |
 def redacted(docs: DataFrame, formats: Formats, text_col: str = "text", mask: str = "[secret]") -> DataFrame:
     """The same rows and columns, with every secret in the text replaced by the mask. Null stays null."""
     shared = docs.sparkSession.sparkContext.broadcast(formats)
+    at = docs.columns.index(text_col)
 
-    @F.pandas_udf("string")
-    def masked(column: pd.Series) -> pd.Series:
-        return column.map(lambda t: redact(t, shared.value, mask))
+    def run(batches):
+        for batch in batches:
+            masked = [redact(t, shared.value, mask) for t in batch.column(at).to_pylist()]
+            yield batch.set_column(at, text_col, pa.array(masked, pa.string()))
 
-    return docs.withColumn(text_col, masked(named(text_col)))
+    return with_rows(docs, run)

@@ -16,13 +16,12 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import Memo, named, over_rows, texts
+from tributary.llm.common import Memo, kept_rows, named, over_rows, texts
 
 GRADES = 3
 #: Labelled documents the model is fitted on, at most: those whose ids have the smallest hashes.
@@ -208,10 +207,8 @@ def clean(docs: DataFrame, model: Severity, least: float = LEAST_TOXIC) -> DataF
     """The rows that `score` does not call toxic, all their columns unchanged."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def harmless(column: pd.Series) -> pd.Series:
+    def judge():
         eta_of = shared.value.scorer()
-        at_least = shared.value.at_least(np.array([eta_of(t or "") for t in column], float))
-        return pd.Series(at_least[:, 0] < least, dtype=bool)
+        return lambda some: shared.value.at_least(np.array([eta_of(t) for t in some], float))[:, 0] < least
 
-    return docs.where(harmless(named("text")))
+    return kept_rows(docs, "text", judge)

@@ -16,8 +16,8 @@ from struct import pack
 
 from tokenizers import Tokenizer
 
-#: Words a worker remembers: this many lately met ones, and as many from before. Longer words than
-#: LONGEST bytes are not remembered. Both together bound the memory to some 250 MB.
+#: Words a worker remembers unless told otherwise: this many lately met ones, and as many from before, some
+#: 200 MB in all. Fewer take less memory and more time. Longer words than LONGEST bytes are not remembered.
 REMEMBERED = 600_000
 LONGEST = 64
 #: Lower-case letters that are their own normal form.
@@ -78,8 +78,9 @@ class WordEncoder:
     it no ids, as with a normalizer of NFC and lower case and a split by a pattern without white space.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self._remembered = remembered
         self._tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -104,12 +105,12 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         ids = b"".join(map(self._known.__getitem__, self._words(text)))
-        if len(self._known) > REMEMBERED:
+        if len(self._known) > self._remembered:
             self._known.before = {}
             self._known = _Words(self._tokenizer, dict(self._known))
         return ids
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def word_encoder(path: str, remembered: int = REMEMBERED) -> WordEncoder:
+    return WordEncoder(path, remembered)
