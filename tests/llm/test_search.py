@@ -139,6 +139,30 @@ def test_join_by_brute_force(spark):
         assert found == expected, (seed, how)
 
 
+def plain_links(texts, how):
+    """Links of each row by comparing all pairs."""
+    sets = [plain_set(t, how.words) for _, t in texts]
+    found = [0] * len(sets)
+    for i, x in enumerate(sets):
+        for j in range(i):
+            same = len(x & sets[j])
+            if same and 100 * same >= how.percent * (len(x) + len(sets[j]) - same):
+                found[i] += 1
+                found[j] += 1
+    return found
+
+
+def test_links_by_brute_force(spark, monkeypatch):
+    for seed, how, block in ((1, Similar(3, 90), 1 << 18), (2, Similar(5, 80), 1500), (3, Similar(3, 50), 1500), (4, Similar(1, 100), 100)):
+        monkeypatch.setattr(jaccard_join, "BLOCK", block)
+        texts = list(enumerate(corpus(seed)))
+        texts += [(None, texts[5][1]), (7, texts[9][1]), texts[11], texts[11], (None, "alone among all of them")]
+        df = spark.createDataFrame([(*t, 1) for t in texts], "doc_id long, text string, n long").repartition(6)
+        found = sorted(((r["doc_id"], r["n_links"]) for r in jaccard_join.link(df, how).collect()), key=str)
+        links = plain_links(texts, how)
+        assert max(links) > 8 and found == sorted(((k, n) for (k, _), n in zip(texts, links)), key=str), (seed, how)
+
+
 def test_representatives(spark):
     how = Similar(5, 80)
     texts = list(enumerate(corpus(8)))

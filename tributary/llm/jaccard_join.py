@@ -17,6 +17,12 @@ shingle whose classes are not yet all connected, the classes outside its largest
 every class of another component: first for one shingle in sixteen, which connects most of what is left,
 then for all. A pair that is never compared is thus connected already, or fails a filter.
 
+Links are counted once the components are known, since two linked classes are in one component: there each
+class is compared, on the whole sets, with every class whose size allows a link. A component of many shingles
+is cut into bins of like sizes, and bins by hash into blocks, so that a pair of classes meets in one pair of
+blocks, and no pair becomes a row. A block lists for each shingle the sets that hold it, or, if most do, those
+that do not, so near copies cost what they differ in.
+
 Frequencies are counted over all documents into a table of fixed size, so the order is by the count of a
 shingle's bucket. Texts are read several times rather than stored as hashes, which would take more room than
 the texts. What reaches the driver or is broadcast has a fixed size: the table (16 MB) and bit maps (2 MB).
@@ -24,6 +30,7 @@ the texts. What reaches the driver or is broadcast has a fixed size: the table (
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -50,6 +57,8 @@ LEADERS = 8
 SHARES = (16, 1)
 #: The least number of parts of a signature; the parts that a join compares by itself.
 LEAST_PARTS, JOIN_PARTS = 1024, 1024
+#: Shingles in a block of classes whose links are counted, about; a class counts as so many at least.
+BLOCK, LEAST_WEIGHT = 1 << 18, 64
 _SHIFT = np.uint64(64 - BUCKET_BITS)
 _LOW = np.uint64((1 << 56) - 1)
 _KEYS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -311,28 +320,8 @@ def _pairs(rows: DataFrame, a: Column, b: Column) -> DataFrame:
 
 def _verified(docs: DataFrame, pairs: DataFrame, how: Similar, stage: Stage, name: str) -> DataFrame:
     """The pairs whose whole sets are similar: (a, b, overlap)."""
-    spark = docs.sparkSession
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    bits = spark.sparkContext.broadcast(_bit_map(_halves(wanted), "half"))
-
-    def run(batches):
-        seen = _Seen()
-        for batch in batches:
-            keys, sets = [], []
-            for text in texts(batch):
-                found = shingles(text, how.words)
-                if not len(found):
-                    continue
-                key = _key(found)
-                if _on(bits.value, np.frombuffer(key, "<u8", 1))[0] and not seen(key):
-                    keys.append(key)
-                    sets.append(found.tobytes())
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], names=["key", "found"])
-
-    needed = over_rows(docs, ["text"], run, "key binary, found binary")
     # Both joins use the one shuffle of the sets; what the bit map lets through besides drops out in them.
-    sets = needed.groupBy("key").agg(F.first("found").alias("found"))
+    sets = _whole_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), how)
     joined = (
         pairs.join(sets.select(F.col("key").alias("a"), F.col("found").alias("x")), "a")
         .join(sets.select(F.col("key").alias("b"), F.col("found").alias("y")), "b")
@@ -352,6 +341,29 @@ def _verified(docs: DataFrame, pairs: DataFrame, how: Similar, stage: Stage, nam
     return stage.keep(over_rows(joined, ["a", "b", "x", "y"], verify, "a binary, b binary, overlap long"), name)
 
 
+def _whole_sets(docs: DataFrame, wanted: DataFrame, how: Similar) -> DataFrame:
+    """(key, found) of the wanted keys, and of few others."""
+    bits = docs.sparkSession.sparkContext.broadcast(_bit_map(_halves(wanted), "half"))
+
+    def run(batches):
+        seen = _Seen()
+        for batch in batches:
+            keys, sets = [], []
+            for text in texts(batch):
+                found = shingles(text, how.words)
+                if not len(found):
+                    continue
+                key = _key(found)
+                if _on(bits.value, np.frombuffer(key, "<u8", 1))[0] and not seen(key):
+                    keys.append(key)
+                    sets.append(found.tobytes())
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], names=["key", "found"])
+
+    needed = over_rows(docs, ["text"], run, "key binary, found binary")
+    return needed.groupBy("key").agg(F.first("found").alias("found"))
+
+
 def _halves(keys: DataFrame) -> DataFrame:
     """The first 8 bytes of each key as the little-endian number they are."""
 
@@ -390,8 +402,8 @@ def components(edges: DataFrame, stage: Stage, name: str) -> DataFrame:
 
 
 def _classes(docs: DataFrame, how: Similar) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, key) of every document, and (key, component, component_id, n_copies) of every class: the
-    component's smallest key, and its smallest doc_id."""
+    """(doc_id, n, key) of every document, and (key, n, component, component_id, n_copies, linked) of every class:
+    the component's smallest key, and its smallest doc_id; whether another class is linked to it."""
     spark = docs.sparkSession
     stage = Stage(spark, "jaccard")
     sets = stage.keep(_sets_and_counts(docs, how), "sets")
@@ -444,29 +456,120 @@ def _classes(docs: DataFrame, how: Similar) -> tuple[DataFrame, DataFrame]:
         edges, tested = edges.union(linked.select("a", "b")), tested.union(new)
     links = components(edges, stage, "components")
 
-    classes = named.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_copies"))
+    classes = named.where("key IS NOT NULL").groupBy("key").agg(
+        F.first("n").alias("n"), F.min("doc_id").alias("least"), F.count("*").alias("n_copies")
+    )
     linked = classes.join(links, "key")
     names = linked.groupBy("component").agg(F.min("least").alias("component_id"))
     named_links = linked.join(names, "component").select("key", "component", "component_id")
     return named, classes.join(named_links, "key", "left").select(
-        "key", F.coalesce("component", "key").alias("component"),
+        "key", "n", F.coalesce("component", "key").alias("component"),
         F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"), "n_copies",
+        F.col("component").isNotNull().alias("linked"),
+    )
+
+
+class _Block:
+    """Sets side by side, to be compared with one set at a time."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.n = np.array([len(s) for s in sets], np.int64)
+        found = np.concatenate(sets)
+        order = np.argsort(found, kind="stable")
+        holders = np.repeat(np.arange(len(sets)), self.n)[order]
+        self._tokens, starts, counts = np.unique(found[order], return_index=True, return_counts=True)
+        self._lists = np.split(holders, starts[1:])
+        self._common = 2 * counts > len(sets)
+        for t in np.flatnonzero(self._common).tolist():
+            lacks = np.ones(len(sets), bool)
+            lacks[self._lists[t]] = False
+            self._lists[t] = np.flatnonzero(lacks)
+
+    def _times(self, tokens: np.ndarray) -> np.ndarray:
+        lists = [self._lists[t] for t in tokens.tolist()]
+        return np.bincount(np.concatenate(lists), minlength=len(self.n)) if lists else np.zeros(len(self.n), np.int64)
+
+    def linked(self, found: np.ndarray, how: Similar) -> np.ndarray:
+        """Which of the sets are similar to this one."""
+        at = np.minimum(np.searchsorted(self._tokens, found), len(self._tokens) - 1)
+        at = at[self._tokens[at] == found]
+        common = self._common[at]
+        same = common.sum() + self._times(at[~common]) - self._times(at[common])
+        return 100 * same >= how.percent * (self.n + len(found) - same)
+
+
+def _blocks(members: DataFrame, how: Similar) -> DataFrame:
+    """A row for each pair of blocks that a class is in: key, n_copies, component, bin, x, up, y, and second, if the
+    class is in the latter of two blocks. The blocks are x of this bin and y of the same bin or the next one up."""
+    weight = F.sum(F.greatest("n", F.lit(LEAST_WEIGHT)))
+    # Sets in bins that are not neighbours differ too much in size; the bins are a bit wider than need be.
+    wide = 1.001 * math.log(100 / how.percent) or 1.0
+    whole = members.groupBy("component").agg(weight.alias("weight"))
+    binned = members.join(whole, "component").withColumn(
+        "bin", F.when(F.col("weight") <= BLOCK, F.lit(0)).otherwise(F.floor(F.log(F.col("n")) / wide)).cast("long")
     )
+    bins = binned.groupBy("component", "bin").agg(F.ceil(weight / BLOCK).cast("long").alias("parts"))
+    for step, name in ((-1, "above"), (1, "below")):
+        bins = bins.join(bins.select("component", (F.col("bin") + step).alias("bin"), F.col("parts").alias(name)), ["component", "bin"], "left")
+    meets = F.expr("""concat(
+        transform(sequence(0L, parts - 1), j -> struct(bin, least(part, j) AS x, false AS up, greatest(part, j) AS y, j < part AS second)),
+        if(above > 0, transform(sequence(0L, above - 1), j -> struct(bin, part AS x, true AS up, j AS y, false AS second)), array()),
+        if(below > 0, transform(sequence(0L, below - 1), j -> struct(bin - 1 AS bin, j AS x, true AS up, part AS y, true AS second)), array()))""")
+    return (
+        binned.join(bins, ["component", "bin"]).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
+        .select("key", "n_copies", "component", F.explode(meets).alias("at")).select("key", "n_copies", "component", "at.*")
+    )
+
+
+def _linked_to(docs: DataFrame, members: DataFrame, how: Similar) -> DataFrame:
+    """(key, n_linked): how many documents of other classes each of these classes is linked to, if any.
+
+    Members are (key, n, component, n_copies), whole components.
+    """
+
+    def count(group: pa.Table) -> pa.Table:
+        keys = np.array(group.column("key").to_pylist(), object)
+        sets = [np.frombuffer(v.as_buffer(), "<u8") for v in group.column("found")]
+        copies = group.column("n_copies").to_numpy()
+        second = group.column("second").to_numpy().astype(bool)
+        linked = np.zeros(len(sets), np.int64)
+        alone = not group.column("up")[0].as_py() and group.column("x")[0].as_py() == group.column("y")[0].as_py()
+        first = np.flatnonzero(~second)
+        rest = first if alone else np.flatnonzero(second)
+        if len(first) and len(rest):
+            block = _Block([sets[i] for i in first])
+            for i in rest.tolist():
+                to = first[block.linked(sets[i], how)]
+                linked[i] += copies[to].sum()
+                if alone:
+                    linked[i] -= copies[i]
+                else:
+                    linked[to] += copies[i]
+        some = linked > 0
+        return pa.table({"key": pa.array(keys[some].tolist(), pa.binary()), "n_linked": pa.array(linked[some])})
+
+    sets = _whole_sets(docs, members.select("key"), how)
+    met = sets.join(_blocks(members, how), "key").groupBy("component", "bin", "x", "up", "y")
+    return met.applyInArrow(count, "key binary, n_linked long").groupBy("key").agg(F.sum("n_linked").alias("n_linked"))
 
 
 def link(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
     """Per document: doc_id, n_shingles (size of its set), component_id (smallest doc_id reachable by links,
-    its own included), n_copies (documents with the same set).
+    its own included), n_copies (documents with the same set), n_links (other documents that are similar to
+    it, those with the same set included).
 
     A null text, an empty one and one without words have no shingles, and are linked with nothing. A null
     doc_id links like any other, but is no component's name; a component of null ids only has a null name.
-    Rows that repeat are returned as often, in one component. An empty table gives no rows.
+    Rows that repeat are returned as often, in one component, and count as copies. An empty table gives no rows.
     """
     named, classes = _classes(docs, how)
-    return named.join(classes, "key", "left").select(
+    classes = Stage(docs.sparkSession, "jaccard-links").keep(classes, "classes")
+    linked_to = _linked_to(docs, classes.where("linked").select("key", "n", "component", "n_copies"), how)
+    return named.join(classes.drop("n").join(linked_to, "key", "left"), "key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("n_copies", F.lit(1).cast("long")).alias("n_copies"),
+        F.coalesce(F.col("n_copies") - 1 + F.coalesce("n_linked", F.lit(0)), F.lit(0)).cast("long").alias("n_links"),
     )
 
 
