@@ -57,6 +57,15 @@ def test_any_text_renders(parts):
     assert text == text.rstrip("\n") and all(line == line.rstrip() for line in text.split("\n"))
 
 
+@pytest.mark.parametrize("depth", [10, 300, 20_000])
+def test_rules_hold_at_any_depth(depth):
+    deep = "<font>" * depth
+    assert html_text.render(f"{deep}a<div style='display:none'>no<p hidden>no</p>no</div><noscript>no</noscript>b") == "ab"
+    assert html_text.render(f"<div hidden>{deep}<div>no</div>no</div>a") == "a"
+    assert html_text.render(f"<b>{deep}<ol><li>x<li>y</ol><pre> k  k</pre><table><tr><td>a<td>b</table>") == "1. x\n2. y\n\n k  k\n\na | b"
+    assert html_text.render("<table><tr><td>" * min(depth, 2000) + "a<td>b") == "a | b"
+
+
 class _Words(HTMLParser):
     def __init__(self):
         super().__init__()

@@ -11,6 +11,8 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -55,8 +57,6 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _STYLE_HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.IGNORECASE)
-#: Deeper elements are attached to the element at this depth.
-DEEPEST = 256
 #: A wider cell does not widen its column.
 WIDEST = 60
 
@@ -79,19 +79,24 @@ def parse(page: str) -> Node:
     """The tree of a page. Every text gives a tree; what is not markup is text."""
     root = Node("#root")
     open_: list[Node] = [root]
+    places: defaultdict[str, list[int]] = defaultdict(list)  # where in open_ the elements of a tag stand
 
     def text(data: str) -> None:
         if data:
             open_[-1].children.append(html.unescape(data) if "&" in data else data)
 
-    def close_until(tags, walls) -> None:
+    def nearest(tags: Iterable[str]) -> int:
+        return max((places[t][-1] for t in tags if places[t]), default=0)
+
+    def close_until(tags, walls) -> bool:
         """Close the nearest of these elements and all inside it, unless a wall stands between."""
-        for i in range(len(open_) - 1, 0, -1):
-            if open_[i].tag in tags:
-                del open_[i:]
-                return
-            if open_[i].tag in walls:
-                return
+        at = nearest(tags)
+        if not at or nearest(walls) > at:
+            return False
+        for node in open_[at:]:
+            places[node.tag].pop()
+        del open_[at:]
+        return True
 
     at, size = 0, len(page)
     while at < size:
@@ -106,7 +111,7 @@ def parse(page: str) -> Node:
         if m[1]:
             if tag == "br":
                 open_[-1].children.append(Node("br"))
-            elif tag == "p" and not any(n.tag == "p" for n in open_):
+            elif tag == "p" and not places["p"]:
                 open_[-1].children.append(Node("p"))
             elif tag not in VOID:
                 walls = frozenset() if tag in WALLS or tag in ("html", "body", "tr", "tbody", "thead", "tfoot") else WALLS
@@ -116,11 +121,8 @@ def parse(page: str) -> Node:
             close_until({"p"}, WALLS | {"button"})
         if tag in IMPLIED:
             ends, walls = IMPLIED[tag]
-            while any(n.tag in ends for n in open_[1:]):
-                before = len(open_)
-                close_until(ends, walls)
-                if len(open_) == before:
-                    break
+            while close_until(ends, walls):
+                pass
         node = Node(tag, m[3] or "")
         open_[-1].children.append(node)
         if tag in VOID:
@@ -132,7 +134,8 @@ def parse(page: str) -> Node:
             if content:
                 node.children.append(html.unescape(content) if tag in RCDATA else content)
             at = end.end() if end else size
-        elif len(open_) < DEEPEST:
+        else:
+            places[tag].append(len(open_))
             open_.append(node)
     text(page[at:])
     return root
@@ -231,7 +234,18 @@ def _width(text: str) -> int:
     return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
 
 
-def _render(node: Node, out: Layout, depth: int) -> None:
+def _finish(steps: Iterator) -> None:
+    """Run steps that yield the steps to run before they go on; elements may lie in one another at any depth."""
+    under_way = [steps]
+    while under_way:
+        inner = next(under_way[-1], None)
+        if inner is None:
+            under_way.pop()
+        else:
+            under_way.append(inner)
+
+
+def _render(node: Node, out: Layout) -> Iterator:
     item = 0
     for child in node.children:
         if isinstance(child, str):
@@ -253,7 +267,7 @@ def _render(node: Node, out: Layout, depth: int) -> None:
             out.keep(_plain(child).removeprefix("\n").rstrip("\n"))
             out.block(True)
         elif tag == "table":
-            _table(child, out, depth)
+            yield _table(child, out)
         elif tag == "li":
             out.block(False)
             item += 1
@@ -268,7 +282,7 @@ def _render(node: Node, out: Layout, depth: int) -> None:
                 mark = "* "
             out.indent += " " * len(mark)
             out.mark(mark)
-            _render(child, out, depth + 1)
+            yield _render(child, out)
             out.newline()
             out.drop_mark()
             out.indent = out.indent[: -len(mark)]
@@ -278,11 +292,11 @@ def _render(node: Node, out: Layout, depth: int) -> None:
             out.block(spaced)
             inner = "  " if tag in ("dd", "blockquote") else ""
             out.indent += inner
-            _render(child, out, depth + 1)
+            yield _render(child, out)
             out.block(spaced)
             out.indent = out.indent[: len(out.indent) - len(inner)]
         else:
-            _render(child, out, depth + 1)
+            yield _render(child, out)
 
 
 def _plain(node: Node) -> str:
@@ -300,7 +314,7 @@ def _plain(node: Node) -> str:
     return "".join(parts)
 
 
-def _table(table: Node, out: Layout, depth: int) -> None:
+def _table(table: Node, out: Layout) -> Iterator:
     """Rows as lines, cells side by side in aligned columns. A cell of several lines spans as many lines.
 
     A cell that spans columns is written in the first of them. Text outside cells comes before the table.
@@ -308,7 +322,7 @@ def _table(table: Node, out: Layout, depth: int) -> None:
     rows: list[list[tuple[int, list[str]]]] = []
     loose = Node("div")
 
-    def walk(node: Node, row: list | None) -> None:
+    def walk(node: Node, row: list | None) -> Iterator:
         for child in node.children:
             if isinstance(child, str):
                 if child.strip():
@@ -317,23 +331,23 @@ def _table(table: Node, out: Layout, depth: int) -> None:
                 continue
             elif child.tag == "tr":
                 rows.append([])
-                walk(child, rows[-1])
+                yield walk(child, rows[-1])
             elif child.tag in ("td", "th"):
                 if row is None:
                     rows.append(row := [])
                 cell = Layout()
-                _render(child, cell, depth + 1)
+                yield _render(child, cell)
                 span = (child.attribute("colspan") or "1").strip()
                 row.append((min(int(span), 1000) if span.isascii() and span.isdigit() and int(span) else 1, cell.text().split("\n")))
             elif child.tag in ("tbody", "thead", "tfoot"):
-                walk(child, None)
+                yield walk(child, None)
             else:
                 loose.children.append(child)
 
-    walk(table, None)
+    yield walk(table, None)
     out.block(True)
     if loose.children:
-        _render(loose, out, depth + 1)
+        yield _render(loose, out)
         out.block(False)
     widths: dict[int, int] = {}
     for row in rows:
@@ -360,7 +374,7 @@ def _table(table: Node, out: Layout, depth: int) -> None:
 def render(page: str) -> str:
     """The visible text of a page. An empty page, or one without visible text, gives the empty text."""
     out = Layout()
-    _render(parse(page), out, 0)
+    _finish(_render(parse(page), out))
     return out.text()
 
 
@@ -388,7 +402,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
             for page in batch.column(1).to_pylist():
                 tree = parse(page or "")
                 out = Layout()
-                _render(tree, out, 0)
+                _finish(_render(tree, out))
                 text = out.text()
                 rows.append((title(tree), text, text.count("\n") + 1 if text else 0))
             columns = list(zip(*rows)) or [()] * 3
