@@ -57,6 +57,23 @@ def test_any_text_renders(parts):
     assert text == text.rstrip("\n") and all(line == line.rstrip() for line in text.split("\n"))
 
 
+SHOWN = [
+    ("<p>so <math><semantics><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></semantics></math> holds</p>", "so x=1 holds"),
+    ("<svg><title>no</title><desc/><defs><text>no</text></defs><path d='M0'/><text x=1>a</text><text>b</text></svg>c", "a\nb\nc"),
+    ("<svg><title/><style/><text>a</text></svg>b", "a\nb"),
+    ("<svg><foreignObject><desc>a</desc></foreignObject></svg>b", "ab"),
+    ("<object data=x><p>instead</p></object>", "instead"),
+    ("<datalist><option>no</datalist>a", "a"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a | b\n  | c\nd | e"),
+    ("<table><tr><td>a<td rowspan=0 colspan=2>b<td>c<tr><td>d<td>e<tbody><tr><td>f<td>g</table>", "a | b    | c\nd |      | e\nf | g"),
+]
+
+
+@pytest.mark.parametrize("page,text", SHOWN)
+def test_what_a_browser_shows(page, text):
+    assert html_text.render(page) == text
+
+
 @pytest.mark.parametrize("depth", [10, 300, 20_000])
 def test_rules_hold_at_any_depth(depth):
     deep = "<font>" * depth

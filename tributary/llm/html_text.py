@@ -9,6 +9,7 @@ and an end tag without a start is dropped (`</p>` and `</br>` aside, which make
 from __future__ import annotations
 
 import html
+import math
 import re
 import unicodedata
 from collections import defaultdict
@@ -24,7 +25,9 @@ from tributary.llm.common import over_rows
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes plaintext".split())
 RCDATA = frozenset("title textarea".split())
-HIDDEN = frozenset("head title script style template noscript iframe noembed noframes object svg math select datalist audio video canvas".split())
+HIDDEN = frozenset("head title script style template noscript iframe noembed noframes select datalist audio video canvas".split())
+#: What svg and math hold besides and do not show.
+FOREIGN_HIDDEN = {"svg": frozenset("defs desc metadata symbol".split()), "math": frozenset("annotation annotation-xml".split())}
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 header hgroup hr html legend li listing main menu nav ol p pre section summary table caption"
@@ -57,6 +60,8 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _STYLE_HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.IGNORECASE)
+#: A slash that ends a value without quotes, not the tag.
+_SLASH_IN_VALUE = re.compile(r"=\s*[^\s\"'=]+/\Z")
 #: A wider cell does not widen its column.
 WIDEST = 60
 
@@ -66,6 +71,8 @@ class Node:
     tag: str
     attributes: str = ""
     children: list = field(default_factory=list)
+    #: svg or math, if it stands in one.
+    foreign: str = ""
 
     def attribute(self, name: str) -> str | None:
         """The first attribute of this name, entities resolved; empty if it has no value."""
@@ -124,9 +131,14 @@ def parse(page: str) -> Node:
             while close_until(ends, walls):
                 pass
         node = Node(tag, m[3] or "")
+        svg, formula = nearest(["svg"]), nearest(["math"])
+        if max(svg, formula) > nearest(["foreignobject", "annotation-xml"]):
+            node.foreign = "svg" if svg > formula else "math"
         open_[-1].children.append(node)
         if tag in VOID:
             continue
+        if (node.foreign or tag in FOREIGN_HIDDEN) and node.attributes.endswith("/") and not _SLASH_IN_VALUE.search(node.attributes):
+            continue
         if tag in RAW or tag in RCDATA:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
             stop = end.start() if end else size
@@ -142,7 +154,7 @@ def parse(page: str) -> Node:
 
 
 def visible(node: Node) -> bool:
-    if node.tag in HIDDEN:
+    if node.tag in HIDDEN or node.foreign and node.tag in FOREIGN_HIDDEN[node.foreign]:
         return False
     if not node.attributes:
         return True
@@ -286,7 +298,7 @@ def _render(node: Node, out: Layout) -> Iterator:
             out.newline()
             out.drop_mark()
             out.indent = out.indent[: -len(mark)]
-        elif tag in BLOCKS:
+        elif tag in BLOCKS or (tag == "text" and child.foreign == "svg"):
             # A list within a list adds no empty lines.
             spaced = tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and node.tag == "li")
             out.block(spaced)
@@ -317,12 +329,30 @@ def _plain(node: Node) -> str:
 def _table(table: Node, out: Layout) -> Iterator:
     """Rows as lines, cells side by side in aligned columns. A cell of several lines spans as many lines.
 
-    A cell that spans columns is written in the first of them. Text outside cells comes before the table.
+    A cell that spans columns or rows is written in the first of them; below it, later rows leave its columns
+    empty. Text outside cells comes before the table.
     """
     rows: list[list[tuple[int, list[str]]]] = []
     loose = Node("div")
+    # Cells of earlier rows by column: the rows they still span, and their columns. The next free column.
+    above: dict[int, tuple[float, int]] = {}
+    below: dict[int, tuple[float, int]] = {}
+    free = 0
+
+    def next_row() -> list:
+        nonlocal above, free
+        above = {at: (n - 1, span) for at, (n, span) in (above | below).items() if n > 1}
+        below.clear()
+        free = 0
+        rows.append([])
+        return rows[-1]
+
+    def number(cell: Node, name: str, least: int, most: int) -> int:
+        given = (cell.attribute(name) or "1").strip()
+        return min(int(given), most) if given.isascii() and given.isdigit() and int(given) >= least else 1
 
     def walk(node: Node, row: list | None) -> Iterator:
+        nonlocal free
         for child in node.children:
             if isinstance(child, str):
                 if child.strip():
@@ -330,17 +360,26 @@ def _table(table: Node, out: Layout) -> Iterator:
             elif not visible(child):
                 continue
             elif child.tag == "tr":
-                rows.append([])
-                yield walk(child, rows[-1])
+                yield walk(child, next_row())
             elif child.tag in ("td", "th"):
                 if row is None:
-                    rows.append(row := [])
+                    row = next_row()
                 cell = Layout()
                 yield _render(child, cell)
-                span = (child.attribute("colspan") or "1").strip()
-                row.append((min(int(span), 1000) if span.isascii() and span.isdigit() and int(span) else 1, cell.text().split("\n")))
+                while free in above:
+                    row.append((above[free][1], [""]))
+                    free += above[free][1]
+                span, down = number(child, "colspan", 1, 1000), number(child, "rowspan", 0, 65534)
+                row.append((span, cell.text().split("\n")))
+                if down != 1:
+                    below[free] = (down or math.inf, span)
+                free += span
             elif child.tag in ("tbody", "thead", "tfoot"):
+                above.clear()
+                below.clear()
                 yield walk(child, None)
+                above.clear()
+                below.clear()
             else:
                 loose.children.append(child)
 
@@ -392,6 +431,7 @@ def title(page_tree: Node) -> str | None:
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """page id, title, text, n_lines of every whole page.
 
+    Formulas, the text of svg and what stands in for an object are text; the options of select lists are not.
     A null or empty page has a null title, the empty text and 0 lines. Rows that repeat are returned as
     often; a null id stays null. Other columns of the table are not read.
     """
