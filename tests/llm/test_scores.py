@@ -90,6 +90,23 @@ def test_formats_find_bare_credentials_and_leave_text(spark):
     assert masked.columns == ["doc_id", "text", "spans"] and masked.where("text LIKE '%password=%'").count() == 0
 
 
+def test_short_bare_credentials_are_found(spark):
+    rng = random.Random(3)
+
+    def code(n):
+        return "".join(rng.choices("0123456789abcdef", k=n))
+
+    def word():
+        return "".join(rng.choices(["an", "tion", "er", "the", "ing", "con", "sta", "lu", "mo"], k=4))
+
+    rows = [f"{word()} password={code(12)} {word()}" for _ in range(300)] + [f"{word()} {word()} {word()}" for _ in range(300)]
+    bare = [f"bare {code(12)} text" for _ in range(4)]
+    formats = secrets.learn_from(spark.createDataFrame(list(enumerate(rows + bare)), "doc_id long, text string"))
+    assert sum(bool(secrets.spans(t, formats)) for t in bare) >= 3
+    assert sum(bool(secrets.spans(t, formats)) for t in rows[300:]) <= 3
+    assert [c[2] for c in secrets.candidates("abcdefgh.token=12345678", secrets.base_spans("abcdefgh.token=12345678"))] == ["abcdefgh."]
+
+
 def test_secret_query(spark, sf_dir):
     texts = {r["doc_id"]: r["text"] for r in table(spark, sf_dir, "documents").collect()}
     rows = queries.op1_secret_formats(spark, sf_dir).collect()

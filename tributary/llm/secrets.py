@@ -2,8 +2,9 @@
 
 Learning infers a grammar: the credentials of each kind make a prefix tree whose states carry counts; states
 whose counts do not differ by more than chance allows are merged into a probabilistic automaton. Ordinary
-long tokens make an automaton of their own. A token then counts as a secret if some credential format
-explains it better than ordinary text does, by a margin set on the labelled tokens.
+tokens make automata of their own, one for long and one for short tokens. A token then counts as a secret if
+some credential format explains it better than ordinary text of its length does, by a margin set on the
+labelled tokens.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import over_rows, texts, with_rows
+from tributary.llm.common import Memo, over_rows, texts, with_rows
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -26,13 +27,15 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # A run of hex digits that is long enough; shorter runs fail and are passed over.
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
-TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 ASSIGN_VALUE, ACCESS_LENGTH = 8, 16
+TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % ASSIGN_VALUE)
+#: Tokens from this length on are long.
+LONG = 16
 #: Kinds in the order they are listed; `format` holds what only the automata find.
 KINDS = ("assign", "access", "hex", "format")
-ORDINARY = "ordinary"
+ORDINARY, ORDINARY_SHORT = "ordinary", "ordinary short"
 
-#: Credentials of each kind, and ordinary tokens, that the automata are learned from, at most: those with
+#: Credentials of each kind, and long and short ordinary tokens each, that the automata are learned from, at most: those with
 #: the smallest hashes.
 SAMPLE, ORDINARY_SAMPLE = 400, 4_000
 
@@ -49,14 +52,26 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def candidates(text: str, base: list[tuple[int, int, int, str]]) -> Iterator[tuple[int, int, str]]:
-    """Long tokens that touch no base span: (start, end, token)."""
-    spans = iter(sorted((s, e) for s, _, e, _ in base))
-    span = next(spans, None)
+    """What of a token lies outside the base spans, if long enough for a credential: (start, end, part)."""
+    merged: list[list[int]] = []
+    for start, _, end, _ in base:
+        if merged and start <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], end)
+        else:
+            merged.append([start, end])
+    first = 0
     for m in TOKEN.finditer(text):
-        while span and span[1] <= m.start():
-            span = next(spans, None)
-        if not (span and span[0] < m.end()):
-            yield m.start(), m.end(), m[0]
+        at = m.start()
+        while first < len(merged) and merged[first][1] <= at:
+            first += 1
+        parts, i = [], first
+        while i < len(merged) and merged[i][0] < m.end():
+            parts.append((at, merged[i][0]))
+            at = max(at, merged[i][1])
+            i += 1
+        for start, end in [*parts, (at, m.end())]:
+            if end - start >= ASSIGN_VALUE:
+                yield start, end, text[start:end]
 
 
 @dataclass
@@ -171,19 +186,23 @@ def infer(words: Iterable[str], alpha: float = 0.01) -> Automaton:
 
 @dataclass
 class Formats:
-    """Automata of the credential kinds and of ordinary tokens, and the margin a secret must have."""
+    """Automata of the credential kinds and of ordinary tokens, and the margin a secret must have: of long tokens,
+    then of short ones."""
 
     kinds: list[Automaton]
     ordinary: Automaton
     margin: float
+    ordinary_short: Automaton
+    margin_short: float
 
     def score(self, token: str) -> float:
         """How much better, in nats a symbol, the best credential format explains a token than ordinary text."""
         best = max((a.logp(token) for a in self.kinds), default=-math.inf)
-        return best - self.ordinary.smooth_logp(token) if best > -math.inf else best
+        plain = self.ordinary if len(token) >= LONG else self.ordinary_short
+        return best - plain.smooth_logp(token) if best > -math.inf else best
 
     def is_secret(self, token: str) -> bool:
-        return self.score(token) > self.margin
+        return self.score(token) > (self.margin if len(token) >= LONG else self.margin_short)
 
 
 def _quantile(values: list[float], q: float) -> float:
@@ -193,22 +212,29 @@ def _quantile(values: list[float], q: float) -> float:
 def learn(labelled: dict[str, list[str]], least: float = 0.5) -> Formats:
     """Formats from tokens by kind. The margin is halfway from the 97th percentile of ordinary tokens, of which
     a few may be credentials nobody has labelled, to the 5th percentile of the hardest credential kind; at
-    least `least` nats a symbol, and never below the former. Without credentials nothing is a secret."""
-    plain = labelled.get(ORDINARY, [])
-    given = {kind: words for kind, words in sorted(labelled.items()) if kind != ORDINARY and words}
-    formats = Formats([infer(words) for words in given.values()], infer(plain), least)
+    least `least` nats a symbol, and never below the former. Short tokens have a margin of their own, set on short
+    credentials and, as most of them are words, on the 99th percentile. Without credentials nothing is a secret."""
+    plain, short = labelled.get(ORDINARY, []), labelled.get(ORDINARY_SHORT, [])
+    given = {kind: words for kind, words in sorted(labelled.items()) if kind not in (ORDINARY, ORDINARY_SHORT) and words}
+    formats = Formats([infer(words) for words in given.values()], infer(plain), least, infer(short), least)
+
+    def margin(credentials: list[list[str]], others: list[str], q: float) -> float:
+        low = _quantile([formats.score(w) for w in others], q) if others else least
+        high = min((_quantile([formats.score(w) for w in words], 0.05) for words in credentials), default=low)
+        return max(least, low, (low + high) / 2)
+
     if given:
-        high = min(_quantile([formats.score(w) for w in words], 0.05) for words in given.values())
-        low = _quantile([formats.score(w) for w in plain], 0.97) if plain else least
-        formats.margin = max(least, low, (low + high) / 2)
+        formats.margin = margin(list(given.values()), plain, 0.97)
+        few = [[w for w in words if len(w) < LONG] for words in given.values()]
+        formats.margin_short = margin([words for words in few if words], short, 0.99)
     return formats
 
 
 def learn_from(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, ordinary: int = ORDINARY_SAMPLE) -> Formats:
     """Learn the formats of a table: credentials as the patterns label them, and ordinary tokens beside them.
 
-    Every text is read. The `sample` distinct credentials of each kind and the `ordinary` other tokens with
-    the smallest hashes reach the driver, so what is learned depends neither on the order of rows nor on
+    Every text is read. The `sample` distinct credentials of each kind and the `ordinary` other tokens, long and
+    short each, with the smallest hashes reach the driver, so what is learned depends neither on the order of rows nor on
     copies.
     """
 
@@ -218,7 +244,7 @@ def learn_from(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, or
             for text in texts(batch, text_col):
                 base = base_spans(text)
                 found.update((KINDS[kind], value[:256]) for _, kind, _, value in base)
-                found.update((ORDINARY, token[:256]) for _, _, token in candidates(text, base))
+                found.update((ORDINARY if len(token) >= LONG else ORDINARY_SHORT, token[:256]) for _, _, token in candidates(text, base))
             rows = sorted(found)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())], names=["kind", "token"]
@@ -229,7 +255,7 @@ def learn_from(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, or
     order = F.xxhash64("token")
     in_bucket = Window.partitionBy("kind", "bucket").orderBy(order, "token")
     in_kind = Window.partitionBy("kind").orderBy(order, "token")
-    most = F.when(F.col("kind") == ORDINARY, ordinary).otherwise(sample)
+    most = F.when(F.col("kind").isin(ORDINARY, ORDINARY_SHORT), ordinary).otherwise(sample)
     few = (
         tokens.distinct().withColumn("bucket", F.pmod(F.hash("token"), F.lit(64)))
         .withColumn("rank", F.row_number().over(in_bucket)).where(F.col("rank") <= most)
@@ -241,12 +267,12 @@ def learn_from(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, or
     return learn(labelled)
 
 
-def spans(text: str, formats: Formats) -> list[tuple[int, int, int]]:
+def spans(text: str, formats: Formats, verdicts: Memo | None = None) -> list[tuple[int, int, int]]:
     """All spans (start, kind, end): those of the patterns, and tokens the automata take for secrets."""
     base = base_spans(text)
     found = [(s, k, e) for s, k, e, _ in base]
     for start, end, token in candidates(text, base):
-        if formats.is_secret(token):
+        if formats.is_secret(token) if verdicts is None else verdicts[token]:
             found.append((start, 3, end))
     return sorted(found)
 
@@ -265,10 +291,11 @@ def scan(docs: DataFrame, formats: Formats) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(formats)
 
     def run(batches):
+        verdicts = Memo(shared.value.is_secret)
         for batch in batches:
             rows = []
             for text in texts(batch):
-                found = spans(text, shared.value)
+                found = spans(text, shared.value, verdicts)
                 base = [s for s in found if s[1] < 3]
                 n = [sum(s[1] == k for s in found) for k in range(4)]
                 rows.append((*n[:3], hashlib.sha256(joined(base).encode()).hexdigest(), joined(found), n[3]))
@@ -283,12 +310,12 @@ def scan(docs: DataFrame, formats: Formats) -> DataFrame:
     return over_rows(docs, ["doc_id", "text"], run, schema)
 
 
-def redact(text: str | None, formats: Formats, mask: str = "[secret]") -> str | None:
+def redact(text: str | None, formats: Formats, mask: str = "[secret]", verdicts: Memo | None = None) -> str | None:
     """The text with every span replaced; overlapping spans become one mask."""
     if text is None:
         return None
     out, at = [], 0
-    for start, _, end in spans(text, formats):
+    for start, _, end in spans(text, formats, verdicts):
         if start >= at:
             out += [text[at:start], mask]
         at = max(at, end)
@@ -301,8 +328,9 @@ def redacted(docs: DataFrame, formats: Formats, text_col: str = "text", mask: st
     at = docs.columns.index(text_col)
 
     def run(batches):
+        verdicts = Memo(shared.value.is_secret)
         for batch in batches:
-            masked = [redact(t, shared.value, mask) for t in batch.column(at).to_pylist()]
+            masked = [redact(t, shared.value, mask, verdicts) for t in batch.column(at).to_pylist()]
             yield batch.set_column(at, text_col, pa.array(masked, pa.string()))
 
     return with_rows(docs, run)
