@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import byte_bpe, html_text, jaccard_join, packing, permutation_index, quality, secrets, sharding, token_files, toxicity
+from tributary.llm import (
+    byte_bpe, html_text, jaccard_join, packing, permutation_index, quality, secrets, sharding, substring_dedup, token_files, toxicity,
+)
 from tributary.llm.common import table
 from tributary.session import scratch_path
 
@@ -68,6 +70,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link(table(spark, sf_dir, "documents"), jaccard_join.Similar(words=3, percent=90))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = substring_dedup.parse(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return parsed.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_formats": op1_secret_formats,
     "op2_permutation_table": op2_permutation_table,
@@ -79,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_permutation_index": op8_permutation_index,
     "op9_html_layout": op9_html_layout,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_substring_dedup": op11_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {}
