@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tributary.llm import (
     byte_bpe, html_text, jaccard_join, packing, permutation_index, quality, secrets, sharding, substring_dedup, token_files, toxicity,
+    vector_codes,
 )
 from tributary.llm.common import table
 from tributary.session import scratch_path
@@ -75,6 +76,11 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_formats": op1_secret_formats,
     "op2_permutation_table": op2_permutation_table,
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_layout": op9_html_layout,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_substring_dedup": op11_substring_dedup,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 ORACLES: dict[str, str] = {}
