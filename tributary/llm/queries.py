@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm import (
-    byte_bpe, html_text, jaccard_join, packing, permutation_index, quality, secrets, sharding, substring_dedup, token_files, toxicity,
+    byte_bpe, collocations, html_text, jaccard_join, packing, permutation_index, quality, secrets, sharding, substring_dedup, token_files, toxicity,
     vector_codes,
 )
 from tributary.llm.common import table
@@ -81,6 +81,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
 
 
+def op13_phrase_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_formats": op1_secret_formats,
     "op2_permutation_table": op2_permutation_table,
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_substring_dedup": op11_substring_dedup,
     "op12_vector_codes": op12_vector_codes,
+    "op13_phrase_stripes": op13_phrase_stripes,
 }
 
 ORACLES: dict[str, str] = {}
