@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from tributary.llm.common import mix
 
 #: Bytes of text in a block; a longer document is a block by itself.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 #: Words whose n-grams meet in one part, on average. With more words than some 10^12, raise both sizes alike: a
 #: posting should hold a hundred entries and more.
 PART_WORDS = 2_000_000
@@ -106,7 +106,7 @@ def byte_kinds(gaps: bytes, breaks: bytes = b"") -> np.ndarray:
 
 
 #: Bytes hashed at a time; a slice ends between words.
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _WORD_STEP = np.uint64(0xD6E8FEB86659FD93)
 _PART_STEP = np.uint64(0xA0761D6478BD642F)
@@ -173,14 +173,14 @@ def words_of(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray, fold: np.
         hashes = (sums[ends] - sums[starts]) * down[starts]
         hashes ^= (ends - starts).astype(np.uint64) << np.uint64(56)
         passed = np.cumsum(kind == BREAK)
-        found.append((starts + at, ends + at, passed[starts] + breaks, mix(hashes)))
+        found.append((starts + at, ends + at, (passed[starts] + breaks).astype(np.int32), mix(hashes)))
         breaks += int(passed[-1])
         at = to
     if not found:
         empty = np.zeros(0, np.int64)
         return Words(empty, empty, empty, empty, np.zeros(0, np.uint64))
     start, end, broken, hashes = (np.concatenate(x) for x in zip(*found))
-    doc = np.searchsorted(offsets, start, side="right") - 1
+    doc = (np.searchsorted(offsets, start, side="right") - 1).astype(np.int32)
     return Words(start, end, doc, broken + doc, hashes)
 
 
