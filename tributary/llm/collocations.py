@@ -349,4 +349,4 @@ def collocations(
         "rank", F.row_number().over(Window.partitionBy("lang", "group").orderBy(*order))
     ).where(F.col("rank") <= rules.top)
     ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= rules.top)
-    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

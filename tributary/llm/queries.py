@@ -13,8 +13,11 @@ from tributary.llm import (
     vector_codes,
 )
 from tributary.llm.common import table
+from tributary.llm.oracles import ORACLES
 from tributary.session import scratch_path
 
+__all__ = ["ORACLES", "QUERIES"]
+
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END_ID = 1
@@ -100,5 +103,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_vector_codes": op12_vector_codes,
     "op13_phrase_stripes": op13_phrase_stripes,
 }
-
-ORACLES: dict[str, str] = {}

@@ -6,7 +6,8 @@ tells every block which of its windows begin in a document with a smaller id, an
 its documents: a factor begins at a window that the reference holds and grows by a word for as long as the next
 window comes from the same document, so it is as long as that source allows. Factors are at least a window long.
 Windows that begin in the last words of one factor and end in the next are checked too: they are looked up like all
-others, so what they cover joins the factors they straddle. The words of all factors are the duplicate spans.
+others, so what they cover joins the factors they straddle. The words of all factors are the duplicate spans. Places in
+the sources are not carried: a factor says that one document holds all its windows.
 
 Windows are compared by 64 bits of a hash and dealt by others, so two different windows pass as equal with a chance
 of 2^-64 divided by the number of parts.
@@ -118,8 +119,8 @@ def _sources(found: Windows, answers: pa.Table) -> np.ndarray:
     return source
 
 
-def _factors(at: np.ndarray, source: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Factors from the places of duplicate windows and their sources, left to right without overlap.
+def _factors(at: np.ndarray, doc: np.ndarray, source: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Factors from the places of duplicate windows, their documents and sources, left to right without overlap.
 
     Windows of one source at consecutive places make one factor. The part of a factor that the ones before it
     have covered is theirs; a window across the end of a factor adds only what lies beyond.
@@ -127,7 +128,7 @@ def _factors(at: np.ndarray, source: np.ndarray, size: int) -> tuple[np.ndarray,
     if not len(at):
         return at, at, source
     new = np.ones(len(at), bool)
-    new[1:] = (np.diff(at) != 1) | (source[1:] != source[:-1])
+    new[1:] = (np.diff(at) != 1) | (doc[1:] != doc[:-1]) | (source[1:] != source[:-1])
     heads = np.flatnonzero(new)
     tails = np.append(heads[1:], len(at)) - 1
     start, end = at[heads], at[tails] + size
@@ -143,7 +144,7 @@ def _parse(size: int, parts: int, id_at: int, text_at: int, passed: list[int], n
         found = _windows(data, offsets, table.column(id_at).cast(pa.int64()), size, parts)
         words, source = found.words, _sources(found, answers)[found.dealt.number]
         dup = source < found.ids
-        start, end, origin = _factors(found.at[dup], source[dup], size)
+        start, end, origin = _factors(found.at[dup], words.doc[found.at[dup]], source[dup], size)
         step = np.zeros(len(words) + 1, np.int8)
         step[start] += 1
         step[end] -= 1

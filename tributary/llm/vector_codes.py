@@ -257,6 +257,7 @@ def train(
 def encode(vectors: DataFrame, books: Codebooks, *, vec_col: str = "embedding") -> DataFrame:
     """The usable rows with `code`, two hex digits for each part's nearest entry, and `error`, its squared distances."""
     at = vectors.columns.index(vec_col)
+    added = [free_name(vectors, "code"), free_name(vectors, "error")]
 
     def run(batches):
         for batch in batches:
@@ -274,13 +275,11 @@ def encode(vectors: DataFrame, books: Codebooks, *, vec_col: str = "embedding")
                     known[chosen] = True
                     code[chosen] = [bytes(row).hex() for row in nearest.astype(np.uint8)]
             full = pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(code, pa.string()), pa.array(error, mask=~known)], names=[*batch.schema.names, "code", "error"]
+                [*batch.columns, pa.array(code, pa.string()), pa.array(error, mask=~known)], names=[*batch.schema.names, *added]
             )
             yield full.filter(pa.array(usable))
 
-    return with_rows(vectors, run, add="code string, error long").toDF(
-        *vectors.columns, free_name(vectors, "code"), free_name(vectors, "error")
-    )
+    return with_rows(vectors, run, add=f"{added[0]} string, {added[1]} long")
 
 
 def compress(
