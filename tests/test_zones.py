@@ -23,7 +23,7 @@ from tributary.plans.transform import run_transform, transform_records
 from tributary.queries.registry import incoming_batch, target_batch
 from tributary.sources.processed_zone import read_unified, read_unified_json, write_json
 from tributary.sources.raw_zone import POSITION, find_raw_parts, read_raw
-from tributary.sources.warehouse import ConcurrentMerge, Warehouse
+from tributary.sources.warehouse import Warehouse
 from tributary.sources.watermarks import Watermarks
 from tributary.streaming.incremental import stream_upsert
 
@@ -194,36 +194,44 @@ def test_last_write_wins_or_newest_wins(spark, tmp_path):
     assert (stats["input"], stats["updated"], stats["inserted"]) == (2, 1, 0)
 
 
-def lost_driver():
-    raise RuntimeError("lost driver")
-
-
-def test_uncommitted_merge_is_not_read(spark, tmp_path):
+def test_failed_merge_changes_nothing(spark, tmp_path):
     house = Warehouse(spark, f"{tmp_path}/t", buckets=2)
-    house.upsert(unified_rows(spark, [("1", "a", None)]))
+    house.upsert(unified_rows(spark, [("1", "a", None), ("3", "x", None)]))
     before = snapshot(house)
-    with pytest.raises(RuntimeError):
-        house.upsert(unified_rows(spark, [("1", "b", None), ("2", "c", None)]), before_commit=lost_driver)
+    rows = unified_rows(spark, [("1", "b", None), ("2", "c", None)])
+    broken = rows.withColumn("name", F.when(F.col("source_id") == "2", F.raise_error(F.lit("lost"))).otherwise(F.col("name")))
+    with pytest.raises(Exception, match="lost"):
+        house.upsert(broken, stage=False)
     assert snapshot(house) == before
-    # A manifest whose writer died half way is passed over, and its number is not used again.
-    put(f"{tmp_path}/t/manifests/{2:012}.json", '{"buckets": 2, "slices": 4}\n')
-    assert snapshot(house) == before
-    house.upsert(unified_rows(spark, [("1", "b", None), ("2", "c", None)]))
-    assert {r["name"] for r in house.read().collect()} == {"b", "c"}
-    left = os.listdir(f"{tmp_path}/t/data")
-    assert len(house.clean(keep=1)) == 2 and len(os.listdir(f"{tmp_path}/t/data")) == len(left) - 2
-    assert {r["name"] for r in house.read().collect()} == {"b", "c"}
-
-
-def test_second_writer_fails(spark, tmp_path):
-    house, other = (Warehouse(spark, f"{tmp_path}/t", buckets=2) for _ in range(2))
-    house.upsert(unified_rows(spark, [("1", "a", None)]))
-    with pytest.raises(ConcurrentMerge):
-        house.upsert(
-            unified_rows(spark, [("1", "late", None)]),
-            before_commit=lambda: other.upsert(unified_rows(spark, [("1", "first", None)])),
-        )
-    assert [r["name"] for r in house.read().collect()] == ["first"]
+    house.upsert(rows)
+    assert {r["name"] for r in house.read().collect()} == {"b", "c", "x"}
+
+
+def test_merge_moves_no_row_of_the_table(spark, tmp_path):
+    house = Warehouse(spark, f"{tmp_path}/t", buckets=3, slices=2)
+    house.upsert(unified_rows(spark, [(str(i), "a", None) for i in range(50)]))
+    batch = coerce_records(unified_rows(spark, [(str(i), "b", None) for i in range(40, 60)])).withColumn("bucket", house._bucket())
+    merged = house.merged(batch)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan and "SelectedBucketsCount: 2 out of 2" in plan
+    assert {(r["merge_action"], r["count"]) for r in merged.groupBy("merge_action").count().collect()} == {("kept", 40), ("updated", 10), ("inserted", 10)}
+    lookup = house.existing_keys(batch)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in lookup
+    files = [f for _, _, names in os.walk(f"{tmp_path}/t/data") for f in names if f.endswith(".parquet")]
+    house.upsert(unified_rows(spark, [(str(i), "c", None) for i in range(60)]))
+    files = [f for _, _, names in os.walk(f"{tmp_path}/t/data") for f in names if f.endswith(".parquet")]
+    assert len(files) == 3 * 2
+
+
+def test_a_table_is_found_by_another_session(spark, tmp_path):
+    root = f"{tmp_path}/it's here/t"
+    house = Warehouse(spark, root, buckets=3, slices=2)
+    house.upsert(unified_rows(spark, [(str(i), "a", None) for i in range(9)]))
+    spark.sql(f"DROP TABLE {house.table}")
+    other = Warehouse(spark, root)
+    assert other.count().first()["row_count"] == 9
+    stats = other.upsert(unified_rows(spark, [("8", "b", None), ("9", "b", None)])).first()
+    assert (stats["inserted"], stats["updated"]) == (1, 1)
 
 
 def test_layout_is_fixed_by_the_first_commit(spark, tmp_path):
@@ -254,7 +262,6 @@ def test_many_merges_stay_one_scan(spark, tmp_path):
     plan = house.read()._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation") == 1 and "Union" not in plan
     assert house.count().first()["row_count"] == 13
-    assert len(os.listdir(f"{tmp_path}/t/manifests")) <= 2 * 10
     existing = house.existing_keys(unified_rows(spark, [("3", "x", None), ("99", "x", None)]))
     assert [r["unified_id"] for r in existing.collect()] == ["stripe:customer:3"]
 
@@ -298,7 +305,7 @@ from tributary.functions.cells import Records
 from tributary.functions.keys import new_run_id
 from tributary.plans.run import Zones, run_all
 from tributary.session import build_session
-from tributary.sources.warehouse import ConcurrentMerge, Warehouse
+from tributary.sources.warehouse import Warehouse
 from tributary.sources.watermarks import Watermarks
 
 spark = build_session("tokyo", "local[2]", **{"spark.sql.shuffle.partitions": "2"})

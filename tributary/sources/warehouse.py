@@ -1,24 +1,21 @@
-"""The warehouse table `unified_records`: Parquet, one row per `unified_id`, kept by keyed upsert.
+"""The warehouse table `unified_records`: one row per `unified_id`, kept by keyed upsert.
 
-Rows are laid out by a hash bucket of the key alone, so a key has one place whatever its source or entity
-type. A merge rewrites only the buckets its keys fall into, into a folder of its own, and commits by writing
-a manifest: the whole list of buckets and the folder each is read from. Manifests are numbered, written once
-and never changed; the newest complete one is the table. Readers see a merge whole or not at all, a run that
-died before its commit leaves the table as it was, and running a batch again gives the same table.
+It is a Spark table over Parquet files in a folder, partitioned by a hash bucket of the key and, within, bucketed and
+sorted by the key (`CLUSTERED BY (unified_id) SORTED BY (unified_id)`). Spark knows that layout, so a merge joins the
+table where it lies: the batch is shuffled to the slices of the table, and no row of the table moves. A key has one place
+whatever its source or entity type. A merge replaces the folders its keys fall into with Spark's dynamic partition
+overwrite, from the join straight to the files, one task for each slice. Running a batch again gives the same table.
 
-A writer claims the next number by creating its manifest, which fails if another writer has created it since:
-the second of two writers gets an error and may simply try again. This needs a file system that creates a
-file only if it does not exist, such as HDFS.
+Commits are Spark's: a merge that fails before its commit changes nothing. One writer at a time; two that run side by
+side are for a table format or a database to keep apart.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Callable
+import hashlib
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,141 +24,89 @@ from tributary.operators.dedupe import deduplicate, row_hash
 from tributary.operators.gate import coerce_records, loadable, unloadable
 from tributary.session import discard, file_system, scratch_path
 
-_FILE_SCHEMA = T.StructType(
-    [T.StructField(f.name, f.dataType) for f in UNIFIED_SCHEMA]
-    + [T.StructField("merge_action", T.StringType()), T.StructField("bucket", T.IntegerType())]
-)
 _STAGED_SCHEMA = T.StructType(
     [T.StructField(f.name, f.dataType) for f in UNIFIED_SCHEMA]
     + [T.StructField("is_loadable", T.BooleanType()), T.StructField("reason", T.StringType()),
        T.StructField("bucket", T.IntegerType())]
 )
-#: Commits whose folders are kept for readers that began before a later one.
-KEPT_COMMITS = 10
-
-
-class ConcurrentMerge(RuntimeError):
-    """Another writer has committed since this merge began."""
+_LAYOUT_SCHEMA = "buckets int, slices int"
 
 
 class Warehouse:
-    """`buckets` spreads the keys; `slices` lets several tasks write one bucket.
+    """`buckets` folders spread the keys, `slices` files each; a merge runs in as many tasks as there are slices.
 
-    Choose them so that a bucket holds a few GB and a slice fits a task. Both are fixed by the first commit;
-    a table that exists refuses others, and takes its own if they are not given.
+    Choose slices so that a task has time and disk for its slice, which is a file of every folder, and buckets so
+    that a file holds some hundred MB: a batch of few keys rewrites only the folders they fall into. Both are
+    fixed by the first merge; a table that exists refuses others, and takes its own if they are not given.
     """
 
     def __init__(self, spark: SparkSession, root: str, *, buckets: int | None = None, slices: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        _, stored, _ = self._newest()
+        self.table = f"tributary_{hashlib.md5(self.root.encode()).hexdigest()}"
+        stored = self._layout()
         for name, asked in (("buckets", buckets), ("slices", slices)):
             if asked is not None and stored and stored[name] != asked:
                 raise ValueError(f"the table has {stored[name]} {name}, not {asked}")
-        stored = stored or {"buckets": buckets or 16, "slices": slices or 4}
-        self.buckets: int = stored["buckets"]
-        self.slices: int = stored["slices"]
+        self.buckets: int = stored["buckets"] if stored else buckets or 16
+        self.slices: int = stored["slices"] if stored else slices or 4
+        if stored:
+            self._register()
 
     # --- layout -------------------------------------------------------------------------------
 
+    def _layout(self) -> dict[str, int] | None:
+        try:
+            row = self.spark.read.schema(_LAYOUT_SCHEMA).json(f"{self.root}/layout").first()
+        except AnalysisException:
+            return None
+        return row.asDict() if row else None
+
+    def _register(self) -> None:
+        """Tell the session's catalog of the table and of the folders other sessions have written."""
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in UNIFIED_SCHEMA)
+        fs, folder = file_system(self.spark, f"{self.root}/data")
+        fs.mkdirs(folder)
+        location = f"{self.root}/data".replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.table} ({columns}, merge_action STRING, bucket INT) USING parquet "
+            f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (bucket) "
+            f"CLUSTERED BY (unified_id) SORTED BY (unified_id) INTO {self.slices} BUCKETS LOCATION '{location}'"
+        )
+        self.spark.sql(f"ALTER TABLE {self.table} RECOVER PARTITIONS")
+        self.spark.catalog.refreshTable(self.table)
+
+    def _create(self) -> None:
+        if self._layout() is None:
+            self.spark.createDataFrame([(self.buckets, self.slices)], _LAYOUT_SCHEMA).coalesce(1).write.json(f"{self.root}/layout")
+            self._register()
+
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64("unified_id"), F.lit(self.buckets)).cast("int")
 
-    def _slice(self) -> Column:
-        """Independent of the bucket: a second hash of the key."""
-        return F.pmod(F.xxhash64("unified_id", F.lit("slice")), F.lit(self.slices)).cast("int")
-
-    def _manifest(self, version: int) -> str:
-        return f"{self.root}/manifests/{version:012}.json"
-
-    def _versions(self) -> list[int]:
-        """Numbers of all manifests, complete or not, newest first."""
-        fs, path = file_system(self.spark, f"{self.root}/manifests")
-        if not fs.exists(path):
-            return []
-        names = [status.getPath().getName() for status in fs.listStatus(path)]
-        return sorted((int(n[:12]) for n in names if n.endswith(".json") and n[:12].isdigit()), reverse=True)
-
-    def _read_manifest(self, version: int) -> tuple[dict, dict[int, str]] | None:
-        """Settings and the folder of each bucket; None if its writer died half way."""
-        lines = [r["value"] for r in self.spark.read.text(self._manifest(version)).collect()]
-        if not lines or lines[-1] != '"end"':
-            return None
-        head, *entries = map(json.loads, lines[:-1])
-        return head, {bucket: merge for bucket, merge in entries}
-
-    def _newest(self) -> tuple[int, dict | None, dict[int, str]]:
-        """The number of the newest manifest of any kind, and what the newest complete one holds."""
-        versions = self._versions()
-        for version in versions:
-            found = self._read_manifest(version)
-            if found:
-                return versions[0], *found
-        return versions[0] if versions else 0, None, {}
-
-    def _commit(self, version: int, live: dict[int, str]) -> None:
-        """One entry for each bucket, so the manifest grows with the buckets, not with the merges."""
-        head = {"buckets": self.buckets, "slices": self.slices}
-        lines = [json.dumps(x) for x in (head, *sorted(live.items()), "end")]
-        fs, path = file_system(self.spark, self._manifest(version))
-        try:
-            out = fs.create(path, False)
-        except Py4JJavaError as error:
-            if fs.exists(path):
-                raise ConcurrentMerge(f"{self.root} has changed since the merge began; run it again") from error
-            raise
-        out.write(bytearray("\n".join(lines).encode()))
-        out.close()
-
-    def _folder(self, merge: str) -> str:
-        return f"{self.root}/data/merge={merge}"
-
-    def _rows(self, live: dict[int, str]) -> DataFrame:
-        """One scan over exactly the given folders."""
-        paths = [f"{self._folder(merge)}/bucket={bucket}" for bucket, merge in sorted(live.items())]
-        if not paths:
-            return self.spark.createDataFrame([], _FILE_SCHEMA)
-        return self.spark.read.schema(_FILE_SCHEMA).option("basePath", f"{self.root}/data").parquet(*paths).drop("merge")
-
-    def clean(self, keep: int = KEPT_COMMITS) -> list[str]:
-        """Delete the folders that none of the `keep` newest commits reads, and older manifests.
-
-        Folders of merges under way are in no manifest yet; they are told by their number, which is that
-        of the commit they aim at.
-        """
-        versions = self._versions()
-        kept, live = versions[:keep], set()
-        for version in kept:
-            found = self._read_manifest(version)
-            live |= set(found[1].values()) if found else set()
-        fs, data = file_system(self.spark, f"{self.root}/data")
-        deleted = []
-        for status in fs.listStatus(data) if fs.exists(data) else []:
-            merge = status.getPath().getName().partition("=")[2]
-            if merge not in live and versions and int(merge.partition("-")[0]) <= versions[0] - keep:
-                deleted.append(merge)
-        for version in versions[keep:]:
-            discard(self.spark, self._manifest(version))
-        for merge in deleted:
-            discard(self.spark, self._folder(merge))
-        return deleted
+    def _rows(self, buckets: set[int] | None = None) -> DataFrame:
+        if not self.spark.catalog.tableExists(self.table):
+            schema = T.StructType([*_STAGED_SCHEMA.fields[:len(UNIFIED_COLUMNS)], T.StructField("merge_action", T.StringType()),
+                                   T.StructField("bucket", T.IntegerType())])
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.table(self.table)
+        return rows if buckets is None or len(buckets) == self.buckets else rows.where(F.col("bucket").isin(sorted(buckets)))
 
     # --- reading ------------------------------------------------------------------------------
 
     def read(self) -> DataFrame:
-        """The committed rows."""
-        return self._rows(self._newest()[2]).select(*UNIFIED_COLUMNS)
+        """The rows."""
+        return self._rows().select(*UNIFIED_COLUMNS)
 
     def count(self) -> DataFrame:
         """The number of rows, from the file footers."""
-        return self._rows(self._newest()[2]).agg(F.count(F.lit(1)).alias("row_count"))
+        return self._rows().agg(F.count(F.lit(1)).alias("row_count"))
 
     def existing_keys(self, incoming: DataFrame) -> DataFrame:
         """Which incoming keys the table already holds; only the buckets they fall into are read."""
         keys = incoming.select("unified_id").distinct()
         touched = self._touched(keys.withColumn("bucket", self._bucket()))
-        live = {b: m for b, m in self._newest()[2].items() if b in touched}
-        return keys.join(self._rows(live).select("unified_id"), "unified_id", "left_semi")
+        return keys.join(self._rows(touched).select("unified_id"), "unified_id", "left_semi")
 
     @staticmethod
     def _touched(rows: DataFrame) -> set[int]:
@@ -179,7 +124,6 @@ class Warehouse:
         quarantine: str | None = None,
         decode: bool = True,
         stage: bool = True,
-        before_commit: Callable[[], None] | None = None,
     ) -> DataFrame:
         """Merge records by key and return the counts per source and resource.
 
@@ -189,7 +133,6 @@ class Warehouse:
         is older than the stored one does not replace it. `decode=False` skips reading attribute text;
         `stage=False` reads the records again for each step, for records that lie in Parquet already.
         """
-        version, _, live = self._newest()
         staged = coerce_records(records, decode=decode).withColumn("bucket", self._bucket())
         staged_path = scratch_path(self.spark, "incoming")
         if stage:
@@ -206,17 +149,11 @@ class Warehouse:
         touched = self._touched(good)
         actions: dict[tuple, dict[str, int]] = {}
         if touched:
-            merge = f"{version + 1}-{uuid.uuid4().hex}"
-            target = self._rows({b: m for b, m in live.items() if b in touched})
+            self._create()
             incoming = deduplicate(good, ["unified_id"], None, [*position, row_hash(good)])
-            self._merged(target, incoming, newest_wins).write.partitionBy("bucket").parquet(self._folder(merge))
-            if before_commit:
-                before_commit()
-            self._commit(version + 1, {**live, **{b: merge for b in touched}})
-            written = self.spark.read.schema(_FILE_SCHEMA).parquet(self._folder(merge))
-            for row in written.groupBy("source", "source_resource", "merge_action").count().collect():
+            self.merged(incoming, newest_wins, touched).write.insertInto(self.table, overwrite=True)
+            for row in self._rows(touched).groupBy("source", "source_resource", "merge_action").count().collect():
                 actions.setdefault(tuple(row[:2]), {})[row["merge_action"]] = row["count"]
-            self.clean()
         discard(self.spark, staged_path)
         rows = [
             (*key, r["input"], actions.get(key, {}).get("inserted", 0), actions.get(key, {}).get("updated", 0), r["rejected"])
@@ -226,23 +163,22 @@ class Warehouse:
             rows, "source string, source_resource string, input long, inserted long, updated long, rejected long"
         )
 
-    def _merged(self, target: DataFrame, incoming: DataFrame, newest_wins: bool) -> DataFrame:
-        """One shuffle of both sides by bucket and slice; it serves the merge and the write."""
-        both = (
-            target.withColumn("merge_action", F.lit("kept"))
-            .unionByName(incoming.withColumn("merge_action", F.lit("inserted")))
-            .withColumn("_slice", self._slice()).repartition("bucket", "_slice")
+    def merged(self, incoming: DataFrame, newest_wins: bool = False, buckets: set[int] | None = None) -> DataFrame:
+        """The rows of the given folders after a merge with rows of distinct keys, as the table stores them.
+
+        Only the batch is shuffled. Both sides of a slice are sorted, which may spill, so neither has to fit memory.
+        """
+        old = self._rows(buckets).select(F.col("unified_id"), F.struct(*UNIFIED_COLUMNS, "bucket").alias("old"))
+        new = incoming.repartition(self.slices, "unified_id").select(
+            "unified_id", F.struct(*UNIFIED_COLUMNS, "bucket").alias("new")
+        )
+        both = old.join(new, "unified_id", "full_outer")
+        replaces = F.col("new").isNotNull()
+        if newest_wins:
+            when = {side: F.coalesce(f"{side}.updated_at", f"{side}.created_at") for side in ("old", "new")}
+            replaces &= F.col("old").isNull() | when["old"].isNull() | F.coalesce(when["new"] >= when["old"], F.lit(False))
+        action = F.when(~replaces, "kept").when(F.col("old").isNull(), "inserted").otherwise("updated")
+        chosen = F.when(replaces, F.col("new")).otherwise(F.col("old"))
+        return both.select(chosen.alias("row"), action.alias("merge_action")).select(
+            *[F.col(f"row.{c}").alias(c) for c in UNIFIED_COLUMNS], "merge_action", F.col("row.bucket").alias("bucket")
         )
-        is_incoming = (F.col("merge_action") == "inserted").cast("int")
-        key = Window.partitionBy("bucket", "_slice", "unified_id")
-        newest = [F.coalesce("updated_at", "created_at").desc()] if newest_wins else []
-        order = [*newest, is_incoming.desc()]
-        ranked = both.withColumns({
-            "_rank": F.row_number().over(key.orderBy(*order)),
-            "_next": F.lead("merge_action").over(key.orderBy(*order)),
-        }).where("_rank = 1")
-        action = F.when(
-            (F.col("merge_action") == "inserted") & F.col("_next").isNotNull(), F.lit("updated")
-        ).otherwise(F.col("merge_action"))
-        # The window has sorted by bucket, slice and key already, which is the order the write needs.
-        return ranked.withColumn("merge_action", action).drop("_rank", "_next", "_slice")
