@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame
 from tributary.llm.common import mix
 
 #: Bytes of text in a block; a longer document is a block by itself.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
 #: Words whose n-grams meet in one part, on average. With more words than some 10^12, raise both sizes alike: a
 #: posting should hold a hundred entries and more.
-PART_WORDS = 2_000_000
+PART_WORDS = 1_000_000
 
 PACKED = "block long, text_bytes long, docs binary"
 
