@@ -221,7 +221,8 @@ def _tag_rejects(df: DataFrame, mapping: ResourceMapping, keep: tuple[str, ...])
     stage = f"CASE WHEN _reason IS NOT NULL THEN 'mapping' WHEN NOT ({passes}) THEN 'validation' END"
     return selected(df, keep, {
         **same,
-        "reject_stage": pinned(stage),
+        # A stream's rows pass a stateful step before they are filtered, which pins the column as well.
+        "reject_stage": stage if df.isStreaming else pinned(stage),
         "reject_reason": f"coalesce(_reason, coalesce({', '.join(rules)}).msg)",
         "reject_errors": f"CASE WHEN _reason IS NULL THEN {collect_errors(list(rules))} END",
         "payload": f"CASE WHEN _reason IS NOT NULL OR NOT ({passes}) THEN payload END",

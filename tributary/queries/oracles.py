@@ -452,6 +452,14 @@ incoming AS (SELECT * REPLACE ('succeeded' AS status) FROM good_raw_charges WHER
 SELECT {UNIFIED} FROM incoming UNION ALL SELECT {UNIFIED} FROM target WHERE unified_id NOT IN (SELECT unified_id FROM incoming)""",
 }
 
+ORACLES["stream_newest"] = map_sql("raw_opportunities", True)
+_STREAMED = ("raw_customers", "raw_accounts", "raw_opportunities")
+ORACLES["stream_counts"] = with_mapped(*_STREAMED) + "\nUNION ALL ".join(
+    f"""SELECT '{RESOURCES[v][0]}' AS source, '{RESOURCES[v][1]}' AS source_resource, (SELECT count(*) FROM mapped_{v}) AS input,
+  (SELECT count(*) FROM good_{v}) AS mapped, (SELECT count(*) FROM mapped_{v}) - (SELECT count(*) FROM good_{v}) AS rejected"""
+    for v in _STREAMED
+)
+
 # The landing checks charges and customers against their contracts before they are transformed.
 ORACLES["end_to_end"] = with_mapped(*ALL) + f""", landed AS (SELECT u.* FROM ({union_unified()}) u
   WHERE NOT (source_resource = 'charges' AND source_id IN (SELECT id FROM raw_charges

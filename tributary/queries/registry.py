@@ -41,6 +41,8 @@ from tributary.sources.raw_zone import PART_RECORDS, find_raw_parts, land_raw, r
 from tributary.sources.warehouse import Warehouse
 from tributary.sources.watermarks import Watermarks
 from tributary.streaming.incremental import stream_upsert as start_stream
+from tributary.streaming.newest import StreamCounts
+from tributary.streaming.newest import stream_newest as start_newest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -953,6 +955,44 @@ def stream_upsert(spark, sf_dir):
     return shown(house.read())
 
 
+@query
+def stream_newest(spark, sf_dir):
+    """Versions arrive one run after the other, most of the second run late, and the first run comes again. The
+    state of a key is dropped a day behind the newest change."""
+    raw = raw_view(spark, sf_dir, "raw_opportunities")
+    root, checkpoint = scratch_path(spark, "raw"), scratch_path(spark, "checkpoint")
+    house = warehouse(spark)
+    for run, version in enumerate((0, 1, 0), 1):
+        rows = raw.where(F.col("part_no") == version).drop("part_no")
+        land_raw(rows, root, "salesforce", "opportunities", f"2024-07-0{run}T00-00-00Z")
+        start_newest(
+            spark, root, "salesforce", "opportunities", house, checkpoint, INGESTED_AT, delay="1 day"
+        ).awaitTermination()
+    return shown(house.read(), _attributes_of("raw_opportunities"))
+
+
+@query
+def stream_counts(spark, sf_dir):
+    """What streams have observed of their micro-batches, added up for each resource."""
+    root = scratch_path(spark, "raw")
+    counts = StreamCounts()
+    spark.streams.addListener(counts)
+    rows = []
+    try:
+        for view in ("raw_customers", "raw_accounts", "raw_opportunities"):
+            source, resource = RESOURCES[view]
+            land_raw(raw_view(spark, sf_dir, view), root, source, resource, RUN_ID)
+            stream = start_newest(
+                spark, root, source, resource, warehouse(spark), scratch_path(spark, "checkpoint"), INGESTED_AT, files_per_batch=3
+            )
+            stream.awaitTermination()
+            seen = counts.of(stream).get("tagged", {})
+            rows.append((source, resource, *(seen.get(c, 0) for c in ("input", "mapped", "rejected"))))
+    finally:
+        spark.streams.removeListener(counts)
+    return spark.createDataFrame(rows, "source string, source_resource string, input long, mapped long, rejected long")
+
+
 @query
 def end_to_end(spark, sf_dir):
     """All stages from raw records, repeated versions included, to the warehouse, counted by source, entity

@@ -79,10 +79,12 @@ def _lines(spark: SparkSession, path: str, whole_files: bool, glob: str = _GLOB)
 def explode_records(lines: DataFrame) -> DataFrame:
     """One row per array element, or one row for any other value; blank lines hold nothing.
 
-    `raw` is a VARIANT, null when the text is not JSON. `line` and `item` keep the input order.
+    `raw` is a VARIANT, null when the text is not JSON. `line` and `item` keep the input order; the lines of
+    a stream have no numbers, so `line` is null there.
     """
+    number = F.lit(None).cast("long") if lines.isStreaming else F.monotonically_increasing_id()
     return (
-        lines.withColumn("line", F.monotonically_increasing_id())
+        lines.withColumn("line", number)
         .where(F.trim("value") != "")
         .selectExpr("part", "block", "line", f"try_parse_json({in_brackets('value')}) AS _bracketed")
         .selectExpr("part", "block", "line", f"{strict_json('_bracketed')} AS _parsed")

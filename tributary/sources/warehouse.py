@@ -121,6 +121,7 @@ class Warehouse:
         *,
         order_by: tuple[str, ...] = (),
         newest_wins: bool = False,
+        skip_unchanged: bool = False,
         quarantine: str | None = None,
         decode: bool = True,
         stage: bool = True,
@@ -130,7 +131,9 @@ class Warehouse:
         Rows that fail the gate are counted as rejected and, with `quarantine`, written there. A key
         that comes several times keeps its newest row; `order_by` lists what decides, most significant
         first. A matched row is replaced whole, nulls included. With `newest_wins` an incoming row that
-        is older than the stored one does not replace it. `decode=False` skips reading attribute text;
+        is older than the stored one does not replace it. With `skip_unchanged`, which implies it, rows that
+        would change nothing are left out first, so their folders are not written again; when a record was
+        ingested does not count as a change. `decode=False` skips reading attribute text;
         `stage=False` reads the records again for each step, for records that lie in Parquet already.
         """
         staged = coerce_records(records, decode=decode).withColumn("bucket", self._bucket())
@@ -146,15 +149,20 @@ class Warehouse:
             F.count(F.lit(1)).alias("input"),
             F.count(F.when(~F.col("is_loadable"), 1)).alias("rejected"),
         ).collect()
+        if skip_unchanged:
+            good = self._changes(deduplicate(good, ["unified_id"], None, [*position, row_hash(good)]))
+            good.write.parquet(f"{staged_path}-changes")
+            good = self.spark.read.schema(good.schema).parquet(f"{staged_path}-changes")
         touched = self._touched(good)
         actions: dict[tuple, dict[str, int]] = {}
         if touched:
             self._create()
             incoming = deduplicate(good, ["unified_id"], None, [*position, row_hash(good)])
-            self.merged(incoming, newest_wins, touched).write.insertInto(self.table, overwrite=True)
+            self.merged(incoming, newest_wins or skip_unchanged, touched).write.insertInto(self.table, overwrite=True)
             for row in self._rows(touched).groupBy("source", "source_resource", "merge_action").count().collect():
                 actions.setdefault(tuple(row[:2]), {})[row["merge_action"]] = row["count"]
-        discard(self.spark, staged_path)
+        for path in (staged_path, f"{staged_path}-changes"):
+            discard(self.spark, path)
         rows = [
             (*key, r["input"], actions.get(key, {}).get("inserted", 0), actions.get(key, {}).get("updated", 0), r["rejected"])
             for r in counts for key in [(r["source"], r["source_resource"])]
@@ -163,6 +171,18 @@ class Warehouse:
             rows, "source string, source_resource string, input long, inserted long, updated long, rejected long"
         )
 
+    def _changes(self, incoming: DataFrame) -> DataFrame:
+        """The rows, of distinct keys, that are newer than the stored ones, or as new and not the same.
+
+        Like a merge this moves no row of the table, and it reads no attribute of rows that are not asked for.
+        """
+        at, content = F.coalesce("updated_at", "created_at"), F.xxhash64(*[c for c in UNIFIED_COLUMNS if c != "ingested_at"])
+        touched = self._touched(incoming)
+        old = self._rows(touched).select("unified_id", at.alias("_old_at"), content.alias("_old_content"))
+        both = incoming.repartition(self.slices, "unified_id").join(old, "unified_id", "left")
+        same = (at == F.col("_old_at")) & (content == F.col("_old_content"))
+        return both.where(F.col("_old_at").isNull() | (at > F.col("_old_at")) | ((at == F.col("_old_at")) & ~same)).select(*incoming.columns)
+
     def merged(self, incoming: DataFrame, newest_wins: bool = False, buckets: set[int] | None = None) -> DataFrame:
         """The rows of the given folders after a merge with rows of distinct keys, as the table stores them.
 
