@@ -94,6 +94,7 @@ def run_transform(
     quarantine_root: str | None = None,
     only_this_run: bool = False,
     whole_files: bool = False,
+    split_files: bool = False,
     also_json: bool = False,
 ) -> dict[str, dict[str, int]]:
     """Transform the raw zone into the processed zone; returns counts per `source/resource`.
@@ -106,7 +107,8 @@ def run_transform(
     for part in find_raw_parts(spark, raw_root).where("NOT is_mapped").select("source", "resource").distinct().collect():
         log.warning("%s/%s has no mapping, skipped", part["source"], part["resource"])
     zone = read_raw_zone(
-        spark, raw_root, sources, resources, run_id=run_id if only_this_run else None, whole_files=whole_files
+        spark, raw_root, sources, resources, run_id=run_id if only_this_run else None, whole_files=whole_files,
+        split_files=split_files,
     )
     if not zone:
         log.warning("nothing has landed under %s", raw_root)

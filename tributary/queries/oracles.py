@@ -452,6 +452,7 @@ incoming AS (SELECT * REPLACE ('succeeded' AS status) FROM good_raw_charges WHER
 SELECT {UNIFIED} FROM incoming UNION ALL SELECT {UNIFIED} FROM target WHERE unified_id NOT IN (SELECT unified_id FROM incoming)""",
 }
 
+ORACLES["raw_huge_array"] = ORACLES["raw_array_parts"]
 ORACLES["stream_newest"] = map_sql("raw_opportunities", True)
 _STREAMED = ("raw_customers", "raw_accounts", "raw_opportunities")
 ORACLES["stream_counts"] = with_mapped(*_STREAMED) + "\nUNION ALL ".join(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from datetime import datetime, timezone
 from functools import wraps
 
@@ -720,6 +721,39 @@ def raw_array_parts(spark, sf_dir):
     )
 
 
+@contextmanager
+def _ranges_of(spark, size: str):
+    """Files read within are cut into ranges of this size, once their plan is made."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, size)
+    try:
+        yield
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+
+
+@query
+def raw_huge_array(spark, sf_dir):
+    """All charges as one JSON array in one file, over several lines each, read by a task for every 256 kB."""
+    raw = raw_view(spark, sf_dir, "raw_charges").select("id", "amount", "currency", "status", "created")
+    body = F.to_json(F.struct(*raw.columns, F.array(F.struct(F.lit("a } in \"text").alias("note"))).alias("notes")), {"pretty": "true"})
+    rows = raw.select(F.lit(1).alias("at"), "id", F.concat(body, F.lit(",")).alias("value"))
+    ends = spark.createDataFrame([(0, "", "["), (2, "", "{}]")], "at int, id string, value string")
+    root = scratch_path(spark, "raw")
+    one = rows.unionByName(ends).repartition(1).sortWithinPartitions("at", "id").select("value")
+    one.write.text(f"{root}/stripe/charges/run_date=20240701/{RUN_ID}")
+    with _ranges_of(spark, "256k"):
+        records = read_raw(spark, root, "stripe", "charges", split_files=True, glob="*.txt")
+        picked = records.select("line", "item", *[F.expr(pick_variant("record", c)).cast("string").alias(c) for c in raw.columns])
+        # Read here, as the ranges are cut when the plan is made.
+        kept = scratch_path(spark, "split")
+        picked.write.parquet(kept)
+    return spark.read.schema(picked.schema).parquet(kept).where("id IS NOT NULL").drop("line", "item")
+
+
 # --- zones ------------------------------------------------------------------------------------
 
 

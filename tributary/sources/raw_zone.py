@@ -1,7 +1,8 @@
 """The raw zone: JSON parts under `<root>/<source>/<resource>/run_date=YYYYMMDD/<run_id>/`.
 
 Parts are JSON Lines when written here. Parts that hold one JSON array or one object on a line are
-read as well, and `whole_files=True` reads parts that are spread over several lines.
+read as well. `whole_files=True` reads parts that are spread over several lines, each in one task;
+`split_files=True` reads such parts of any size, many tasks to a part.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from tributary.functions.keys import run_date
 from tributary.model import SOURCES
 from tributary.operators.envelope import unwrap
 from tributary.operators.mapping import MAPPINGS
+from tributary.sources.json_arrays import split_records
 
 # Input order of a record, most significant first: part paths sort by run, then place in the part.
 POSITION = ("part", "block", "line", "item")
@@ -76,16 +78,18 @@ def _lines(spark: SparkSession, path: str, whole_files: bool, glob: str = _GLOB)
         return None
 
 
-def explode_records(lines: DataFrame) -> DataFrame:
+def explode_records(lines: DataFrame, *, numbered: bool = True) -> DataFrame:
     """One row per array element, or one row for any other value; blank lines hold nothing.
 
-    `raw` is a VARIANT, null when the text is not JSON. `line` and `item` keep the input order; the lines of
-    a stream have no numbers, so `line` is null there.
+    `raw` is a VARIANT, null when the text is not JSON. `line` and `item` keep the input order. Lines are numbered
+    unless they are already, or are a stream, whose lines have no numbers: `line` is null there.
     """
-    number = F.lit(None).cast("long") if lines.isStreaming else F.monotonically_increasing_id()
+    if lines.isStreaming:
+        lines = lines.withColumn("line", F.lit(None).cast("long"))
+    elif numbered:
+        lines = lines.withColumn("line", F.monotonically_increasing_id())
     return (
-        lines.withColumn("line", number)
-        .where(F.trim("value") != "")
+        lines.where(F.trim("value") != "")
         .selectExpr("part", "block", "line", f"try_parse_json({in_brackets('value')}) AS _bracketed")
         .selectExpr("part", "block", "line", f"{strict_json('_bracketed')} AS _parsed")
         .select(
@@ -110,6 +114,7 @@ def read_raw(
     *,
     run_id: str | None = None,
     whole_files: bool = False,
+    split_files: bool = False,
     glob: str = _GLOB,
 ) -> DataFrame | None:
     """Records of one resource with envelopes taken off, or None when nothing has landed.
@@ -118,10 +123,11 @@ def read_raw(
     raw, record.
     """
     base = f"{root.rstrip('/')}/{source}/{resource}"
-    lines = _lines(spark, f"{base}/run_date=*/{run_id}" if run_id else base, whole_files, glob)
+    path = f"{base}/run_date=*/{run_id}" if run_id else base
+    lines = split_records(spark, path, glob) if split_files else _lines(spark, path, whole_files, glob)
     if lines is None:
         return None
-    return unwrapped(explode_records(lines))
+    return unwrapped(explode_records(lines, numbered=not split_files))
 
 
 def read_raw_zone(
@@ -132,11 +138,12 @@ def read_raw_zone(
     *,
     run_id: str | None = None,
     whole_files: bool = False,
+    split_files: bool = False,
 ) -> dict[tuple[str, str], DataFrame]:
     """The landed records of every selected resource; each reads its own directory only."""
     landed = {}
     for source, resource in _select(sources, resources):
-        records = read_raw(spark, root, source, resource, run_id=run_id, whole_files=whole_files)
+        records = read_raw(spark, root, source, resource, run_id=run_id, whole_files=whole_files, split_files=split_files)
         if records is not None:
             landed[(source, resource)] = records
     return landed
