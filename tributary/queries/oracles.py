@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from tributary.queries.inputs import RAW_VIEWS, RESOURCES, view_sql
 from tributary.queries.json_inputs import JSON_RESOURCES, JSON_VIEWS, checked_sql, mapped_sql
-from tributary.queries.registry import ATTRIBUTES, BATCH_FROM, TARGET_UNTIL
+from tributary.queries.registry import ATTRIBUTES, BATCH_FROM, STRIPE_CUTOFF, TARGET_UNTIL
 
 _SPACES = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 # The same as in the rules, on purpose by hand.
@@ -452,6 +452,9 @@ incoming AS (SELECT * REPLACE ('succeeded' AS status) FROM good_raw_charges WHER
 SELECT {UNIFIED} FROM incoming UNION ALL SELECT {UNIFIED} FROM target WHERE unified_id NOT IN (SELECT unified_id FROM incoming)""",
 }
 
+_PAGED = with_views("raw_charges") + "SELECT * EXCLUDE (ordered_on) FROM raw_charges"
+ORACLES["landed_pages_stream"] = _PAGED
+ORACLES["landed_pages_since"] = f"{_PAGED} WHERE CAST(created AS BIGINT) > {int(STRIPE_CUTOFF.timestamp())}"
 ORACLES["raw_huge_array"] = ORACLES["raw_array_parts"]
 ORACLES["stream_newest"] = map_sql("raw_opportunities", True)
 _STREAMED = ("raw_customers", "raw_accounts", "raw_opportunities")

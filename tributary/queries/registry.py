@@ -37,6 +37,7 @@ from tributary.plans.transform import newest_per_key, transform_records, union_a
 from tributary.queries.json_inputs import JSON_RESOURCES, JSON_TABLES, JSON_VIEWS
 from tributary.queries.inputs import RESOURCES, VERSION_ORDER, as_json, raw_records, raw_view, table
 from tributary.session import prepare, scratch_path
+from tributary.sources.pages import land_pages, read_pages, stream_pages
 from tributary.sources.processed_zone import read_unified, write_unified
 from tributary.sources.raw_zone import PART_RECORDS, find_raw_parts, land_raw, read_raw
 from tributary.sources.warehouse import Warehouse
@@ -913,6 +914,37 @@ def run_load(spark, sf_dir):
     return shown(house.read(), ATTRIBUTES)
 
 
+def _paged_runs(spark, sf_dir) -> tuple[str, DataFrame]:
+    """Charges as pages of two runs, the order of both as it comes."""
+    raw = raw_view(spark, sf_dir, "raw_charges").drop("ordered_on")
+    root = scratch_path(spark, "raw")
+    for run in (1, 2):
+        rows = raw.where(F.pmod(F.xxhash64("id"), F.lit(2)) == run - 1)
+        land_pages(rows, root, "stripe", "charges", f"2024-07-0{run}T00-00-00Z")
+    return root, raw
+
+
+def _picked(records: DataFrame, columns: list[str]) -> DataFrame:
+    return records.select(*[F.expr(pick_variant("record", c)).cast("string").alias(c) for c in columns])
+
+
+@query
+def landed_pages_since(spark, sf_dir):
+    """Pages read from a cutoff on, which the scan applies."""
+    root, raw = _paged_runs(spark, sf_dir)
+    return _picked(read_pages(spark, root, "stripe", "charges", since=STRIPE_CUTOFF), raw.columns)
+
+
+@query
+def landed_pages_stream(spark, sf_dir):
+    """The same pages as a stream, run by run."""
+    root, raw = _paged_runs(spark, sf_dir)
+    path = scratch_path(spark, "streamed")
+    stream = _picked(stream_pages(spark, root, "stripe", "charges"), raw.columns).writeStream.format("parquet")
+    stream.option("checkpointLocation", scratch_path(spark, "checkpoint")).trigger(availableNow=True).start(path).awaitTermination()
+    return spark.read.parquet(path)
+
+
 # --- watermarks and increments ----------------------------------------------------------------
 
 
