@@ -23,6 +23,11 @@ def new_run_id(now: datetime | None = None) -> str:
     return (now or datetime.now(timezone.utc)).strftime("%Y-%m-%dT%H-%M-%SZ")
 
 
+def run_id_of(instant: str) -> str:
+    """The run id of an instant, as `new_run_id` writes it; fractions of a second are cut off."""
+    return f"date_format({instant}, \"yyyy-MM-dd'T'HH-mm-ss'Z'\")"
+
+
 def timestamp_literal(moment: datetime) -> str:
     """A moment as a UTC timestamp. It must have an offset: a naive one could mean any zone."""
     if moment.tzinfo is None:

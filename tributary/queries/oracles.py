@@ -452,6 +452,15 @@ incoming AS (SELECT * REPLACE ('succeeded' AS status) FROM good_raw_charges WHER
 SELECT {UNIFIED} FROM incoming UNION ALL SELECT {UNIFIED} FROM target WHERE unified_id NOT IN (SELECT unified_id FROM incoming)""",
 }
 
+ORACLES["run_ids"] = """SELECT event_id, strftime(ts, '%Y-%m-%dT%H-%M-%SZ') AS run_id, strftime(ts, '%Y%m%d') AS run_date FROM events"""
+_MINOR, _CODE = coerce_minor("amount"), currency("currency")
+ORACLES["sql_scalar_rules"] = with_views("raw_charges") + f"""SELECT id, {clean('description')} AS name, {_CODE} AS code, {_MINOR} AS minor,
+  {major(_MINOR, f"coalesce({_CODE}, '')")} AS major, {instant('created')} AS created_at,
+  'stripe:transaction:' || {clean('id')} AS unified_id FROM raw_charges"""
+ORACLES["sql_table_rules"] = with_mapped("raw_charges") + "\nUNION ALL ".join(
+    f"SELECT unified_id, '{a}' AS name, attr_{a} AS value FROM unified_raw_charges WHERE attr_{a} IS NOT NULL"
+    for a in attributes_of("raw_charges")
+)
 _PAGED = with_views("raw_charges") + "SELECT * EXCLUDE (ordered_on) FROM raw_charges"
 ORACLES["landed_pages_stream"] = _PAGED
 ORACLES["landed_pages_since"] = f"{_PAGED} WHERE CAST(created AS BIGINT) > {int(STRIPE_CUTOFF.timestamp())}"

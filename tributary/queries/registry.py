@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from tributary.functions.attributes import decode_attributes
 from tributary.functions.cells import Records, in_brackets, is_object, pick_variant, strict_json
 from tributary.functions.instants import epoch_to_timestamp, parse_instant
-from tributary.functions.keys import run_date, surrogate_key, timestamp_literal
+from tributary.functions.keys import run_date, run_id_of, surrogate_key, timestamp_literal
 from tributary.functions.money import (
     coerce_minor_text, currency_exponent, major_to_minor, minor_text_to_major, minor_to_major,
 )
+from tributary.functions.sql import register_rules
 from tributary.functions.status import resolve_status
 from tributary.functions.text import (
     clean_email, clean_string, is_missing, standardize_currency, strip, title_case,
@@ -600,6 +601,35 @@ def stable_order(spark, sf_dir):
     return shown(unified(spark, sf_dir, "raw_opportunities").orderBy("unified_id"))
 
 
+# --- rules in SQL ---------------------------------------------------------------------------------
+
+
+#: Plain SQL over raw records; the functions are those of `register_rules`.
+CHARGES_IN_SQL = """
+SELECT id, rule_clean_string(description) AS name, rule_standardize_currency(currency) AS code,
+       rule_minor_units(amount) AS minor, rule_minor_to_major(rule_minor_units(amount), rule_standardize_currency(currency)) AS major,
+       rule_parse_instant(created) AS created_at, rule_surrogate_key('stripe', 'transaction', rule_clean_string(id)) AS unified_id
+FROM {charges}"""
+
+
+@query
+def sql_scalar_rules(spark, sf_dir):
+    """The scalar rules called from SQL text."""
+    register_rules(spark, "rule_")
+    rows = spark.sql(CHARGES_IN_SQL, charges=raw_view(spark, sf_dir, "raw_charges"))
+    return rows.withColumn("created_at", moment("created_at"))
+
+
+@query
+def sql_table_rules(spark, sf_dir):
+    """The attributes of unified charges as rows, by a table function called from SQL text."""
+    register_rules(spark, "rule_")
+    return spark.sql(
+        "SELECT u.unified_id, a.name, a.value FROM {unified} u, LATERAL rule_attributes_of(u.attributes) a",
+        unified=unified(spark, sf_dir, "raw_charges"),
+    )
+
+
 # --- whole transforms -------------------------------------------------------------------------
 
 
@@ -801,6 +831,14 @@ def run_date_partition(spark, sf_dir):
     return rows.withColumn("run_date", F.expr(run_date("run_id", timestamp_literal(INGESTED_AT))))
 
 
+@query
+def run_ids(spark, sf_dir):
+    """The run each event would have started, and where its records would lie."""
+    events = table(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    ids = events.select("event_id", F.expr(run_id_of("at")).alias("run_id"))
+    return ids.withColumn("run_date", F.expr(run_date("run_id", timestamp_literal(INGESTED_AT))))
+
+
 @query
 def processed_zone_roundtrip(spark, sf_dir):
     root = scratch_path(spark, "processed")
