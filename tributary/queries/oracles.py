@@ -461,6 +461,9 @@ ORACLES["sql_table_rules"] = with_mapped("raw_charges") + "\nUNION ALL ".join(
     f"SELECT unified_id, '{a}' AS name, attr_{a} AS value FROM unified_raw_charges WHERE attr_{a} IS NOT NULL"
     for a in attributes_of("raw_charges")
 )
+ORACLES["archived_records"] = map_sql("raw_customers", True)
+ORACLES["archived_since"] = with_views("raw_opportunities") + f"""SELECT "Id", "Amount", "LastModifiedDate", CAST(part_no AS VARCHAR) AS part_no
+FROM raw_opportunities WHERE {instant('"LastModifiedDate"')} > TIMESTAMP '2024-02-05 00:00:00'"""
 _PAGED = with_views("raw_charges") + "SELECT * EXCLUDE (ordered_on) FROM raw_charges"
 ORACLES["landed_pages_stream"] = _PAGED
 ORACLES["landed_pages_since"] = f"{_PAGED} WHERE CAST(created AS BIGINT) > {int(STRIPE_CUTOFF.timestamp())}"

@@ -40,7 +40,8 @@ from tributary.queries.inputs import RESOURCES, VERSION_ORDER, as_json, raw_reco
 from tributary.session import prepare, scratch_path
 from tributary.sources.pages import land_pages, read_pages, stream_pages
 from tributary.sources.processed_zone import read_unified, write_unified
-from tributary.sources.raw_zone import PART_RECORDS, find_raw_parts, land_raw, read_raw
+from tributary.sources.raw_archive import archive, picked_since, read_archive
+from tributary.sources.raw_zone import PART_RECORDS, POSITION, find_raw_parts, land_raw, read_raw
 from tributary.sources.warehouse import Warehouse
 from tributary.sources.watermarks import Watermarks
 from tributary.streaming.incremental import stream_upsert as start_stream
@@ -973,6 +974,29 @@ def landed_pages_since(spark, sf_dir):
     return _picked(read_pages(spark, root, "stripe", "charges", since=STRIPE_CUTOFF), raw.columns)
 
 
+@query
+def archived_since(spark, sf_dir):
+    """Two runs parsed once into the archive; a cutoff and some fields read from its columns."""
+    raw = raw_view(spark, sf_dir, "raw_opportunities")
+    root, kept = scratch_path(spark, "raw"), scratch_path(spark, "archive")
+    for part_no in (0, 1):
+        run_id = f"2024-07-0{part_no + 1}T00-00-00Z"
+        land_raw(raw.where(F.col("part_no") == part_no), root, "salesforce", "opportunities", run_id)
+        archive(read_raw(spark, root, "salesforce", "opportunities", run_id=run_id), kept, "salesforce", "opportunities", run_id)
+    rows = read_archive(spark, kept, "salesforce", "opportunities")
+    return picked_since(rows, "salesforce", SALESFORCE_CUTOFF, {c: c for c in ("Id", "Amount", "LastModifiedDate", "part_no")}).drop(*POSITION)
+
+
+@query
+def archived_records(spark, sf_dir):
+    """Whole records from the archive, mapped like landed ones."""
+    root, kept = scratch_path(spark, "raw"), scratch_path(spark, "archive")
+    land_raw(raw_view(spark, sf_dir, "raw_customers"), root, "stripe", "customers", RUN_ID)
+    archive(read_raw(spark, root, "stripe", "customers"), kept, "stripe", "customers", RUN_ID)
+    records = Records(read_archive(spark, kept, "stripe", "customers"), "record")
+    return shown(transform_records(records, "stripe", "customers", INGESTED_AT, position=POSITION).unified, _attributes_of("raw_customers"))
+
+
 @query
 def landed_pages_stream(spark, sf_dir):
     """The same pages as a stream, run by run."""
