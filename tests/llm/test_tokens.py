@@ -40,6 +40,22 @@ def test_safe_parts_change_no_id(text, part):
     assert byte_bpe.encode(BYTES, text, part) == BYTES.encode_ordinary(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(TEXT, st.integers(2, 4))
+def test_runs_split_by_hand_change_no_id(text, run):
+    assert byte_bpe.encode(BYTES, text, 1, run) == BYTES.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("n", [1_000_000, 5_000_000])
+@pytest.mark.parametrize("unit", [" ", "\n", " \n\t", "\u3000"])
+def test_very_long_runs(n, unit):
+    run = (unit * (n // len(unit) + 1))[:n]
+    single = BYTES._encode_single_piece
+    assert byte_bpe.encode(BYTES, run) == single(run.encode())
+    rest = run[-1] + "word"
+    assert byte_bpe.encode(BYTES, "a" + run + "word") == BYTES.encode_ordinary("a") + single(run[:-1].encode()) + BYTES.encode_ordinary(rest)
+
+
 def test_byte_bpe_round_trip(spark):
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(ODD)] + [(None, "a", "x"), (3, "a", "x")], "doc_id long, text string, n_tokens string")
     rows = byte_bpe.round_trip(df, queries.BYTE_BPE, public_tokenizers.PATTERN).collect()
