@@ -8,9 +8,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tributary.llm import boosting, queries, quality, secrets, toxicity
-from tributary.llm.common import table
+from tributary.llm.common import Stage, labelled_sample, table
 
 PATTERNS = {
     "assign": re.compile(
@@ -243,3 +244,23 @@ def test_quality_odd_rows(spark):
     assert len(rows) == 5 and all(r["base_failed"] and not r["kept"] for r in rows)
     assert quality.kept(docs, model).columns == docs.columns and quality.kept(docs, model).count() == 0
     assert quality.judge(docs.limit(0), model).count() == 0
+
+
+def test_sample_counts_documents_not_labels(spark):
+    docs = spark.createDataFrame(
+        [(i, f"text {i}", "x") for i in range(400)] + [(0, "text 0", "x")] * 500 + [(1, f"other {i}", "x") for i in range(40)] + [(None, "t", "x")],
+        "doc_id long, text string, label string",
+    )
+    rows = [(0, 1)] * 13_000 + [(i, 0) for i in range(1, 399)] + [(399, 0), (399, 1), (500, 1), (7, None), (None, 1)]
+    labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+    stage = Stage(spark, "test-sample")
+    everything = labelled_sample(docs, labels, F.col("toxic") > 0, 12_000, stage).collect()
+    # The id with labels that differ is left out; an id with several texts gives each of them once.
+    assert sorted((r["doc_id"], r["text"]) for r in everything) == sorted([(i, f"text {i}") for i in range(399)] + [(1, f"other {i}") for i in range(40)])
+    assert [r["doc_id"] for r in everything if r["label"]] == [0]
+    few = labelled_sample(docs, labels, F.col("toxic") > 0, 100, stage).collect()
+    assert len(few) <= 100 and {tuple(r) for r in few} <= {tuple(r) for r in everything}
+    one_id = spark.createDataFrame([(1, 0)], labels.schema)
+    assert len(labelled_sample(docs, one_id, F.col("toxic") > 0, 5, stage).collect()) == 5
+    model = toxicity.learn(docs, labels)
+    assert not toxicity.score(docs, model).where("toxic AND doc_id > 0").count()

@@ -94,6 +94,26 @@ class Stage:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: Column, sample: int, stage: Stage) -> DataFrame:
+    """(doc_id, text, label) of at most `sample` distinct labelled documents, those with the smallest hashes of their ids.
+
+    Repeated labels of an id count once; an id with labels that differ takes no part, nor do null ids and labels. Rows
+    that repeat a document count once; an id with several texts gives a row for each, and the bound holds for these rows.
+    """
+    known = labels.select(named("doc_id").alias("doc_id"), label.alias("label")).dropna().groupBy("doc_id").agg(
+        F.min("label").alias("label"), F.max("label").alias("_most")
+    ).where(F.col("label") == F.col("_most")).drop("_most")
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = docs.select(named("doc_id").alias("doc_id"), named("text").alias("text")).join(F.broadcast(chosen), "doc_id")
+    # Copies meet by a hash of their text, one of them from each task.
+    distinct = rows.groupBy("doc_id", F.xxhash64("text").alias("_text")).agg(F.first("text").alias("text"), F.first("label").alias("label"))
+    kept = stage.keep(distinct, "labelled")
+    if kept.count() <= sample:
+        return kept.drop("_text")
+    first = kept.select("doc_id", "_text").orderBy(F.xxhash64("doc_id", "_text"), "doc_id", "_text").limit(sample)
+    return kept.join(F.broadcast(first), ["doc_id", "_text"]).drop("_text")
+
+
 class Memo(dict):
     """Values by key, worked out once. It is emptied when full, so its memory has a bound."""
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.boosting import Trees, fit
-from tributary.llm.common import kept_rows, named, over_rows, texts
+from tributary.llm.common import Stage, kept_rows, labelled_sample, named, over_rows, texts
 
 _SPACES = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
@@ -86,15 +86,12 @@ def base_failed(n_words: int, n_repeat_words: int) -> bool:
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "quality") -> Trees:
-    """Fit the trees on labelled documents. Labels that are null, or ids that are, take no part.
+    """Fit the trees on labelled documents, see `labelled_sample`.
 
-    The sample has a fixed bound at any size, so it is broadcast and its statistics reach the driver.
+    The sample has a fixed bound at any size, so its statistics reach the driver.
     """
-    chosen = (
-        labels.select(named("doc_id").alias("doc_id"), named(label).alias("label")).dropna()
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
-    )
-    labelled = docs.select(named("doc_id").alias("doc_id"), named("text").alias("text")).join(F.broadcast(chosen), "doc_id")
+    stage = Stage(docs.sparkSession, "quality")
+    labelled = labelled_sample(docs, labels, named(label), sample, stage)
 
     def run(batches):
         for batch in batches:
@@ -102,6 +99,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.float64()))], names=["doc_id", "label", "x"])
 
     rows = over_rows(labelled, ["doc_id", "text", F.col("label").cast("double")], run, "doc_id long, label double, x array<double>").collect()
+    stage.drop("labelled")
     rows.sort(key=lambda r: (r["doc_id"], r["label"], r["x"]))
     x = np.array([r["x"] for r in rows]).reshape(len(rows), len(FEATURES))
     return fit(x, np.array([r["label"] for r in rows]), MONOTONE)
@@ -112,7 +110,8 @@ def judge(docs: DataFrame, model: Trees, least: float = LEAST_QUALITY) -> DataFr
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept (not
     base_failed, and a quality of at least `least`), quality. A null or empty text has no words and fails.
-    Rows that repeat are returned as often; a null doc_id stays null.
+    Rows that repeat are returned as often; a null doc_id stays null. Texts are read whole, whatever their length.
+    An empty table gives an empty table. Other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import Memo, kept_rows, named, over_rows, texts
+from tributary.llm.common import Memo, Stage, kept_rows, labelled_sample, named, over_rows, texts
 
 GRADES = 3
 #: Labelled documents the model is fitted on, at most: those whose ids have the smallest hashes.
@@ -109,16 +109,13 @@ def _grades(toxic: np.ndarray, rows: list[list[tuple[int, int]]], cues: np.ndarr
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "toxic") -> Severity:
-    """Fit on labelled documents. Null labels and ids take no part; without labels of both kinds nothing is toxic.
+    """Fit on labelled documents, see `labelled_sample`; without labels of both kinds nothing is toxic.
 
     The sample has a fixed bound at any size. Features are counted by Spark; only those chosen reach the
     driver, and for each sampled document the chosen features it holds.
     """
-    chosen = (
-        labels.select(named("doc_id").alias("doc_id"), (named(label) > 0).alias("toxic")).dropna()
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
-    )
-    labelled = docs.select(named("doc_id").alias("doc_id"), named("text").alias("text")).join(F.broadcast(chosen), "doc_id")
+    stage = Stage(docs.sparkSession, "toxicity")
+    labelled = labelled_sample(docs, labels, named(label) > 0, sample, stage).withColumnRenamed("label", "toxic")
     columns = ["doc_id", "text", "toxic"]
 
     def counted(batches):
@@ -171,6 +168,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str =
 
     schema = "doc_id long, toxic boolean, ids array<long>, n array<long>"
     found = over_rows(labelled, columns, held, schema).collect()
+    stage.drop("labelled")
     found.sort(key=lambda r: (r["doc_id"], r["toxic"], r["ids"]))
     toxic = np.array([r["toxic"] for r in found], bool)
     if not toxic.any() or toxic.all():
@@ -187,6 +185,7 @@ def score(docs: DataFrame, model: Severity, least: float = LEAST_TOXIC) -> DataF
     (grade 1 or more is reached with a chance of at least `least`), for every whole text.
 
     A null or empty text holds no features. Rows that repeat are returned as often; a null doc_id stays null.
+    Texts are read whole, whatever their length. An empty table gives an empty table. Other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
