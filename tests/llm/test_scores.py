@@ -70,6 +70,61 @@ def test_inferred_automaton_is_a_distribution():
     assert secrets.infer(words[::-1]) == a
 
 
+def hexes(rng, n):
+    return "".join(rng.choices("0123456789abcdef", k=n))
+
+
+@pytest.mark.parametrize("n", [30, 131, 400])
+def test_a_fixed_format_is_a_chain(n):
+    rng = random.Random(n)
+    forty = secrets.Format.of([hexes(rng, 40) for _ in range(n)])
+    assert 40 <= len(forty.automaton.visits) <= 60
+    assert sum(forty.logp(hexes(rng, 40)) > -math.inf for _ in range(100)) >= 95
+    for other in (hexes(rng, 39), hexes(rng, 12), "g" * 40, "0" * 40, "a" * 40, "A" * 40):
+        assert forty.logp(other) == -math.inf
+    access = secrets.Format.of(["AKIA" + "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16)) for _ in range(n)])
+    assert 20 <= len(access.automaton.visits) <= 40
+    assert access.logp("AKIAAKIAAKIA") == access.logp("AKIB" + "A2" * 8) == -math.inf < access.logp("AKIA" + "A2" * 8)
+    both = [rng.choice(["sk_live_", "ghp_"]) + hexes(rng, 24) for _ in range(4 * n)]
+    either = secrets.infer(both)
+    assert either.logp("sk_" + hexes(rng, 24)) == either.logp("gk_" + hexes(rng, 24)) == -math.inf
+    assert min(either.logp("sk_live_" + "0a" * 12), either.logp("ghp_" + "0a" * 12)) > -math.inf
+
+
+def test_words_of_free_length_get_loops():
+    rng = random.Random(5)
+    a = secrets.infer(hexes(rng, rng.randint(8, 60)) for _ in range(500))
+    assert len(a.visits) < 200 and a.logp(hexes(rng, 30)) > -math.inf
+    for state in range(len(a.visits)):
+        assert a.visits[state] == a.ends[state] + sum(a.counts[state].values())
+
+
+PLAIN = "born 20240315, order 004512345678, call 01794412345, a facadeb0 x aaaaaaaa 2024031512 2024-03-15T00 card 4929348385146306"
+
+
+def test_numbers_dates_and_words_stay(spark, sf_dir):
+    formats = secrets.learn_from(table(spark, sf_dir, "documents"))
+    assert secrets.spans(PLAIN, formats) == [] and secrets.redact(PLAIN, formats) == PLAIN
+
+
+def test_held_out_formats(spark):
+    """Recall on credentials no pattern names and false positives on ordinary tokens, for each format."""
+    rng = random.Random(9)
+    made = {
+        "hex40": lambda: hexes(rng, 40)[:28] + "-" + hexes(rng, 11), "live": lambda: "sk_live_" + hexes(rng, 20),
+        "code12": lambda: hexes(rng, 12), "upper": lambda: "QX" + "".join(rng.choices("ABCDEFGH23456789", k=14)),
+    }
+    others = [lambda: "".join(rng.choices("0123456789", k=rng.randint(8, 16))), lambda: "".join(rng.choices(["an", "tion", "er", "the"], k=6)),
+              lambda: f"2024-{rng.randint(10, 12)}-{rng.randint(10, 28)}T00", lambda: f"mail{rng.randint(1, 99)}.example.com"]
+    for name, make in made.items():
+        rows = [f"x password={make()} y" for _ in range(200)] + [f"{rng.choice(others)()} {rng.choice(others)()}" for _ in range(800)]
+        formats = secrets.learn_from(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+        found = sum(formats.is_secret(make()) for _ in range(200))
+        wrong = sum(formats.is_secret(rng.choice(others)()) for _ in range(2000))
+        assert found >= 180, (name, found)
+        assert wrong <= 10, (name, wrong)
+
+
 def test_formats_find_bare_credentials_and_leave_text(spark):
     rng = random.Random(2)
 
@@ -108,13 +163,31 @@ def test_short_bare_credentials_are_found(spark):
     assert [c[2] for c in secrets.candidates("abcdefgh.token=12345678", secrets.base_spans("abcdefgh.token=12345678"))] == ["abcdefgh."]
 
 
+def plain_all_spans(text, base, formats):
+    """Spans of the patterns, and what is left of each token where they are taken out, if a format admits it."""
+    text = text or ""
+    covered = set()
+    for span in base:
+        _, start, end = span.split(":")
+        covered.update(range(int(start), int(end)))
+    shown = "".join(" " if i in covered else c for i, c in enumerate(text))
+    found = [tuple(s.split(":")) for s in base]
+    for m in re.finditer(r"[A-Za-z0-9+/_.=-]+", shown):
+        if len(m[0]) >= 8 and formats.is_secret(m[0]):
+            found.append(("format", str(m.start()), str(m.end())))
+    order = ("assign", "access", "hex", "format")
+    return [":".join(f) for f in sorted(found, key=lambda f: (int(f[1]), order.index(f[0])))]
+
+
 def test_secret_query(spark, sf_dir):
     texts = {r["doc_id"]: r["text"] for r in table(spark, sf_dir, "documents").collect()}
     rows = queries.op1_secret_formats(spark, sf_dir).collect()
+    formats = secrets.learn_from(table(spark, sf_dir, "documents"))
     assert len(rows) == len(texts)
     for r in rows:
         expected = plain_spans(texts[r["doc_id"]])
         base = [s for s in r["spans"].split(",") if s and not s.startswith("format:")]
+        assert r["spans"].split(",") == plain_all_spans(texts[r["doc_id"]], expected, formats) if r["spans"] else not expected
         assert base == expected and r["base_sha256"] == hashlib.sha256(",".join(expected).encode()).hexdigest()
 
 
