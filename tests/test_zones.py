@@ -16,11 +16,13 @@ from tributary.operators.dedupe import deduplicate
 from tributary.operators.envelope import unwrap
 from tributary.operators.gate import coerce_records
 from tributary.operators.mapping import MAPPINGS, Moments, ResourceMapping, get_mapping, map_records
+from tributary.operators.sketches import ERROR, estimated, layout, merged, overlap, sketches
 from tributary.plans.extract import run_extract
 from tributary.plans.load import run_load
 from tributary.plans.run import Zones, run_all
 from tributary.plans.transform import run_transform, transform_records
 from tributary.queries.registry import incoming_batch, target_batch
+from tributary.sources.packing import pack_run
 from tributary.sources.processed_zone import read_unified, read_unified_json, write_json
 from tributary.sources.raw_zone import POSITION, find_raw_parts, read_raw
 from tributary.sources.warehouse import Warehouse
@@ -215,14 +217,64 @@ def test_merge_moves_no_row_of_the_table(spark, tmp_path):
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Bucketed: true" in plan and "SelectedBucketsCount: 2 out of 2" in plan
     assert {(r["merge_action"], r["count"]) for r in merged.groupBy("merge_action").count().collect()} == {("kept", 40), ("updated", 10), ("inserted", 10)}
-    lookup = house.existing_keys(batch)._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftSemi" in lookup
-    files = [f for _, _, names in os.walk(f"{tmp_path}/t/data") for f in names if f.endswith(".parquet")]
     house.upsert(unified_rows(spark, [(str(i), "c", None) for i in range(60)]))
     files = [f for _, _, names in os.walk(f"{tmp_path}/t/data") for f in names if f.endswith(".parquet")]
     assert len(files) == 3 * 2
 
 
+def scanned_rows(df):
+    """Rows that came out of the only scan of a plan, once it has run."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    return plan.collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_few_keys_are_looked_up(spark, tmp_path, monkeypatch):
+    house = Warehouse(spark, f"{tmp_path}/t", buckets=4, slices=4)
+    house.upsert(unified_rows(spark, [(str(i), "a", None) for i in range(3200)]))
+    asked = unified_rows(spark, [(str(i), "x", None) for i in (5, 77, 9999)])
+    found = sorted(r["unified_id"] for r in house.existing_keys(asked).collect())
+    assert found == ["stripe:customer:5", "stripe:customer:77"]
+    rows = house.looked_up(["stripe:customer:5"])
+    assert scanned_rows(rows) < 3200 / 8 and rows.count() == 1
+    assert house.looked_up(["stripe:customer:9999"]).count() == 0 and house.lookup([]) == []
+    monkeypatch.setattr("tributary.sources.warehouse.LOOKUP_KEYS", 2)
+    joined = house.existing_keys(asked)
+    assert "LeftSemi" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["unified_id"] for r in joined.collect()) == found
+
+
+def test_packed_runs_keep_order_and_bounds(spark, tmp_path):
+    folder = f"{tmp_path}/raw/stripe/customers/run_date=20240701/2024-07-01T00-00-00Z"
+    for i in range(300):
+        put(f"{folder}/part-{i:05}.json", "\n".join(json.dumps({"id": f"{i}-{j}"}) for j in range(i % 5)))
+    sizes = sum(os.path.getsize(f"{folder}/{f}") for f in os.listdir(folder))
+    n = pack_run(spark, f"{tmp_path}/raw", f"{tmp_path}/packed", "stripe", "customers", "2024-07-01T00-00-00Z", part_bytes=1000)
+    out = f"{tmp_path}/packed/stripe/customers/run_date=20240701/2024-07-01T00-00-00Z"
+    packed = {f: os.path.getsize(f"{out}/{f}") for f in os.listdir(out) if f.endswith(".txt")}
+    assert n == len(packed) <= sizes // 1000 + 1 and max(packed.values()) < 1100
+
+    def ids(root, **options):
+        rows = read_raw(spark, root, "stripe", "customers", **options).selectExpr(*POSITION, "variant_get(record, '$.id', 'string') AS id")
+        return [r["id"] for r in rows.orderBy(*POSITION).collect()]
+
+    assert ids(f"{tmp_path}/packed", glob="*.txt") == ids(f"{tmp_path}/raw")
+    again = pack_run(spark, f"{tmp_path}/raw", f"{tmp_path}/packed", "stripe", "customers", "2024-07-01T00-00-00Z", part_bytes=1000)
+    assert again == n and ids(f"{tmp_path}/packed", glob="*.txt") == ids(f"{tmp_path}/raw")
+    assert pack_run(spark, f"{tmp_path}/raw", f"{tmp_path}/packed", "stripe", "charges", "2024-07-01T00-00-00Z") is None
+
+
+def test_sketches_merge(spark):
+    rows = spark.range(30_000).selectExpr("id % 20000 AS key", "id % 3 AS part")
+    parts = sketches(rows, "key", "part")
+    whole = estimated(merged(parts)).first()["keys"]
+    assert abs(whole - 20_000) <= ERROR * 20_000
+    a, b, both = overlap(sketches(rows.where("key < 15000"), "key"), sketches(rows.where("key >= 5000"), "key"))
+    assert abs(both - 10_000) <= 3 * ERROR * 20_000 and abs(a - 15_000) <= ERROR * 15_000 and abs(b - 15_000) <= ERROR * 15_000
+    assert overlap(parts, sketches(rows.limit(0), "key"))[1:] == (0, 0)
+    assert layout(10**11, 1000) == {"buckets": 16, "slices": 23284} and layout(0, 1) == {"buckets": 1, "slices": 1}
+
+
 def test_a_table_is_found_by_another_session(spark, tmp_path):
     root = f"{tmp_path}/it's here/t"
     house = Warehouse(spark, root, buckets=3, slices=2)

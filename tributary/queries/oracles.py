@@ -465,6 +465,12 @@ ORACLES["archived_records"] = map_sql("raw_customers", True)
 ORACLES["archived_since"] = with_views("raw_opportunities") + f"""SELECT "Id", "Amount", "LastModifiedDate", CAST(part_no AS VARCHAR) AS part_no
 FROM raw_opportunities WHERE {instant('"LastModifiedDate"')} > TIMESTAMP '2024-02-05 00:00:00'"""
 _PAGED = with_views("raw_charges") + "SELECT * EXCLUDE (ordered_on) FROM raw_charges"
+ORACLES["packed_parts"] = _PAGED
+ORACLES["existing_few_keys"] = _MERGE + """SELECT unified_id FROM incoming WHERE unified_id IN (SELECT unified_id FROM target)
+AND CAST(regexp_extract(unified_id, '_(\\d+)$', 1) AS BIGINT) <= 300 AND CAST(regexp_extract(unified_id, '_(\\d+)$', 1) AS BIGINT) % 7 = 0"""
+ORACLES["key_sketches"] = _MERGE + """SELECT 'table' AS name, (SELECT count(DISTINCT unified_id) FROM target) AS keys, true AS within_error
+UNION ALL SELECT 'batch', (SELECT count(DISTINCT unified_id) FROM incoming), true
+UNION ALL SELECT 'both', (SELECT count(DISTINCT unified_id) FROM incoming WHERE unified_id IN (SELECT unified_id FROM target)), true"""
 ORACLES["landed_pages_stream"] = _PAGED
 ORACLES["landed_pages_since"] = f"{_PAGED} WHERE CAST(created AS BIGINT) > {int(STRIPE_CUTOFF.timestamp())}"
 ORACLES["raw_huge_array"] = ORACLES["raw_array_parts"]

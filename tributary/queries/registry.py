@@ -30,6 +30,7 @@ from tributary.operators.frames import UNIFIED_ROLES, clean_frame
 from tributary.operators.gate import coerce_records as coerce
 from tributary.operators.gate import unloadable
 from tributary.operators.mapping import MAPPINGS, Money, Moments, ResourceMapping, StatusRule, accepted, map_records
+from tributary.operators.sketches import ERROR, merged, overlap, sketches
 from tributary.operators.summaries import event_time_marks, extraction_summary, run_summary, since, transform_summary
 from tributary.plans.extract import newer_than, run_extract
 from tributary.plans.load import run_load as load_zone
@@ -38,6 +39,8 @@ from tributary.plans.transform import newest_per_key, transform_records, union_a
 from tributary.queries.json_inputs import JSON_RESOURCES, JSON_TABLES, JSON_VIEWS
 from tributary.queries.inputs import RESOURCES, VERSION_ORDER, as_json, raw_records, raw_view, table
 from tributary.session import prepare, scratch_path
+from tributary.sources.packing import GLOB as PACKED_GLOB
+from tributary.sources.packing import pack_run
 from tributary.sources.pages import land_pages, read_pages, stream_pages
 from tributary.sources.processed_zone import read_unified, write_unified
 from tributary.sources.raw_archive import archive, picked_since, read_archive
@@ -908,6 +911,33 @@ def existing_keys(spark, sf_dir):
     return _loaded(spark, sf_dir).existing_keys(incoming_batch(spark, sf_dir))
 
 
+@query
+def existing_few_keys(spark, sf_dir):
+    """A handful of keys, looked up by name; those of orders 1 to 300 in steps of seven."""
+    rows = incoming_batch(spark, sf_dir).select("unified_id")
+    number = F.regexp_extract("unified_id", r"_(\d+)$", 1).cast("long")
+    few = rows.where((number <= 300) & (number % 7 == 0))
+    return _loaded(spark, sf_dir).existing_keys(few)
+
+
+@query
+def key_sketches(spark, sf_dir):
+    """Keys of the table, of the batch and of both, by sketches of folders and resources, against their exact numbers."""
+    house = _loaded(spark, sf_dir)
+    table_rows, batch = house.read(), incoming_batch(spark, sf_dir)
+    stored = sketches(table_rows.withColumn("bucket", house._bucket()), "unified_id", "source_resource", "bucket")
+    arriving = sketches(batch, "unified_id", "source_resource")
+    a, b, both = overlap(merged(stored, "source_resource"), arriving)
+    exact_a, exact_b = (x.select("unified_id").distinct().count() for x in (table_rows, batch))
+    exact_both = house.existing_keys(batch).count()
+    union = exact_a + exact_b - exact_both
+    rows = [
+        (name, exact, abs(guess - exact) <= ERROR * of)
+        for name, exact, guess, of in (("table", exact_a, a, exact_a), ("batch", exact_b, b, exact_b), ("both", exact_both, both, 3 * union))
+    ]
+    return spark.createDataFrame(rows, "name string, keys long, within_error boolean")
+
+
 @query
 def upsert_merge(spark, sf_dir):
     house = _loaded(spark, sf_dir)
@@ -967,6 +997,16 @@ def _picked(records: DataFrame, columns: list[str]) -> DataFrame:
     return records.select(*[F.expr(pick_variant("record", c)).cast("string").alias(c) for c in columns])
 
 
+@query
+def packed_parts(spark, sf_dir):
+    """A run that landed in thousands of parts, read again from the few it is packed into."""
+    raw = raw_view(spark, sf_dir, "raw_charges").drop("ordered_on")
+    root, packed = scratch_path(spark, "raw"), scratch_path(spark, "packed")
+    land_raw(raw, root, "stripe", "charges", RUN_ID, part_records=10)
+    pack_run(spark, root, packed, "stripe", "charges", RUN_ID, part_bytes=256 << 10)
+    return _picked(read_raw(spark, packed, "stripe", "charges", glob=PACKED_GLOB), raw.columns)
+
+
 @query
 def landed_pages_since(spark, sf_dir):
     """Pages read from a cutoff on, which the scan applies."""

@@ -30,6 +30,9 @@ _STAGED_SCHEMA = T.StructType(
        T.StructField("bucket", T.IntegerType())]
 )
 _LAYOUT_SCHEMA = "buckets int, slices int"
+#: Up to so many keys are looked up by name, which skips files and row groups; more are joined.
+LOOKUP_KEYS = 1_000
+_IN_THRESHOLD = "spark.sql.parquet.pushdown.inFilterThreshold"
 
 
 class Warehouse:
@@ -70,7 +73,7 @@ class Warehouse:
         location = f"{self.root}/data".replace("'", "\\'")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} ({columns}, merge_action STRING, bucket INT) USING parquet "
-            f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (bucket) "
+            f"OPTIONS (partitionOverwriteMode 'dynamic', `parquet.bloom.filter.enabled#unified_id` 'true') PARTITIONED BY (bucket) "
             f"CLUSTERED BY (unified_id) SORTED BY (unified_id) INTO {self.slices} BUCKETS LOCATION '{location}'"
         )
         self.spark.sql(f"ALTER TABLE {self.table} RECOVER PARTITIONS")
@@ -103,11 +106,35 @@ class Warehouse:
         return self._rows().agg(F.count(F.lit(1)).alias("row_count"))
 
     def existing_keys(self, incoming: DataFrame) -> DataFrame:
-        """Which incoming keys the table already holds; only the buckets they fall into are read."""
+        """Which incoming keys the table already holds; only the buckets they fall into are read.
+
+        A few keys are looked up: the slices they fall into are told by their hashes, and row groups skipped by their
+        bounds, files being sorted by key, and by Bloom filters. Many are joined where the table lies.
+        """
         keys = incoming.select("unified_id").distinct()
+        few = [r[0] for r in keys.where("unified_id IS NOT NULL").limit(LOOKUP_KEYS + 1).collect()]
+        if len(few) <= LOOKUP_KEYS:
+            return self.spark.createDataFrame([(k,) for k in self.lookup(few)], "unified_id string")
         touched = self._touched(keys.withColumn("bucket", self._bucket()))
         return keys.join(self._rows(touched).select("unified_id"), "unified_id", "left_semi")
 
+    def looked_up(self, keys: list[str]) -> DataFrame:
+        """The rows of the given keys."""
+        asked = self.spark.createDataFrame([(k,) for k in keys], "unified_id string").select(self._bucket().alias("bucket"))
+        return self._rows({r["bucket"] for r in asked.distinct().collect()}).where(F.col("unified_id").isin(keys))
+
+    def lookup(self, keys: list[str]) -> list[str]:
+        """Which of a bounded number of keys the table holds."""
+        if not keys:
+            return []
+        before = self.spark.conf.get(_IN_THRESHOLD)
+        # So that the keys themselves, not only their bounds, reach the files.
+        self.spark.conf.set(_IN_THRESHOLD, str(max(len(keys), 1)))
+        try:
+            return [r["unified_id"] for r in self.looked_up(keys).select("unified_id").collect()]
+        finally:
+            self.spark.conf.set(_IN_THRESHOLD, before)
+
     @staticmethod
     def _touched(rows: DataFrame) -> set[int]:
         """At most one row for each bucket."""
