@@ -50,6 +50,25 @@ def test_small_tables_are_searched_exactly(spark):
     assert permutation_index.nearest(df.where("vec_id = 100"), 5).count() == 0
 
 
+def test_doubles_and_other_lengths_are_searched(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(size=3) * 10.0 ** rng.integers(-160, 250)).tolist()) for i in range(40)]
+    rows += [(i, rng.normal(size=2).tolist()) for i in range(40, 70)] + [(70, [1e40, 1.0]), (71, [1e40, -1e40])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = found_by(permutation_index.nearest(df, 10, 5))
+    assert sorted(found) == [0, 10, 20, 30, 40, 50, 60, 70]
+    by_id = dict(rows)
+
+    def unit(v):
+        v = np.array(v) / np.abs(v).max()
+        return v / np.sqrt(v @ v)
+
+    for q, best in found.items():
+        scores = {i: unit(v) @ unit(by_id[q]) for i, v in rows if i != q and len(v) == len(by_id[q])}
+        assert [i for i, _ in best] == sorted(scores, key=lambda i: -scores[i])[:5]
+        assert np.allclose([s for _, s in best], [scores[i] for i, _ in best], rtol=0, atol=1e-12)
+
+
 def test_recall_and_many_equal_vectors(spark):
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(6000, 32)).astype(np.float32)

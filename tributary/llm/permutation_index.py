@@ -76,6 +76,12 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
 
 
+def _in_range(vectors: np.ndarray) -> np.ndarray:
+    """The vectors, those times a power of two whose squares would leave the range of doubles: cosines stay as they are."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1, initial=0))
+    return np.ldexp(vectors, np.where(np.abs(exponent) > 300, -exponent, 0)[:, None])
+
+
 def search_block(ids, vectors, query_ids, queries, pivots, index: Index, k: int):
     """The k nearest found in one block for each query: (query place, vector place, score), nearest first."""
     units, query_units = _unit(vectors), _unit(queries)
@@ -104,11 +110,11 @@ def _packed(rows: DataFrame, blocks: int, name: str) -> DataFrame:
 
     def pack(group: pa.Table) -> pa.Table:
         ids = group.column("vec_id").to_numpy()
-        vectors = np.array(group.column("embedding").to_pylist(), np.float32)
+        vectors = _in_range(np.array(group.column("embedding").to_pylist(), np.float64))
         by = np.lexsort((*vectors.T[::-1], ids))
         return pa.table({
             name: group.column(name)[:1], "ids": pa.array([ids[by].astype("<i8").tobytes()], pa.binary()),
-            "vectors": pa.array([vectors[by].astype("<f4").tobytes()], pa.binary()),
+            "vectors": pa.array([vectors[by].astype("<f8").tobytes()], pa.binary()),
         })
 
     block = F.pmod(F.xxhash64("vec_id", F.lit(name)), F.lit(blocks)).cast("int")
@@ -121,8 +127,8 @@ def nearest(
     """The k nearest found for each query, a row whose id is divisible by `every`, among all other rows:
     query_id, rank (from 1), vec_id, score (cosine in double precision). Ties go to the smaller id.
 
-    Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without an id
-    or of another length than most. Repeated rows count once; a query's own id is never among its results.
+    Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without an id.
+    Vectors of each length are searched among themselves. Components are read as doubles. Repeated rows count once; a query's own id is never among its results.
     Of rows with equal vectors only the k + 1 smallest ids can be among the nearest, so only they are indexed.
     An empty table gives no rows.
     """
@@ -130,22 +136,27 @@ def nearest(
     stage = Stage(spark, "permutations")
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
     valid = (
-        vectors.select(named(id_col).cast("long").alias("vec_id"), named(vector_col).cast("array<float>").alias("embedding"))
+        vectors.select(named(id_col).cast("long").alias("vec_id"), named(vector_col).cast("array<double>").alias("embedding"))
         .where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fine)
     )
     rows = stage.keep(valid.distinct(), "rows")
-    length = rows.groupBy(F.size("embedding").alias("length")).count().orderBy(F.desc("count"), "length").first()
-    if length is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(F.size("embedding") == length["length"])
+    found = None
+    for length in sorted(r["length"] for r in rows.select(F.size("embedding").alias("length")).distinct().collect()):
+        some = _nearest_of_length(rows.where(F.size("embedding") == length), length, every, k, index, stage)
+        found = some if found is None else found.unionByName(some)
+    return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double") if found is None else found
+
+
+def _nearest_of_length(rows: DataFrame, length: int, every: int, k: int, index: Index, stage: Stage) -> DataFrame:
+    spark = rows.sparkSession
     same = Window.partitionBy("embedding").orderBy("vec_id")
-    indexed = stage.keep(rows.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= k + 1), "indexed")
+    indexed = stage.keep(rows.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= k + 1), f"indexed-{length}")
     asked = rows.where(F.col("vec_id") % every == 0)
     n, n_asked = indexed.count(), asked.count()
 
     # A fixed number of rows.
     chosen = indexed.where("copy = 1").orderBy(F.xxhash64("vec_id"), "vec_id", "embedding").limit(index.sample).collect()
-    pivots = spark.sparkContext.broadcast(choose_pivots(_unit(np.array([r["embedding"] for r in chosen], np.float64)), index))
+    pivots = spark.sparkContext.broadcast(choose_pivots(_unit(_in_range(np.array([r["embedding"] for r in chosen], np.float64).reshape(-1, length))), index))
 
     blocks = max(1, -(-n // BLOCK))
     query_blocks = _packed(asked, max(1, -(-n_asked // QUERY_BLOCK)), "query_block")
@@ -154,14 +165,12 @@ def nearest(
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "query_block",
         F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"),
     ).join(_packed(indexed, blocks, "block"), "block")
-    width = length["length"]
-
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 query_block, q_ids, queries, ids, table = (batch.column(c)[i].as_py() for c in range(5))
                 q_ids, ids = np.frombuffer(q_ids, "<i8"), np.frombuffer(ids, "<i8")
-                queries, table = (np.frombuffer(v, "<f4").reshape(-1, width).astype(np.float64) for v in (queries, table))
+                queries, table = (np.frombuffer(v, "<f8").reshape(-1, length) for v in (queries, table))
                 found = search_block(ids, table, q_ids, queries, pivots.value, index, k)
                 yield pa.RecordBatch.from_arrays(
                     [
