@@ -1,5 +1,6 @@
 """Visible text of pages: expected layouts, odd input, and a comparison with a plain reading of all text."""
 
+import random
 import re
 from html.parser import HTMLParser
 
@@ -74,6 +75,52 @@ def test_what_a_browser_shows(page, text):
     assert html_text.render(page) == text
 
 
+VISIBILITY = [
+    ("<div style='visibility:hidden'>no<b style='visibility: visible'>yes</b>no</div>v", "yes\nv"),
+    ("<div style='visibility:hidden'>no<ul><li>no<li style='visibility:visible'>a</ul></div>", "* a"),
+    ("<p style='visibility:visible;display:none'>no<b style='visibility:visible'>no</b></p>v", "v"),
+    ("<table><tr><td style='visibility:hidden'>no<td>a<tr><td>b<td>c</table>", "  | a\nb | c"),
+    ("<div style='visibility:collapse'><img alt=no><hr>no<input value=no></div>v", "v"),
+    ("<input type=submit value='Go on'> <input value=typed><input type=password value=no><input type=checkbox value=no>", "Go on typed"),
+    ("<ol reversed><li>a<li>b<li>c</ol>", "3. a\n2. b\n1. c"),
+    ("<ol reversed start=10><li>a<li value=4>b<li>c</ol>", "10. a\n4. b\n3. c"),
+    ("<pre>x\n<table><tr><td>a<td>b</table></pre>", "x\n\na | b"),
+    ("<pre>x  y<ul><li>a  a<li>b</ul></pre>z", "x  y\n\n* a  a\n* b\n\nz"),
+]
+
+
+@pytest.mark.parametrize("page,text", VISIBILITY)
+def test_visibility_is_handed_down(page, text):
+    assert html_text.render(page) == text
+
+
+def _made(rng, depth=0, shown=True, displayed=True):
+    """A random element and the words of it that are visible."""
+    style, words, page = rng.choice(["", "", "visibility:hidden", "visibility:visible", "display:none", "color:red;visibility:collapse"]), [], ""
+    displayed &= style != "display:none"
+    if "visibility" in style:
+        shown = style == "visibility:visible"
+    for _ in range(rng.randrange(4)):
+        if depth < 5 and rng.random() < 0.6:
+            inner, seen = _made(rng, depth + 1, shown, displayed)
+            page += inner
+            words += seen
+        else:
+            word = f"w{rng.randrange(10**6)}"
+            page += f" {word} "
+            words += [word] * (shown and displayed)
+    tag = rng.choice(["div", "span", "p", "ul", "section"]) if depth else "div"
+    tag = "div" if "<" in page and tag == "p" else tag
+    return f"<{tag} style='{style}'>{page}</{tag}>", words
+
+
+def test_made_pages_by_a_plain_walk():
+    rng = random.Random(0)
+    for _ in range(400):
+        page, words = _made(rng)
+        assert html_text.render(page).split() == words, page
+
+
 @pytest.mark.parametrize("depth", [10, 300, 20_000])
 def test_rules_hold_at_any_depth(depth):
     deep = "<font>" * depth

@@ -59,7 +59,10 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_STYLE_HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.IGNORECASE)
+_NOT_DISPLAYED = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|initial|hidden|collapse)\b", re.IGNORECASE)
+#: Kinds of input that show their value.
+_SHOWS_VALUE = frozenset(["", "text", "search", "email", "url", "tel", "number", "date", "submit", "button", "reset"])
 #: A slash that ends a value without quotes, not the tag.
 _SLASH_IN_VALUE = re.compile(r"=\s*[^\s\"'=]+/\Z")
 #: A wider cell does not widen its column.
@@ -154,6 +157,7 @@ def parse(page: str) -> Node:
 
 
 def visible(node: Node) -> bool:
+    """Whether an element is displayed at all; what is not takes its whole content along."""
     if node.tag in HIDDEN or node.foreign and node.tag in FOREIGN_HIDDEN[node.foreign]:
         return False
     if not node.attributes:
@@ -165,7 +169,34 @@ def visible(node: Node) -> bool:
     if node.tag == "dialog" and node.attribute("open") is None:
         return False
     style = node.attribute("style")
-    return not (style and _STYLE_HIDES.search(style))
+    return not (style and _NOT_DISPLAYED.search(style))
+
+
+def settle(root: Node) -> Node:
+    """The tree without what is not displayed, and without what `visibility` hides.
+
+    Visibility is handed down, and an element inside a hidden one may turn it on again. Hidden elements keep
+    their place, as cells do, but lose their own text, marks and rules.
+    """
+    todo = [(root, True)]
+    while todo:
+        node, shown = todo.pop()
+        kept = []
+        for child in node.children:
+            if isinstance(child, str):
+                if shown:
+                    kept.append(child)
+            elif visible(child):
+                asked = _VISIBILITY.findall(child.attribute("style") or "") if child.attributes else []
+                seen = asked[-1].lower() in ("visible", "initial") if asked else shown
+                if not seen and child.tag in ("img", "hr", "input"):
+                    continue
+                if not seen and child.tag == "li":
+                    child.tag = "div"
+                kept.append(child)
+                todo.append((child, seen))
+        node.children = kept
+    return root
 
 
 class Layout:
@@ -178,8 +209,13 @@ class Layout:
         self._blank = False
         self._mark = ""
         self.indent = ""
+        #: In elements that keep white space.
+        self.keeps = False
 
     def write(self, data: str) -> None:
+        if self.keeps:
+            self.keep(data)
+            return
         words = _SPACE.sub(" ", data)
         if words.startswith(" "):
             self._space = True
@@ -258,13 +294,18 @@ def _finish(steps: Iterator) -> None:
 
 
 def _render(node: Node, out: Layout) -> Iterator:
-    item = 0
+    item, step = 0, 1
+    if node.tag == "ol":
+        if node.attribute("reversed") is not None:
+            step = -1
+            item = 1 + sum(isinstance(c, Node) and c.tag == "li" for c in node.children)
+        start = (node.attribute("start") or "").strip()
+        if start.lstrip("-").isdigit() and start.isascii():
+            item = int(start) - step
     for child in node.children:
         if isinstance(child, str):
             out.write(child)
             continue
-        if not visible(child):
-            continue
         tag = child.tag
         if tag == "br":
             out.newline(True)
@@ -274,21 +315,27 @@ def _render(node: Node, out: Layout) -> Iterator:
             out.block(True)
             out.write("---")
             out.block(True)
+        elif tag == "input":
+            if (child.attribute("type") or "").strip().lower() in _SHOWS_VALUE:
+                out.write(child.attribute("value") or "")
         elif tag in ("pre", "listing", "textarea"):
             out.block(True)
-            out.keep(_plain(child).removeprefix("\n").rstrip("\n"))
+            if _holds_blocks(child):
+                before, out.keeps = out.keeps, True
+                yield _render(child, out)
+                out.keeps = before
+            else:
+                out.keep(_plain(child).removeprefix("\n").rstrip("\n"))
             out.block(True)
         elif tag == "table":
             yield _table(child, out)
         elif tag == "li":
             out.block(False)
-            item += 1
+            item += step
             if node.tag == "ol":
                 value = child.attribute("value") or ""
                 if value.strip().lstrip("-").isdigit() and value.isascii():
                     item = int(value)
-                elif item == 1 and (node.attribute("start") or "").strip().lstrip("-").isdigit() and node.attribute("start").isascii():
-                    item = int(node.attribute("start"))
                 mark = f"{item}. "
             else:
                 mark = "* "
@@ -311,8 +358,19 @@ def _render(node: Node, out: Layout) -> Iterator:
             yield _render(child, out)
 
 
+def _holds_blocks(node: Node) -> bool:
+    """Whether lists, tables or other blocks lie in an element that keeps white space."""
+    todo = [node]
+    while todo:
+        inner = [c for c in todo.pop().children if isinstance(c, Node)]
+        if any(c.tag in BLOCKS or c.tag in ("table", "li") for c in inner):
+            return True
+        todo += inner
+    return False
+
+
 def _plain(node: Node) -> str:
-    """Text of the visible parts, white space as it is."""
+    """Text as it is, white space included."""
     parts = []
     todo = [node]
     while todo:
@@ -321,7 +379,7 @@ def _plain(node: Node) -> str:
             parts.append(at)
         elif at.tag == "br":
             parts.append("\n")
-        elif at is node or visible(at):
+        else:
             todo.extend(reversed(at.children))
     return "".join(parts)
 
@@ -357,14 +415,13 @@ def _table(table: Node, out: Layout) -> Iterator:
             if isinstance(child, str):
                 if child.strip():
                     loose.children.append(child)
-            elif not visible(child):
-                continue
             elif child.tag == "tr":
                 yield walk(child, next_row())
             elif child.tag in ("td", "th"):
                 if row is None:
                     row = next_row()
                 cell = Layout()
+                cell.keeps = out.keeps
                 yield _render(child, cell)
                 while free in above:
                     row.append((above[free][1], [""]))
@@ -413,7 +470,7 @@ def _table(table: Node, out: Layout) -> Iterator:
 def render(page: str) -> str:
     """The visible text of a page. An empty page, or one without visible text, gives the empty text."""
     out = Layout()
-    _finish(_render(parse(page), out))
+    _finish(_render(settle(parse(page)), out))
     return out.text()
 
 
@@ -431,7 +488,9 @@ def title(page_tree: Node) -> str | None:
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """page id, title, text, n_lines of every whole page.
 
-    Formulas, the text of svg and what stands in for an object are text; the options of select lists are not.
+    Formulas, the text of svg, the values of buttons and text fields, and what stands in for an object are text. Two kinds
+    of text that browsers can show are left out on purpose: options of select lists, of which most are folded away, and
+    what pages mark as `aria-hidden`, which is decoration. Pages of any length and depth are rendered whole.
     A null or empty page has a null title, the empty text and 0 lines. Rows that repeat are returned as
     often; a null id stays null. Other columns of the table are not read.
     """
@@ -441,10 +500,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
             rows = []
             for page in batch.column(1).to_pylist():
                 tree = parse(page or "")
+                name = title(tree)
                 out = Layout()
-                _finish(_render(tree, out))
+                _finish(_render(settle(tree), out))
                 text = out.text()
-                rows.append((title(tree), text, text.count("\n") + 1 if text else 0))
+                rows.append((name, text, text.count("\n") + 1 if text else 0))
             columns = list(zip(*rows)) or [()] * 3
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.int64())))],
