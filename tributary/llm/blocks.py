@@ -78,9 +78,9 @@ def unpack(block: bytes) -> pa.Table:
     return pa.ipc.open_stream(pa.py_buffer(block)).read_all()
 
 
-def text_buffer(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+def text_buffer(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts on end, and where each begins, with the end; null is the empty text."""
-    column = pc.fill_null(texts.cast(pa.large_string()), "").combine_chunks()
+    column = pc.fill_null(texts.cast(pa.large_string()), "")
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.large_string())
     if not len(column):
@@ -147,43 +147,54 @@ class Words:
 def words_of(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray, fold: np.ndarray | None = None) -> Words:
     """All words: hashing works on slices of the bytes, whole words each, whatever the texts' lengths."""
     found: list[tuple[np.ndarray, ...]] = []
+    # Tables of bytes are quickest applied by the translation of byte strings.
+    kind_table, fold_table = kinds.tobytes(), None if fold is None else fold.tobytes()
+    has_breaks = bool((kinds == BREAK).any())
     at, breaks = 0, 0
     while at < len(data):
         to = _word_end(data, offsets, kinds, at + _SLICE)
-        part = data[at:to]
-        kind = kinds[part]
-        inside = kind == IN_WORD
-        fresh = np.zeros(to - at + 1, bool)
-        lo, hi = np.searchsorted(offsets, [at, to])
-        fresh[offsets[lo:hi] - at] = True
-        fresh[0] = fresh[-1] = True
-        before = np.empty(to - at + 1, bool)
-        before[0], before[1:] = False, inside
-        starts = np.flatnonzero(inside & (~before[:-1] | fresh[:-1]))
-        after = np.empty(to - at + 1, bool)
-        after[:-1], after[-1] = inside, False
-        ends = np.flatnonzero(inside & (~after[1:] | fresh[1:])) + 1
+        part = data[at:to].tobytes()
+        kind = np.frombuffer(part.translate(kind_table), np.uint8)
+        starts, ends = _word_edges(kind == IN_WORD, offsets[np.searchsorted(offsets, at):np.searchsorted(offsets, to)] - at)
         up, down = _Powers.reach(to - at + 1)
         sums = np.empty(to - at + 1, np.uint64)
         sums[0] = 0
-        values = (part if fold is None else fold[part]).astype(np.uint64)
-        values += np.uint64(1)
+        values = np.frombuffer(part if fold_table is None else part.translate(fold_table), np.uint8).astype(np.uint64)
         values *= up[:to - at]
         np.cumsum(values, out=sums[1:])
         hashes = (sums[ends] - sums[starts]) * down[starts]
-        hashes ^= (ends - starts).astype(np.uint64) << np.uint64(56)
-        passed = np.cumsum(kind == BREAK)
-        found.append((starts + at, ends + at, (passed[starts] + breaks).astype(np.int32), mix(hashes)))
-        breaks += int(passed[-1])
+        # The length tells words apart that end in zero bytes.
+        hashes ^= (ends - starts).astype(np.uint64) * _WORD_STEP
+        if has_breaks:
+            passed = np.cumsum(kind == BREAK, dtype=np.int32)
+            piece = passed[starts] + np.int32(breaks)
+            breaks += int(passed[-1])
+        else:
+            piece = np.zeros(len(starts), np.int32)
+        found.append((starts + at, ends + at, piece, mix(hashes)))
         at = to
     if not found:
         empty = np.zeros(0, np.int64)
         return Words(empty, empty, empty, empty, np.zeros(0, np.uint64))
     start, end, broken, hashes = (np.concatenate(x) for x in zip(*found))
-    doc = (np.searchsorted(offsets, start, side="right") - 1).astype(np.int32)
+    edges = np.searchsorted(start, offsets)
+    doc = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(edges))
     return Words(start, end, doc, broken + doc, hashes)
 
 
+def _word_edges(inside: np.ndarray, doc_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin and end: where bytes begin or cease to be in words, and where a document begins in between."""
+    turns = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    turns = np.concatenate([[0] if inside[0] else [], turns, [len(inside)] if inside[-1] else []]).astype(np.int64)
+    starts, ends = turns[::2], turns[1::2]
+    doc_starts = doc_starts[doc_starts > 0]
+    cuts = np.unique(doc_starts[inside[doc_starts - 1] & inside[doc_starts]])
+    if len(cuts):
+        starts = np.insert(starts, np.searchsorted(starts, cuts), cuts)
+        ends = np.insert(ends, np.searchsorted(ends, cuts), cuts)
+    return starts, ends
+
+
 def _word_end(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray, at: int) -> int:
     """The first place from `at` on that lies in no word: a gap, the start of a document, or the end."""
     if at >= len(data):

@@ -37,12 +37,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import Stage, free_name, mix, over_rows, texts, with_rows
+from tributary.llm import blocks
+from tributary.llm.common import Stage, free_name, mix, over_rows, with_rows
 from tributary.llm.common import named as column
 
 #: Buckets of the frequency table, and bits of a bit map, as powers of two.
@@ -80,29 +80,54 @@ class Similar:
         return n - -(-self.percent * n // 100) + 1
 
 
-def shingles(text: str, words: int) -> np.ndarray:
-    """Distinct hashes of the text's word n-grams; of the whole sequence, if it has fewer words; none without.
+#: Words stand between spaces, tabs and line breaks of ASCII; A-Z count as a-z.
+_KINDS = blocks.byte_kinds(b" \t\n\x0b\x0c\r")
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+
+
+def shingle_sets(column_of_texts: pa.Array, words: int) -> list[np.ndarray]:
+    """For each text the distinct hashes of its word n-grams; of the whole sequence, if it has fewer words; none without.
 
-    A-Z are lower-cased; words are what stands between spaces, tabs and line breaks of ASCII.
+    All texts are hashed in one go.
     """
-    found = text.encode().lower().split()
-    if not found:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
-    width = min(words, len(found))
-    n = len(found) - width + 1
-    out = h[:n].copy()
-    for i in range(1, width):
-        out = mix(out) + h[i : i + n]
-    if width < words:
-        out ^= np.uint64(width)
-    out = np.sort(mix(out))
-    return out[np.concatenate([[True], out[1:] != out[:-1]])]
-
-
-def _key(found: np.ndarray) -> bytes:
-    """128 bits that name a set."""
-    return b"".join(mix(found ^ k).sum(dtype=np.uint64).tobytes() for k in _KEYS)
+    data, offsets = blocks.text_buffer(column_of_texts)
+    found = blocks.words_of(data, offsets, _KINDS, _FOLD)
+    edges = np.searchsorted(found.doc, np.arange(len(column_of_texts) + 1)).tolist()
+    grams = _grams(found.hash, words)
+    sets = []
+    for start, end in zip(edges[:-1], edges[1:]):
+        n = end - start
+        out = np.sort(grams[start : end - words + 1] if n >= words else _grams(found.hash[start:end], n) ^ np.uint64(n))
+        sets.append(out[np.concatenate([[True], out[1:] != out[:-1]])] if n else out)
+    return sets
+
+
+def _grams(hashes: np.ndarray, words: int) -> np.ndarray:
+    n = max(len(hashes) - words + 1, 0) if words else 0
+    out = hashes[:n].copy()
+    for i in range(1, words):
+        out = mix(out) + hashes[i : i + n]
+    return mix(out)
+
+
+def shingles(text: str, words: int) -> np.ndarray:
+    """The set of one text."""
+    return shingle_sets(pa.array([text]), words)[0]
+
+
+def _keys(sets: list[np.ndarray]) -> list[bytes | None]:
+    """128 bits that name each set; none for an empty one."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    held = np.flatnonzero(sizes)
+    keys: list[bytes | None] = [None] * len(sets)
+    if len(held):
+        flat = np.concatenate([sets[i] for i in held])
+        first = np.cumsum(sizes[held]) - sizes[held]
+        sums = np.stack([np.add.reduceat(mix(flat ^ k), first) for k in _KEYS], axis=1)
+        for i, name in zip(held.tolist(), sums):
+            keys[i] = name.tobytes()
+    return keys
 
 
 def _half(key: bytes) -> int:
@@ -146,6 +171,10 @@ class _Seen:
         return False
 
 
+def _sets_of(batch: pa.RecordBatch, how: Similar) -> list[np.ndarray]:
+    return shingle_sets(batch.column(batch.schema.get_field_index("text")), how.words)
+
+
 def _sets_and_counts(docs: DataFrame, how: Similar) -> DataFrame:
     """doc_id, n, key of every document (key null if it has no shingles), and each task's counts by bucket, in
     compressed pieces."""
@@ -154,12 +183,10 @@ def _sets_and_counts(docs: DataFrame, how: Similar) -> DataFrame:
     def run(batches):
         total = np.zeros(1 << BUCKET_BITS, np.uint32)
         for batch in batches:
-            n, keys = [], []
-            for text in texts(batch):
-                found = shingles(text, how.words)
-                n.append(len(found))
-                keys.append(_key(found) if len(found) else None)
-                np.add.at(total, (found >> _SHIFT).astype(np.int64), 1)
+            sets = _sets_of(batch, how)
+            n, keys = [len(s) for s in sets], _keys(sets)
+            if sets:
+                np.add.at(total, (np.concatenate(sets) >> _SHIFT).astype(np.int64), 1)
             none = pa.nulls(len(n), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), none, none, pa.nulls(len(n), pa.binary())], names=names
@@ -231,9 +258,9 @@ def _prefixes(docs: DataFrame, how: Similar, ranks) -> DataFrame:
         seen = _Seen()
         for batch in batches:
             tokens, halves = [], []
-            for text in texts(batch):
-                found = shingles(text, how.words)
-                if len(found) and not seen(key := _key(found)):
+            sets = _sets_of(batch, how)
+            for found, key in zip(sets, _keys(sets)):
+                if key is not None and not seen(key):
                     tokens.append(_ordered(found, ranks.value)[: how.prefix(len(found))])
                     halves.append(_half(key))
             if tokens:
@@ -254,13 +281,13 @@ def _sharing(docs: DataFrame, how: Similar, ranks, shared) -> DataFrame:
         seen = _Seen()
         for batch in batches:
             rows, parities = [], []
-            for text in texts(batch):
-                found = shingles(text, how.words)
-                if not len(found):
+            sets = _sets_of(batch, how)
+            for found, key in zip(sets, _keys(sets)):
+                if key is None:
                     continue
                 tokens = _ordered(found, ranks.value)[: how.prefix(len(found))]
                 places = np.flatnonzero(_on(shared.value, tokens))
-                if not len(places) or seen(key := _key(found)):
+                if not len(places) or seen(key):
                     continue
                 signature = _signature(found)
                 rows.append((key, len(found), tokens[places].view(np.int64), places, signature.tobytes()))
@@ -320,8 +347,8 @@ def _pairs(rows: DataFrame, a: Column, b: Column) -> DataFrame:
 
 def _verified(docs: DataFrame, pairs: DataFrame, how: Similar, stage: Stage, name: str) -> DataFrame:
     """The pairs whose whole sets are similar: (a, b, overlap)."""
-    # Both joins use the one shuffle of the sets; what the bit map lets through besides drops out in them.
-    sets = _whole_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), how)
+    # Kept, as both joins read them; what the bit map lets through besides drops out in them.
+    sets = stage.keep(_whole_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), how), f"{name}-sets")
     joined = (
         pairs.join(sets.select(F.col("key").alias("a"), F.col("found").alias("x")), "a")
         .join(sets.select(F.col("key").alias("b"), F.col("found").alias("y")), "b")
@@ -338,7 +365,9 @@ def _verified(docs: DataFrame, pairs: DataFrame, how: Similar, stage: Stage, nam
             out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same)], names=["a", "b", "overlap"])
             yield out.filter(linked)
 
-    return stage.keep(over_rows(joined, ["a", "b", "x", "y"], verify, "a binary, b binary, overlap long"), name)
+    found = stage.keep(over_rows(joined, ["a", "b", "x", "y"], verify, "a binary, b binary, overlap long"), name)
+    stage.drop(f"{name}-sets")
+    return found
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, how: Similar) -> DataFrame:
@@ -349,12 +378,9 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, how: Similar) -> DataFrame:
         seen = _Seen()
         for batch in batches:
             keys, sets = [], []
-            for text in texts(batch):
-                found = shingles(text, how.words)
-                if not len(found):
-                    continue
-                key = _key(found)
-                if _on(bits.value, np.frombuffer(key, "<u8", 1))[0] and not seen(key):
+            made = _sets_of(batch, how)
+            for found, key in zip(made, _keys(made)):
+                if key is not None and _on(bits.value, np.frombuffer(key, "<u8", 1))[0] and not seen(key):
                     keys.append(key)
                     sets.append(found.tobytes())
             if keys:
@@ -434,8 +460,12 @@ def _classes(docs: DataFrame, how: Similar) -> tuple[DataFrame, DataFrame]:
     # Later rounds: what is not connected yet, within each shingle; first within a sixteenth of the shingles,
     # which connects most of it, then within all. Two classes have been compared already.
     edges, tested = first.select("a", "b"), met
+    links, stale = None, ["lists", "met", "tried", "first", "sharing"]
     for round_, share in enumerate(SHARES):
-        found = components(edges, stage, f"components-{round_}")
+        if links is None:
+            links = components(edges, stage, f"components-{round_}")
+        found = links
+        stale += [f"{x}-{round_}" for x in ("split", "new", "rest", "linked")]
         split = stage.keep(
             lists.where("size > 2").drop("leader", "size").join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
             .repartition("token")
@@ -452,9 +482,16 @@ def _classes(docs: DataFrame, how: Similar) -> tuple[DataFrame, DataFrame]:
             (a("token") == b("token")) & (a("component") != b("component")) & _may_link(how, a, b) & _parities_allow(how, a, b),
         )
         new = stage.keep(_pairs(crossing, a("key"), b("key")).join(tested, ["a", "b"], "left_anti"), f"new-{round_}")
+        if new.isEmpty():
+            # Nothing to verify, so the texts are not read again.
+            continue
         linked = _verified(docs, stage.keep(_plausible(new, sharing, how), f"rest-{round_}"), how, stage, f"linked-{round_}")
-        edges, tested = edges.union(linked.select("a", "b")), tested.union(new)
-    links = components(edges, stage, "components")
+        tested = tested.union(new)
+        if not linked.isEmpty():
+            edges, links = edges.union(linked.select("a", "b")), None
+    if links is None:
+        links = components(edges, stage, "components")
+    stage.drop(*stale)
 
     classes = named.where("key IS NOT NULL").groupBy("key").agg(
         F.first("n").alias("n"), F.min("doc_id").alias("least"), F.count("*").alias("n_copies")
@@ -593,8 +630,7 @@ def representatives(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            sets = (shingles(t or "", words) for t in batch.column(at).to_pylist())
-            yield batch.append_column(key, pa.array([_key(s) if len(s) else None for s in sets], pa.binary()))
+            yield batch.append_column(key, pa.array(_keys(shingle_sets(batch.column(at), words)), pa.binary()))
 
     marked = with_rows(docs, run, add=f"`{key}` binary").withColumn(id_, F.coalesce(column("doc_id"), none))
     # Rows are dealt by id and set, so a large group of copies is spread.
