@@ -207,3 +207,23 @@ def test_queries(spark, sf_dir):
     for r in queries.op4_byte_bpe(spark, sf_dir).collect():
         expected = np.array(BYTES.encode_ordinary(texts[r["doc_id"]]), "<u4").tobytes()
         assert r["ids_sha256"] == hashlib.sha256(expected).hexdigest() and r["lossless"]
+
+
+def test_an_id_of_a_third_of_all_rows_spans_shards(spark, tmp_path):
+    rows = [(i, f"own {i}") for i in range(200)] + [(77, f"shared {i % 40}") for i in range(150)] + [(None, "none")] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    stores = []
+    for n, parts in ((0, 3), (1, 7)):
+        path = f"{tmp_path}/{n}"
+        token_files.write_tokens(df.repartition(parts), path, queries.WORD_BPE, 1, shard_docs=20)
+        spans = spark.read.parquet(f"{path}/blocks").where("shard IS NOT NULL").groupBy("shard").count().count()
+        assert spans > 10
+        found = sorted(token_files.read_tokens(spark, path).collect(), key=lambda r: r["start"])
+        keys = [-1 if r["doc_id"] is None else r["doc_id"] for r in found]
+        assert keys == sorted(keys) and len(found) == len(rows)
+        total = 0
+        for r in found:
+            assert r["start"] == total
+            total += r["n_tokens"]
+        stores.append([(r["doc_id"], r["start"], r["ids_crc32"]) for r in found])
+    assert stores[0] == stores[1]

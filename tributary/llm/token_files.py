@@ -9,7 +9,8 @@ and any file system:
 * `shards` (shard, tokens, start): how many tokens each shard holds, and how many lie before it.
 
 Writing encodes each text once and stages the ids, counts them, and then moves each document to its shard
-once. Shards are ranges of document ids with about equal numbers of documents.
+once. Shards are ranges of the order with about equal numbers of documents; an id that many documents share
+may span several.
 """
 
 from __future__ import annotations
@@ -18,60 +19,63 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tributary.llm import rans
-from tributary.llm.common import Stage, named, over_rows, texts
+from tributary.llm.common import Stage, over_rows, texts
 from tributary.llm.word_bpe import word_encoder
 
 #: A block is closed once it holds so many tokens; a longer document has a block of its own.
 BLOCK_TOKENS = 1 << 19
 #: Documents in a shard, about.
 SHARD_DOCS = 4_000
-_ENCODED = "doc_id long, ids binary, symbol int, n long"
+#: Shards whose sum is one number on the driver.
+SHARD_GROUP = 4_096
+_ENCODED = "doc_id long, ids binary, crc long, symbol int, n long"
 
 
 def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """Ids of every document (symbol null), and for each task the count of each symbol (doc_id and ids null)."""
+    """Ids of every document with their checksum and number (symbol null), and for each task the count of each symbol
+    (doc_id and ids null). Ids take two bytes each where all of a batch fit, else four."""
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         encoder = word_encoder(tokenizer)
         counts = np.zeros(1, np.int64)
         for batch in batches:
-            packed = []
-            for text in texts(batch):
-                ids = np.frombuffer(encoder.encode(text) + end, "<u4")
-                top = int(ids.max())
-                if top >= len(counts):
-                    counts = np.concatenate([counts, np.zeros(max(top + 1, 2 * len(counts)) - len(counts), np.int64)])
-                np.add.at(counts, ids, 1)
-                packed.append(_narrow(ids, top))
-            none = [None] * len(packed)
-            yield _batch(batch.column(0), packed, none, none)
+            pieces = [encoder.encode(t) for t in texts(batch)]
+            if not pieces:
+                continue
+            sizes = np.array([len(p) // 4 + 1 for p in pieces], np.int64)
+            flat = np.frombuffer(end.join(pieces) + end, "<u4")
+            found = np.bincount(flat)
+            if len(found) > len(counts):
+                found, counts = counts, found
+            counts[:len(found)] += found
+            ids = flat.astype("<u2") if flat.max() < 1 << 16 else flat
+            edges = np.concatenate([[0], np.cumsum(sizes)])
+            yield _batch(
+                batch.column(0), pa.array([ids[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary()),
+                pa.array([zlib.crc32(flat[a:b]) for a, b in zip(edges[:-1], edges[1:])], pa.int64()), [None] * len(pieces), sizes,
+            )
         symbols = np.flatnonzero(counts)
         if len(symbols):
             none = [None] * len(symbols)
-            yield _batch(none, none, symbols, counts[symbols])
+            yield _batch(none, none, none, symbols, counts[symbols])
 
     return over_rows(docs, ["doc_id", "text"], run, _ENCODED)
 
 
-def _batch(keys, ids, symbols, n) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [keys if isinstance(keys, pa.Array) else pa.array(keys, pa.int64()), pa.array(ids, pa.binary()), pa.array(symbols, pa.int32()), pa.array(n, pa.int64())],
-        names=["doc_id", "ids", "symbol", "n"],
-    )
-
+def _batch(keys, ids, crc, symbols, n) -> pa.RecordBatch:
+    types = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64())
+    columns = [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip((keys, ids, crc, symbols, n), types)]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "crc", "symbol", "n"])
 
-def _narrow(ids: np.ndarray, top: int) -> bytes:
-    """Two bytes an id where all fit, marked by an odd length; else four."""
-    return ids.astype("<u2").tobytes() + b"\0" if top < 1 << 16 else ids.tobytes()
 
-
-def _wide(ids: bytes) -> np.ndarray:
-    return np.frombuffer(ids, "<u2", len(ids) // 2).astype(np.uint32) if len(ids) % 2 else np.frombuffer(ids, "<u4")
+def _wide(ids: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(ids, "<u2" if len(ids) == 2 * n else "<u4")
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, shard_docs: int = SHARD_DOCS) -> None:
@@ -96,29 +100,20 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, sh
         [(int(s), int(frequencies[s])) for s in np.flatnonzero(frequencies)], "symbol int, frequency long"
     ).coalesce(1).write.mode("overwrite").parquet(f"{path}/frequencies")
 
-    # Bounds of the shards: one number for some thousand documents.
+    # Ranges of the order, which Spark bounds by a sample of at most some hundred thousand keys. Documents of one id,
+    # equal ones too, are told apart by their ids and their place, so none of them is bound to one shard.
     rows = encoded.where("symbol IS NULL")
-    n = rows.count()
-    shards = max(1, -(-n // shard_docs))
-    bounds = rows.stat.approxQuantile("doc_id", [i / shards for i in range(1, shards)], 0.1 / shards) if shards > 1 else []
-    edges = spark.sparkContext.broadcast(np.unique(np.array(bounds, np.float64)))
-
-    def with_shard(batches):
-        for batch in batches:
-            key = batch.column(0).to_numpy(zero_copy_only=False).astype(np.float64)
-            at = np.searchsorted(edges.value, np.where(np.isnan(key), -np.inf, key), side="left")
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *batch.columns], names=["shard", "doc_id", "ids"])
-
+    shards = max(1, -(-rows.count() // shard_docs))
+    by_id = [F.col("doc_id").asc_nulls_first(), "crc", "at"]
     ordered = (
-        over_rows(rows, ["doc_id", "ids"], with_shard, "shard int, doc_id long, ids binary")
-        .repartitionById(shards, named("shard"))
-        .sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "ids")
+        rows.select("doc_id", "crc", F.monotonically_increasing_id().alias("at"), "ids", "n")
+        .repartitionByRange(shards, *by_id).sortWithinPartitions(*by_id[:2], "ids").select("doc_id", "ids", "n")
     )
     shared = spark.sparkContext.broadcast((frequencies, precision))
 
     def blocks(batches):
         table = rans.Table(*shared.value)
-        shard, block, keys, ids, held = None, 0, [], [], 0
+        shard, block, keys, ids, held = TaskContext.get().partitionId(), 0, [], [], 0
 
         def closed():
             nonlocal block, keys, ids, held
@@ -132,13 +127,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, sh
             )
 
         for batch in batches:
-            for at, key, packed in zip(*(c.to_pylist() for c in batch.columns)):
-                if at != shard:
-                    if keys:
-                        yield closed()
-                    shard, block = at, 0
+            for key, packed, n in zip(*(c.to_pylist() for c in batch.columns)):
                 keys.append(key)
-                ids.append(_wide(packed))
+                ids.append(_wide(packed, n))
                 held += len(ids[-1])
                 if held >= BLOCK_TOKENS:
                     yield closed()
@@ -150,15 +141,29 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, sh
     )
     # The payload is compressed already.
     written.write.mode("overwrite").option("compression", "none").parquet(f"{path}/blocks")
-    sizes = spark.read.parquet(f"{path}/blocks").groupBy("shard").agg(F.sum("tokens").alias("tokens"))
-    # One row for some thousand documents; this sum over all of them is the only ordered step.
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    sizes.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0))).write.mode("overwrite").parquet(f"{path}/shards")
-    edges.unpersist()
+    _write_starts(spark.read.parquet(f"{path}/blocks").groupBy("shard").agg(F.sum("tokens").alias("tokens")), path)
     shared.unpersist()
     stage.drop("encoded")
 
 
+def _write_starts(sizes: DataFrame, path: str) -> None:
+    """The tokens before each shard: sums within groups of shards, and one number of each group on the driver."""
+    grouped = sizes.withColumn("group", F.floor(F.col("shard") / SHARD_GROUP).cast("int"))
+    totals = sorted(map(tuple, grouped.groupBy("group").agg(F.sum("tokens").alias("n")).collect()))
+    before, starts = 0, []
+    for group, n in totals:
+        starts.append((group, before))
+        before += n
+    spark = sizes.sparkSession
+    in_group = Window.partitionBy("group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    (
+        grouped.withColumn("_before", F.coalesce(F.sum("tokens").over(in_group), F.lit(0)))
+        .join(F.broadcast(spark.createDataFrame(starts, "group int, group_start long")), "group")
+        .select("shard", "tokens", (F.col("group_start") + F.col("_before")).alias("start"))
+        .write.mode("overwrite").parquet(f"{path}/shards")
+    )
+
+
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """Every document of a token store: doc_id, start (ids of all documents before it), n_tokens, ids_crc32
     (of its ids as little-endian unsigned 32-bit integers), and with `with_ids` the ids (array of int).
