@@ -1113,8 +1113,8 @@ def stream_upsert(spark, sf_dir):
     root = scratch_path(spark, "raw")
     raw = raw_view(spark, sf_dir, "raw_charges").where(F.col("ordered_on") >= BATCH_FROM)
     succeeded = raw.withColumn("status", F.lit("succeeded"))
-    for number, currencies in enumerate((["usd", "US"], [" EUR ", "gbp"], ["jpy", "Krw"])):
-        part = succeeded.where(F.col("currency").isin(currencies)).drop("ordered_on")
+    for number in range(3):
+        part = succeeded.where(F.pmod(F.xxhash64("id"), F.lit(3)) == number).drop("ordered_on")
         land_raw(part, root, "stripe", "charges", f"2024-07-0{number + 1}T00-00-00Z")
     house = _loaded(spark, sf_dir)
     start_stream(
