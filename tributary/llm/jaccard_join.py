@@ -475,6 +475,8 @@ def _classes(docs: DataFrame, how: Similar) -> tuple[DataFrame, DataFrame]:
             .drop("least", "most", "weight").where(F.pmod(F.xxhash64("token"), F.lit(share)) == 0),
             f"split-{round_}",
         )
+        if split.isEmpty():
+            continue
         marked = split.join(sharing.select("key", *_PARITY), "key")
         a, b = _side("a"), _side("b")
         crossing = marked.where("component != main").alias("a").join(
@@ -488,7 +490,9 @@ def _classes(docs: DataFrame, how: Similar) -> tuple[DataFrame, DataFrame]:
         linked = _verified(docs, stage.keep(_plausible(new, sharing, how), f"rest-{round_}"), how, stage, f"linked-{round_}")
         tested = tested.union(new)
         if not linked.isEmpty():
-            edges, links = edges.union(linked.select("a", "b")), None
+            # What is connected already goes on as stars, so few steps are left.
+            stars_so_far = found.where("key != component").select(F.col("key").alias("a"), F.col("component").alias("b"))
+            edges, links = stars_so_far.union(linked.select("a", "b")), None
     if links is None:
         links = components(edges, stage, "components")
     stage.drop(*stale)
