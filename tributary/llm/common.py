@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -31,6 +32,14 @@ def _small(batches: Batches) -> Batches:
             yield batch.slice(start, _ROWS)
         del batch
         pa.default_memory_pool().release_unused()
+    _give_back()
+
+
+def _give_back() -> None:
+    """Spark keeps its workers for other tasks, so what a task has freed goes back to the system, where that is possible."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def over_rows(df: DataFrame, columns: Iterable[str | Column], fn: Callable[[Batches], Batches], schema: str) -> DataFrame:
