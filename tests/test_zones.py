@@ -24,7 +24,7 @@ from tributary.plans.transform import run_transform, transform_records
 from tributary.queries.registry import incoming_batch, target_batch
 from tributary.sources.packing import pack_run
 from tributary.sources.processed_zone import read_unified, read_unified_json, write_json
-from tributary.sources.raw_zone import POSITION, find_raw_parts, read_raw
+from tributary.sources.raw_zone import POSITION, find_raw_parts, land_raw, read_raw
 from tributary.sources.warehouse import Warehouse
 from tributary.sources.watermarks import Watermarks
 from tributary.streaming.incremental import stream_upsert
@@ -264,6 +264,17 @@ def test_packed_runs_keep_order_and_bounds(spark, tmp_path):
     assert pack_run(spark, f"{tmp_path}/raw", f"{tmp_path}/packed", "stripe", "charges", "2024-07-01T00-00-00Z") is None
 
 
+def test_bounded_parts_are_dealt_to_tasks_in_order(spark, tmp_path):
+    rows = spark.range(0, 2000, 1, 2).selectExpr("concat('c', id) AS id")
+    path = land_raw(rows, f"{tmp_path}/raw", "stripe", "customers", "2024-07-01T00-00-00Z", part_records=5)
+    files = [f for f in os.listdir(path) if f.endswith(".json")]
+    tasks = {f.split("-")[1] for f in files}
+    assert len(tasks) == 4 and 400 <= len(files) <= 404
+    records = read_raw(spark, f"{tmp_path}/raw", "stripe", "customers")
+    found = records.selectExpr(*POSITION, "variant_get(record, '$.id', 'string') AS id").orderBy(*POSITION).collect()
+    assert [r["id"] for r in found] == [f"c{i}" for i in range(2000)]
+
+
 def test_sketches_merge(spark):
     rows = spark.range(30_000).selectExpr("id % 20000 AS key", "id % 3 AS part")
     parts = sketches(rows, "key", "part")
@@ -298,6 +309,26 @@ def test_layout_is_fixed_by_the_first_commit(spark, tmp_path):
     assert (stats["inserted"], stats["updated"]) == (0, 1) and house.count().first()["row_count"] == 40
 
 
+def test_slices_grow_with_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tributary.sources.warehouse.SLICE_ROWS", 10)
+    root = f"{tmp_path}/t"
+    first = Warehouse(spark, root, buckets=3, slices=2)
+    first.upsert(unified_rows(spark, [(str(i), "a", None) for i in range(30)]))
+    other = Warehouse(spark, root, slices=2)
+    assert other.slices == 2 and os.path.isdir(f"{root}/data")
+    stats = other.upsert(unified_rows(spark, [(str(i), "b", None) for i in range(20, 120)])).first()
+    assert (stats["input"], stats["inserted"], stats["updated"]) == (100, 90, 10)
+    assert other.slices == 13 and [f for f in os.listdir(root) if f.startswith("data")] == ["data-13"]
+    # An older handle follows, and merges again move no row of the table.
+    assert {r["source_id"]: r["name"] for r in first.read().collect()} == {str(i): "a" if i < 20 else "b" for i in range(120)}
+    assert first.slices == 13 and Warehouse(spark, root).slices == 13
+    stats = first.upsert(unified_rows(spark, [("0", "c", None), ("120", "c", None)])).first()
+    assert (stats["inserted"], stats["updated"]) == (1, 1) and first.count().first()["row_count"] == 121
+    at_once = Warehouse(spark, f"{tmp_path}/u", buckets=3, slices=2)
+    at_once.upsert(unified_rows(spark, [(str(i), "a", None) for i in range(100)]))
+    assert at_once.slices == 10 and at_once.count().first()["row_count"] == 100
+
+
 def test_key_is_the_unified_id_alone(spark, tmp_path):
     house = Warehouse(spark, f"{tmp_path}/t", buckets=4)
     house.upsert(unified_rows(spark, [("1", "a", None), ("2", "b", None)]))
