@@ -6,7 +6,9 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import DataFrameWriter
 
+from tributary.queries.registry import QUERIES
 from tributary.sources.raw_zone import POSITION, read_raw
 
 TEXTS = ["x", "a}b", "{[", 'q"}\\', "\\\\", "é}", "\n}", ""]
@@ -63,3 +65,16 @@ def test_records_of_any_layout_and_range(spark, tmp_path, size):
 
 def test_no_part(spark, tmp_path):
     assert read_raw(spark, str(tmp_path), "stripe", "charges", split_files=True) is None
+
+
+def test_one_array_is_streamed_to_its_file(spark, sf_dir, monkeypatch):
+    texts = []
+
+    def text(writer, path, *args, **kwargs):
+        texts.append(writer._df._jdf.queryExecution().executedPlan().toString())
+        return write(writer, path, *args, **kwargs)
+
+    write = DataFrameWriter.text
+    monkeypatch.setattr(DataFrameWriter, "text", text)
+    assert QUERIES["raw_huge_array"](spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    assert len(texts) == 1 and "Sort" not in texts[0]
