@@ -21,7 +21,8 @@ from tributary.plans.extract import run_extract
 from tributary.plans.load import run_load
 from tributary.plans.run import Zones, run_all
 from tributary.plans.transform import run_transform, transform_records
-from tributary.queries.registry import incoming_batch, target_batch
+from tributary.queries.inputs import raw_view
+from tributary.queries.registry import incoming_batch, shown, target_batch
 from tributary.sources.packing import pack_run
 from tributary.sources.processed_zone import read_unified, read_unified_json, write_json
 from tributary.sources.raw_zone import POSITION, find_raw_parts, land_raw, read_raw
@@ -539,3 +540,21 @@ def test_every_row_is_accounted_for(spark, sf_dir):
 
     for row in QUERIES["transform_summary"](spark, sf_dir).collect():
         assert row["input"] == row["output"] + row["rejected"] + row["duplicates_removed"]
+
+
+def test_rows_of_one_row_group_reach_all_tasks(spark, sf_dir, monkeypatch):
+    before = sorted(map(tuple, raw_view(spark, sf_dir, "raw_charges").collect()), key=str)
+    monkeypatch.setattr("tributary.queries.inputs.FEW_ROWS", 10)
+    monkeypatch.setattr("tributary.queries.inputs.TASK_ROWS", 100)
+    rows = raw_view(spark, sf_dir, "raw_charges")
+    sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 200
+    assert sorted(map(tuple, rows.collect()), key=str) == before
+    assert raw_view(spark, sf_dir, "raw_charges", spread=False).rdd.getNumPartitions() < 8
+
+
+def test_attributes_are_read_once(spark):
+    rows = unified_rows(spark, [("1", "a", None)]).withColumn("attributes", F.lit('{"customer":"c\\"1","livemode":true,"raw_status":null}'))
+    out = shown(rows, ("customer", "livemode", "raw_status", "website"))
+    assert out.select("attr_customer", "attr_livemode", "attr_raw_status", "attr_website").first() == ('c"1', "true", None, None)
+    assert "get_json_object" not in out._jdf.queryExecution().optimizedPlan().toString()
