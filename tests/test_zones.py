@@ -554,7 +554,7 @@ def test_rows_of_one_row_group_reach_all_tasks(spark, sf_dir, monkeypatch):
 
 
 def test_attributes_are_read_once(spark):
-    rows = unified_rows(spark, [("1", "a", None)]).withColumn("attributes", F.lit('{"customer":"c\\"1","livemode":true,"raw_status":null}'))
+    rows = coerce_records(unified_rows(spark, [("1", "a", None)])).withColumn("attributes", F.lit('{"customer":"c\\"1","livemode":true,"raw_status":null}'))
     out = shown(rows, ("customer", "livemode", "raw_status", "website"))
     assert out.select("attr_customer", "attr_livemode", "attr_raw_status", "attr_website").first() == ('c"1', "true", None, None)
     assert "get_json_object" not in out._jdf.queryExecution().optimizedPlan().toString()
