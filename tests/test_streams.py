@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tributary.sources.warehouse import Warehouse
 from tributary.sources.watermarks import Watermarks
-from tributary.streaming.newest import StreamCounts, stream_newest
+from tributary.streaming.newest import NewestVersion, StreamCounts, stream_newest
 
 NOW = datetime(2024, 7, 1, tzinfo=timezone.utc)
 
@@ -85,3 +85,62 @@ def test_merge_of_changes_only(spark, tmp_path):
     older = same.withColumn("updated_at", F.expr("updated_at - INTERVAL 1 DAY")).withColumn("name", F.lit("old"))
     assert feed.house.upsert(older, decode=False, skip_unchanged=True).first()["updated"] == 0
     assert "old" not in feed.names().values()
+
+
+class FakeState:
+    """One group's state and timers, and how often they are asked."""
+
+    def __init__(self):
+        self.value, self.timers, self.asked = None, set(), 0
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def get(self):
+        self.asked += 1
+        return self.value
+
+    def update(self, value):
+        self.asked += 1
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):  # noqa: N802
+        self.timers.add(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.timers.remove(at)
+
+
+class Clock:
+    def __init__(self, at):
+        self.at = at
+
+    def getExpiryTimeInMs(self):  # noqa: N802
+        return self.at
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.at
+
+
+def test_state_is_asked_once_for_many_keys():
+    def version(key, day, part="p1", content=1, stage=None):
+        return {"_key": key, "_at": day * 1000, "part": part, "_content": content, "reject_stage": stage}
+
+    state, processor = FakeState(), NewestVersion(["_key", "_at"])
+    processor.init(state)
+    passed = lambda *rows: sorted((r["_key"], r["_at"] // 1000) for r in processor.handleInputRows((1,), iter(rows), Clock(0)))
+    rows = [version(f"k{i}", 10 + i) for i in range(100)] + [version("k5", 3), version("bad", 1, stage="mapping")]
+    assert len(passed(*rows)) == 101 and state.asked == 2
+    # One timer for the group, where the first version is dropped.
+    assert state.timers == {11}
+    assert passed(*rows) == [("bad", 1)] and state.timers == {11}
+    newer = version("k0", 500), version("k1", 11, part="p2"), version("k2", 12, part="p2", content=2), version("late", 2)
+    assert passed(*newer) == [("k0", 500), ("k2", 12), ("late", 2)] and state.timers == {3}
+    state.timers.remove(3)
+    assert list(processor.handleExpiredTimer((1,), Clock(60), Clock(3))) == [] and state.timers == {61}
+    # What is dropped is not known any more, what is left is.
+    assert passed(version("k4", 14), version("k90", 100), version("k90", 99)) == [("k4", 14)] and state.timers == {15}
+    assert list(processor.handleExpiredTimer((1,), Clock(1000), Clock(15))) == [] and state.value is None
