@@ -23,8 +23,9 @@ from tributary.plans.run import Zones, run_all
 from tributary.plans.transform import run_transform, transform_records
 from tributary.queries.inputs import raw_view
 from tributary.queries.registry import incoming_batch, shown, target_batch
+from tributary.session import SMALL_TASKS, settings
 from tributary.sources.packing import pack_run
-from tributary.sources.processed_zone import read_unified, read_unified_json, write_json
+from tributary.sources.processed_zone import read_unified, read_unified_json, write_json, write_unified
 from tributary.sources.raw_zone import POSITION, find_raw_parts, land_raw, read_raw
 from tributary.sources.warehouse import Warehouse
 from tributary.sources.watermarks import Watermarks
@@ -330,6 +331,19 @@ def test_slices_grow_with_the_table(spark, tmp_path, monkeypatch):
     assert at_once.slices == 10 and at_once.count().first()["row_count"] == 100
 
 
+def test_tasks_that_sort_whole_records_stay_small(spark, tmp_path, monkeypatch):
+    (name,) = SMALL_TASKS
+    before = spark.conf.get(name)
+    monkeypatch.setitem(SMALL_TASKS, name, "1b")
+    rows = coerce_records(unified_rows(spark, [(str(i), "a", None) for i in range(100)])).drop("is_loadable", "reason")
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}):
+        write_unified(deduplicate(rows, ["unified_id"]), f"{tmp_path}/z")
+    files = [f for _, _, names in os.walk(f"{tmp_path}/z") for f in names if f.endswith(".parquet")]
+    # A task for each of the four partitions of a shuffle, which by itself would be read by one.
+    assert len(files) == 4 and read_unified(spark, f"{tmp_path}/z").count() == 100
+    assert spark.conf.get(name) == before
+
+
 def test_key_is_the_unified_id_alone(spark, tmp_path):
     house = Warehouse(spark, f"{tmp_path}/t", buckets=4)
     house.upsert(unified_rows(spark, [("1", "a", None), ("2", "b", None)]))
