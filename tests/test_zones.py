@@ -336,7 +336,8 @@ def test_tasks_that_sort_whole_records_stay_small(spark, tmp_path, monkeypatch):
     before = spark.conf.get(name)
     monkeypatch.setitem(SMALL_TASKS, name, "1b")
     rows = coerce_records(unified_rows(spark, [(str(i), "a", None) for i in range(100)])).drop("is_loadable", "reason")
-    with settings(spark, {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}):
+    coalesce = "spark.sql.adaptive.coalescePartitions"
+    with settings(spark, {f"{coalesce}.parallelismFirst": "false", f"{coalesce}.minPartitionSize": "1b"}):
         write_unified(deduplicate(rows, ["unified_id"]), f"{tmp_path}/z")
     files = [f for _, _, names in os.walk(f"{tmp_path}/z") for f in names if f.endswith(".parquet")]
     # A task for each of the four partitions of a shuffle, which by itself would be read by one.
