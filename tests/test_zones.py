@@ -1,14 +1,17 @@
 """Raw zone shapes, envelopes, contracts, dedupe, merge, stages and the stream."""
 
+import glob
 import json
 import os
 import subprocess
 import sys
 from datetime import datetime, timezone
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from tributary import session
 from tributary.functions.cells import Records
 from tributary.functions.keys import new_run_id
 from tributary.operators.contracts import CONTRACTS, validate
@@ -17,6 +20,7 @@ from tributary.operators.envelope import unwrap
 from tributary.operators.gate import coerce_records
 from tributary.operators.mapping import MAPPINGS, Moments, ResourceMapping, get_mapping, map_records
 from tributary.operators.sketches import ERROR, estimated, layout, merged, overlap, sketches
+from tributary.plans import transform
 from tributary.plans.extract import run_extract
 from tributary.plans.load import run_load
 from tributary.plans.run import Zones, run_all
@@ -24,6 +28,7 @@ from tributary.plans.transform import run_transform, transform_records
 from tributary.queries.inputs import raw_view
 from tributary.queries.registry import incoming_batch, shown, target_batch
 from tributary.session import SMALL_TASKS, settings
+from tributary.sources import warehouse as warehouse_module
 from tributary.sources.packing import pack_run
 from tributary.sources.processed_zone import read_unified, read_unified_json, write_json, write_unified
 from tributary.sources.raw_zone import POSITION, find_raw_parts, land_raw, read_raw
@@ -345,6 +350,51 @@ def test_tasks_that_sort_whole_records_stay_small(spark, tmp_path, monkeypatch):
     assert spark.conf.get(name) == before
 
 
+def test_shuffles_before_such_sorts_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "SORT_ROWS", 10)
+    monkeypatch.setitem(SMALL_TASKS, next(iter(SMALL_TASKS)), "1b")
+    rows = coerce_records(unified_rows(spark, [(str(i), "a", None) for i in range(100)])).drop("is_loadable", "reason")
+    coalesce, partitions, scans = "spark.sql.adaptive.coalescePartitions", "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+    before = {name: spark.conf.get(name) for name in (partitions, scans)}
+    assert before[partitions] == "4"
+    with settings(spark, {f"{coalesce}.parallelismFirst": "false", f"{coalesce}.minPartitionSize": "1b"}):
+        write_unified(deduplicate(rows, ["unified_id"]), f"{tmp_path}/z", rows=100)
+    files = [f for _, _, names in os.walk(f"{tmp_path}/z") for f in names if f.endswith(".parquet")]
+    assert len(files) > 4 and read_unified(spark, f"{tmp_path}/z").count() == 100
+
+    seen = []
+    write = Warehouse._write
+
+    def noted(self, *args):
+        seen.append({name: spark.conf.get(name) for name in before})
+        write(self, *args)
+
+    monkeypatch.setattr(Warehouse, "_write", noted)
+    house = Warehouse(spark, f"{tmp_path}/t", buckets=2)
+    house.upsert(rows)
+    house.upsert(rows.where("unified_id < '5'"), skip_unchanged=True)
+    house.upsert(rows.withColumn("status", F.lit("failed")))
+    assert seen == [{partitions: "10", scans: "16m"}] * 2
+    assert {name: spark.conf.get(name) for name in before} == before
+    assert house.read().where("status = 'failed'").count() == 100
+
+
+def test_staged_records_lie_in_small_row_groups(spark, tmp_path, monkeypatch):
+    """A task that sorts what a scan gives it takes as much as the scan cannot cut."""
+    for module in (transform, warehouse_module):
+        monkeypatch.setattr(module, "discard", lambda spark, path: None)
+        monkeypatch.setitem(module.SMALL_ROW_GROUPS, "parquet.block.size", "1024")
+        monkeypatch.setattr(module, "scratch_path", lambda spark, label: f"{tmp_path}/{label}")
+    put(f"{tmp_path}/raw/stripe/customers/run_date=20240701/r1/p.json", "".join(
+        json.dumps({"id": f"cus_{i}", "name": f"n {i} {i * i}", "created": 1700000000 + i}) + "\n" for i in range(3000)
+    ))
+    run_transform(spark, f"{tmp_path}/raw", f"{tmp_path}/out", NOW, "r1")
+    Warehouse(spark, f"{tmp_path}/t", buckets=2).upsert(read_unified(spark, f"{tmp_path}/out"))
+    for label in ("tagged", "incoming"):
+        files = glob.glob(f"{tmp_path}/{label}/**/*.parquet", recursive=True)
+        assert files and max(pq.ParquetFile(f).metadata.num_row_groups for f in files) > 1
+
+
 def test_key_is_the_unified_id_alone(spark, tmp_path):
     house = Warehouse(spark, f"{tmp_path}/t", buckets=4)
     house.upsert(unified_rows(spark, [("1", "a", None), ("2", "b", None)]))
