@@ -379,6 +379,19 @@ def test_shuffles_before_such_sorts_grow_with_the_rows(spark, tmp_path, monkeypa
     assert house.read().where("status = 'failed'").count() == 100
 
 
+def test_fields_of_a_record_come_from_one_walk(spark):
+    texts = ['{"Id": "a", "id": "b", "x": {"y": 1, "Y": 2}}', '{"id": "c", "ID": "no"}', "[1]", "null", "{}", '"t"', '{"x": null, "Id": null, "id": "d"}']
+    df, cells = Records(json_rows(spark, texts), "raw").cells({"Id": ("Id", "id"), "x.y": ("x.y",), "x.Y": ("x.Y",)})
+    found = df.orderBy("i").select("_not_object", *[F.expr(c.text) for c in cells.values()], *[F.expr(c.present) for c in cells.values()]).collect()
+    none, absent = (None,) * 3, (False,) * 3
+    assert [tuple(r) for r in found] == [
+        (False, "a", "1", "2", True, True, True), (False, "c", None, None, True, False, False), (True, *none, *absent),
+        (True, *none, *absent), (False, *none, *absent), (True, *none, *absent), (False, *none, True, False, False),
+    ]
+    df, _ = Records(json_rows(spark, texts), "raw").cells({p: (p,) for p in ("id", "amount", "currency")})
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("try_variant_get(") == 1
+
+
 def test_staged_records_lie_in_small_row_groups(spark, tmp_path, monkeypatch):
     """A task that sorts what a scan gives it takes as much as the scan cannot cut."""
     for module in (transform, warehouse_module):
