@@ -3,6 +3,7 @@
 import glob
 import json
 import os
+import re
 import subprocess
 import sys
 from datetime import datetime, timezone
@@ -392,6 +393,14 @@ def test_fields_of_a_record_come_from_one_walk(spark):
     assert df._jdf.queryExecution().optimizedPlan().toString().count("try_variant_get(") == 1
 
 
+def test_only_rejects_are_written_out_as_text(spark):
+    rows = json_rows(spark, ['{"id": "cus_1", "created": 1700000000}', '{"id":"cus_2"}'])
+    tagged = map_records(Records(rows, "raw"), get_mapping("stripe", "customers"), NOW, keep=("i",))
+    assert [r["payload"] for r in tagged.orderBy("i").collect()] == [None, '{"id":"cus_2"}']
+    plan = tagged.select("payload").select("payload", F.lit(1))._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS payload#" in plan and not re.search(r"cast\(\w+#\d+ as string\) AS payload#", plan)
+
+
 def test_staged_records_lie_in_small_row_groups(spark, tmp_path, monkeypatch):
     """A task that sorts what a scan gives it takes as much as the scan cannot cut."""
     for module in (transform, warehouse_module):
