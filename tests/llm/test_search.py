@@ -89,6 +89,28 @@ def test_footrule():
         assert permutation_index.footrules(np.array(query), files, 3, 3).tolist() == plain
 
 
+def test_blocks_are_searched_for_several_queries_at_once():
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(700, 12))
+    # Two that single precision does not tell apart from each other.
+    vectors[300:320] = vectors[0] + rng.normal(size=(20, 12)) * 1e-9
+    ids, index = np.arange(700) * 3, permutation_index.Index(pivots=24, posted=16, share=0.2, least=50)
+    units = permutation_index._unit(vectors)
+    pivots = permutation_index.choose_pivots(units[350:], index)
+    order = permutation_index.permutations(units, pivots, 16)
+    files = permutation_index.inverted_files(order, 24)
+    many = permutation_index.footrules(order[:20], files, 700, 16)
+    assert many.tolist() == [permutation_index.footrules(o, files, 700, 16).tolist() for o in order[:20]]
+    found = permutation_index.search_block(ids, vectors, ids[:20], vectors[:20], pivots, index, 5)
+    norms, expected = np.sqrt((vectors**2).sum(1)), []
+    for q, distance in enumerate(many):
+        near = np.flatnonzero((distance <= np.sort(distance)[139]) & (ids != ids[q]))
+        score = (vectors[near] * vectors[q]).sum(1) / (norms[near] * norms[q])
+        expected += [(q, int(near[i]), float(score[i])) for i in np.lexsort((ids[near], -score))[:5]]
+    assert [f[:2] for f in found] == [f[:2] for f in expected]
+    assert np.allclose([f[2] for f in found], [f[2] for f in expected], rtol=0, atol=1e-15)
+
+
 def test_search_query_recall(spark, sf_dir):
     big = sf_dir.replace("sf0.001", "sf0.1")
     rows = [(r["vec_id"], r["embedding"]) for r in table(spark, big, "embeddings").collect()]

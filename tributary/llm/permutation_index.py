@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from tributary.llm.common import Stage, named, over_rows
 
 BLOCK, QUERY_BLOCK = 8_192, 1_024
+#: Queries whose distances to a block are worked out at a time.
+QUERIES_AT_ONCE = 8
 
 
 @dataclass(frozen=True)
@@ -53,23 +55,26 @@ def permutations(vectors: np.ndarray, pivots: np.ndarray, posted: int) -> np.nda
     return np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")[:, :posted]
 
 
-def inverted_files(order: np.ndarray, pivots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ends, members, ranks): the file of pivot p is the part of members and ranks from ends[p] to ends[p + 1]."""
+def inverted_files(order: np.ndarray, pivots: int) -> np.ndarray:
+    """The file of pivot p is row p: the rank of p for each vector, one behind the last rank where it is not posted."""
     n, posted = order.shape
-    by = np.argsort(order.ravel(), kind="stable")
-    ends = np.concatenate([[0], np.cumsum(np.bincount(order.ravel(), minlength=pivots))])
-    return ends, (by // posted).astype(np.int32), (by % posted).astype(np.int16)
+    # Sums of so many ranks have to fit.
+    files = np.full((pivots, n), posted, np.int16 if posted * posted < 1 << 15 else np.int32)
+    files[order.ravel(), np.repeat(np.arange(n), posted)] = np.tile(np.arange(posted), n)
+    return files
 
 
-def footrules(query: np.ndarray, files, n: int, posted: int) -> np.ndarray:
-    """Footrule distance of a query's permutation to all n vectors, over the query's pivots. A vector that is
-    not in a pivot's file stands behind its last rank."""
-    ends, members, ranks = files
-    out = np.full(n, int((posted - np.arange(len(query))).sum()), np.int32)
-    for rank, pivot in enumerate(query):
-        part = slice(ends[pivot], ends[pivot + 1])
-        out[members[part]] += np.abs(ranks[part] - rank) - (posted - rank)
-    return out
+def footrules(query: np.ndarray, files: np.ndarray, n: int, posted: int) -> np.ndarray:
+    """Footrule distance of a query's permutation to all n vectors, over the query's pivots; for several queries, a row
+    of them each. A vector that is not in a pivot's file stands behind its last rank."""
+    asked = np.atleast_2d(query)
+    out, apart = (np.zeros((len(asked), n), files.dtype) for _ in range(2))
+    for rank in range(asked.shape[1]):
+        np.take(files, asked[:, rank], axis=0, out=apart, mode="clip")
+        apart -= rank
+        np.abs(apart, out=apart)
+        out += apart
+    return out if np.ndim(query) == 2 else out[0]
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -90,18 +95,22 @@ def search_block(ids, vectors, query_ids, queries, pivots, index: Index, k: int)
     asked = permutations(query_units, pivots, index.posted)
     most = min(len(ids), max(index.least, int(np.ceil(index.share * len(ids)))))
     norms = np.sqrt((vectors * vectors).sum(axis=1))
+    # Cosines in single precision leave out what is further away than the k-th by more than they err.
+    units, query_units = units.astype(np.float32), query_units.astype(np.float32)
+    err = 4 * (units.shape[1] + 4) * float(np.finfo(np.float32).eps)
     found = []
-    for q in range(len(query_ids)):
-        if most < len(ids):
-            distance = footrules(asked[q], files, len(ids), order.shape[1])
-            near = np.argpartition(distance, most - 1)
-            near = np.flatnonzero(distance <= distance[near[most - 1]])
-        else:
-            near = np.arange(len(ids))
-        near = near[ids[near] != query_ids[q]]
-        score = (vectors[near] * queries[q]).sum(axis=1) / (norms[near] * np.sqrt((queries[q] * queries[q]).sum()))
-        best = np.lexsort((ids[near], -score))[:k]
-        found += [(q, int(near[i]), float(score[i])) for i in best]
+    for first in range(0, len(query_ids), QUERIES_AT_ONCE):
+        some = slice(first, first + QUERIES_AT_ONCE)
+        distances = footrules(asked[some], files, len(ids), order.shape[1]) if most < len(ids) else [None] * len(query_ids[some])
+        for q, distance in enumerate(distances, first):
+            near = np.arange(len(ids)) if distance is None else np.flatnonzero(distance <= np.partition(distance, most - 1)[most - 1])
+            near = near[ids[near] != query_ids[q]]
+            if len(near) > k:
+                about = units[near] @ query_units[q]
+                near = near[about >= np.partition(about, -k)[-k] - err]
+            score = (vectors[near] * queries[q]).sum(axis=1) / (norms[near] * np.sqrt((queries[q] * queries[q]).sum()))
+            best = np.lexsort((ids[near], -score))[:k]
+            found += [(q, int(near[i]), float(score[i])) for i in best]
     return found
 
 
@@ -110,8 +119,10 @@ def _packed(rows: DataFrame, blocks: int, name: str) -> DataFrame:
 
     def pack(group: pa.Table) -> pa.Table:
         ids = group.column("vec_id").to_numpy()
-        vectors = _in_range(np.array(group.column("embedding").to_pylist(), np.float64))
-        by = np.lexsort((*vectors.T[::-1], ids))
+        components = group.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        vectors = _in_range(components.astype(np.float64).reshape(len(ids), -1))
+        # Rows of one id by their vectors.
+        by = np.argsort(ids) if len(np.unique(ids)) == len(ids) else np.lexsort((*vectors.T[::-1], ids))
         return pa.table({
             name: group.column(name)[:1], "ids": pa.array([ids[by].astype("<i8").tobytes()], pa.binary()),
             "vectors": pa.array([vectors[by].astype("<f8").tobytes()], pa.binary()),
@@ -149,7 +160,8 @@ def nearest(
 
 def _nearest_of_length(rows: DataFrame, length: int, every: int, k: int, index: Index, stage: Stage) -> DataFrame:
     spark = rows.sparkSession
-    same = Window.partitionBy("embedding").orderBy("vec_id")
+    # Sorting compares hashes, and vectors only where these are equal.
+    same = Window.partitionBy(F.xxhash64("embedding"), "embedding").orderBy("vec_id")
     indexed = stage.keep(rows.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= k + 1), f"indexed-{length}")
     asked = rows.where(F.col("vec_id") % every == 0)
     n, n_asked = indexed.count(), asked.count()
