@@ -27,6 +27,26 @@ def ids_of(text):
     return np.array(WORD.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
 
 
+def test_capitals_and_marks_need_no_whole_step():
+    """Latin-1 capitals, and marks after letters, go to the merging model; ids are those of the library."""
+    encoder = WordEncoder(queries.WORD_BPE)
+    words = ["Éourément", "ÀÞ", "réré,", "É.", "étre***", "les&&&", "the.", "aß--", "x|]`", "Çà!?.", "ÿ_", "þ\"#"]
+    expected = [WORD.encode(f"{w} {w}\n", add_special_tokens=False).ids for w in words]
+
+    class MarksOnly:
+        def encode_batch_fast(self, texts, **how):
+            assert not any(c.isalpha() for c in "".join(texts))
+            return WORD.encode_batch_fast(texts, **how)
+
+    encoder._known._tokenizer = MarksOnly()
+    assert [np.frombuffer(encoder.encode(f"{w} {w}\n"), "<u4").tolist() for w in words] == expected
+
+
+def test_letters_before_other_signs_are_left_to_the_library():
+    for text in ("it's it're. don't", "×. ÷, ×, é×. ÷. ", "e\u0301. E\u0301, é\u0301. ", "a.b, c-d x.<|endoftext|> a<|startoftext|>.", "…. a…. ª, º. µ. "):
+        assert np.frombuffer(ENCODER.encode(text), "<u4").tolist() == WORD.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=300, deadline=None)
 @given(TEXT)
 def test_words_encode_like_whole_texts(text):

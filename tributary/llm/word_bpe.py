@@ -2,8 +2,9 @@
 
 Where a tokenizer drops white space and merges within words only, the ids of a text are the ids of its
 words in turn. Each worker encodes a new word once and remembers it. Words of plain lower-case letters, which
-normalizer and pre-tokenizer leave whole, go straight to the library's merging model; other new words go
-through all its steps.
+normalizer and pre-tokenizer leave whole, go straight to the library's merging model; so do those in capitals of
+Latin-1 that they make lower-case. Marks after such letters are a word of their own. Other new words go through all
+steps of the library.
 """
 
 from __future__ import annotations
@@ -20,11 +21,14 @@ from tokenizers import Tokenizer
 #: 200 MB in all. Fewer take less memory and more time. Longer words than LONGEST bytes are not remembered.
 REMEMBERED = 600_000
 LONGEST = 64
-#: Lower-case letters that are their own normal form.
-_LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+#: Letters of a normal form of one letter, lower-case or made so alone.
+_LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ"
 _PLAIN = re.compile(f"[{_LETTERS}]+")
+#: ASCII marks but the apostrophe, which may go with the letters after it.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_MARKED = re.compile(f"([{_LETTERS}]+)([{re.escape(_MARKS)}]+)")
 #: A mark that ends a word, where it stands between a letter or digit and white space.
-_END_MARK = re.compile(rb"[.,](?=[ \n])(?<=[A-Za-z0-9][.,])")
+_END_MARK = re.compile(rb"[.,](?=[ \n])(?:(?<=[A-Za-z0-9][.,])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][.,]))")
 
 
 def _lowers(spec: dict | None) -> bool:
@@ -39,6 +43,7 @@ class _Words(dict):
         self._tokenizer = tokenizer
         self._model = tokenizer.model
         self._letters = _own_letters(tokenizer)
+        self._marks = bool(self._letters) and _marks_apart(tokenizer)
         self.before = before
 
     def __missing__(self, word: bytes) -> bytes:
@@ -52,6 +57,8 @@ class _Words(dict):
     def _encode(self, text: str) -> bytes:
         if self._letters and _PLAIN.fullmatch(text):
             ids = [t.id for t in self._model.tokenize(text if text.isascii() else text.translate(self._letters))]
+        elif self._marks and (parts := _MARKED.fullmatch(text)):
+            return self[parts[1].encode()] + self[parts[2].encode()]
         else:
             [found] = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
             ids = found.ids
@@ -71,6 +78,20 @@ def _own_letters(tokenizer: Tokenizer) -> dict[int, str] | None:
     return table if whole and all(table[ord(c)] == c for c in _LETTERS if c.isascii()) else None
 
 
+def _marks_apart(tokenizer: Tokenizer) -> bool:
+    """Whether letters and the marks after them are encoded apart: the pre-tokenizer cuts there, and no added token joins them."""
+    splitter = tokenizer.pre_tokenizer
+    joined = re.compile(f"[{_LETTERS}]*[{re.escape(_MARKS)}]*")
+    if splitter is None or any(joined.fullmatch(t.content) for t in tokenizer.get_added_tokens_decoder().values()):
+        return False
+
+    def seen(text: str) -> list[str]:
+        text = tokenizer.normalizer.normalize_str(text) if tokenizer.normalizer else text
+        return [part for part, _ in splitter.pre_tokenize_str(text)]
+
+    return all(seen(a + m + n) == seen(a) + seen(m + n) for a in ("re", *_LETTERS) for m in _MARKS for n in ("", m, "."))
+
+
 class WordEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers, equal to `Tokenizer.encode(text).ids`.
 
@@ -91,7 +112,7 @@ class WordEncoder:
             return self._tokenizer.encode(text, add_special_tokens=False).ids
 
         # An end mark is a word of its own, if it never merges with what stands before it.
-        self._cuts = all(ids(a + m) == ids(a) + ids(m) for a in ("a", "the", "Z", "7") for m in ".,")
+        self._cuts = all(ids(a + m) == ids(a) + ids(m) for a in ("a", "the", "Z", "7", "é", "É") for m in ".,")
         self._known = _Words(self._tokenizer, {})
 
     def _words(self, text: str) -> list[bytes]:
