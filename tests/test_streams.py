@@ -6,6 +6,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
+from tributary.queries.inputs import RESOURCES
+from tributary.queries.registry import QUERIES
 from tributary.sources.warehouse import Warehouse
 from tributary.sources.watermarks import Watermarks
 from tributary.streaming.newest import NewestVersion, StreamCounts, stream_newest
@@ -144,3 +146,26 @@ def test_state_is_asked_once_for_many_keys():
     # What is dropped is not known any more, what is left is.
     assert passed(version("k4", 14), version("k90", 100), version("k90", 99)) == [("k4", 14)] and state.timers == {15}
     assert list(processor.handleExpiredTimer((1,), Clock(1000), Clock(15))) == [] and state.value is None
+
+
+def test_counts_of_every_resource(spark, tmp_path):
+    """The query streams each of the five resources, however many rows each has."""
+    def keep(name, rows, columns):
+        spark.createDataFrame(rows, columns).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    keep("customer", [(k, f"Customer {k}", 1, "BUILDING") for k in (7, 14, 6)], "c_custkey long, c_name string, c_nationkey int, c_mktsegment string")
+    keep("orders", [(k, 1, "F", 10.5, "1997-01-01", "5-LOW") for k in (5, 10, 17, 22)],
+         "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate string, o_orderpriority string")
+    keep("lineitem", [(1, 1, 1, n, 1.0, 2.5, "A", "F", "1997-01-01") for n in range(5)],
+         "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+         "l_returnflag string, l_linestatus string, l_shipdate string")
+    keep("nation", [(1, "FRANCE")], "n_nationkey int, n_name string")
+    keep("supplier", [(1, "Supplier 1", 1), (2, "Supplier 2", 1)], "s_suppkey long, s_name string, s_nationkey int")
+    keep("part", [(3, "part 3", 4.0)], "p_partkey long, p_name string, p_retailprice double")
+    seen = {(r["source"], r["source_resource"]): tuple(r[2:]) for r in QUERIES["stream_counts"](spark, str(tmp_path)).collect()}
+    assert set(seen) == set(RESOURCES.values())
+    # A customer created at no date, a charge of a negative amount.
+    assert seen == {
+        ("stripe", "customers"): (3, 2, 1), ("stripe", "charges"): (4, 3, 1), ("stripe", "invoices"): (5, 5, 0),
+        ("salesforce", "accounts"): (2, 2, 0), ("salesforce", "opportunities"): (2, 2, 0),
+    }
