@@ -4,9 +4,10 @@ import random
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tributary.llm import jaccard_join, permutation_index, queries
-from tributary.llm.common import table
+from tributary.llm.common import Stage, table
 from tributary.llm.jaccard_join import Similar
 
 LONG = "vec_id long, embedding array<float>, score string"
@@ -111,6 +112,29 @@ def test_blocks_are_searched_for_several_queries_at_once():
     assert np.allclose([f[2] for f in found], [f[2] for f in expected], rtol=0, atol=1e-15)
 
 
+def test_blocks_meet_without_copies_of_queries(spark):
+    """Copies of the queries for every block outgrew the driver, where they were broadcast."""
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(50)], "vec_id long, embedding array<double>")
+    found = permutation_index.nearest(df, 5, 5)
+    assert found.count() == 50
+    plan = found._jdf.queryExecution().toString()
+    assert "CartesianProduct" in plan and "Generate" not in plan and "Broadcast" not in plan
+
+
+def test_sample_by_hashes_is_that_of_a_sort(spark):
+    rng = np.random.default_rng(8)
+    many = [(i, 1, [float(x) for x in rng.normal(size=2)]) for i in range(400)]
+    one_id = [(7, 1, [float(x) for x in rng.normal(size=2)]) for _ in range(400)]
+    copies = [(i, 1 + (i > 3), [1.0, 2.0]) for i in range(400)]
+    stage = Stage(spark, "samples")
+    for number, rows in enumerate((many, one_id, copies)):
+        df = spark.createDataFrame(rows, "vec_id long, copy int, embedding array<double>").repartition(4)
+        got = permutation_index._smallest_hashes(df, len(rows), 20, stage, f"s{number}").collect()
+        expected = df.where("copy = 1").orderBy(F.xxhash64("vec_id"), "vec_id", "embedding").limit(20).collect()
+        assert [(r["vec_id"], r["embedding"]) for r in got] == [(r["vec_id"], r["embedding"]) for r in expected]
+
+
 def test_search_query_recall(spark, sf_dir):
     big = sf_dir.replace("sf0.001", "sf0.1")
     rows = [(r["vec_id"], r["embedding"]) for r in table(spark, big, "embeddings").collect()]

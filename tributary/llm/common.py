@@ -92,8 +92,8 @@ class Stage:
         self.spark = spark
         self.root = scratch_path(spark, label)
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+    def keep(self, df: DataFrame, name: str, **options: str) -> DataFrame:
+        df.write.mode("overwrite").options(**options).parquet(f"{self.root}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:

@@ -23,6 +23,15 @@ from tributary.llm.common import Stage, named, over_rows
 BLOCK, QUERY_BLOCK = 8_192, 1_024
 #: Queries whose distances to a block are worked out at a time.
 QUERIES_AT_ONCE = 8
+#: Times the rows of a sample that are looked at to take it by hashes.
+SPARE = 4
+#: Query blocks a task holds while blocks of the index pass it.
+HELD = 32
+#: For rows of some MB: each is a row group, so that a scan can cut between them and a batch holds one.
+_LARGE_ROWS = {
+    "parquet.block.size": str(1 << 20), "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "1",
+    "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.enable.dictionary": "false",
+}
 
 
 @dataclass(frozen=True)
@@ -132,6 +141,23 @@ def _packed(rows: DataFrame, blocks: int, name: str) -> DataFrame:
     return rows.select(block.alias(name), "vec_id", "embedding").groupBy(name).applyInArrow(pack, f"{name} int, ids binary, vectors binary")
 
 
+def _smallest_hashes(indexed: DataFrame, n: int, sample: int, stage: Stage, name: str) -> DataFrame:
+    """At most `sample` of the n rows with the smallest id hashes, copies left out, in their order.
+
+    Taken from a table every task would send `sample` rows to the driver. So the rows are picked in tasks: of those with
+    hashes below a bound that some times as many pass, and of all where the hashes lie otherwise.
+    """
+    hashed = F.xxhash64("vec_id")
+    rows = indexed.where("copy = 1").select("vec_id", "embedding")
+    bound = min((1 << 63) - 1, -(1 << 63) + (1 << 64) * SPARE * sample // max(n, 1))
+    for some in (rows.where(hashed <= bound), rows):
+        chosen = stage.keep(some.orderBy(hashed, "vec_id", "embedding").limit(sample), name)
+        if bound == (1 << 63) - 1 or chosen.count() == sample:
+            break
+    # A fixed number of rows in one file.
+    return chosen.coalesce(1).sortWithinPartitions(hashed, "vec_id", "embedding")
+
+
 def nearest(
     vectors: DataFrame, every: int, k: int = 5, index: Index = Index(), id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
@@ -166,17 +192,19 @@ def _nearest_of_length(rows: DataFrame, length: int, every: int, k: int, index:
     asked = rows.where(F.col("vec_id") % every == 0)
     n, n_asked = indexed.count(), asked.count()
 
-    # A fixed number of rows.
-    chosen = indexed.where("copy = 1").orderBy(F.xxhash64("vec_id"), "vec_id", "embedding").limit(index.sample).collect()
+    chosen = _smallest_hashes(indexed, n, index.sample, stage, f"sample-{length}").collect()
     pivots = spark.sparkContext.broadcast(choose_pivots(_unit(_in_range(np.array([r["embedding"] for r in chosen], np.float64).reshape(-1, length))), index))
 
     blocks = max(1, -(-n // BLOCK))
-    query_blocks = _packed(asked, max(1, -(-n_asked // QUERY_BLOCK)), "query_block")
-    # Every query block meets every block of the index.
-    meetings = query_blocks.select(
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "query_block",
-        F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"),
-    ).join(_packed(indexed, blocks, "block"), "block")
+    asked_blocks = max(1, -(-n_asked // QUERY_BLOCK))
+    query_blocks = _packed(asked, asked_blocks, "query_block")
+    query_blocks = stage.keep(query_blocks, f"queries-{length}", **_LARGE_ROWS).repartition(max(1, -(-asked_blocks // HELD)))
+    table = stage.keep(_packed(indexed, blocks, "block"), f"blocks-{length}", **_LARGE_ROWS)
+    stage.drop(f"indexed-{length}", f"sample-{length}")
+    # Every query block meets every block of the index. Neither side is shuffled or broadcast once for each block of the
+    # other: pairs of partitions read both from where they lie.
+    meetings = table.hint("shuffle_replicate_nl").crossJoin(query_blocks.withColumnsRenamed({"ids": "query_ids", "vectors": "queries"}))
+
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
