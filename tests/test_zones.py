@@ -645,3 +645,36 @@ def test_attributes_are_read_once(spark):
     out = shown(rows, ("customer", "livemode", "raw_status", "website"))
     assert out.select("attr_customer", "attr_livemode", "attr_raw_status", "attr_website").first() == ('c"1', "true", None, None)
     assert "get_json_object" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def shuffle_files(spark):
+    """Shuffle data on this machine's disk."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return sum(line.endswith(".data") and "shuffle_" in line for line in blocks.split("\n"))
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    """They stayed until the driver collected its garbage, so every step's shuffles filled the disk."""
+    rows = coerce_records(unified_rows(spark, [(str(i), "a", None) for i in range(200)])).repartition(3)
+    before = shuffle_files(spark)
+    write_unified(deduplicate(rows, ["unified_id"]), f"{tmp_path}/zone", rows=200)
+    assert shuffle_files(spark) <= before
+    assert read_unified(spark, f"{tmp_path}/zone").count() == 200
+
+
+def test_a_merge_shuffles_its_batch_once(spark, tmp_path, monkeypatch):
+    """The dedupe deals the batch to the slices; it was shuffled to them once more."""
+    house, plans, merged = Warehouse(spark, f"{tmp_path}/t", buckets=2, slices=3), [], Warehouse.merged
+
+    def seen(self, *args, **options):
+        out = merged(self, *args, **options)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(Warehouse, "merged", seen)
+    for name in "ab":
+        house.upsert(unified_rows(spark, [(str(i), name, None) for i in range(50)]))
+    assert [plan.count("Exchange") for plan in plans] == [1, 1]
+    assert {r["name"] for r in house.read().collect()} == {"b"} and house.read().count() == 50
+    files = [f for _, _, names in os.walk(f"{tmp_path}/t/data") for f in names if f.endswith(".parquet")]
+    assert len(files) == 2 * 3
