@@ -32,6 +32,7 @@ from tributary.session import SMALL_TASKS, settings
 from tributary.sources import warehouse as warehouse_module
 from tributary.sources.packing import pack_run
 from tributary.sources.processed_zone import read_unified, read_unified_json, write_json, write_unified
+from tributary.sources import raw_zone
 from tributary.sources.raw_zone import POSITION, find_raw_parts, land_raw, read_raw
 from tributary.sources.warehouse import Warehouse
 from tributary.sources.watermarks import Watermarks
@@ -678,3 +679,16 @@ def test_a_merge_shuffles_its_batch_once(spark, tmp_path, monkeypatch):
     assert {r["name"] for r in house.read().collect()} == {"b"} and house.read().count() == 50
     files = [f for _, _, names in os.walk(f"{tmp_path}/t/data") for f in names if f.endswith(".parquet")]
     assert len(files) == 2 * 3
+
+
+def test_extract_lands_compressed_parts_of_bounded_size_in_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(raw_zone, "SORT_ROWS", 40)
+    rows = [(str(i), f"n{i}", "2024-01-01") for i in range(100)]
+    given = Records(customers(spark, rows).df.coalesce(1))
+    counts = run_extract({("stripe", "customers"): given}, f"{tmp_path}/raw", "2024-07-01T00-00-00Z", NOW)
+    assert counts["stripe/customers"]["valid"] == 100
+    assert len(glob.glob(f"{tmp_path}/raw/**/part-*.json.gz", recursive=True)) == 3
+    for split in (False, True):
+        landed = read_raw(spark, f"{tmp_path}/raw", "stripe", "customers", split_files=split)
+        ids = [r[0] for r in landed.orderBy(*POSITION).selectExpr("variant_get(record, '$.id', 'string')").collect()]
+        assert ids == [r[0] for r in rows]
