@@ -681,6 +681,14 @@ def test_a_merge_shuffles_its_batch_once(spark, tmp_path, monkeypatch):
     assert len(files) == 2 * 3
 
 
+def test_json_form_is_compressed(spark, tmp_path):
+    unified = transform_records(customers(spark, [(str(i), "ann", "2024-01-01") for i in range(500)]), "stripe", "customers", NOW).unified
+    write_json(unified, f"{tmp_path}/json")
+    files = glob.glob(f"{tmp_path}/json/**/part-*", recursive=True)
+    assert files and all(f.endswith(".json.gz") for f in files)
+    assert read_unified_json(spark, f"{tmp_path}/json").select("unified_id").distinct().count() == 500
+
+
 def test_extract_lands_compressed_parts_of_bounded_size_in_order(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(raw_zone, "SORT_ROWS", 40)
     rows = [(str(i), f"n{i}", "2024-01-01") for i in range(100)]
