@@ -32,7 +32,7 @@ from tributary.session import SMALL_TASKS, settings
 from tributary.sources import warehouse as warehouse_module
 from tributary.sources.packing import pack_run
 from tributary.sources.processed_zone import read_unified, read_unified_json, write_json, write_unified
-from tributary.sources import raw_zone
+from tributary.sources import packing, raw_zone
 from tributary.sources.raw_zone import POSITION, find_raw_parts, land_raw, read_raw
 from tributary.sources.warehouse import Warehouse
 from tributary.sources.watermarks import Watermarks
@@ -700,3 +700,38 @@ def test_extract_lands_compressed_parts_of_bounded_size_in_order(spark, tmp_path
         landed = read_raw(spark, f"{tmp_path}/raw", "stripe", "customers", split_files=split)
         ids = [r[0] for r in landed.orderBy(*POSITION).selectExpr("variant_get(record, '$.id', 'string')").collect()]
         assert ids == [r[0] for r in rows]
+
+
+def test_bounded_parts_are_written_by_tasks_and_replaced_as_a_whole(spark, tmp_path):
+    """Spark's writers, which leave a checksum beside each file, took ten milliseconds for a part."""
+    rows = spark.range(0, 2000, 1, 2).selectExpr("concat('c', id) AS id", "CAST(NULL AS STRING) AS `a.b`", "id AS `ä`")
+    at = (f"{tmp_path}/raw", "stripe", "customers", "2024-07-01T00-00-00Z")
+    for _ in range(2):
+        path = land_raw(rows, *at, part_records=5)
+        names = sorted(os.listdir(path))
+        assert 400 <= len([n for n in names if n.endswith(".json")]) <= 404 and "_SUCCESS" in names
+        assert not [n for n in names if n.startswith(".part") or n.endswith(".json.crc")]
+        with open(f"{path}/{next(n for n in names if n.endswith('.json'))}", encoding="utf-8") as part:
+            assert part.read() == "".join(f'{{"id":"c{i}","ä":{i}}}\n' for i in range(5))
+    broken = rows.withColumn("id", F.when(F.col("ä") == 1500, F.raise_error(F.lit("lost"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="lost"):
+        land_raw(broken, *at, part_records=5)
+    assert sorted(os.listdir(path)) == names and [n for n in os.listdir(os.path.dirname(path)) if n[0] == "."] == []
+
+
+def test_packed_lines_are_those_of_a_scan(spark, tmp_path):
+    parts = [b"\xef\xbb\xbf{}\r\n[1]\r{}\n", b"", b"\n\n", b"a\n\nb", b"\xff\xfe\n", "\u2028ä\u0085\x0b\x0c\n".encode(), b"last"]
+    for root in ("it's", "a b"):
+        os.makedirs(folder := f"{tmp_path}/{root}/stripe/customers/run_date=20240701/2024-07-01T00-00-00Z")
+        for i, content in enumerate(parts):
+            with open(f"{folder}/part-{i}.json", "wb") as out:
+                out.write(content)
+
+    def lines(path):
+        return sorted(r[0] for r in spark.read.text(path).selectExpr("hex(value)").collect())
+
+    for root, small in (("it's", packing.SMALL_PART), ("it's", 0), ("a b", packing.SMALL_PART)):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(packing, "SMALL_PART", small)
+            assert pack_run(spark, f"{tmp_path}/{root}", f"{tmp_path}/p-{root[0]}{small}", "stripe", "customers", "2024-07-01T00-00-00Z") == 1
+        assert lines(f"{tmp_path}/p-{root[0]}{small}/stripe/customers") == lines(f"{tmp_path}/{root}/stripe/customers")
